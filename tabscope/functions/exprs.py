@@ -71,3 +71,13 @@ def round_doubles(df: DataFrame, digits: int = _SIG_DIGITS) -> DataFrame:
         else:
             out.append(col(f.name))
     return df.select(*out)
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Pairwise-complete Pearson r that yields null (not an ANSI divide-by-zero
+    error) when either side is constant."""
+    a = a.cast("double")
+    b = b.cast("double")
+    a2 = F.when(b.isNotNull(), a)
+    b2 = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))

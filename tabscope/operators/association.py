@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col
+from tabscope.functions.exprs import col, pearson
 from tabscope.plans.frames import per_feature, quantiles, scalar_row
 
 MISSING = "_NA_"
@@ -38,7 +38,7 @@ def _nan_null(c: Column) -> Column:
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pairwise-complete Pearson r for all pairs a<b in ONE aggregate."""
     pairs = _pairs(list(cols))
-    agg = df.agg(*[F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[pearson(col(a).cast("double"), col(b).cast("double")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                               _nan_null(F.col(f"_r{k}")).alias("corr")) for k, (a, b) in enumerate(pairs)])
     return agg.select(F.inline(rows)).withColumn("abs_corr", F.abs("corr"))
@@ -74,7 +74,7 @@ def corr_spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spearman = Pearson on average ranks (complete rows assumed)."""
     r = with_ranks(df.select(*[col(c) for c in cols]), cols)
     pairs = _pairs(list(cols))
-    agg = r.agg(*[F.corr(F.col(f"{a}_rank"), F.col(f"{b}_rank")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
+    agg = r.agg(*[pearson(F.col(f"{a}_rank"), F.col(f"{b}_rank")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                               _nan_null(F.col(f"_r{k}")).alias("spearman")) for k, (a, b) in enumerate(pairs)])
     return agg.select(F.inline(rows))
@@ -91,7 +91,7 @@ def corr_discrepancy(df: DataFrame, cols: Sequence[str], gap: float = 0.2) -> Da
 
 def target_corr(df: DataFrame, features: Sequence[str], y: Column, top: int = 15) -> DataFrame:
     """R with the target, strength bands .7/.5/.3, top-k by |r|."""
-    out = per_feature(df, features, lambda i, f: {"corr": _nan_null(F.corr(col(f).cast("double"), y.cast("double")))})
+    out = per_feature(df, features, lambda i, f: {"corr": _nan_null(pearson(col(f).cast("double"), y.cast("double")))})
     a = F.abs("corr")
     band = F.when(a > 0.7, "strong").when(a > 0.5, "moderate").when(a > 0.3, "weak").otherwise("very weak")
     w = Window.orderBy(a.desc(), F.col("feature"))
@@ -107,8 +107,8 @@ def target_corr_gap(df: DataFrame, features: Sequence[str], target: str, gap: fl
                        *[F.coalesce(col(f).cast("double"), med.getField(f"m{i}")).alias(f) for i, f in enumerate(features)])
     r = with_ranks(filled, [*features, "_y"])
     out = per_feature(r, features, lambda i, f: {
-        "pearson": _nan_null(F.corr(col(f), F.col("_y"))),
-        "spearman": _nan_null(F.corr(F.col(f"{f}_rank"), F.col("_y_rank")))})
+        "pearson": _nan_null(pearson(col(f), F.col("_y"))),
+        "spearman": _nan_null(pearson(F.col(f"{f}_rank"), F.col("_y_rank")))})
     g = F.abs(F.col("pearson") - F.col("spearman"))
     return out.select("feature", "pearson", "spearman", g.alias("gap"), (g > gap).cast("int").alias("nonlinear"))
 
@@ -121,7 +121,7 @@ def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
     import numpy as np
     complete = df.select(*[col(f).cast("double").alias(f) for f in features]).na.drop()
     pairs = _pairs(list(features))
-    row = complete.agg(*[F.corr(col(a), col(b)).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)]).first()
+    row = complete.agg(*[pearson(col(a), col(b)).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)]).first()
     p = len(features)
     m = np.eye(p)
     for k, (a, b) in enumerate(pairs):
@@ -316,8 +316,9 @@ def psi_equal_width(train: DataFrame, test: DataFrame, features: Sequence[str],
 
     def binned(df, tag):
         parts = []
+        df = df.withColumn("_mm", s)
         for i, f in enumerate(features):
-            lo, hi = s.getField(f"lo{i}"), s.getField(f"hi{i}")
+            lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
             b = F.floor((col(f).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
             b = F.when(b >= bins, bins - 1).otherwise(b)
             parts.append(F.struct(F.lit(f).alias("feature"), b.cast("int").alias("bin")))
@@ -370,12 +371,17 @@ def psi_quantile(train: DataFrame, test: DataFrame, features: Sequence[str], bin
     ed = _edges(train, features, bins, cfg)
 
     def binned(df, tag):
-        parts = [F.struct(F.lit(f).alias("feature"), hist_bin(col(f).cast("double"), ed.getField(f"e{i}"), bins + 1).alias("bin"),
-                          (F.size(ed.getField(f"e{i}")) - 1).alias("nb")) for i, f in enumerate(features)]
-        return df.select(F.inline(F.array(*parts))).withColumn("side", F.lit(tag))
+        e = F.col("_ed")
+        parts = [F.struct(F.lit(f).alias("feature"), hist_bin(col(f).cast("double"), e.getField(f"e{i}"), bins + 1).alias("bin"),
+                          (F.size(e.getField(f"e{i}")) - 1).alias("nb")) for i, f in enumerate(features)]
+        return df.withColumn("_ed", ed).select(F.inline(F.array(*parts))).withColumn("side", F.lit(tag))
     u = binned(train, 1).unionByName(binned(test, 2))
-    # every bin index 0..nb-1 must exist (empty bins still get the +1)
-    grid = u.select("feature", "nb").distinct().select("feature", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
+    # every bin index 0..nb-1 must exist (empty bins still get the +1); nb per feature comes
+    # from the edges themselves, so the grid needs no pass over the rows
+    grid = train.limit(1).select(ed.alias("_ed")).select(F.inline(F.array(*[
+        F.struct(F.lit(f).alias("feature"), (F.size(F.col("_ed").getField(f"e{i}")) - 1).alias("nb"))
+        for i, f in enumerate(features)])))
+    grid = grid.select("feature", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
     cnt = u.where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
         F.count_if(F.col("side") == 1).alias("tr"), F.count_if(F.col("side") == 2).alias("te"))
     g = grid.join(cnt, ["feature", "bin"], "left").fillna(0, ["tr", "te"])
@@ -413,10 +419,11 @@ def binned_long(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
     """``(feature, bin(string), y)``: numerics by qcut edges, categoricals by level; null rows dropped."""
     parts = []
     if numeric:
-        ed = _edges(df.where(y.isNotNull()), numeric, bins, cfg)
+        df = df.withColumn("_ed", _edges(df.where(y.isNotNull()), numeric, bins, cfg))
         for i, f in enumerate(numeric):
             parts.append(F.struct(F.lit(f).alias("feature"),
-                                  qcut_bin(col(f).cast("double"), ed.getField(f"e{i}"), bins + 1).cast("string").alias("bin")))
+                                  qcut_bin(col(f).cast("double"), F.col("_ed").getField(f"e{i}"), bins + 1)
+                                  .cast("string").alias("bin")))
     for f in categorical:
         parts.append(F.struct(F.lit(f).alias("feature"), col(f).cast("string").alias("bin")))
     x = df.select(y.alias("_y"), F.inline(F.array(*parts)))
@@ -483,7 +490,7 @@ def monotonicity(df: DataFrame, features: Sequence[str], y: Column, bins: int =
         F.count(F.lit(1)).alias("n_bins"), F.sum("n").alias("n"),
         F.coalesce(F.bool_and(F.coalesce(F.col("diff") >= 0, F.lit(True))), F.lit(True)).alias("up"),
         F.coalesce(F.bool_and(F.coalesce(F.col("diff") <= 0, F.lit(True))), F.lit(True)).alias("down"),
-        _nan_null(F.corr(F.col("pos").cast("double"), F.col("mrank"))).alias("spearman"))
+        _nan_null(pearson(F.col("pos").cast("double"), F.col("mrank"))).alias("spearman"))
     direction = F.when(F.col("up"), "increasing").when(F.col("down"), "decreasing").otherwise("non-monotone")
     return g.where((F.col("n") >= min_rows) & (F.col("n_bins") >= 3)).select(
         "feature", F.col("n_bins").cast("bigint"), direction.alias("direction"), "spearman")
@@ -493,11 +500,11 @@ def interaction_gain(df: DataFrame, numeric: Sequence[str], y: Column, eps: floa
     """|r| of a*b and a/(b+eps) with the target vs the best single |r|."""
     yy = y.cast("double")
     rows = []
-    exprs = [F.corr(col(f).cast("double"), yy).alias(f"_s{i}") for i, f in enumerate(numeric)]
+    exprs = [pearson(col(f).cast("double"), yy).alias(f"_s{i}") for i, f in enumerate(numeric)]
     pairs = _pairs(list(numeric))
     for k, (a, b) in enumerate(pairs):
         av, bv = col(a).cast("double"), col(b).cast("double")
-        exprs += [F.corr(av * bv, yy).alias(f"_p{k}"), F.corr(av / (bv + eps), yy).alias(f"_q{k}")]
+        exprs += [pearson(av * bv, yy).alias(f"_p{k}"), pearson(av / (bv + eps), yy).alias(f"_q{k}")]
     agg = df.agg(*exprs)
     for k, (a, b) in enumerate(pairs):
         ia, ib = numeric.index(a), numeric.index(b)
@@ -513,11 +520,11 @@ def simpson(df: DataFrame, numeric: Sequence[str], groups: Sequence[str], y: Col
             min_sub: float = 0.1, min_global: float = 0.05) -> DataFrame:
     """Subgroups whose correlation sign reverses the global one."""
     yy = y.cast("double")
-    glob = per_feature(df, numeric, lambda i, f: {"r_global": F.corr(col(f).cast("double"), yy)})
+    glob = per_feature(df, numeric, lambda i, f: {"r_global": pearson(col(f).cast("double"), yy)})
     out = None
     for g in groups:
         x = df.select(col(g).cast("string").alias("level"), yy.alias("_y"), *[col(f).cast("double").alias(f) for f in numeric])
-        sub = per_feature(x, numeric, lambda i, f: {"n": F.count(col(f)), "r_group": F.corr(col(f), F.col("_y"))},
+        sub = per_feature(x, numeric, lambda i, f: {"n": F.count(col(f)), "r_group": pearson(col(f), F.col("_y"))},
                           by=["level"]).withColumn("group_col", F.lit(g))
         out = sub if out is None else out.unionByName(sub)
     j = out.join(glob, "feature")
@@ -531,14 +538,14 @@ def subgroup_effects(df: DataFrame, numeric: Sequence[str], group: str, y: Colum
     x = df.select(col(group).cast("string").alias("level"), y.cast("double").alias("_y"),
                   *[col(f).cast("double").alias(f) for f in numeric])
     s = per_feature(x, numeric, lambda i, f: {"n": F.count(F.lit(1)), "target_mean": F.avg("_y"),
-                                              "corr": _nan_null(F.corr(col(f), F.col("_y")))}, by=["level"])
+                                              "corr": _nan_null(pearson(col(f), F.col("_y")))}, by=["level"])
     return s.where(F.col("n") >= min_n)
 
 
 # ------------------------------------------------------------ leakage
 def leak_corr(df: DataFrame, features: Sequence[str], y: Column, high: float = 0.95, critical: float = 0.99) -> DataFrame:
     """|r(feature, target)| above .95 (suspect) / .99 (leak)."""
-    out = per_feature(df, features, lambda i, f: {"corr": _nan_null(F.corr(col(f).cast("double"), y.cast("double")))})
+    out = per_feature(df, features, lambda i, f: {"corr": _nan_null(pearson(col(f).cast("double"), y.cast("double")))})
     a = F.abs("corr")
     return out.select("feature", "corr", F.when(a > critical, "leak").when(a > high, "suspect").otherwise("ok").alias("verdict"))
 
@@ -583,7 +590,7 @@ def leak_structural(train: DataFrame, test: DataFrame, target: str, id_col: str
     rows = st.select(F.col("feature"), (F.col("n_unique") == F.col("n")).cast("int").alias("unique_per_row"),
                      (1 - present[F.col("feature")]).alias("missing_in_test"))
     extra = train.agg(
-        (_nan_null(F.corr(col(id_col).cast("double"), col(target).cast("double"))) if id_col else F.lit(None).cast("double"))
+        (_nan_null(pearson(col(id_col).cast("double"), col(target).cast("double"))) if id_col else F.lit(None).cast("double"))
         .alias("id_target_corr")).select(
         F.lit(int(target in test_cols)).alias("target_in_test"), "id_target_corr")
     ex = extra.select(F.struct("*").alias("s")).scalar()
@@ -613,7 +620,7 @@ def derived_features(df: DataFrame, numeric: Sequence[str], threshold: float = 0
             if c in (a, b):
                 continue
             prod = col(a).cast("double") * col(b).cast("double")
-            exprs.append(F.corr(prod, col(c).cast("double")).alias(f"_d{k}"))
+            exprs.append(pearson(prod, col(c).cast("double")).alias(f"_d{k}"))
             rows.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(c).alias("target_col"),
                                  _nan_null(F.col(f"_d{k}")).alias("corr")))
             k += 1

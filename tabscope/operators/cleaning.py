@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col
+from tabscope.functions.exprs import col, pearson
 from tabscope.plans.frames import per_feature, quantile, quantiles, scalar_row
 
 
@@ -55,7 +55,7 @@ def safe_corr(df: DataFrame, cols: Sequence[str], min_pairs: int = 10) -> DataFr
     for k, (a, b) in enumerate(pairs):
         ok = finite(col(a)) & finite(col(b))
         exprs += [F.count_if(ok).alias(f"_n{k}"),
-                  F.corr(F.when(ok, col(a).cast("double")), F.when(ok, col(b).cast("double"))).alias(f"_r{k}")]
+                  pearson(F.when(ok, col(a).cast("double")), F.when(ok, col(b).cast("double"))).alias(f"_r{k}")]
     agg = df.agg(*exprs)
     rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                               F.col(f"_n{k}").alias("n_pairs"),

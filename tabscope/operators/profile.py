@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col, kurt_corrected, safe_div, skew_corrected
+from tabscope.functions.exprs import col, pearson, kurt_corrected, safe_div, skew_corrected
 from tabscope.plans.frames import per_feature, quantiles, scalar_row, value_counts
 
 PCT_NAMES = ("p01", "p05", "p10", "p25", "p50", "p75", "p90", "p95", "p99")
@@ -93,7 +93,7 @@ def null_corr(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Correlation of missing indicators, every pair a<b, one aggregate."""
     ind = {c: col(c).isNull().cast("double") for c in cols}
     pairs = _indicator_pairs(list(cols))
-    agg = df.agg(*[F.corr(ind[a], ind[b]).alias(f"_p{k}") for k, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[pearson(ind[a], ind[b]).alias(f"_p{k}") for k, (a, b) in enumerate(pairs)])
     rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
                               F.nanvl(F.col(f"_p{k}"), F.lit(None)).alias("corr"))
                      for k, (a, b) in enumerate(pairs)])
@@ -112,7 +112,7 @@ def null_patterns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def null_mechanism(df: DataFrame, cols: Sequence[str], target: Column, threshold: float = 0.1) -> DataFrame:
     """|corr(missing indicator, target)| > 0.1 hints MNAR."""
     stats = per_feature(df, cols, lambda i, f: {
-        "corr": F.corr(col(f).isNull().cast("double"), target.cast("double")),
+        "corr": pearson(col(f).isNull().cast("double"), target.cast("double")),
         "n_null": F.count_if(col(f).isNull()),
     })
     c = F.nanvl(F.col("corr"), F.lit(None))
@@ -124,7 +124,7 @@ def mcar_hint(df: DataFrame, cols: Sequence[str], threshold: float = 0.1) -> Dat
     """Mean |indicator correlation| with the diagonal zeroed but kept in the mean."""
     k = len(cols)
     pairs = _indicator_pairs(list(cols))
-    agg = df.agg(*[F.abs(F.nanvl(F.corr(col(a).isNull().cast("double"), col(b).isNull().cast("double")),
+    agg = df.agg(*[F.abs(F.nanvl(pearson(col(a).isNull().cast("double"), col(b).isNull().cast("double")),
                                  F.lit(0.0))).alias(f"_p{i}") for i, (a, b) in enumerate(pairs)])
     total = sum((F.coalesce(F.col(f"_p{i}"), F.lit(0.0)) for i in range(len(pairs))), F.lit(0.0))
     mean_abs = 2.0 * total / float(k * k)

@@ -12,7 +12,7 @@ from tabscope.functions.exprs import round_doubles, sig_round_sql
 REGISTRY: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
 
 
-def register(key: str, sql: str | None = None, dbl: Sequence[str] = (), rows_only: bool = False):
+def register(key: str, sql: str | None = None, dbl: Sequence[str] = (), rows_only: bool = False, digits: int = 8):
     """Register ``fn(spark, sf)``.  ``dbl`` lists the floating output columns the
     oracle rounds (Spark rounds every floating column automatically)."""
     def deco(fn):
@@ -20,18 +20,18 @@ def register(key: str, sql: str | None = None, dbl: Sequence[str] = (), rows_onl
             raise KeyError(f"duplicate key {key}")
 
         def run(spark: SparkSession, sf: str) -> DataFrame:
-            return round_doubles(fn(spark, sf.rstrip("/")))
+            return round_doubles(fn(spark, sf.rstrip("/")), digits)
         run.__name__ = f"q_{key}"
         run.__doc__ = fn.__doc__
-        REGISTRY[key] = (run, None if rows_only or sql is None else wrap_sql(sql, dbl))
+        REGISTRY[key] = (run, None if rows_only or sql is None else wrap_sql(sql, dbl, digits))
         return fn
     return deco
 
 
-def wrap_sql(sql: str, dbl: Sequence[str]) -> str:
+def wrap_sql(sql: str, dbl: Sequence[str], digits: int = 8) -> str:
     if not dbl:
         return sql
-    rep = ", ".join(f"{sig_round_sql(d)} AS {d}" for d in dbl)
+    rep = ", ".join(f"{sig_round_sql(d, digits)} AS {d}" for d in dbl)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) _q"
 
 
