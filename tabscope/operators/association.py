@@ -54,11 +54,12 @@ def average_ranks(df: DataFrame, column: str, out: str | None = None) -> DataFra
 
     The window runs over distinct values only; for columns with billions of
     distinct values Spark range-partitions the ordered window input."""
+    from tabscope.plans.frames import running_sum
     cnt = df.where(col(column).isNotNull()).groupBy(col(column).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
-    w = Window.orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_k").over(w), F.lit(0))
-    return cnt.select(F.col("_v").alias(column), (before + (F.col("_k") + 1) / 2.0).alias(out or f"{column}_rank"),
-                      F.col("_k"))
+    r = running_sum(cnt, ["_v"], "_k", out="_cum")
+    before = F.col("_cum") - F.col("_k")
+    return r.select(F.col("_v").alias(column), (before + (F.col("_k") + 1) / 2.0).alias(out or f"{column}_rank"),
+                    F.col("_k"))
 
 
 def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -295,13 +296,11 @@ def _num_cube(train: DataFrame, test: DataFrame, features: Sequence[str]) -> Dat
 
 def ks_2samp(train: DataFrame, test: DataFrame, features: Sequence[str]) -> DataFrame:
     """Two-sample KS statistic D = max |F1 - F2| over distinct values."""
+    from tabscope.plans.frames import running_sum
     cube = _num_cube(train, test, features)
-    w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    wt = Window.partitionBy("feature")
-    c = cube.select("feature",
-                    (F.sum("n_train").over(w) / F.sum("n_train").over(wt)).alias("f1"),
-                    (F.sum("n_test").over(w) / F.sum("n_test").over(wt)).alias("f2"),
-                    F.sum("n_train").over(wt).alias("n1"), F.sum("n_test").over(wt).alias("n2"))
+    c = running_sum(cube, ["value"], "n_train", by=["feature"], out="c1", total="n1")
+    c = running_sum(c, ["value"], "n_test", by=["feature"], out="c2", total="n2")
+    c = c.select("feature", (F.col("c1") / F.col("n1")).alias("f1"), (F.col("c2") / F.col("n2")).alias("f2"), "n1", "n2")
     return c.groupBy("feature").agg(F.max(F.abs(F.col("f1") - F.col("f2"))).alias("ks_stat"),
                                     F.first("n1").alias("n_train"), F.first("n2").alias("n_test"))
 

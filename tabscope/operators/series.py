@@ -58,10 +58,10 @@ def box_stats(df: DataFrame, features: Sequence[str], target: str, cfg: Config =
 def ecdf(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """V3: ECDF points (distinct value, cumulative share)."""
     lv = df.select(*[col(f).cast("double").alias(f) for f in features]).unpivot([], list(features), "feature", "value")
+    from tabscope.plans.frames import running_sum
     cnt = lv.where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("feature").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    return cnt.select("feature", "value", "n", (F.sum("n").over(w) / F.sum("n").over(Window.partitionBy("feature")))
-                      .alias("ecdf"))
+    r = running_sum(cnt, ["value"], "n", by=["feature"], out="_cum", total="_tot")
+    return r.select("feature", "value", "n", (F.col("_cum") / F.col("_tot")).alias("ecdf"))
 
 
 def qq_points(df: DataFrame, feature: str, n_points: int = 200, cfg: Config = DEFAULT) -> DataFrame:
@@ -139,27 +139,14 @@ def stratified_folds(df: DataFrame, target: str, k: int = 5, order_cols: Sequenc
                      checkpoint: bool = True) -> DataFrame:
     """Exact stratified fold = (position of the row within its class) mod k.
 
-    Positions come from a range-partitioned sort on (class, order key): each
-    task numbers its rows, per-(task, class) counts give the offsets (a table
-    of #partitions x #classes rows).  No window over a whole class, so a class
-    holding a third of all rows is spread over many tasks.  The numbered frame
-    is checkpointed to the shared checkpoint folder so that recomputation
-    after an executor loss sees the same positions."""
-    from tabscope.session import scratch_dir
+    Positions come from :func:`tabscope.plans.frames.positions` (range-partitioned
+    sort + per-task numbering + per-partition offsets), so a class holding a
+    third of all rows is spread over many tasks; default order is a seeded
+    hash of the row (shuffled folds), ``order_cols`` gives positional folds."""
+    from tabscope.plans.frames import positions
     order = [col(c) for c in order_cols] if order_cols else [F.xxhash64(F.lit(seed), *[col(c) for c in df.columns])]
-    x = df.withColumn("_cls", col(target)).withColumn("_ord", F.struct(*order))
-    x = x.repartitionByRange("_cls", "_ord").sortWithinPartitions("_cls", "_ord")
-    mid = F.monotonically_increasing_id()
-    x = x.withColumn("_pid", F.shiftright(mid, 33)).withColumn("_pos", mid.bitwiseAND(F.lit((1 << 33) - 1)))
-    if checkpoint:
-        scratch_dir(df.sparkSession)
-        x = x.checkpoint(eager=True)
-    blocks = x.groupBy("_pid", "_cls").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    wo = Window.partitionBy("_cls").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0)))
-    j = x.join(F.broadcast(blocks.select("_pid", "_cls", "_first", "_off")), ["_pid", "_cls"])
-    pos = F.col("_off") + F.col("_pos") - F.col("_first")
-    return j.withColumn("fold", F.pmod(pos, F.lit(k)).cast("int")).drop("_cls", "_ord", "_pid", "_pos", "_first", "_off")
+    p = positions(df, order, by=[target], name="_position", checkpoint=checkpoint)
+    return p.withColumn("fold", F.pmod(F.col("_position"), F.lit(k)).cast("int")).drop("_position")
 
 
 # ------------------------------------------------------------ time series

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
@@ -110,3 +110,65 @@ def string_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     from pyspark.sql.types import BooleanType, StringType
     return [f.name for f in df.schema.fields
             if isinstance(f.dataType, (StringType, BooleanType)) and f.name not in exclude]
+
+
+def positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), name: str = "position",
+              checkpoint: bool = True) -> DataFrame:
+    """Exact 0-based position of every row in ``order`` (within ``by`` groups) without a
+    single-partition window.
+
+    Rows are range-partitioned and sorted on (by, order); each task numbers its
+    rows (``monotonically_increasing_id`` = partition id << 33 | row index);
+    a table of #partitions x #groups block counts gives every block its
+    offset.  The numbered frame is checkpointed to the shared checkpoint
+    folder, so a recomputation after an executor loss cannot renumber rows."""
+    from tabscope.session import scratch_dir
+    x = df.withColumn("_ord", F.struct(*order))
+    keys = [*[col(b) for b in by], F.col("_ord")]
+    x = x.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    mid = F.monotonically_increasing_id()
+    x = x.withColumn("_pid", F.shiftright(mid, 33)).withColumn("_pos", mid.bitwiseAND(F.lit((1 << 33) - 1)))
+    if checkpoint:
+        scratch_dir(df.sparkSession)
+        x = x.checkpoint(eager=True)
+    blocks = x.groupBy("_pid", *by).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0)))
+    # blocks has (#partitions x #groups) rows: bounded by the partitioning, not the data
+    j = x.join(F.broadcast(blocks.select("_pid", *by, "_first", "_off")), ["_pid", *by])
+    return j.withColumn(name, F.col("_off") + F.col("_pos") - F.col("_first")).drop(
+        "_ord", "_pid", "_pos", "_first", "_off")
+
+
+def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
+    """Exact random permutation of one column: rows ordered by one seeded hash are paired,
+    position by position, with values ordered by an independent hash (one shuffle join)."""
+    keys = [col(k) for k in key_cols]
+    a = positions(df.drop(column), [F.xxhash64(F.lit(seed), *keys)], name="_p")
+    b = positions(df.select(col(column), *keys), [F.xxhash64(F.lit(seed + 7919), *keys)], name="_p") \
+        .select("_p", col(column))
+    return a.join(b, "_p").drop("_p")
+
+
+def running_sum(df: DataFrame, order: Sequence[str], value: str, by: Sequence[str] = (), out: str = "_cum",
+                total: str | None = None) -> DataFrame:
+    """Inclusive running sum of ``value`` ordered by ``order`` within ``by`` groups, distributed.
+
+    Range-partition on (by, order), run the window inside each partition
+    (partitionBy(partition id, by)), and add the sum of all earlier
+    partitions from a #partitions x #groups offset table.  Unlike a window
+    ordered over a whole group, no task ever holds more than one range
+    partition, whatever the number of distinct values.  ``total`` adds the
+    group total as a column."""
+    keys = [*[col(b) for b in by], *[col(o) for o in order]]
+    x = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
+    w = Window.partitionBy("_pid", *by).orderBy(*[col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    x = x.withColumn("_local", F.sum(value).over(w))
+    blocks = x.groupBy("_pid", *by).agg(F.sum(value).alias("_bs"))
+    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid")
+    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_bs").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    if total:
+        blocks = blocks.withColumn(total, F.sum("_bs").over(Window.partitionBy(*[col(b) for b in by])))
+    sel = ["_pid", *by, "_off"] + ([total] if total else [])
+    j = x.join(F.broadcast(blocks.select(*sel)), ["_pid", *by])
+    return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")

@@ -1 +1,282 @@
-"""Queries registered for this family."""
+"""Model-based analysis, metrics, advice tables and findings."""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from tabscope.operators import advice as D
+from tabscope.operators import models as M
+from tabscope.operators import profile as P
+from tabscope.registry.base import (LI_NULLS_SQL, LI_NUM, Y_BIN_SQL, li, li_nulls, li_test, li_train, register,
+                                    table, union_all, y_binary)
+
+# ------------------------------------------------------------ metrics
+_PRED_SQL = ("(SELECT l.l_returnflag AS y, t.top_class AS yhat FROM lineitem l JOIN (SELECT l_linestatus, "
+             "arg_min(l_returnflag, (-n, l_returnflag)) AS top_class FROM (SELECT l_linestatus, l_returnflag, count(*) AS n "
+             "FROM lineitem GROUP BY 1, 2) c GROUP BY 1) t ON l.l_linestatus = t.l_linestatus)")
+
+
+def _pred(spark, sf):
+    """Predictions of a rule model: each line status predicts its dominant return flag."""
+    t = li(spark, sf)
+    top = P.category_top_class(t, ["l_linestatus"], "l_returnflag").select(
+        F.col("value").alias("l_linestatus"), "top_class")
+    return t.join(top, "l_linestatus").select(F.col("l_returnflag").alias("y"), F.col("top_class").alias("yhat"))
+
+
+@register("classification_metrics",
+          "WITH cm AS (SELECT y, yhat, count(*) AS n FROM " + _PRED_SQL + " p GROUP BY 1, 2), "
+          "cls AS (SELECT y AS k FROM cm UNION SELECT yhat FROM cm), per AS (SELECT k, coalesce((SELECT sum(n) FROM cm WHERE "
+          "y = k AND yhat = k), 0) AS tp, coalesce((SELECT sum(n) FROM cm WHERE y = k), 0) AS nt, coalesce((SELECT sum(n) "
+          "FROM cm WHERE yhat = k), 0) AS np FROM cls) SELECT sum(tp)::DOUBLE / sum(nt) AS accuracy, avg(CASE WHEN nt + np > 0 "
+          "THEN 2.0 * tp / (nt + np) ELSE 0.0 END) AS f1_macro, sum(nt)::BIGINT AS n FROM per",
+          dbl=["accuracy", "f1_macro"])
+def classification_metrics(spark, sf):
+    return M.classification_metrics(_pred(spark, sf), "y", "yhat")
+
+
+@register("log_loss",
+          f"SELECT -avg(y * ln(least(greatest(p, 1e-15), 1 - 1e-15)) + (1 - y) * ln(1 - least(greatest(p, 1e-15), 1 - 1e-15))) "
+          f"AS log_loss, count(*)::BIGINT AS n FROM (SELECT {Y_BIN_SQL}::DOUBLE AS y, avg({Y_BIN_SQL}::DOUBLE) OVER "
+          f"(PARTITION BY l_linestatus, l_linenumber) AS p FROM lineitem) z", dbl=["log_loss"])
+def log_loss(spark, sf):
+    """M9: log-loss of the (line status, line number) target-mean model."""
+    t = li(spark, sf)
+    g = t.groupBy("l_linestatus", "l_linenumber").agg(F.avg(y_binary().cast("double")).alias("p"))
+    return M.log_loss(t.join(g, ["l_linestatus", "l_linenumber"]), y_binary(), F.col("p"))
+
+
+@register("roc_auc",
+          f"SELECT (sum(r) FILTER (WHERE y = 1) - n1 * (n1 + 1) / 2.0) / (n1 * (n - n1)) AS auc, n1::BIGINT AS n_pos, "
+          f"(n - n1)::BIGINT AS n_neg FROM (SELECT y, rank() OVER (ORDER BY s) + (count(*) OVER (PARTITION BY s) - 1) / 2.0 AS r, "
+          f"sum(y) OVER () AS n1, count(*) OVER () AS n FROM (SELECT {Y_BIN_SQL} AS y, l_extendedprice * (1 - l_discount) "
+          f"AS s FROM lineitem) a) b GROUP BY n1, n", dbl=["auc"])
+def roc_auc(spark, sf):
+    """M9: AUC of net price as a score for return flag R (rank-sum, ties averaged)."""
+    return M.roc_auc(li(spark, sf), y_binary(), F.col("l_extendedprice") * (1 - F.col("l_discount")))
+
+
+@register("regression_metrics",
+          "SELECT sqrt(avg(power(yhat - y, 2))) AS rmse, avg(abs(yhat - y)) AS mae, 1 - sum(power(yhat - y, 2)) / "
+          "(var_pop(y) * count(*)) AS r2, count(*)::BIGINT AS n FROM (SELECT o.o_totalprice AS y, s.yhat FROM orders o JOIN "
+          "(SELECT l_orderkey, sum(l_extendedprice * (1 + l_tax) * (1 - l_discount)) AS yhat FROM lineitem GROUP BY 1) s "
+          "ON o.o_orderkey = s.l_orderkey) p", dbl=["rmse", "mae", "r2"])
+def regression_metrics(spark, sf):
+    """M9: order total predicted by the sum of its discounted, taxed line prices."""
+    s = li(spark, sf).groupBy("l_orderkey").agg(
+        F.sum(F.col("l_extendedprice") * (1 + F.col("l_tax")) * (1 - F.col("l_discount"))).alias("yhat"))
+    j = table(spark, sf, "orders").join(s, F.col("o_orderkey") == F.col("l_orderkey"))
+    return M.regression_metrics(j, F.col("o_totalprice"), F.col("yhat"))
+
+
+@register("pivot_metrics",
+          "SELECT l_returnflag, avg(l_discount) FILTER (WHERE l_linestatus = 'F') AS F, avg(l_discount) FILTER "
+          "(WHERE l_linestatus = 'O') AS O FROM lineitem GROUP BY 1", dbl=["F", "O"])
+def pivot_metrics(spark, sf):
+    """Rows x columns pivot of a metric (groupBy.pivot with the level list given, no extra pass)."""
+    return li(spark, sf).groupBy("l_returnflag").pivot("l_linestatus", ["F", "O"]).agg(F.avg("l_discount"))
+
+
+@register("best_variant",
+          "SELECT arg_max(l_returnflag, (m, l_returnflag)) AS best, max(m) AS best_score FROM (SELECT l_returnflag, "
+          "avg(l_quantity) AS m FROM lineitem GROUP BY 1) g", dbl=["best_score"])
+def best_variant(spark, sf):
+    """K3: the best row of a results table (max_by, no sort)."""
+    g = li(spark, sf).groupBy("l_returnflag").agg(F.avg("l_quantity").alias("m"))
+    return g.agg(F.max_by("l_returnflag", F.struct("m", "l_returnflag")).alias("best"), F.max("m").alias("best_score"))
+
+
+@register("topk",
+          "SELECT o_custkey, sum(o_totalprice) AS total FROM orders GROUP BY 1 ORDER BY total DESC, o_custkey LIMIT 10",
+          dbl=["total"])
+def topk(spark, sf):
+    """K2: top-10 customers by order value (TakeOrderedAndProject: per-task top-k, then merge)."""
+    return (table(spark, sf, "orders").groupBy("o_custkey").agg(F.sum("o_totalprice").alias("total"))
+            .orderBy(F.col("total").desc(), "o_custkey").limit(10))
+
+
+# ------------------------------------------------------------ Spark ML (rows-only)
+_ML_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+_ML_CAT = ["l_linestatus"]
+
+
+@register("tree_importance", rows_only=True)
+def tree_importance(spark, sf):
+    return M.tree_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag", num_trees=20, depth=5)
+
+
+@register("importance_prune", rows_only=True)
+def importance_prune(spark, sf):
+    return M.importance_prune(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag")
+
+
+@register("null_importance", rows_only=True)
+def null_importance(spark, sf):
+    return M.null_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag",
+                             key_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], shuffles=2, num_trees=10)
+
+
+@register("adversarial_auc", rows_only=True)
+def adversarial_auc(spark, sf):
+    from tabscope.registry.base import li_test_drift
+    return M.adversarial_auc(li_train(spark, sf), li_test_drift(spark, sf), _ML_NUM, _ML_CAT)
+
+
+@register("quick_model", rows_only=True)
+def quick_model(spark, sf):
+    return M.quick_model(li(spark, sf).select(*_ML_NUM, *_ML_CAT, "l_returnflag", "l_orderkey", "l_linenumber"),
+                         _ML_NUM, _ML_CAT, "l_returnflag")
+
+
+@register("permutation_importance", rows_only=True)
+def permutation_importance(spark, sf):
+    t = li(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", *_ML_NUM, *_ML_CAT, "l_returnflag")
+    return M.permutation_importance(t, _ML_NUM, _ML_CAT, "l_returnflag")
+
+
+@register("pca_variance", rows_only=True)
+def pca_variance(spark, sf):
+    return M.pca_variance(li(spark, sf), _ML_NUM)
+
+
+@register("isolation_forest", rows_only=True)
+def isolation_forest(spark, sf):
+    return M.isolation_forest(li(spark, sf), _ML_NUM, ["l_orderkey", "l_linenumber"], n_trees=50)
+
+
+# ------------------------------------------------------------ advice
+_PCATS = ["p_brand", "p_type", "p_size", "p_name"]
+
+
+@register("encoding_advice", union_all([
+    f"SELECT '{c}' AS feature, count(DISTINCT {c})::BIGINT AS n_unique, CASE WHEN count(DISTINCT {c}) > 50 THEN "
+    f"'target/label encoding or reduce cardinality' WHEN count(DISTINCT {c}) <= 5 THEN 'one-hot' ELSE 'label/target encoding' "
+    f"END AS encoding FROM part" for c in _PCATS]))
+def encoding_advice(spark, sf):
+    return D.encoding_advice(table(spark, sf, "part"), _PCATS)
+
+
+def _g1(c, src):
+    return f"(avg(power({c} - (SELECT avg({c}) FROM {src} s), 3)) / power(var_pop({c}), 1.5))"
+
+
+_FE_NUM = ["c_acctbal", "c_nationkey", "big_bal", "seg_code"]
+_FE_SRC = ("(SELECT c_acctbal, c_nationkey, c_acctbal * 2 + 1 AS big_bal, CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 1 "
+           "ELSE 0 END AS INTEGER) AS seg_code, c_mktsegment, c_name AS c_name_dt FROM customer)")
+
+
+def _fe_src(spark, sf):
+    c = table(spark, sf, "customer")
+    return c.select("c_acctbal", "c_nationkey", (F.col("c_acctbal") * 2 + 1).alias("big_bal"),
+                    F.when(F.col("c_mktsegment") == "BUILDING", 1).otherwise(0).cast("int").alias("seg_code"),
+                    "c_mktsegment", F.col("c_name").alias("c_name_dt"))
+
+
+def _fe_advice_sql():
+    parts = []
+    for c in _FE_NUM:
+        parts.append(f"SELECT '{c}' AS feature, 'convert to categorical' AS suggestion, count(DISTINCT {c})::DOUBLE AS value "
+                     f"FROM {_FE_SRC} t HAVING count(DISTINCT {c}) < 5")
+        parts.append(f"SELECT '{c}', 'log/sqrt/Box-Cox transform', {_g1(c, _FE_SRC)} FROM {_FE_SRC} t HAVING count({c}) > 3 "
+                     f"AND abs({_g1(c, _FE_SRC)}) > 2")
+        parts.append(f"SELECT '{c}', 'winsorize heavy tails', kurtosis_pop({c}) FROM {_FE_SRC} t HAVING count({c}) > 3 AND "
+                     f"kurtosis_pop({c}) > 7")
+    for c in ["c_mktsegment", "c_name_dt"]:
+        parts.append(f"SELECT '{c}', 'group rare levels into Other', count(DISTINCT {c})::DOUBLE FROM {_FE_SRC} t "
+                     f"HAVING count(DISTINCT {c}) > 100")
+    parts.append("SELECT 'c_name_dt', 'extract year/month/day/hour', NULL::DOUBLE")
+    for i, a in enumerate(_FE_NUM):
+        for b in _FE_NUM[i + 1:]:
+            parts.append(f"SELECT '{a} & {b}', 'drop one or create ratio feature', corr({a}, {b}) FROM {_FE_SRC} t "
+                         f"HAVING abs(corr({a}, {b})) > 0.95")
+    return union_all(parts)
+
+
+@register("fe_advice", _fe_advice_sql(), dbl=["value"])
+def fe_advice(spark, sf):
+    """D2 on customer (+ a derived copy of the balance and a low-cardinality code)."""
+    return D.fe_advice(_fe_src(spark, sf), _FE_NUM, ["c_mktsegment", "c_name_dt"])
+
+
+def _todo_sql():
+    src = LI_NULLS_SQL
+    nums = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+    parts = []
+    for c in nums + ["l_returnflag"]:
+        parts.append(f"SELECT '{c}' AS feature, 'high missing share' AS item, 1 - count({c})::DOUBLE / count(*) AS value "
+                     f"FROM {src} t HAVING 1 - count({c})::DOUBLE / count(*) > 0.2")
+    for c in nums:
+        n = f"count({c})::DOUBLE"
+        g = f"({_g1(c, src)} * sqrt({n} * ({n} - 1)) / ({n} - 2))"
+        parts.append(f"SELECT '{c}', 'few unique values', count(DISTINCT {c})::DOUBLE FROM {src} t HAVING count(DISTINCT {c}) < 5")
+        parts.append(f"SELECT '{c}', 'high skew', {g} FROM {src} t HAVING count(DISTINCT {c}) >= 5 AND abs({g}) > 1.5")
+    parts.append(f"SELECT 'l_returnflag', 'too many categories', count(DISTINCT l_returnflag)::DOUBLE FROM {src} t "
+                 f"HAVING count(DISTINCT l_returnflag) > 200")
+    return union_all(parts)
+
+
+@register("todo_basic", _todo_sql(), dbl=["value"])
+def todo_basic(spark, sf):
+    return D.todo_basic(li_nulls(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_extendedprice"], ["l_returnflag"])
+
+
+def _quality_sql():
+    src = f"(SELECT * FROM {LI_NULLS_SQL} x)"
+    cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+    nums = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    miss = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    comp = f"(SELECT {', '.join(nums)} FROM {src} c WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in nums) + ")"
+    st = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in nums)
+    zc = " + ".join(f"count(*) FILTER (WHERE abs(({c} - a_{c}) / nullif(s_{c}, 0)) > 3)" for c in nums)
+    return (f"WITH m AS (SELECT ({miss})::DOUBLE / (count(*) * {len(cols)}) * 100.0 AS missing_pct, count(*) AS n FROM {src} s), "
+            f"d AS (SELECT sum(k) - count(*) AS dups FROM (SELECT {', '.join(cols)}, count(*) AS k FROM {src} s GROUP BY ALL) g), "
+            f"z AS (SELECT count(*) AS rows, ({zc}) AS zcells FROM {comp} c, (SELECT {st} FROM {comp} c2) st), "
+            f"h AS (SELECT ((count(DISTINCT l_returnflag) > 0.5 * count(*))::INTEGER + (count(DISTINCT l_linestatus) > 0.5 * count(*))::INTEGER) "
+            f"AS n_idlike FROM {src} s) "
+            f"SELECT missing_pct, dups::DOUBLE / n * 100.0 AS duplicate_pct, coalesce(zcells * 100.0 / (rows * {float(len(nums))}), 0.0) "
+            f"AS outlier_cell_pct, n_idlike::BIGINT AS n_idlike, greatest(100.0 - least(25.0, missing_pct) - least(10.0, dups::DOUBLE / n * 100.0) "
+            f"- least(15.0, coalesce(zcells * 100.0 / (rows * {float(len(nums))}), 0.0)) - least(10.0, n_idlike * 5.0), 0.0) AS score "
+            f"FROM m, d, z, h")
+
+
+@register("quality_score", _quality_sql(), dbl=["missing_pct", "duplicate_pct", "outlier_cell_pct", "score"])
+def quality_score(spark, sf):
+    return D.quality_score(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                           ["l_returnflag", "l_linestatus"])
+
+
+@register("feature_actions", rows_only=True)
+def feature_actions(spark, sf):
+    """Per-feature action / priority table (MI from the binned estimator)."""
+    return D.feature_actions(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                             ["l_linestatus", "l_linenumber"], F.col("l_returnflag"))
+
+
+@register("pruning_advice", rows_only=True)
+def pruning_advice(spark, sf):
+    t = li(spark, sf).withColumn("net_price", F.col("l_extendedprice") * (1 - F.col("l_discount")))
+    return D.pruning_advice(t, [*LI_NUM, "net_price"], F.col("l_returnflag"))
+
+
+@register("executive_summary", rows_only=True)
+def executive_summary(spark, sf):
+    """Findings table over lineitem with planted nulls."""
+    return D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                      ["l_returnflag", "l_linestatus"], target="l_returnflag")
+
+
+@register("action_items", rows_only=True)
+def action_items(spark, sf):
+    f = D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                   ["l_returnflag", "l_linestatus"], target="l_returnflag")
+    return D.action_items(f)
+
+
+@register("findings_text", rows_only=True)
+def findings_text(spark, sf):
+    """Findings as text lines written to the shared scratch folder and read back."""
+    from tabscope.session import scratch_path
+    f = D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                   ["l_returnflag", "l_linestatus"], target="l_returnflag")
+    return D.findings_text(f, scratch_path(spark, "findings"))
