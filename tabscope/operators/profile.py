@@ -541,3 +541,63 @@ def category_compare(train: DataFrame, test: DataFrame, cols: Sequence[str]) ->
     return a.join(b, "feature", "full_outer").join(only, "feature", "left").select(
         "feature", "n_unique_train", "n_unique_test", "top_train", "top_test",
         F.coalesce("n_not_in_test", F.lit(0)).cast("bigint").alias("n_not_in_test"))
+
+
+# ------------------------------------------------------------ outliers
+def outliers_iqr(df: DataFrame, features: Sequence[str], k: float = 1.5, cfg: Config = DEFAULT) -> DataFrame:
+    """IQR fences, outlier count and %, action band (>10 % high, >5 % medium, >0 low)."""
+    from tabscope.operators.cleaning import iqr_bounds
+    b = iqr_bounds(df, list(features), k, cfg)
+    src = df.withColumn("_b", b)
+
+    def make(i, f):
+        x = col(f).cast("double")
+        lo, hi = F.col("_b").getField(f"lo{i}"), F.col("_b").getField(f"hi{i}")
+        return {"lower": F.first(lo), "upper": F.first(hi), "n": F.count(x), "n_out": F.count_if((x < lo) | (x > hi))}
+    out = per_feature(src, features, make)
+    pct = 100.0 * F.col("n_out") / F.col("n")
+    band = F.when(pct > 10, "high").when(pct > 5, "medium").when(pct > 0, "low").otherwise("none")
+    return out.select("feature", "lower", "upper", "n_out", pct.alias("pct_out"), band.alias("severity"))
+
+
+def outliers_z(df: DataFrame, features: Sequence[str], z: float = 3.0, k: float = 1.5, cfg: Config = DEFAULT) -> DataFrame:
+    """|z| > 3 with the population std, IQR count, and the mixed (IQR + Z) / 2 percentage."""
+    from tabscope.operators.cleaning import iqr_bounds
+    b = iqr_bounds(df, list(features), k, cfg)
+    m = scalar_row(df.agg(*[x for i, f in enumerate(features) for x in (F.avg(col(f).cast("double")).alias(f"a{i}"),
+                                                                         F.stddev_pop(col(f).cast("double")).alias(f"s{i}"))]))
+    src = df.withColumn("_b", b).withColumn("_m", m)
+
+    def make(i, f):
+        x = col(f).cast("double")
+        zz = F.abs(F.try_divide(x - F.col("_m").getField(f"a{i}"), F.col("_m").getField(f"s{i}")))
+        lo, hi = F.col("_b").getField(f"lo{i}"), F.col("_b").getField(f"hi{i}")
+        return {"n": F.count(x), "n_z": F.count_if(zz > z), "n_iqr": F.count_if((x < lo) | (x > hi))}
+    out = per_feature(src, features, make)
+    return out.select("feature", "n_z", "n_iqr", (100.0 * F.col("n_z") / F.col("n")).alias("pct_z"),
+                      (100.0 * (F.col("n_z") + F.col("n_iqr")) / 2.0 / F.col("n")).alias("pct_mixed"))
+
+
+def outliers_compare(train: DataFrame, test: DataFrame, features: Sequence[str], gap_pp: float = 5.0,
+                     k: float = 1.5, cfg: Config = DEFAULT) -> DataFrame:
+    """IQR outlier % per side, each side with its own fences; gap > 5 points flags."""
+    a = outliers_iqr(train, features, k, cfg).select("feature", F.col("pct_out").alias("pct_train"))
+    t = outliers_iqr(test, features, k, cfg).select("feature", F.col("pct_out").alias("pct_test"))
+    j = a.join(t, "feature")
+    gap = F.abs(F.col("pct_train") - F.col("pct_test"))
+    return j.select("feature", "pct_train", "pct_test", gap.alias("gap"), (gap > gap_pp).cast("int").alias("flag"))
+
+
+def outliers_by_class(df: DataFrame, features: Sequence[str], target: str, lo: float = 0.01, hi: float = 0.99,
+                      cfg: Config = DEFAULT) -> DataFrame:
+    """Share of rows outside the global [p1, p99] band, per class."""
+    s = scalar_row(df.agg(*[quantiles(col(f), [lo, hi], cfg).alias(f"q{i}") for i, f in enumerate(features)]))
+    src = df.withColumn("_q", s).withColumn("_cls", col(target).cast("string"))
+
+    def make(i, f):
+        x = col(f).cast("double")
+        q = F.col("_q").getField(f"q{i}")
+        return {"n": F.count(x), "n_out": F.count_if((x < q[0]) | (x > q[1]))}
+    out = per_feature(src, features, make, by=["_cls"])
+    return out.select(F.col("_cls").alias("class"), "feature", "n", "n_out",
+                      (100.0 * F.col("n_out") / F.col("n")).alias("pct_out"))

@@ -582,3 +582,59 @@ def numeric_compare(spark, sf):
           f"GROUP BY feature) o ON coalesce(a.feature, b.feature) = o.feature")
 def category_compare(spark, sf):
     return P.category_compare(li_train(spark, sf), li_test(spark, sf), CC_COLS)
+
+
+# ------------------------------------------------------------ outliers
+def _fence(c, src):
+    q1, q3 = f"quantile_cont({c}, 0.25)", f"quantile_cont({c}, 0.75)"
+    return f"(SELECT {q1} - 1.5 * ({q3} - {q1}) AS lo, {q3} + 1.5 * ({q3} - {q1}) AS hi FROM {src} f)"
+
+
+def _iqr_sql(src, feats):
+    parts = [f"SELECT '{c}' AS feature, b.lo AS lower, b.hi AS upper, count(*) FILTER (WHERE {c} < b.lo OR {c} > b.hi)::BIGINT "
+             f"AS n_out, 100.0 * count(*) FILTER (WHERE {c} < b.lo OR {c} > b.hi)::DOUBLE / count({c}) AS pct_out FROM {src} t, "
+             f"{_fence(c, src)} b GROUP BY b.lo, b.hi" for c in feats]
+    return (f"SELECT *, CASE WHEN pct_out > 10 THEN 'high' WHEN pct_out > 5 THEN 'medium' WHEN pct_out > 0 THEN 'low' "
+            f"ELSE 'none' END AS severity FROM ({union_all(parts)}) z")
+
+
+_OUT_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@register("outliers_iqr", _iqr_sql("events", ["value", "user_id"]), dbl=["lower", "upper", "pct_out"])
+def outliers_iqr(spark, sf):
+    """A34 on the skewed events value."""
+    return P.outliers_iqr(table(spark, sf, "events"), ["value", "user_id"])
+
+
+@register("outliers_z", union_all([
+    f"SELECT '{c}' AS feature, count(*) FILTER (WHERE abs(({c} - m.a) / m.s) > 3)::BIGINT AS n_z, count(*) FILTER "
+    f"(WHERE {c} < b.lo OR {c} > b.hi)::BIGINT AS n_iqr, 100.0 * count(*) FILTER (WHERE abs(({c} - m.a) / m.s) > 3)::DOUBLE "
+    f"/ count({c}) AS pct_z, 100.0 * (count(*) FILTER (WHERE abs(({c} - m.a) / m.s) > 3) + count(*) FILTER (WHERE {c} < b.lo "
+    f"OR {c} > b.hi))::DOUBLE / 2.0 / count({c}) AS pct_mixed FROM events, {_fence(c, 'events')} b, (SELECT avg({c}) AS a, "
+    f"stddev_pop({c}) AS s FROM events) m" for c in ["value", "user_id"]]), dbl=["pct_z", "pct_mixed"])
+def outliers_z(spark, sf):
+    return P.outliers_z(table(spark, sf, "events"), ["value", "user_id"])
+
+
+_EV_TRAIN = "(SELECT * FROM events WHERE event_id % 5 <> 0)"
+_EV_TEST = "(SELECT * FROM events WHERE event_id % 5 = 0)"
+
+
+@register("outliers_compare",
+          f"SELECT a.feature, a.pct_out AS pct_train, b.pct_out AS pct_test, abs(a.pct_out - b.pct_out) AS gap, "
+          f"CAST(abs(a.pct_out - b.pct_out) > 5.0 AS INTEGER) AS flag FROM ({_iqr_sql(_EV_TRAIN, ['value', 'user_id'])}) a "
+          f"JOIN ({_iqr_sql(_EV_TEST, ['value', 'user_id'])}) b ON a.feature = b.feature", dbl=["pct_train", "pct_test", "gap"])
+def outliers_compare(spark, sf):
+    e = table(spark, sf, "events")
+    tr, te = e.where(F.pmod("event_id", F.lit(5)) != 0), e.where(F.pmod("event_id", F.lit(5)) == 0)
+    return P.outliers_compare(tr, te, ["value", "user_id"])
+
+
+@register("outliers_by_class", union_all([
+    f"SELECT CAST(l_returnflag AS VARCHAR) AS class, '{c}' AS feature, count({c})::BIGINT AS n, count(*) FILTER (WHERE {c} < q.lo "
+    f"OR {c} > q.hi)::BIGINT AS n_out, 100.0 * count(*) FILTER (WHERE {c} < q.lo OR {c} > q.hi)::DOUBLE / count({c}) AS pct_out "
+    f"FROM lineitem, (SELECT quantile_cont({c}, 0.01) AS lo, quantile_cont({c}, 0.99) AS hi FROM lineitem) q GROUP BY 1"
+    for c in _OUT_FEATS]), dbl=["pct_out"])
+def outliers_by_class(spark, sf):
+    return P.outliers_by_class(li(spark, sf), _OUT_FEATS, "l_returnflag")
