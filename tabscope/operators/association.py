@@ -314,14 +314,13 @@ def psi_equal_width(train: DataFrame, test: DataFrame, features: Sequence[str],
                                         F.max(col(f).cast("double")).alias(f"hi{i}"))]))
 
     def binned(df, tag):
-        parts = []
+        cols = []
         df = df.withColumn("_mm", s)
         for i, f in enumerate(features):
             lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
             b = F.floor((col(f).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
-            b = F.when(b >= bins, bins - 1).otherwise(b)
-            parts.append(F.struct(F.lit(f).alias("feature"), b.cast("int").alias("bin")))
-        x = df.select(F.inline(F.array(*parts))).where(F.col("bin").isNotNull())
+            cols.append(F.when(b >= bins, bins - 1).otherwise(b).cast("int").alias(f))
+        x = df.select(*cols).unpivot([], list(features), "feature", "bin").where(F.col("bin").isNotNull())
         return x.withColumn("side", F.lit(tag))
     u = binned(train, 1).unionByName(binned(test, 2))
     g = u.groupBy("feature", "bin").agg(F.count_if(F.col("side") == 1).alias("e"), F.count_if(F.col("side") == 2).alias("a"))
@@ -371,9 +370,9 @@ def psi_quantile(train: DataFrame, test: DataFrame, features: Sequence[str], bin
 
     def binned(df, tag):
         e = F.col("_ed")
-        parts = [F.struct(F.lit(f).alias("feature"), hist_bin(col(f).cast("double"), e.getField(f"e{i}"), bins + 1).alias("bin"),
-                          (F.size(e.getField(f"e{i}")) - 1).alias("nb")) for i, f in enumerate(features)]
-        return df.withColumn("_ed", ed).select(F.inline(F.array(*parts))).withColumn("side", F.lit(tag))
+        cols = [hist_bin(col(f).cast("double"), e.getField(f"e{i}"), bins + 1).alias(f) for i, f in enumerate(features)]
+        x = df.withColumn("_ed", ed).select(*cols).unpivot([], list(features), "feature", "bin")
+        return x.withColumn("side", F.lit(tag))
     u = binned(train, 1).unionByName(binned(test, 2))
     # every bin index 0..nb-1 must exist (empty bins still get the +1); nb per feature comes
     # from the edges themselves, so the grid needs no pass over the rows
@@ -415,17 +414,16 @@ def mean_drift(train: DataFrame, test: DataFrame, features: Sequence[str]) -> Da
 # ------------------------------------------------------------ target relations via bins
 def binned_long(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], y: Column, bins: int,
                 cfg: Config = DEFAULT) -> DataFrame:
-    """``(feature, bin(string), y)``: numerics by qcut edges, categoricals by level; null rows dropped."""
-    parts = []
+    """``(feature, bin(string), y)``: numerics by qcut edges, categoricals by level; null rows dropped.
+    Bins are computed in one projection and unpivoted (Expand), not generated per row."""
+    src, cols = df, []
     if numeric:
-        df = df.withColumn("_ed", _edges(df.where(y.isNotNull()), numeric, bins, cfg))
-        for i, f in enumerate(numeric):
-            parts.append(F.struct(F.lit(f).alias("feature"),
-                                  qcut_bin(col(f).cast("double"), F.col("_ed").getField(f"e{i}"), bins + 1)
-                                  .cast("string").alias("bin")))
-    for f in categorical:
-        parts.append(F.struct(F.lit(f).alias("feature"), col(f).cast("string").alias("bin")))
-    x = df.select(y.alias("_y"), F.inline(F.array(*parts)))
+        src = df.withColumn("_ed", _edges(df.where(y.isNotNull()), numeric, bins, cfg))
+        cols += [qcut_bin(col(f).cast("double"), F.col("_ed").getField(f"e{i}"), bins + 1).cast("string").alias(f)
+                 for i, f in enumerate(numeric)]
+    cols += [col(f).cast("string").alias(f) for f in categorical]
+    feats = [*numeric, *categorical]
+    x = src.select(y.alias("_y"), *cols).unpivot(["_y"], feats, "feature", "bin")
     return x.where(F.col("bin").isNotNull() & F.col("_y").isNotNull())
 
 
@@ -636,3 +634,42 @@ def linear_residuals(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.first(s.getField("slope")).alias("slope"), F.first(s.getField("intercept")).alias("intercept"),
                   F.first(s.getField("r2")).alias("r2"), F.first(s.getField("n")).alias("n"),
                   F.stddev_samp(res).alias("resid_std"), F.max(F.abs(res)).alias("resid_max_abs"))
+
+
+def corr_kendall(df: DataFrame, cols: Sequence[str], max_levels: int = 200, cfg: Config = DEFAULT) -> DataFrame:
+    """T4: Kendall tau-b for every pair, from (x, y) cell counts with 2-D dominance counts.
+
+    For each x-level the points at smaller x are accumulated per y-level
+    (running sum over x), then over y, giving #(x'<x, y'<y) and #(x'<x, y'>y)
+    for every cell without enumerating pairs.  The level grid is generated
+    from the distinct levels (bounded by ``max_levels``; columns with more
+    levels are first cut into ``max_levels`` quantile bins, which makes the
+    value approximate)."""
+    out = None
+    for a, b in _pairs(list(cols)):
+        t = df.select(col(a).cast("double").alias("x"), col(b).cast("double").alias("y")).na.drop()
+        for c in ("x", "y"):
+            lv = t.agg(F.count_distinct(c)).scalar()
+            ed = _edges(t, [c], max_levels, cfg).getField("e0")
+            t = t.withColumn(c, F.when(lv > max_levels, qcut_bin(F.col(c), ed, max_levels + 1).cast("double"))
+                             .otherwise(F.col(c)))
+        cells = t.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
+        ylev = cells.agg(F.sort_array(F.collect_set("y")).alias("ys")).scalar()  # <= max_levels entries
+        grid = cells.select("x").distinct().select("x", F.explode(ylev).alias("y"))
+        g = grid.join(cells, ["x", "y"], "left").fillna(0, ["n"])
+        wy = Window.partitionBy("y").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+        g = g.withColumn("p", F.coalesce(F.sum("n").over(wy), F.lit(0)))  # points with x' < x at this y
+        wlo = Window.partitionBy("x").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
+        whi = Window.partitionBy("x").orderBy("y").rowsBetween(1, Window.unboundedFollowing)
+        g = g.withColumn("lo", F.coalesce(F.sum("p").over(wlo), F.lit(0))).withColumn(
+            "hi", F.coalesce(F.sum("p").over(whi), F.lit(0)))
+        s = g.agg(F.sum(F.col("n") * F.col("lo")).alias("conc"), F.sum(F.col("n") * F.col("hi")).alias("disc"),
+                  F.sum("n").alias("n"))
+        tx = cells.groupBy("x").agg(F.sum("n").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2.0).alias("t"))
+        ty = cells.groupBy("y").agg(F.sum("n").alias("u")).agg(F.sum(F.col("u") * (F.col("u") - 1) / 2.0).alias("u"))
+        n0 = F.col("n") * (F.col("n") - 1) / 2.0
+        tau = F.try_divide((F.col("conc") - F.col("disc")).cast("double"),
+                           F.sqrt((n0 - tx.scalar()) * (n0 - ty.scalar())))
+        one = s.select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), tau.alias("kendall_tau"))
+        out = one if out is None else out.unionByName(one)
+    return out

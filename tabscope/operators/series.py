@@ -19,23 +19,29 @@ from tabscope.plans.frames import per_feature, quantiles, scalar_row
 
 # ------------------------------------------------------------ chart data
 def histogram(df: DataFrame, features: Sequence[str], target: str | None = None, bins: int = 40) -> DataFrame:
-    """V1: equal-width histogram per feature (and class): bin index, edges, count."""
+    """V1: equal-width histogram per feature (and class): bin index, edges, count.
+
+    Bin indices are computed in one projection, unpivoted, counted; edges are
+    derived after the aggregation from the same min/max scalar."""
     s = scalar_row(df.agg(*[x for i, f in enumerate(features) for x in (F.min(col(f).cast("double")).alias(f"lo{i}"),
                                                                          F.max(col(f).cast("double")).alias(f"hi{i}"))]))
     x = df.withColumn("_mm", s)
-    parts = []
+    cols = []
     for i, f in enumerate(features):
         lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
-        w = (hi - lo) / bins
         b = F.floor((col(f).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
-        b = F.when(b >= bins, bins - 1).otherwise(b).cast("int")
-        parts.append(F.struct(F.lit(f).alias("feature"), b.alias("bin"), (lo + b * w).alias("bin_lo"),
-                              (lo + (b + 1) * w).alias("bin_hi")))
+        cols.append(F.when(b >= bins, bins - 1).otherwise(b).cast("int").alias(f))
     cls = [col(target).cast("string").alias("class")] if target else []
-    long = x.select(*cls, F.inline(F.array(*parts))).where(F.col("bin").isNotNull())
-    keys = (["class"] if target else []) + ["feature", "bin"]
-    return long.groupBy(*keys).agg(F.first("bin_lo").alias("bin_lo"), F.first("bin_hi").alias("bin_hi"),
-                                   F.count(F.lit(1)).alias("n"))
+    ids = ["class"] if target else []
+    long = x.select(*cls, *cols).unpivot(ids, list(features), "feature", "bin").where(F.col("bin").isNotNull())
+    g = long.groupBy(*ids, "feature", "bin").agg(F.count(F.lit(1)).alias("n"))
+    idx = F.create_map(*[v for i, f in enumerate(features) for v in (F.lit(f), F.lit(i))])
+    g = g.withColumn("_mm", s).withColumn("_i", idx[F.col("feature")])
+    lo = F.element_at(F.array(*[F.col("_mm").getField(f"lo{i}") for i in range(len(features))]), F.col("_i") + 1)
+    hi = F.element_at(F.array(*[F.col("_mm").getField(f"hi{i}") for i in range(len(features))]), F.col("_i") + 1)
+    w = (hi - lo) / bins
+    return g.select(*ids, "feature", "bin", (lo + F.col("bin") * w).alias("bin_lo"),
+                    (lo + (F.col("bin") + 1) * w).alias("bin_hi"), "n")
 
 
 def box_stats(df: DataFrame, features: Sequence[str], target: str, cfg: Config = DEFAULT) -> DataFrame:

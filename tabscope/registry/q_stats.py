@@ -557,3 +557,59 @@ def derived_features(spark, sf):
           dbl=["slope", "intercept", "r2", "resid_std", "resid_max_abs"])
 def linear_residuals(spark, sf):
     return A.linear_residuals(li(spark, sf), "l_quantity", "l_extendedprice")
+
+
+# ------------------------------------------------------------ distribution diagnostics (rows-only)
+@register("normality_ad", rows_only=True)
+def normality_ad(spark, sf):
+    """Anderson-Darling on the full columns."""
+    from tabscope.operators.distribution import normality_ad as ad
+    return ad(table(spark, sf, "events"), ["value", "user_id"])
+
+
+@register("distribution_fit", rows_only=True)
+def distribution_fit(spark, sf):
+    from tabscope.operators.distribution import distribution_fit as fit
+    return fit(table(spark, sf, "events"), ["value"])
+
+
+@register("modes", rows_only=True)
+def modes(spark, sf):
+    from tabscope.operators.distribution import modes as m
+    return m(li(spark, sf), LI_NUM)
+
+
+@register("feature_clusters", rows_only=True)
+def feature_clusters(spark, sf):
+    from tabscope.operators.distribution import feature_clusters as fc
+    return fc(li_net(spark, sf), NETC)
+
+
+@register("mi_stability", rows_only=True)
+def mi_stability(spark, sf):
+    from tabscope.operators.distribution import mi_stability as ms
+    return ms(li(spark, sf), BIN_NUM, BIN_CAT, F.col("l_returnflag"), rounds=30)
+
+
+_KT = ["l_linenumber", "l_discount", "l_tax"]
+
+
+def _kendall_sql():
+    parts = []
+    for a, b in _pairs(_KT):
+        cells = f"SELECT {a}::DOUBLE AS x, {b}::DOUBLE AS y, count(*) AS n FROM lineitem GROUP BY 1, 2"
+        parts.append(
+            f"WITH c AS ({cells}), s AS (SELECT sum(CASE WHEN sign(c2.x - c1.x) * sign(c2.y - c1.y) > 0 THEN c1.n * c2.n ELSE 0 END) "
+            f"AS conc, sum(CASE WHEN sign(c2.x - c1.x) * sign(c2.y - c1.y) < 0 THEN c1.n * c2.n ELSE 0 END) AS disc "
+            f"FROM c c1 JOIN c c2 ON c1.x < c2.x), t AS (SELECT sum(n) AS n FROM c), "
+            f"tx AS (SELECT sum(k * (k - 1) / 2.0) AS t FROM (SELECT sum(n) AS k FROM c GROUP BY x) q), "
+            f"ty AS (SELECT sum(k * (k - 1) / 2.0) AS u FROM (SELECT sum(n) AS k FROM c GROUP BY y) q) "
+            f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, (conc - disc)::DOUBLE / sqrt((n * (n - 1) / 2.0 - t) * "
+            f"(n * (n - 1) / 2.0 - u)) AS kendall_tau FROM s, t, tx, ty")
+    return union_all(parts)
+
+
+@register("corr_kendall", _kendall_sql(), dbl=["kendall_tau"])
+def corr_kendall(spark, sf):
+    """T4: Kendall tau-b on low-cardinality columns (exact)."""
+    return A.corr_kendall(li(spark, sf), _KT)
