@@ -120,8 +120,8 @@ def feature_actions(train: DataFrame, nums: Sequence[str], cats: Sequence[str],
     MI is the plug-in binned MI (nats)."""
     from tabscope.operators.association import mi_binned
     mi = mi_binned(train, list(nums), list(cats), y, 10, cfg).select("feature", "mi")
-    q = scalar_row(train.agg(*[quantiles(col(c), [0.25, 0.75], cfg).alias(f"q{i}") for i, c in enumerate(nums)])) \
-        if nums else None
+    from tabscope.plans.frames import quantile_scalar
+    q = quantile_scalar(train, list(nums), [0.25, 0.75], cfg) if nums else None
     feats = list(dict.fromkeys([*cats, *nums]))
     src = train.withColumn("_q", q) if q is not None else train
 

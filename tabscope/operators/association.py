@@ -103,9 +103,10 @@ def target_corr(df: DataFrame, features: Sequence[str], y: Column, top: int = 15
 def target_corr_gap(df: DataFrame, features: Sequence[str], target: str, gap: float = 0.10,
                     cfg: Config = DEFAULT) -> DataFrame:
     """After median fill, Pearson vs Spearman with the target; gap > .10 => non-linear."""
-    med = scalar_row(df.agg(*[F.percentile(col(f).cast("double"), 0.5).alias(f"m{i}") for i, f in enumerate(features)]))
+    from tabscope.plans.frames import quantile_scalar
+    med = quantile_scalar(df, features, [0.5], cfg, prefix="m")
     filled = df.select(col(target).cast("double").alias("_y"),
-                       *[F.coalesce(col(f).cast("double"), med.getField(f"m{i}")).alias(f) for i, f in enumerate(features)])
+                       *[F.coalesce(col(f).cast("double"), med.getField(f"m{i}")[0]).alias(f) for i, f in enumerate(features)])
     r = with_ranks(filled, [*features, "_y"])
     out = per_feature(r, features, lambda i, f: {
         "pearson": _nan_null(pearson(col(f), F.col("_y"))),
@@ -333,9 +334,10 @@ def psi_equal_width(train: DataFrame, test: DataFrame, features: Sequence[str],
 
 
 def _edges(df: DataFrame, features: Sequence[str], n_bins: int, cfg: Config) -> Column:
+    """Unique quantile edges (fields e0, e1, ...) as one struct scalar subquery."""
+    from tabscope.plans.frames import quantile_scalar
     probs = [i / n_bins for i in range(n_bins + 1)]
-    return scalar_row(df.agg(*[F.array_distinct(quantiles(col(f), probs, cfg)).alias(f"e{i}")
-                               for i, f in enumerate(features)]))
+    return quantile_scalar(df, features, probs, cfg, prefix="e", distinct=True)
 
 
 MAX_EDGES = 101
@@ -645,14 +647,17 @@ def corr_kendall(df: DataFrame, cols: Sequence[str], max_levels: int = 200, cfg:
     from the distinct levels (bounded by ``max_levels``; columns with more
     levels are first cut into ``max_levels`` quantile bins, which makes the
     value approximate)."""
+    # level counts decide, per column, whether quantile binning is needed (one small aggregate)
+    levels = df.agg(*[F.count_distinct(col(c)).alias(f"l{i}") for i, c in enumerate(cols)]).first()
+    need_bins = [c for i, c in enumerate(cols) if levels[f"l{i}"] > max_levels]
+    base = df.select(*[col(c).cast("double").alias(c) for c in cols])
+    if need_bins:
+        base = base.withColumn("_ed", _edges(base, need_bins, max_levels, cfg))
+        base = base.select(*[qcut_bin(col(c), F.col("_ed").getField(f"e{need_bins.index(c)}"), max_levels + 1)
+                             .cast("double").alias(c) if c in need_bins else col(c) for c in cols])
     out = None
     for a, b in _pairs(list(cols)):
-        t = df.select(col(a).cast("double").alias("x"), col(b).cast("double").alias("y")).na.drop()
-        for c in ("x", "y"):
-            lv = t.agg(F.count_distinct(c)).scalar()
-            ed = _edges(t, [c], max_levels, cfg).getField("e0")
-            t = t.withColumn(c, F.when(lv > max_levels, qcut_bin(F.col(c), ed, max_levels + 1).cast("double"))
-                             .otherwise(F.col(c)))
+        t = base.select(col(a).alias("x"), col(b).alias("y")).na.drop()
         cells = t.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
         ylev = cells.agg(F.sort_array(F.collect_set("y")).alias("ys")).scalar()  # <= max_levels entries
         grid = cells.select("x").distinct().select("x", F.explode(ylev).alias("y"))

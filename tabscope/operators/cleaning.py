@@ -73,7 +73,9 @@ def fill_const(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
 def fit_fill_values(train: DataFrame, cols: Sequence[str], strategy: str = "median", cfg: Config = DEFAULT) -> Column:
     """Fill value per column learnt on train, as a struct scalar subquery (fields f0, f1, ...)."""
     if strategy == "median":
-        stats = train.agg(*[quantile(col(c), 0.5, cfg).alias(f"f{i}") for i, c in enumerate(cols)])
+        from tabscope.plans.frames import quantile_scalar
+        med = quantile_scalar(train, cols, [0.5], cfg, prefix="m")
+        stats = train.limit(1).select(*[med.getField(f"m{i}")[0].alias(f"f{i}") for i in range(len(cols))])
     elif strategy == "mean":
         stats = train.agg(*[F.avg(col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(cols)])
     elif strategy == "mode":
@@ -94,7 +96,8 @@ def impute(train: DataFrame, test: DataFrame, cols: Sequence[str], strategy: str
 
 def impute_report(train: DataFrame, test: DataFrame, cols: Sequence[str], strategy: str = "median",
                   cfg: Config = DEFAULT) -> DataFrame:
-    s = fit_fill_values(train, cols, strategy, cfg)
+    test = test.withColumn("_fv", fit_fill_values(train, cols, strategy, cfg))
+    s = F.col("_fv")
     return per_feature(test, cols, lambda i, f: {
         "fill_value": F.first(s.getField(f"f{i}")).cast("double"),
         "n_filled": F.count_if(col(f).isNull()),
@@ -105,7 +108,9 @@ def impute_report(train: DataFrame, test: DataFrame, cols: Sequence[str], strate
 def percentile_band(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99,
                     cfg: Config = DEFAULT) -> DataFrame:
     """Rows below the ``lo`` or above the ``hi`` percentile (two scans, no join)."""
-    s = scalar_row(df.agg(*[quantiles(col(c), [lo, hi], cfg).alias(f"q{i}") for i, c in enumerate(cols)]))
+    from tabscope.plans.frames import quantile_scalar
+    df = df.withColumn("_qs", quantile_scalar(df, cols, [lo, hi], cfg))
+    s = F.col("_qs")
     return per_feature(df, cols, lambda i, f: {
         "p1": F.first(s.getField(f"q{i}")[0]), "p99": F.first(s.getField(f"q{i}")[1]),
         "n_below": F.count_if(col(f) < s.getField(f"q{i}")[0]),
@@ -117,13 +122,15 @@ def percentile_band(df: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: fl
 
 def iqr_bounds(df: DataFrame, cols: Sequence[str], k: float = 1.5, cfg: Config = DEFAULT) -> Column:
     """Struct scalar with fields lo{i}/hi{i}: Q1 - k IQR, Q3 + k IQR."""
-    q = df.agg(*[quantiles(col(c), [0.25, 0.75], cfg).alias(f"q{i}") for i, c in enumerate(cols)])
+    from tabscope.plans.frames import quantile_long
+    qt = quantile_long(df, cols, [0.25, 0.75], cfg=cfg)
     exprs = []
-    for i in range(len(cols)):
-        q1, q3 = F.col(f"q{i}")[0], F.col(f"q{i}")[1]
+    for i, c in enumerate(cols):
+        qq = F.max(F.when(F.col("feature") == c, F.col("q")))
+        q1, q3 = qq[0], qq[1]
         exprs += [(q1 - k * (q3 - q1)).alias(f"lo{i}"), (q3 + k * (q3 - q1)).alias(f"hi{i}"),
                   q1.alias(f"q1_{i}"), q3.alias(f"q3_{i}")]
-    return scalar_row(q.select(*exprs))
+    return scalar_row(qt.agg(*exprs))
 
 
 def iqr_clip(df: DataFrame, cols: Sequence[str], k: float = 1.5, flag: bool = True, cfg: Config = DEFAULT) -> DataFrame:
@@ -144,7 +151,8 @@ def iqr_clip(df: DataFrame, cols: Sequence[str], k: float = 1.5, flag: bool = Tr
 
 def iqr_report(df: DataFrame, cols: Sequence[str], k: float = 1.5, cfg: Config = DEFAULT) -> DataFrame:
     """Fences, flagged count, mean after clipping, rows kept by the filter."""
-    b = iqr_bounds(df, cols, k, cfg)
+    df = df.withColumn("_b", iqr_bounds(df, cols, k, cfg))
+    b = F.col("_b")
 
     def make(i, f):
         x, lo, hi = col(f).cast("double"), b.getField(f"lo{i}"), b.getField(f"hi{i}")

@@ -155,15 +155,19 @@ def impute_advice(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 # ------------------------------------------------------------ describe
 def _num_stats(cfg: Config, probs=None):
-    probs = list(probs or cfg.percentiles)
-
     def make(i, f):
         c = col(f).cast("double")
-        return {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c),
-                "q": quantiles(c, probs, cfg), "max": F.max(c)}
+        return {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)}
     return make
 
 
+def _with_q(stats: DataFrame, df: DataFrame, features: Sequence[str], probs, by=(), cfg: Config = DEFAULT) -> DataFrame:
+    """Join the per-(group, feature) quantile arrays onto a per-(group, feature) stats table
+    (both have #groups x #features rows)."""
+    from tabscope.plans.frames import quantile_long
+    return stats.join(quantile_long(df, features, list(probs), by=by, cfg=cfg), [*by, "feature"], "left")
+
+
 def _explode_q(df: DataFrame, names: Sequence[str]) -> DataFrame:
     keep = [c for c in df.columns if c != "q"]
     return df.select(*keep, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
@@ -171,15 +175,15 @@ def _explode_q(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def describe_numeric(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
     """A11 (numeric): count, mean, std, min, quartiles, max."""
-    out = per_feature(df, features, _num_stats(cfg, [0.25, 0.5, 0.75]))
+    out = _with_q(per_feature(df, features, _num_stats(cfg)), df, features, [0.25, 0.5, 0.75], cfg=cfg)
     out = _explode_q(out, ["p25", "p50", "p75"])
     return out.select("feature", "n", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def describe_by_class(df: DataFrame, features: Sequence[str], target: str, cfg: Config = DEFAULT) -> DataFrame:
     """Per class and feature the 9-percentile describe; one grouped aggregate."""
-    out = per_feature(df.withColumn("_class", col(target).cast("string")), features, _num_stats(cfg),
-                      by=["_class"])
+    t = df.withColumn("_class", col(target).cast("string"))
+    out = _with_q(per_feature(t, features, _num_stats(cfg), by=["_class"]), t, features, cfg.percentiles, ["_class"], cfg)
     out = _explode_q(out, PCT_NAMES).withColumnRenamed("_class", "class")
     return out.select("class", "feature", "n", "mean", "std", "min", *PCT_NAMES, "max")
 
@@ -205,9 +209,9 @@ def summary_extended(df: DataFrame, features: Sequence[str], cfg: Config = DEFAU
     def make(i, f):
         c = col(f).cast("double")
         return {"n": F.count(c), "n_null": F.count_if(c.isNull()), "mean": F.avg(c), "std": F.stddev_samp(c),
-                "min": F.min(c), "max": F.max(c), "skew": F.skewness(c), "kurt": F.kurtosis(c),
-                "q": quantiles(c, probs, cfg)}
-    out = _explode_q(per_feature(df, features, make), ["p01", "p05", "p25", "p50", "p75", "p95", "p99"])
+                "min": F.min(c), "max": F.max(c), "skew": F.skewness(c), "kurt": F.kurtosis(c)}
+    out = _explode_q(_with_q(per_feature(df, features, make), df, features, probs, cfg=cfg),
+                     ["p01", "p05", "p25", "p50", "p75", "p95", "p99"])
     return out.select("feature", "n", "n_null", "mean", "std", "min", "p01", "p05", "p25", "p50", "p75",
                       "p95", "p99", "max", (F.col("p75") - F.col("p25")).alias("iqr"), "skew", "kurt")
 
@@ -216,9 +220,9 @@ def numeric_advice(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT
     """mean/median/std/min/max/skew (bias-corrected, as pandas) and transform advice."""
     def make(i, f):
         c = col(f).cast("double")
-        return {"n": F.count(c), "mean": F.avg(c), "median": quantiles(c, [0.5], cfg)[0],
-                "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c), "g1": F.skewness(c)}
-    out = per_feature(df, features, make)
+        return {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c),
+                "g1": F.skewness(c)}
+    out = _with_q(per_feature(df, features, make), df, features, [0.5], cfg=cfg).withColumn("median", F.col("q")[0])
     skew = skew_corrected(F.col("g1"), F.col("n"))
     adv = F.when(F.abs(skew) > 1, "log transform").when(F.abs(skew) > 0.5, "sqrt transform").otherwise("none")
     return out.select("feature", "n", "mean", "median", "std", "min", "max", skew.alias("skew"),
@@ -227,8 +231,9 @@ def numeric_advice(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT
 
 def numeric_compact(df: DataFrame, features: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
     """Compact numeric table with IQR-outlier %, zero % and negative % (two scans)."""
-    q = df.agg(*[quantiles(col(f), [0.25, 0.75], cfg).alias(f"q{i}") for i, f in enumerate(features)])
-    s = scalar_row(q)
+    from tabscope.plans.frames import quantile_scalar
+    src = df.withColumn("_qs", quantile_scalar(df, features, [0.25, 0.75], cfg))
+    s = F.col("_qs")
 
     def make(i, f):
         c = col(f).cast("double")
@@ -237,7 +242,7 @@ def numeric_compact(df: DataFrame, features: Sequence[str], cfg: Config = DEFAUL
         return {"n": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "g1": F.skewness(c),
                 "n_out": F.count_if((c < lo) | (c > hi)), "n_zero": F.count_if(c == 0),
                 "n_neg": F.count_if(c < 0)}
-    out = per_feature(df, features, make)
+    out = per_feature(src, features, make)
     return out.select("feature", "n", "mean", "std", skew_corrected(F.col("g1"), F.col("n")).alias("skew"),
                       (100.0 * F.col("n_out") / F.col("n")).alias("pct_outliers"),
                       (100.0 * F.col("n_zero") / F.col("n")).alias("pct_zero"),
@@ -338,9 +343,12 @@ def imbalance_verdict(df: DataFrame, target: str) -> DataFrame:
 
 def target_regression(df: DataFrame, target: str, cfg: Config = DEFAULT) -> DataFrame:
     """Regression target stats incl. pandas-style skew/kurtosis, zero and negative ratios."""
+    from tabscope.plans.frames import quantile_scalar
     c = col(target).cast("double")
+    df = df.withColumn("_qs", quantile_scalar(df, [target], [0.25, 0.5, 0.75], cfg))
+    qs = F.col("_qs")
     a = df.agg(F.count(c).alias("n"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std"),
-               F.min(c).alias("min"), quantiles(c, [0.25, 0.5, 0.75], cfg).alias("q"), F.max(c).alias("max"),
+               F.min(c).alias("min"), F.first(qs.getField("q0")).alias("q"), F.max(c).alias("max"),
                F.skewness(c).alias("g1"), F.kurtosis(c).alias("g2"),
                F.avg((c == 0).cast("double")).alias("zero_ratio"), F.avg((c < 0).cast("double")).alias("negative_ratio"))
     return a.select("n", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
@@ -591,7 +599,8 @@ def outliers_compare(train: DataFrame, test: DataFrame, features: Sequence[str],
 def outliers_by_class(df: DataFrame, features: Sequence[str], target: str, lo: float = 0.01, hi: float = 0.99,
                       cfg: Config = DEFAULT) -> DataFrame:
     """Share of rows outside the global [p1, p99] band, per class."""
-    s = scalar_row(df.agg(*[quantiles(col(f), [lo, hi], cfg).alias(f"q{i}") for i, f in enumerate(features)]))
+    from tabscope.plans.frames import quantile_scalar
+    s = quantile_scalar(df, features, [lo, hi], cfg)
     src = df.withColumn("_q", s).withColumn("_cls", col(target).cast("string"))
 
     def make(i, f):

@@ -47,7 +47,9 @@ def histogram(df: DataFrame, features: Sequence[str], target: str | None = None,
 def box_stats(df: DataFrame, features: Sequence[str], target: str, cfg: Config = DEFAULT) -> DataFrame:
     """V2: quartiles, whiskers (furthest points within 1.5 IQR) and flier count per class."""
     t = df.withColumn("_cls", col(target).cast("string")).where(F.col("_cls").isNotNull())
-    q = t.groupBy("_cls").agg(*[quantiles(col(f), [0.25, 0.5, 0.75], cfg).alias(f"q{i}") for i, f in enumerate(features)])
+    from tabscope.plans.frames import quantile_long
+    ql = quantile_long(t, features, [0.25, 0.5, 0.75], by=["_cls"], cfg=cfg)
+    q = ql.groupBy("_cls").agg(*[F.max(F.when(F.col("feature") == f, F.col("q"))).alias(f"q{i}") for i, f in enumerate(features)])
     # one row per class: bounded by the number of classes
     j = t.join(F.broadcast(q), "_cls")
 

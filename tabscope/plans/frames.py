@@ -172,3 +172,56 @@ def running_sum(df: DataFrame, order: Sequence[str], value: str, by: Sequence[st
     sel = ["_pid", *by, "_off"] + ([total] if total else [])
     j = x.join(F.broadcast(blocks.select(*sel)), ["_pid", *by])
     return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
+
+
+def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                   name: str = "q") -> DataFrame:
+    """Exact linear-interpolation quantiles (numpy / pandas / Spark ``percentile`` definition),
+    fully distributed: ``(by..., feature, value) -> count`` cells (map-side combined), a
+    distributed running sum of counts, and a lookup of the two order statistics around
+    h = (n-1) p for every requested p.  No task ever holds all values of a column, unlike
+    the built-in ``percentile`` whose final merge does.  Returns ``(by..., feature, q)`` with
+    ``q`` an array aligned with ``probs``."""
+    probs = [float(p) for p in probs]
+    vals = df.select(*[col(b) for b in by], *[col(f).cast("double").alias(f) for f in features])
+    lv = vals.unpivot(list(by), list(features), "feature", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    cells = lv.groupBy(*by, "feature", "x").agg(F.count(F.lit(1)).alias("k"))
+    r = running_sum(cells, ["x"], "k", by=[*by, "feature"], out="cum", total="n")
+    # every cell tests the 2 x len(probs) target ranks (a fixed-size array), emits the ones it holds
+    targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                                 (F.floor((F.col("n") - 1) * p) if j == 0 else F.ceil((F.col("n") - 1) * p)).alias("rank"))
+                        for i, p in enumerate(probs) for j in (0, 1)])
+    hit = r.select(*by, "feature", "x", "cum", "k", "n", F.explode(targets).alias("t")) \
+        .where((F.col("t.rank") >= F.col("cum") - F.col("k")) & (F.col("t.rank") < F.col("cum")))
+    g = hit.groupBy(*by, "feature", F.col("t.i").alias("i")).agg(
+        F.max(F.when(F.col("t.j") == 0, F.col("x"))).alias("xlo"), F.max(F.when(F.col("t.j") == 1, F.col("x"))).alias("xhi"),
+        F.max("n").alias("n"))
+    pr = F.array(*[F.lit(p) for p in probs])[F.col("i")]
+    h = (F.col("n") - 1) * pr
+    qv = F.col("xlo") + (F.col("xhi") - F.col("xlo")) * (h - F.floor(h))
+    per = g.select(*by, "feature", "i", qv.alias("qv"))
+    # deterministic assembly of the array (max over a one-row-per-index group)
+    return per.groupBy(*by, "feature").agg(
+        F.array(*[F.max(F.when(F.col("i") == k, F.col("qv"))) for k in range(len(probs))]).alias(name))
+
+
+def quantile_long(df: DataFrame, features: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                  cfg: Config = DEFAULT, name: str = "q") -> DataFrame:
+    """``(by..., feature, q array)`` with the configured strategy (distributed exact or sketch)."""
+    if cfg.quantile_mode == "exact":
+        return quantile_table(df, features, probs, by, name)
+    return per_feature(df, features, {name: lambda c: quantiles(c, probs, cfg)}, by=by)
+
+
+def quantile_scalar(df: DataFrame, features: Sequence[str], probs: Sequence[float], cfg: Config = DEFAULT,
+                    prefix: str = "q", distinct: bool = False) -> Column:
+    """Struct scalar subquery with one quantile array per feature (fields ``{prefix}{i}``)."""
+    if cfg.quantile_mode == "exact":
+        qt = quantile_table(df, features, probs)
+        pick = (lambda c: F.array_distinct(c)) if distinct else (lambda c: c)
+        row = qt.agg(*[F.max(F.when(F.col("feature") == f, pick(F.col("q")))).alias(f"{prefix}{i}")
+                       for i, f in enumerate(features)])
+    else:
+        pick = (lambda c: F.array_distinct(c)) if distinct else (lambda c: c)
+        row = df.agg(*[pick(quantiles(col(f), probs, cfg)).alias(f"{prefix}{i}") for i, f in enumerate(features)])
+    return scalar_row(row)
