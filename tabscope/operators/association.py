@@ -299,8 +299,7 @@ def ks_2samp(train: DataFrame, test: DataFrame, features: Sequence[str]) -> Data
     """Two-sample KS statistic D = max |F1 - F2| over distinct values."""
     from tabscope.plans.frames import running_sum
     cube = _num_cube(train, test, features)
-    c = running_sum(cube, ["value"], "n_train", by=["feature"], out="c1", total="n1")
-    c = running_sum(c, ["value"], "n_test", by=["feature"], out="c2", total="n2")
+    c = running_sum(cube, ["value"], ["n_train", "n_test"], by=["feature"], out=["c1", "c2"], total=["n1", "n2"])
     c = c.select("feature", (F.col("c1") / F.col("n1")).alias("f1"), (F.col("c2") / F.col("n2")).alias("f2"), "n1", "n2")
     return c.groupBy("feature").agg(F.max(F.abs(F.col("f1") - F.col("f2"))).alias("ks_stat"),
                                     F.first("n1").alias("n_train"), F.first("n2").alias("n_test"))
@@ -334,10 +333,21 @@ def psi_equal_width(train: DataFrame, test: DataFrame, features: Sequence[str],
 
 
 def _edges(df: DataFrame, features: Sequence[str], n_bins: int, cfg: Config) -> Column:
-    """Unique quantile edges (fields e0, e1, ...) as one struct scalar subquery."""
-    from tabscope.plans.frames import quantile_scalar
+    """Unique quantile edges (fields e0, e1, ...), fitted once and inlined as a literal struct.
+
+    Like Spark ML's QuantileDiscretizer the fitted splits (#features x (bins + 1)
+    numbers, bounded by parameters) are brought to the driver once, so every
+    later reference is a constant instead of a re-executed subquery."""
+    from tabscope.plans.frames import quantile_long
     probs = [i / n_bins for i in range(n_bins + 1)]
-    return quantile_scalar(df, features, probs, cfg, prefix="e", distinct=True)
+    got = {r["feature"]: r["q"] for r in quantile_long(df, features, probs, cfg=cfg).collect()}
+    fields = []
+    for i, f in enumerate(features):
+        q = got.get(f)
+        vals = list(dict.fromkeys(q)) if q else []
+        arr = F.array(*[F.lit(float(v)) for v in vals]) if vals else F.array().cast("array<double>")
+        fields.append(arr.alias(f"e{i}"))
+    return F.struct(*fields)
 
 
 MAX_EDGES = 101

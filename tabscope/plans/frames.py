@@ -150,28 +150,37 @@ def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: in
     return a.join(b, "_p").drop("_p")
 
 
-def running_sum(df: DataFrame, order: Sequence[str], value: str, by: Sequence[str] = (), out: str = "_cum",
-                total: str | None = None) -> DataFrame:
-    """Inclusive running sum of ``value`` ordered by ``order`` within ``by`` groups, distributed.
+def running_sum(df: DataFrame, order: Sequence[str], value, by: Sequence[str] = (), out="_cum",
+                total=None) -> DataFrame:
+    """Inclusive running sum(s) of ``value`` (a column name or a list) ordered by ``order``
+    within ``by`` groups, distributed.
 
     Range-partition on (by, order), run the window inside each partition
-    (partitionBy(partition id, by)), and add the sum of all earlier
+    (partitionBy(partition id, by)), and add the sums of all earlier
     partitions from a #partitions x #groups offset table.  Unlike a window
     ordered over a whole group, no task ever holds more than one range
     partition, whatever the number of distinct values.  ``total`` adds the
-    group total as a column."""
+    group total(s) as column(s)."""
+    values = [value] if isinstance(value, str) else list(value)
+    outs = [out] if isinstance(out, str) else list(out)
+    totals = ([total] if isinstance(total, str) else list(total)) if total else []
     keys = [*[col(b) for b in by], *[col(o) for o in order]]
     x = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
     w = Window.partitionBy("_pid", *by).orderBy(*[col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
-    x = x.withColumn("_local", F.sum(value).over(w))
-    blocks = x.groupBy("_pid", *by).agg(F.sum(value).alias("_bs"))
-    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid")
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_bs").over(wo.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    if total:
-        blocks = blocks.withColumn(total, F.sum("_bs").over(Window.partitionBy(*[col(b) for b in by])))
-    sel = ["_pid", *by, "_off"] + ([total] if total else [])
+    for k, v in enumerate(values):
+        x = x.withColumn(f"_local{k}", F.sum(v).over(w))
+    blocks = x.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_bs{k}") for k, v in enumerate(values)])
+    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    wg = Window.partitionBy(*[col(b) for b in by])
+    for k in range(len(values)):
+        blocks = blocks.withColumn(f"_off{k}", F.coalesce(F.sum(f"_bs{k}").over(wo), F.lit(0)))
+    for k, t in enumerate(totals):
+        blocks = blocks.withColumn(t, F.sum(f"_bs{k}").over(wg))
+    sel = ["_pid", *by, *[f"_off{k}" for k in range(len(values))], *totals]
     j = x.join(F.broadcast(blocks.select(*sel)), ["_pid", *by])
-    return j.withColumn(out, F.col("_off") + F.col("_local")).drop("_pid", "_local", "_off")
+    for k, o in enumerate(outs):
+        j = j.withColumn(o, F.col(f"_off{k}") + F.col(f"_local{k}"))
+    return j.drop("_pid", *[f"_local{k}" for k in range(len(values))], *[f"_off{k}" for k in range(len(values))])
 
 
 def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
