@@ -229,3 +229,18 @@ def findings_text(findings_df: DataFrame, path: str | None = None) -> DataFrame:
         lines.write.mode("overwrite").text(path)
         return lines.sparkSession.read.text(path)
     return lines
+
+
+def quality_score_simple(df: DataFrame) -> DataFrame:
+    """A42 (band variant): 100 - 20/10 for missing cells > 10 % / > 5 %, - 15/5 for duplicate rows
+    > 5 % / > 1 %, - 20 under 100 rows; clipped to [0, 100]."""
+    allc = list(df.columns)
+    miss = df.agg(F.count(F.lit(1)).alias("n"), sum((F.count_if(col(c).isNull()) for c in allc), F.lit(0)).alias("m"))
+    dup = df.groupBy(*[col(c) for c in allc]).agg(F.count(F.lit(1)).alias("k")).agg(
+        (F.sum("k") - F.count(F.lit(1))).alias("d")).scalar()
+    x = miss.select("n", (100.0 * F.col("m") / (F.col("n") * len(allc))).alias("missing_pct"),
+                    (100.0 * dup / F.col("n")).alias("duplicate_pct"))
+    score = (F.lit(100) - F.when(F.col("missing_pct") > 10, 20).when(F.col("missing_pct") > 5, 10).otherwise(0)
+             - F.when(F.col("duplicate_pct") > 5, 15).when(F.col("duplicate_pct") > 1, 5).otherwise(0)
+             - F.when(F.col("n") < 100, 20).otherwise(0))
+    return x.select("missing_pct", "duplicate_pct", F.greatest(F.least(score, F.lit(100)), F.lit(0)).cast("int").alias("score"))

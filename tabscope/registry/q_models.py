@@ -280,3 +280,46 @@ def findings_text(spark, sf):
     f = D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
                    ["l_returnflag", "l_linestatus"], target="l_returnflag")
     return D.findings_text(f, scratch_path(spark, "findings"))
+
+
+@register("variant_benchmark", rows_only=True)
+def variant_benchmark(spark, sf):
+    """M8 -> A47 -> K3: fold scores pivoted to variant x model rows with metric columns, best row flagged."""
+    from tabscope.operators import features as FE
+    base = li(spark, sf).select("l_orderkey", "l_linenumber", *_ML_NUM, *_ML_CAT, "l_returnflag")
+    arith = [("l_extendedprice", "l_quantity"), ("l_discount", "l_tax")]
+    extra = [f"{a}_{op}_{b}" for a, b in arith for op in ("div", "minus", "plus", "times")]
+    variants = {
+        "raw": (lambda d: d, _ML_NUM, _ML_CAT),
+        "arithmetic": (lambda d: FE.fe_arithmetic(d, arith), _ML_NUM + extra, _ML_CAT),
+        "numeric_only": (lambda d: d, _ML_NUM, []),
+        "row_stats": (lambda d: FE.fe_row_stats(d, _ML_NUM), _ML_NUM + ["row_mean", "row_std", "row_min", "row_max"],
+                      _ML_CAT),
+    }
+    res = M.variant_benchmark(base, variants, "l_returnflag", folds=2, num_trees=10, depth=4)
+    piv = res.groupBy("variant", "model").pivot("metric", ["accuracy", "f1_macro"]).agg(F.avg("score"))
+    best = piv.agg(F.max_by(F.struct("variant", "model"), F.col("f1_macro")).alias("b")).scalar()
+    return piv.withColumn("best", ((F.col("variant") == best.getField("variant"))
+                                   & (F.col("model") == best.getField("model"))).cast("int"))
+
+
+def _qs_simple_sql(src, cols):
+    miss = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
+    return (f"WITH m AS (SELECT count(*) AS n, 100.0 * ({miss})::DOUBLE / (count(*) * {len(cols)}) AS missing_pct FROM {src} s), "
+            f"d AS (SELECT 100.0 * (sum(k) - count(*))::DOUBLE / sum(k) AS duplicate_pct FROM (SELECT {', '.join(cols)}, count(*) AS k "
+            f"FROM {src} s GROUP BY ALL) g) SELECT missing_pct, duplicate_pct, CAST(greatest(least(100 - CASE WHEN missing_pct > 10 "
+            f"THEN 20 WHEN missing_pct > 5 THEN 10 ELSE 0 END - CASE WHEN duplicate_pct > 5 THEN 15 WHEN duplicate_pct > 1 THEN 5 "
+            f"ELSE 0 END - CASE WHEN n < 100 THEN 20 ELSE 0 END, 100), 0) AS INTEGER) AS score FROM m, d")
+
+
+_QS_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+_QS_SRC = (f"(SELECT {', '.join(_QS_COLS)} FROM {LI_NULLS_SQL} a UNION ALL SELECT {', '.join(_QS_COLS)} FROM {LI_NULLS_SQL} b "
+           f"WHERE l_linenumber = 1 AND l_orderkey % 100 = 0)")
+
+
+@register("quality_score_simple", _qs_simple_sql(_QS_SRC, _QS_COLS), dbl=["missing_pct", "duplicate_pct"])
+def quality_score_simple(spark, sf):
+    """A42 band variant on lineitem with planted nulls and re-appended duplicate rows."""
+    t = li_nulls(spark, sf)
+    t = t.unionByName(t.where((F.col("l_linenumber") == 1) & (F.pmod("l_orderkey", F.lit(100)) == 0)))
+    return D.quality_score_simple(t)
