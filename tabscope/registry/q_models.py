@@ -323,3 +323,12 @@ def quality_score_simple(spark, sf):
     t = li_nulls(spark, sf)
     t = t.unionByName(t.where((F.col("l_linenumber") == 1) & (F.pmod("l_orderkey", F.lit(100)) == 0)))
     return D.quality_score_simple(t)
+
+
+@register("findings", rows_only=True)
+def findings(spark, sf):
+    """A48/D6 findings table on orders with a sentinel column, a binary target and a constant column."""
+    from tabscope.registry.q_stats import ord_sent
+    t = ord_sent(spark, sf).withColumn("src", F.lit("orders")).withColumn("next_status", F.col("o_orderstatus"))
+    return D.findings(t, ["o_totalprice", "o_custkey"], ["o_orderstatus", "o_orderpriority", "sentinel", "src"],
+                      target="big")

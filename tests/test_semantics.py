@@ -215,3 +215,14 @@ def test_sig_round_identical_in_duckdb(spark):
     con = duckdb.connect()
     exp = [con.execute(f"SELECT {sig_round_sql(repr(v) + '::DOUBLE')}").fetchone()[0] for v in vals]
     assert got == exp
+
+
+def test_null_importance_scoring_golden(spark):
+    # Published actual importance, null 95th percentile and resulting safe score
+    from tabscope.operators.models import null_importance_score
+    t = spark.createDataFrame([("f", 0.305259, 0.02, 0.01, 0.060368, 0.07)],
+                              "feature string, actual double, null_mean double, null_std double, null_p95 double, "
+                              "null_p99 double")
+    r = null_importance_score(t).collect()[0]
+    assert r["safe_score"] == pytest.approx(5.0566, abs=1e-4)
+    assert r["significant"] == 1
