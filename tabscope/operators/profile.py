@@ -260,13 +260,15 @@ def category_summary(df: DataFrame, cols: Sequence[str], many_levels: int = 20)
 
 
 def category_top(df: DataFrame, cols: Sequence[str], k: int = 30) -> DataFrame:
-    """Top-k values per feature (row_number <= k is planned as a map-side group limit)."""
+    """Top-k values per feature.  The ``row_number() <= k`` filter sits directly on the
+    window so Spark plans a map-side WindowGroupLimit; feature totals come from a separate
+    #features-row aggregate."""
     vc = value_counts(df, cols)
     w = Window.partitionBy("feature").orderBy(F.col("n").desc(), F.col("value"))
-    tot = Window.partitionBy("feature")
-    return (vc.withColumn("rank", F.row_number().over(w))
-            .withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(tot))
-            .where(F.col("rank") <= k).select("feature", "value", "n", "pct", F.col("rank").cast("bigint")))
+    top = vc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    tot = vc.groupBy("feature").agg(F.sum("n").alias("_tot"))
+    return top.join(tot, "feature").select("feature", "value", "n", (100.0 * F.col("n") / F.col("_tot")).alias("pct"),
+                                           F.col("rank").cast("bigint"))
 
 
 def rare_categories(df: DataFrame, cols: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
