@@ -160,15 +160,18 @@ def chi2_from_cube(cube: DataFrame, yates: bool = True) -> DataFrame:
     k = ["a_name", "b_name"]
     wr, wc, wn = Window.partitionBy(*k, "a"), Window.partitionBy(*k, "b"), Window.partitionBy(*k)
     c = cube.select(*k, "a", "b", "n", F.sum("n").over(wr).alias("r"), F.sum("n").over(wc).alias("c"),
-                    F.sum("n").over(wn).alias("tot"))
+                    F.sum("n").over(wn).alias("tot"), F.count(F.lit(1)).over(wr).alias("cells_r"),
+                    F.count(F.lit(1)).over(wc).alias("cells_c"))
     c = c.withColumn("expected", F.col("r") * F.col("c") / F.col("tot"))
+    # sum over rows of 1/r_i (and columns of 1/c_j) taken over cells: each row's 1/r spread over its cells
     g = c.groupBy(*k).agg(
         (F.sum(F.col("n") * F.col("n") / F.col("expected")) - F.first("tot")).alias("chi2_raw"),
-        F.first("tot").alias("n_tot"), F.count_distinct("a").alias("k_a"), F.count_distinct("b").alias("k_b"),
-        F.first(F.abs(F.col("n") - F.col("expected"))).alias("d"))
-    inv_r = cube.groupBy(*k, "a").agg(F.sum("n").alias("r")).groupBy(*k).agg(F.sum(1.0 / F.col("r")).alias("inv_r"))
-    inv_c = cube.groupBy(*k, "b").agg(F.sum("n").alias("c")).groupBy(*k).agg(F.sum(1.0 / F.col("c")).alias("inv_c"))
-    g = g.join(inv_r, k).join(inv_c, k)
+        F.first("tot").alias("n_tot"),
+        F.round(F.sum(1.0 / F.col("cells_r"))).cast("bigint").alias("k_a"),
+        F.round(F.sum(1.0 / F.col("cells_c"))).cast("bigint").alias("k_b"),
+        F.first(F.abs(F.col("n") - F.col("expected"))).alias("d"),
+        F.sum(1.0 / (F.col("r") * F.col("cells_r"))).alias("inv_r"),
+        F.sum(1.0 / (F.col("c") * F.col("cells_c"))).alias("inv_c"))
     dof = (F.col("k_a") - 1) * (F.col("k_b") - 1)
     corr = F.col("d") - F.least(F.lit(0.5), F.col("d"))
     chi2_yates = corr * corr * F.col("n_tot") * F.col("inv_r") * F.col("inv_c")
