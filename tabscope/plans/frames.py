@@ -200,8 +200,8 @@ def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float
     targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
                                  (F.floor((F.col("n") - 1) * p) if j == 0 else F.ceil((F.col("n") - 1) * p)).alias("rank"))
                         for i, p in enumerate(probs) for j in (0, 1)])
-    hit = r.select(*by, "feature", "x", "cum", "k", "n", F.explode(targets).alias("t")) \
-        .where((F.col("t.rank") >= F.col("cum") - F.col("k")) & (F.col("t.rank") < F.col("cum")))
+    held = F.filter(targets, lambda t: (t["rank"] >= F.col("cum") - F.col("k")) & (t["rank"] < F.col("cum")))
+    hit = r.select(*by, "feature", "x", "cum", "k", "n", F.explode(held).alias("t"))
     g = hit.groupBy(*by, "feature", F.col("t.i").alias("i")).agg(
         F.max(F.when(F.col("t.j") == 0, F.col("x"))).alias("xlo"), F.max(F.when(F.col("t.j") == 1, F.col("x"))).alias("xhi"),
         F.max("n").alias("n"))
