@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabscope.session import scratch_path
@@ -139,3 +139,29 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[n
     start = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate([[False], inside[:-1]])))
     end = np.flatnonzero(inside & (edge[1:] | ~np.concatenate([inside[1:], [False]]))) + 1
     return start, end, np.searchsorted(offsets, start, side="right") - 1
+
+
+# ------------------------------------------------------------------ order without one big window
+def before(df: DataFrame, by: list[str], block: Column, order: list[Column], value: Column, name: str) -> DataFrame:
+    """Adds ``name``: the sum of ``value`` over the rows of the same ``by`` group that come earlier in
+    (``block``, ``order``).
+
+    ``block`` is a small integer that depends on the row alone (bits of a hash), so no task holds a whole group,
+    and a recomputed task finds the same blocks.  The offsets table has a row per group and block."""
+    x = df.withColumn("_block", block).withColumn("_value", value)
+    total = x.groupBy(*by, "_block").agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    total = total.select(*[F.col(b).alias(f"_by{i}") for i, b in enumerate(by)], F.col("_block").alias("_of"),
+                         F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy(*by, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_local", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
+    same = F.col("_block") == F.col("_of")
+    for i, b in enumerate(by):
+        same = same & x[b].eqNullSafe(total[f"_by{i}"])
+    x = x.join(total, same).withColumn(name, F.col("_offset") + F.col("_local"))
+    return x.drop("_block", "_value", "_of", "_offset", "_local", *[f"_by{i}" for i in range(len(by))])
+
+
+def hash_bits(h: str, bits: int, shift: int = 0) -> Column:
+    """Bits of a 64-bit hash column as a block number."""
+    return F.shiftrightunsigned(F.col(h), 64 - bits - shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")

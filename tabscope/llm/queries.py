@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tabscope.llm import near_dedup
+from tabscope.llm import mixing, near_dedup, quality, sharding, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -25,3 +26,31 @@ def query(fn):
 def op10_minhash_near_dedup(spark, sf):
     """Bottom-k sketches, inverted lists, exact Jaccard on whole sets: one row per document."""
     return near_dedup.near_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op7_counterfactual_toxicity(spark, sf):
+    """Counterfactual-regularised classifier: one score per document."""
+    return toxicity.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op8_nbsvm_quality(spark, sf):
+    """Naive Bayes support vectors: one score per document."""
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+@query
+def op5_curriculum_mixing(spark, sf):
+    """Mix of all documents with the repeating weights 1, 2, 3: targets and what the mix takes of each document."""
+    x = mixing.plan(table(spark, sf, "documents"))
+    return x.select("doc_id", "size", "source_size", F.round("target", 2).alias("target"), "taken")
+
+
+SQL["op5_curriculum_mixing"] = mixing.PLAN_SQL
+
+
+@query
+def op9_label_propagation_sharding(spark, sf):
+    """Sixteen shards of even counts; documents with equal texts go together where the quotas allow it."""
+    return sharding.shards(table(spark, sf, "documents"))
