@@ -142,7 +142,7 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray, gap: np.ndarray) -> tuple[n
 
 
 # ------------------------------------------------------------------ order without one big window
-def before(df: DataFrame, by: list[str], block: Column, order: list[Column], value: Column, name: str) -> DataFrame:
+def before(df: DataFrame, by: list[str], block: Column, order: list[str], value: Column, name: str) -> DataFrame:
     """Adds ``name``: the sum of ``value`` over the rows of the same ``by`` group that come earlier in
     (``block``, ``order``).
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import mixing, near_dedup, quality, sharding, toxicity
+from tabscope.llm import decontam, fingerprints, license_scan, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -54,3 +54,36 @@ SQL["op5_curriculum_mixing"] = mixing.PLAN_SQL
 def op9_label_propagation_sharding(spark, sf):
     """Sixteen shards of even counts; documents with equal texts go together where the quotas allow it."""
     return sharding.shards(table(spark, sf, "documents"))
+
+
+@query
+def op3_license_diagonals(spark, sf):
+    """License phrases and notices by diagonal voting: one row per document."""
+    return license_scan.scan(table(spark, sf, "documents"))
+
+
+@query
+def op4_simhash_decontamination(spark, sf):
+    """Documents that hold a benchmark item in an item-sized window: one row per document and item."""
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+@query
+def op6_warc_revisits(spark, sf):
+    """Archives of all pages with equal payloads stored once, read back: one row per page."""
+    return warc.digest_rows(table(spark, sf, "pages"))
+
+
+SQL["op6_warc_revisits"] = warc.ROWS_SQL
+
+
+@query
+def op2_suffix_array_dedup(spark, sf):
+    """Bytes covered by 100-byte strings that start earlier, removed from all documents."""
+    return suffix_dedup.without_repeats(table(spark, sf, "documents"), digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
+@query
+def op1_spotsigs_fingerprints(spark, sf):
+    """SpotSigs of every text, of its edited text and of the next document."""
+    return fingerprints.compared(table(spark, sf, "documents"))

@@ -41,7 +41,7 @@ def _block():
     return hash_bits("u", UNIT_BITS) * (1 << ROW_BITS) + hash_bits("o", ROW_BITS)
 
 
-ORDER = [F.col("u"), F.col("o"), F.col("k"), F.col("doc_id")]
+ORDER = ["u", "o", "k", "doc_id"]
 
 
 def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFrame:
@@ -58,11 +58,12 @@ def assign(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataF
     for _ in range(rounds):
         held = cur.where("linked").groupBy("u", "g", "shard").agg(F.count("*").alias("c"))
         wish = held.groupBy("u", "g").agg(F.max(F.struct("c", F.xxhash64("u", "shard").alias("h"), "shard"))["shard"].alias("wish"))
-        load = cur.where("linked").groupBy("shard").agg(F.count("*").alias("load"))
-        room = load.select(F.col("shard").alias("to"), (quota - F.col("load")).alias("room"))
-        movers = stored(cur.where("linked").join(wish, ["u", "g"]).where("shard <> wish").select("u", "o", "k", "doc_id", "g", "wish"), "movers")
+        movers = stored(cur.where("linked").join(wish, ["u", "g"]).select("u", "o", "k", "doc_id", "g", "shard", "wish"), "wishes")
+        stay = movers.where("shard = wish").groupBy("shard").agg(F.count("*").alias("stay"))
+        room = stay.select(F.col("shard").alias("to"), (quota - F.col("stay")).alias("room"))
+        movers = movers.where("shard <> wish").drop("shard")
         ranked = before(movers, ["wish"], _block(), ORDER, F.lit(1), "rank").join(F.broadcast(room), F.col("wish") == F.col("to"), "left")
-        quota_free = F.coalesce("room", F.lit(total // shards))  # a shard without linked documents has room for all
+        quota_free = F.coalesce("room", F.lit(total // shards))  # nobody wants to stay: room for a whole quota
         moves = ranked.where(F.col("rank") < quota_free).select(
             F.col("o").alias("_o"), F.col("g").alias("_g"), F.col("k").alias("_k"), F.col("doc_id").alias("_id"), "wish")
         same = ((F.col("o") == F.col("_o")) & (F.col("g") == F.col("_g")) & (F.col("k") == F.col("_k"))
