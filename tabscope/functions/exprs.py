@@ -16,6 +16,13 @@ def safe_div(a: Column, b: Column) -> Column:
     return F.when(b != 0, a / b)
 
 
+def equal_width_bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Index of the equal-width bin on [lo, hi], the last one closed; a constant column has bin 0 alone."""
+    b = F.floor((x.cast("double") - lo) * F.try_divide(F.lit(float(bins)), hi - lo))
+    b = F.when(hi > lo, F.when(b >= bins, bins - 1).otherwise(b))
+    return b.when(x.isNotNull(), F.lit(0)).cast("int")
+
+
 def nan_to_null(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 

@@ -153,7 +153,28 @@ chi2_sf_udf = F.pandas_udf(_vec(chi2_sf), DoubleType())
 f_sf_udf = F.pandas_udf(_vec(f_sf), DoubleType())
 t_quantile_udf = F.pandas_udf(_vec(t_quantile), DoubleType())
 ks_pvalue_udf = F.pandas_udf(_vec(kolmogorov_sf), DoubleType())
-normal_cdf_udf = F.pandas_udf(_vec(lambda x: normal_cdf(x) if x == x else float("nan")), DoubleType())
+_STEP, _REACH = 0.005, 37.0
+_LOG_CDF: list[np.ndarray] = []
+
+
+def normal_cdf_array(x: np.ndarray) -> np.ndarray:
+    """Standard normal CDF of an array: cubic Hermite interpolation of its logarithm on a fine grid (made once per
+    process), so the lower tail keeps its relative accuracy."""
+    if not _LOG_CDF:
+        grid = np.arange(-_REACH, _REACH + 2 * _STEP, _STEP)
+        value = np.array([math.log(normal_cdf(z)) for z in grid])
+        _LOG_CDF[:] = [value, np.exp(-grid * grid / 2 - value) / math.sqrt(2 * math.pi)]
+    value, slope = _LOG_CDF
+    z = np.clip(np.asarray(x, dtype=float), -_REACH, _REACH)
+    at = np.where(np.isnan(z), 0.0, (z + _REACH) / _STEP)
+    i = np.minimum(at.astype(int), len(value) - 2)
+    t = at - i
+    a, b, da, db = value[i], value[i + 1], slope[i] * _STEP, slope[i + 1] * _STEP
+    out = np.exp(a + t * (da + t * (3 * (b - a) - 2 * da - db + t * (2 * (a - b) + da + db))))
+    return np.where(np.isnan(z), np.nan, np.minimum(out, 1.0))
+
+
+normal_cdf_udf = F.pandas_udf(lambda s: pd.Series(normal_cdf_array(s.to_numpy(dtype=float))), DoubleType())
 
 
 def normal_ppf(p: np.ndarray | float):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col, pearson
+from tabscope.functions.exprs import col, equal_width_bin, pearson
 from tabscope.plans.frames import per_feature, quantiles, scalar_row
 
 MISSING = "_NA_"
@@ -72,13 +72,28 @@ def with_ranks(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def corr_spearman(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spearman = Pearson on average ranks (complete rows assumed)."""
-    r = with_ranks(df.select(*[col(c) for c in cols]), cols)
+    """Spearman = Pearson on average ranks of the rows that are complete in the pair.
+
+    Columns without nulls share one ranking; a pair with nulls is ranked on its own complete rows."""
+    data = df.select(*[col(c) for c in cols])
+    seen = data.agg(*[F.count_if(col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(cols)]).first()
+    full = [c for i, c in enumerate(cols) if not seen[f"_n{i}"]]
     pairs = _pairs(list(cols))
-    agg = r.agg(*[pearson(F.col(f"{a}_rank"), F.col(f"{b}_rank")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              _nan_null(F.col(f"_r{k}")).alias("spearman")) for k, (a, b) in enumerate(pairs)])
-    return agg.select(F.inline(rows))
+
+    def correlated(some: list[tuple[str, str]]) -> DataFrame:
+        names = [c for c in cols if any(c in p for p in some)]
+        rows = data.select(*[col(c) for c in names]).na.drop()
+        r = with_ranks(rows, names)
+        agg = r.agg(*[pearson(F.col(f"{a}_rank"), F.col(f"{b}_rank")).alias(f"_r{k}") for k, (a, b) in enumerate(some)])
+        return agg.select(F.inline(F.array(*[
+            F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), _nan_null(F.col(f"_r{k}")).alias("spearman"))
+            for k, (a, b) in enumerate(some)])))
+    whole = [p for p in pairs if p[0] in full and p[1] in full]
+    parts = ([correlated(whole)] if whole else []) + [correlated([p]) for p in pairs if p not in whole]
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
 
 
 def corr_discrepancy(df: DataFrame, cols: Sequence[str], gap: float = 0.2) -> DataFrame:
@@ -210,13 +225,13 @@ def anova_f(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     m = class_moments(df.where(col(target).isNotNull()), features, [target])
     w = Window.partitionBy("feature")
     tot_n = F.sum("n").over(w)
-    grand = F.sum(F.col("n") * F.col("mean")).over(w) / tot_n
+    grand = F.try_divide(F.sum(F.col("n") * F.col("mean")).over(w), tot_n)
     x = m.select("feature", "n", "mean", "var", tot_n.alias("n_tot"), grand.alias("gm"))
     g = x.groupBy("feature").agg(
         F.sum(F.col("n") * (F.col("mean") - F.col("gm")) ** 2).alias("ssb"),
         F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ssw"),
         F.count(F.lit(1)).alias("k"), F.first("n_tot").alias("n_tot"))
-    f = (F.col("ssb") / (F.col("k") - 1)) / (F.col("ssw") / (F.col("n_tot") - F.col("k")))
+    f = F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("n_tot") - F.col("k")))
     return g.select("feature", (F.col("k") - 1).cast("bigint").alias("df_between"),
                     (F.col("n_tot") - F.col("k")).cast("bigint").alias("df_within"), f.alias("f_stat"))
 
@@ -228,9 +243,9 @@ def cohens_d(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
                       features, ["_cls"])
     a, b = m.alias("a"), m.alias("b")
     j = a.join(b, (F.col("a.feature") == F.col("b.feature")) & (F.col("a._cls") < F.col("b._cls")))
-    pooled = F.sqrt(((F.col("a.n") - 1) * F.col("a.var") + (F.col("b.n") - 1) * F.col("b.var"))
-                    / (F.col("a.n") + F.col("b.n") - 2))
-    d = (F.col("a.mean") - F.col("b.mean")) / pooled
+    pooled = F.sqrt(F.try_divide((F.col("a.n") - 1) * F.col("a.var") + (F.col("b.n") - 1) * F.col("b.var"),
+                                 F.col("a.n") + F.col("b.n") - 2))
+    d = F.try_divide(F.col("a.mean") - F.col("b.mean"), pooled)
     band = (F.when(F.abs(d) > 0.8, "large").when(F.abs(d) > 0.5, "medium").when(F.abs(d) > 0.2, "small")
             .otherwise("negligible"))
     return j.select(F.col("a.feature").alias("feature"), F.col("a._cls").alias("class_a"),
@@ -282,7 +297,8 @@ def mcar_test(df: DataFrame, features: Sequence[str], missing_cols: Sequence[str
                 "v_miss": F.var_samp(F.when(miss, v)), "v_obs": F.var_samp(F.when(~miss, v))}
     names = [f"{x}|{m}" for x, m in pairs]
     out = per_feature(df, names, make)
-    t = (F.col("m_miss") - F.col("m_obs")) / F.sqrt(F.col("v_miss") / F.col("n_miss") + F.col("v_obs") / F.col("n_obs"))
+    t = F.try_divide(F.col("m_miss") - F.col("m_obs"), F.sqrt(
+        F.try_divide(F.col("v_miss"), F.col("n_miss")) + F.try_divide(F.col("v_obs"), F.col("n_obs"))))
     return out.select(F.split("feature", r"\|")[0].alias("feature"), F.split("feature", r"\|")[1].alias("missing_col"),
                       "n_miss", "n_obs", _nan_null(t).alias("t_stat"))
 
@@ -321,8 +337,7 @@ def psi_equal_width(train: DataFrame, test: DataFrame, features: Sequence[str],
         df = df.withColumn("_mm", s)
         for i, f in enumerate(features):
             lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
-            b = F.floor((col(f).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
-            cols.append(F.when(b >= bins, bins - 1).otherwise(b).cast("int").alias(f))
+            cols.append(equal_width_bin(col(f), lo, hi, bins).alias(f))
         x = df.select(*cols).unpivot([], list(features), "feature", "bin").where(F.col("bin").isNotNull())
         return x.withColumn("side", F.lit(tag))
     u = binned(train, 1).unionByName(binned(test, 2))
@@ -353,16 +368,13 @@ def _edges(df: DataFrame, features: Sequence[str], n_bins: int, cfg: Config) ->
     return F.struct(*fields)
 
 
-MAX_EDGES = 101
-
-
 def _count_edges(edges: Column, pred, n_max: int) -> Column:
     """Number of edges satisfying ``pred`` -- unrolled comparisons (edges are a
     scalar subquery, which Spark does not allow inside lambda functions)."""
     return sum((F.coalesce(pred(F.get(edges, j)).cast("int"), F.lit(0)) for j in range(n_max)), F.lit(0))
 
 
-def hist_bin(x: Column, edges: Column, n_max: int = MAX_EDGES) -> Column:
+def hist_bin(x: Column, edges: Column, n_max: int) -> Column:
     """np.histogram with explicit edges: [e_i, e_i+1), last bin closed, outside -> null."""
     nb = F.size(edges) - 1
     last = F.element_at(edges, -1)
@@ -371,7 +383,7 @@ def hist_bin(x: Column, edges: Column, n_max: int = MAX_EDGES) -> Column:
     return F.when((x >= edges[0]) & (x <= last), b)
 
 
-def qcut_bin(x: Column, edges: Column, n_max: int = MAX_EDGES) -> Column:
+def qcut_bin(x: Column, edges: Column, n_max: int) -> Column:
     """pd.qcut(duplicates='drop') bins: (e_i, e_i+1], lowest edge included."""
     b = _count_edges(edges, lambda e: e < x, n_max) - 1
     return F.when(x.isNotNull(), F.greatest(b, F.lit(0)))
@@ -391,7 +403,7 @@ def psi_quantile(train: DataFrame, test: DataFrame, features: Sequence[str], bin
     u = binned(train, 1).unionByName(binned(test, 2))
     # every bin index 0..nb-1 must exist (empty bins still get the +1); nb per feature comes
     # from the edges themselves, so the grid needs no pass over the rows
-    grid = train.limit(1).select(ed.alias("_ed")).select(F.inline(F.array(*[
+    grid = train.sparkSession.range(1).select(ed.alias("_ed")).select(F.inline(F.array(*[
         F.struct(F.lit(f).alias("feature"), (F.size(F.col("_ed").getField(f"e{i}")) - 1).alias("nb"))
         for i, f in enumerate(features)])))
     grid = grid.select("feature", "nb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("bin"))
@@ -421,7 +433,7 @@ def mean_drift(train: DataFrame, test: DataFrame, features: Sequence[str]) -> Da
     out = per_feature(t, features, lambda i, f: {
         "mean_train": F.avg(F.when(F.col("_s") == 1, col(f).cast("double"))),
         "mean_test": F.avg(F.when(F.col("_s") == 2, col(f).cast("double")))})
-    rel = F.abs(F.col("mean_test") - F.col("mean_train")) / F.abs(F.col("mean_train"))
+    rel = F.try_divide(F.abs(F.col("mean_test") - F.col("mean_train")), F.abs(F.col("mean_train")))
     band = F.when(rel > 0.3, "high").when(rel > 0.1, "moderate").otherwise("low")
     return out.select("feature", "mean_train", "mean_test", rel.alias("rel_change"), band.alias("drift"))
 

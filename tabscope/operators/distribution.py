@@ -37,7 +37,7 @@ def normality_ad(df: DataFrame, features: Sequence[str]) -> DataFrame:
                                      "s": lambda c: F.stddev_samp(c.cast("double"))})
     c = running_sum(_cells(df, features), ["x"], "k", by=["feature"], out="cum")
     c = c.join(F.broadcast(mom), "feature")  # one row per feature
-    z = (F.col("x") - F.col("m")) / F.col("s")
+    z = F.try_divide(F.col("x") - F.col("m"), F.col("s"))
     cdf = F.least(F.greatest(normal_cdf_udf(z), F.lit(1e-300)), F.lit(1 - 1e-16))
     r = F.col("cum") - F.col("k")
     term = F.col("k") * (2 * r + F.col("k")) * F.log(cdf) + F.col("k") * (2 * F.col("n") - 2 * r - F.col("k")) * F.log(1 - cdf)
@@ -73,11 +73,11 @@ def distribution_fit(df: DataFrame, features: Sequence[str]) -> DataFrame:
     fe_lo = (F.col("cum") - F.col("k")) / F.col("n")
     x = F.col("x")
     cdfs = {
-        "norm": normal_cdf_udf((x - F.col("m")) / F.col("s0")),
+        "norm": normal_cdf_udf(F.try_divide(x - F.col("m"), F.col("s0"))),
         "lognorm": F.when(F.col("npos") == F.col("n"),
-                          F.when(x > 0, normal_cdf_udf((F.log(x) - F.col("lm")) / F.col("ls"))).otherwise(0.0)),
-        "expon": F.when(x >= F.col("mn"), 1 - F.exp(-(x - F.col("mn")) / (F.col("m") - F.col("mn")))).otherwise(0.0),
-        "gamma": F.when(F.col("mn") > 0, _gamma_cdf_udf(x, F.col("m") ** 2 / F.col("s0") ** 2, F.col("s0") ** 2 / F.col("m"))),
+                          F.when(x > 0, normal_cdf_udf(F.try_divide(F.log(x) - F.col("lm"), F.col("ls")))).otherwise(0.0)),
+        "expon": F.when(x >= F.col("mn"), 1 - F.exp(F.try_divide(-(x - F.col("mn")), F.col("m") - F.col("mn")))).otherwise(0.0),
+        "gamma": F.when(F.col("mn") > 0, _gamma_cdf_udf(x, F.try_divide(F.col("m") ** 2, F.col("s0") ** 2), F.try_divide(F.col("s0") ** 2, F.col("m")))),
     }
     d = c.select("feature", *[F.greatest(F.abs(fe_hi - v), F.abs(fe_lo - v)).alias(k) for k, v in cdfs.items()])
     g = d.groupBy("feature").agg(*[F.max(k).alias(k) for k in cdfs])
@@ -95,9 +95,10 @@ def modes(df: DataFrame, features: Sequence[str], grid: int = 512, min_height: f
     parts = []
     for i, f in enumerate(features):
         lo, hi = F.col("_st").getField(f"lo{i}"), F.col("_st").getField(f"hi{i}")
-        b = F.least(F.floor((col(f).cast("double") - lo) * grid / (hi - lo)), F.lit(grid - 1)).cast("int")
-        bw = 1.06 * F.col("_st").getField(f"s{i}") * F.pow(F.col("_st").getField(f"n{i}").cast("double"), -0.2) \
-            / ((hi - lo) / grid)
+        b = F.when(hi > lo, F.least(F.floor(F.try_divide((col(f).cast("double") - lo) * grid, hi - lo)), F.lit(grid - 1))).when(
+            col(f).isNotNull(), 0).cast("int")
+        bw = F.coalesce(F.try_divide(1.06 * F.col("_st").getField(f"s{i}") * F.pow(F.col("_st").getField(f"n{i}").cast("double"), -0.2),
+                                     (hi - lo) / grid), F.lit(0.0))
         parts.append(F.struct(F.lit(f).alias("feature"), b.alias("bin"), bw.alias("bw")))
     h = x.select(F.inline(F.array(*parts))).where(F.col("bin").isNotNull()).groupBy("feature", "bin").agg(
         F.count(F.lit(1)).alias("n"), F.first("bw").alias("bw"))

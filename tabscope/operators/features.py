@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col
+from tabscope.functions.exprs import col, equal_width_bin
 from tabscope.plans.frames import per_feature, scalar_row
 
 EPS = 1e-6
@@ -191,8 +191,7 @@ def equal_width_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> Data
     exprs = []
     for i, c in enumerate(cols):
         lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
-        b = F.floor((col(c).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
-        exprs.append(F.when(b >= bins, bins - 1).otherwise(b).cast("int").alias(f"{c}_bin"))
+        exprs.append(equal_width_bin(col(c), lo, hi, bins).alias(f"{c}_bin"))
     return out.select(*[col(c) for c in df.columns], *exprs)
 
 
@@ -215,9 +214,11 @@ def scale(train: DataFrame, other: DataFrame, cols: Sequence[str], kind: str = "
                                                                   .alias(f"b{i}"))])
     s = scalar_row(st)
     out = other.withColumn("_sc", s)
-    return out.select(*[((col(c).cast("double") - F.col("_sc").getField(f"a{cols.index(c)}"))
-                         / F.col("_sc").getField(f"b{cols.index(c)}")).alias(c) if c in cols else col(c)
-                        for c in other.columns])
+    def scaled(c):
+        a, b = F.col("_sc").getField(f"a{cols.index(c)}"), F.col("_sc").getField(f"b{cols.index(c)}")
+        # a column that is constant in train is centred only
+        return ((col(c).cast("double") - a) / F.when(b != 0, b).when(b == 0, F.lit(1.0))).alias(c)
+    return out.select(*[scaled(c) if c in cols else col(c) for c in other.columns])
 
 
 def class_weights(df: DataFrame, target: str) -> DataFrame:

@@ -156,12 +156,16 @@ def adversarial_auc(train: DataFrame, test: DataFrame, numeric: Sequence[str], c
         "shift", F.when(F.col("auc") > 0.7, "strong").when(F.col("auc") > 0.6, "moderate").otherwise("none"))
 
 
-def quick_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, folds: int = 3,
+def _folded(df: DataFrame, target: str, folds: int, seed: int) -> DataFrame:
+    from tabscope.operators.series import stratified_folds
+    return stratified_folds(df.where(col(target).isNotNull()), target, folds, seed=seed).withColumnRenamed("fold", "_fold")
+
+
+def quick_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, folds: int = 5,
                 seed: int = 42) -> DataFrame:
-    """M6: k-fold accuracy of a forest baseline using an explicit fold column."""
+    """M6: accuracy of a forest baseline over the stratified folds of M1."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    data, _ = _assemble(df, numeric, categorical, target, "string")
-    data = data.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in df.columns]), F.lit(folds)))
+    data, _ = _assemble(_folded(df, target, folds, seed), numeric, categorical, target, "string")
     ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
     rows = []
     for k in range(folds):
@@ -211,26 +215,32 @@ def isolation_forest(df: DataFrame, numeric: Sequence[str], keys: Sequence[str],
     """Isolation Forest.  Trees are grown in parallel, one pandas group per tree on a
     hash-sampled <= 256-row subsample; the (small) forest is broadcast and rows are scored
     with mapInPandas; the cut is the (1 - contamination) quantile of the scores."""
+    import math
+
     import numpy as np
     import pandas as pd
+
+    from tabscope.plans.frames import quantile_scalar
+    from tabscope.session import scratch_path
     feats = list(numeric)
     d = df.select(*[col(k) for k in keys], *[col(c).cast("double").alias(c) for c in feats]).na.drop(subset=feats)
     n = d.count()
-    if n * n_trees <= 5_000_000:
-        # small input: every tree draws its own subsample from all rows
-        frac = min(1.0, 3.0 * sample_size / max(n, 1))
-        samp = d.select(*feats, F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("tree"))
-        samp = samp.where(F.rand(seed) < frac)
-    else:
-        # large input: sample ~3 x 256 rows per tree first, then deal them to trees by hash
-        frac = min(1.0, 3.0 * sample_size * n_trees / n)
-        samp = d.where(F.rand(seed) < frac).select(
-            *feats, F.pmod(F.xxhash64(F.lit(seed), *[col(k) for k in keys]), F.lit(n_trees)).cast("int").alias("tree"))
+    # every row draws, for each of a few of the trees, by a seeded hash: the expected draws of a tree are three times
+    # its subsample, of which the smallest hashes are kept
+    frac = min(1.0, 3.0 * sample_size / max(n, 1))
+    draws = max(1, math.ceil(frac * n_trees))
+    row = F.xxhash64(F.lit(seed), *[col(k) for k in keys], *[col(c) for c in feats])
+    samp = d.select(*feats, F.explode(F.transform(F.sequence(F.lit(0), F.lit(draws - 1)), lambda i: F.struct(
+        F.pmod(F.xxhash64(row, i), F.lit(n_trees)).cast("int").alias("tree"), F.xxhash64(row, i, F.lit(seed)).alias("_h")))).alias("_d"))
+    samp = samp.select(*feats, "_d.*").where(
+        F.pmod(F.xxhash64("_h"), F.lit(1 << 20)) < F.lit(int(min(1.0, frac * n_trees / draws) * (1 << 20))))
+    samp = samp.withColumn("_at", F.row_number().over(Window.partitionBy("tree").orderBy("_h", *feats))).where(
+        F.col("_at") <= sample_size).drop("_at")
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree_id = int(pdf["tree"].iloc[0])
         rng = np.random.default_rng(seed + tree_id)
-        X = pdf[feats].to_numpy()[:sample_size]
+        X = pdf.sort_values("_h")[feats].to_numpy()
         limit = int(np.ceil(np.log2(max(len(X), 2))))
         nodes = []
 
@@ -262,18 +272,20 @@ def isolation_forest(df: DataFrame, numeric: Sequence[str], keys: Sequence[str],
     psi = min(sample_size, n)
 
     def c(m):
-        return 2.0 * (np.log(m - 1) + 0.5772156649) - 2.0 * (m - 1) / m if m > 2 else (1.0 if m == 2 else 0.0)
+        m = np.asarray(m, dtype=float)
+        many = 2.0 * (np.log(np.maximum(m - 1, 1)) + 0.5772156649) - 2.0 * (m - 1) / np.maximum(m, 1)
+        return np.where(m > 2, many, np.where(m == 2, 1.0, 0.0))
     by_tree = [g.sort_values("node") for _, g in trees.groupby("tree")]
     bc = df.sparkSession.sparkContext.broadcast([(g["feat"].to_numpy(), g["split"].to_numpy(), g["left"].to_numpy(),
-                                                  g["right"].to_numpy(), g["size"].to_numpy()) for g in by_tree])
-    cn = c(psi)
+                                                  g["right"].to_numpy(), c(g["size"])) for g in by_tree])
+    cn = max(float(c(psi)), 1e-12)
 
     def score(it):
         forest_ = bc.value
         for pdf in it:
             X = pdf[feats].to_numpy()
             total = np.zeros(len(X))
-            for feat, split, left, right, size in forest_:
+            for feat, split, left, right, rest in forest_:
                 node = np.zeros(len(X), dtype=int)
                 depth = np.zeros(len(X))
                 active = feat[node] >= 0
@@ -283,37 +295,34 @@ def isolation_forest(df: DataFrame, numeric: Sequence[str], keys: Sequence[str],
                     node[active] = np.where(go_left, left[node[active]], right[node[active]])
                     depth[active] += 1
                     active = feat[node] >= 0
-                total += depth + np.array([c(s) for s in size[node]])
+                total += depth + rest[node]
             pdf = pdf[list(keys)].copy()
             pdf["score"] = 2.0 ** (-(total / len(forest_)) / cn)
             yield pdf
     key_schema = ", ".join(f"`{k}` {t}" for k, t in d.select(*keys).dtypes)
-    scored = d.mapInPandas(score, f"{key_schema}, score double")
-    cut = scored.agg(F.percentile("score", 1 - contamination).alias("cut")).scalar()
+    path = scratch_path(df.sparkSession, "scores")
+    d.mapInPandas(score, f"{key_schema}, score double").write.parquet(path)
+    scored = df.sparkSession.read.parquet(path)
+    cut = quantile_scalar(scored, ["score"], [1 - contamination]).getField("q0")[0]
     return scored.withColumn("outlier", (F.col("score") >= cut).cast("int"))
 
 
-def variant_benchmark(df: DataFrame, variants: dict, target: str, folds: int = 3, num_trees: int = 20,
+def variant_benchmark(df: DataFrame, variants: dict, target: str, folds: int = 5, num_trees: int = 20,
                       depth: int = 5, seed: int = 42) -> DataFrame:
     """M8: every feature-set variant x model (random forest, multinomial logistic regression) scored by
-    accuracy and macro F1 over an explicit fold column; returns (variant, model, metric, fold, score).
+    accuracy and macro F1 (unweighted mean over classes) over stratified folds; returns (variant, model, metric, fold, score).
 
     ``variants`` maps a name to ``(transform(df) -> df, numeric, categorical)``.  Fits are Spark ML jobs;
     only the fold scores come back to the driver."""
     from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     rows = []
     for name, (fn, numeric, categorical) in variants.items():
-        data, _ = _assemble(fn(df), numeric, categorical, target, "string")
-        data = data.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in df.columns]), F.lit(folds)))
+        data, _ = _assemble(_folded(fn(df), target, folds, seed), numeric, categorical, target, "string")
         models = {"random_forest": _forest(num_trees, depth, seed),
                   "logistic": LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)}
         for mname, est in models.items():
             for k in range(folds):
                 m = est.fit(data.where(F.col("_fold") != k))
-                pred = m.transform(data.where(F.col("_fold") == k))
-                for metric, spark_metric in (("accuracy", "accuracy"), ("f1_macro", "f1")):
-                    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction",
-                                                           metricName=spark_metric)
-                    rows.append((name, mname, metric, k, float(ev.evaluate(pred))))
+                got = classification_metrics(m.transform(data.where(F.col("_fold") == k)), "label", "prediction").first()
+                rows += [(name, mname, metric, k, float(got[metric])) for metric in ("accuracy", "f1_macro")]
     return df.sparkSession.createDataFrame(rows, "variant string, model string, metric string, fold int, score double")

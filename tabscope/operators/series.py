@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
-from tabscope.functions.exprs import col
+from tabscope.functions.exprs import col, equal_width_bin
 from tabscope.plans.frames import per_feature, quantiles, scalar_row
 
 
@@ -29,8 +29,7 @@ def histogram(df: DataFrame, features: Sequence[str], target: str | None = None,
     cols = []
     for i, f in enumerate(features):
         lo, hi = F.col("_mm").getField(f"lo{i}"), F.col("_mm").getField(f"hi{i}")
-        b = F.floor((col(f).cast("double") - lo) * (F.lit(float(bins)) / (hi - lo)))
-        cols.append(F.when(b >= bins, bins - 1).otherwise(b).cast("int").alias(f))
+        cols.append(equal_width_bin(col(f), lo, hi, bins).alias(f))
     cls = [col(target).cast("string").alias("class")] if target else []
     ids = ["class"] if target else []
     long = x.select(*cls, *cols).unpivot(ids, list(features), "feature", "bin").where(F.col("bin").isNotNull())
@@ -100,9 +99,9 @@ def density_overlay(train: DataFrame, test: DataFrame, feature: str, grid: int =
     both = train.select(col(feature).cast("double").alias("x"), F.lit("train").alias("side")).unionByName(
         test.select(col(feature).cast("double").alias("x"), F.lit("test").alias("side")))
     mm = scalar_row(both.agg(F.min("x").alias("lo"), F.max("x").alias("hi")))
-    b = both.withColumn("_mm", mm).select("side", F.least(F.floor((F.col("x") - F.col("_mm.lo")) * grid /
-                                                                  (F.col("_mm.hi") - F.col("_mm.lo"))), F.lit(grid - 1))
-                                          .cast("int").alias("bin"), F.col("_mm.lo").alias("lo"), F.col("_mm.hi").alias("hi"))
+    b = both.withColumn("_mm", mm).select("side", F.when(F.col("_mm.hi") > F.col("_mm.lo"), F.least(
+        F.floor(F.try_divide((F.col("x") - F.col("_mm.lo")) * grid, F.col("_mm.hi") - F.col("_mm.lo"))), F.lit(grid - 1)))
+        .when(F.col("x").isNotNull(), 0).cast("int").alias("bin"), F.col("_mm.lo").alias("lo"), F.col("_mm.hi").alias("hi"))
     h = b.where(F.col("bin").isNotNull()).groupBy("side", "bin").agg(F.count(F.lit(1)).alias("n"), F.first("lo").alias("lo"),
                                                                       F.first("hi").alias("hi"))
     k = int(3 * bandwidth_bins)
@@ -115,7 +114,7 @@ def density_overlay(train: DataFrame, test: DataFrame, feature: str, grid: int =
     tot = Window.partitionBy("side")
     width = (F.col("hi") - F.col("lo")) / grid
     return dens.select("side", "bin", (F.col("lo") + (F.col("bin") + 0.5) * width).alias("x"),
-                       (F.col("mass") / (F.sum("mass").over(tot) * width)).alias("density"))
+                       F.try_divide(F.col("mass"), F.sum("mass").over(tot) * width).alias("density"))
 
 
 # ------------------------------------------------------------ window operators
@@ -139,7 +138,8 @@ def percentile_rank(df: DataFrame, column: str, keys: Sequence[str]) -> DataFram
     """rank(pct=True) with average ties = average rank / non-null count (per-value table joined back)."""
     from tabscope.operators.association import average_ranks
     r = average_ranks(df, column, "_r")
-    r = r.select(col(column), (F.col("_r") / F.sum("_k").over(Window.partitionBy())).alias(f"{column}_pct_rank"))
+    total = scalar_row(df.agg(F.count(col(column)).alias("n"))).getField("n")
+    r = r.select(col(column), (F.col("_r") / total).alias(f"{column}_pct_rank"))
     return df.select(*[col(k) for k in keys], col(column)).join(r, column, "left")
 
 

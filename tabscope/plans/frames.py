@@ -123,7 +123,8 @@ def positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), na
     offset.  The numbered frame is checkpointed to the shared checkpoint
     folder, so a recomputation after an executor loss cannot renumber rows."""
     from tabscope.session import scratch_dir
-    x = df.withColumn("_ord", F.struct(*order))
+    # rows that are equal in (by, order) are told apart by their place in the input, so that they spread over tasks too
+    x = df.withColumn("_ord", F.struct(*order, F.monotonically_increasing_id().alias("_tie")))
     keys = [*[col(b) for b in by], F.col("_ord")]
     x = x.repartitionByRange(*keys).sortWithinPartitions(*keys)
     mid = F.monotonically_increasing_id()
@@ -134,12 +135,34 @@ def positions(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), na
     blocks = x.groupBy("_pid", *by).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(wo), F.lit(0)))
-    # blocks has (#partitions x #groups) rows: bounded by the partitioning, not the data
-    j = x.join(F.broadcast(blocks.select("_pid", *by, "_first", "_off")), ["_pid", *by])
+    j = _join_null_safe(x, blocks.select("_pid", *by, "_first", "_off"), ["_pid", *by])
     return j.withColumn(name, F.col("_off") + F.col("_pos") - F.col("_first")).drop(
         "_ord", "_pid", "_pos", "_first", "_off")
 
 
+def _join_null_safe(x: DataFrame, y: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on ``keys`` where null equals null; keeps the keys of ``x``."""
+    y = y.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & col(k).eqNullSafe(F.col(f"_k{i}"))
+    return x.join(y, same).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def value_block(x: Column, cuts: Sequence[float]) -> Column:
+    """How many of the sorted ``cuts`` lie at or under ``x``, by two short searches; -1 for null."""
+    if not cuts:
+        return F.when(x.isNull(), -1).otherwise(0)
+    step = max(1, int(len(cuts) ** 0.5))
+    rows = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+
+    def under(bounds):
+        return F.size(F.filter(bounds, lambda b: b <= x))
+    top = under(F.array(*[F.lit(float(r[0])) for r in rows]))
+    inner = F.array(*[F.array(*[F.lit(float(c)) for c in r]) for r in rows])
+    return F.when(x.isNull(), -1).when(top == 0, 0).otherwise((top - 1) * step + under(F.get(inner, top - 1)))
+
+
 def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
     """Exact random permutation of one column: rows ordered by one seeded hash are paired,
     position by position, with values ordered by an independent hash (one shuffle join)."""
@@ -152,35 +175,43 @@ def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: in
 
 def running_sum(df: DataFrame, order: Sequence[str], value, by: Sequence[str] = (), out="_cum",
                 total=None) -> DataFrame:
-    """Inclusive running sum(s) of ``value`` (a column name or a list) ordered by ``order``
+    """Inclusive running sum(s) of ``value`` (a column name or a list) ordered by the numeric column ``order``
     within ``by`` groups, distributed.
 
-    Range-partition on (by, order), run the window inside each partition
-    (partitionBy(partition id, by)), and add the sums of all earlier
-    partitions from a #partitions x #groups offset table.  Unlike a window
-    ordered over a whole group, no task ever holds more than one range
-    partition, whatever the number of distinct values.  ``total`` adds the
-    group total(s) as column(s)."""
+    A row's block depends on its order value alone: the bounds are approximate quantiles of that column, taken
+    once (one number per block) and inlined.  Each block of a group is summed by a window, and the sums of the earlier
+    blocks are added from a table of blocks x groups.  No task holds more than a block, whatever the number of
+    distinct values, and a recomputed or re-planned stage finds the same blocks.  ``df`` is written to the shared
+    scratch folder first, as it is read three times.  ``total`` adds the group total(s) as column(s)."""
+    from tabscope.session import scratch_path
     values = [value] if isinstance(value, str) else list(value)
     outs = [out] if isinstance(out, str) else list(out)
     totals = ([total] if isinstance(total, str) else list(total)) if total else []
-    keys = [*[col(b) for b in by], *[col(o) for o in order]]
-    x = df.repartitionByRange(*keys).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid", *by).orderBy(*[col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    if len(order) != 1:
+        raise ValueError("one order column")
+    spark = df.sparkSession
+    path = scratch_path(spark, "cells")
+    df.write.parquet(path)
+    x = spark.read.schema(df.schema).parquet(path)
+    key = col(order[0]).cast("double")
+    n = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    cuts = x.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 100 * n)).first()[0] or []
+    x = x.withColumn("_block", value_block(key, sorted({c for c in cuts if c == c})))
+    w = Window.partitionBy(*by, "_block").orderBy(*[col(o) for o in order]).rowsBetween(Window.unboundedPreceding, 0)
+    blocks = x.groupBy(*by, "_block").agg(*[F.sum(v).alias(f"_bs{k}") for k, v in enumerate(values)])
     for k, v in enumerate(values):
         x = x.withColumn(f"_local{k}", F.sum(v).over(w))
-    blocks = x.groupBy("_pid", *by).agg(*[F.sum(v).alias(f"_bs{k}") for k, v in enumerate(values)])
-    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    wo = Window.partitionBy(*[col(b) for b in by]).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     wg = Window.partitionBy(*[col(b) for b in by])
     for k in range(len(values)):
         blocks = blocks.withColumn(f"_off{k}", F.coalesce(F.sum(f"_bs{k}").over(wo), F.lit(0)))
     for k, t in enumerate(totals):
         blocks = blocks.withColumn(t, F.sum(f"_bs{k}").over(wg))
-    sel = ["_pid", *by, *[f"_off{k}" for k in range(len(values))], *totals]
-    j = x.join(F.broadcast(blocks.select(*sel)), ["_pid", *by])
+    sel = ["_block", *by, *[f"_off{k}" for k in range(len(values))], *totals]
+    j = _join_null_safe(x, blocks.select(*sel), ["_block", *by])
     for k, o in enumerate(outs):
         j = j.withColumn(o, F.col(f"_off{k}") + F.col(f"_local{k}"))
-    return j.drop("_pid", *[f"_local{k}" for k in range(len(values))], *[f"_off{k}" for k in range(len(values))])
+    return j.drop("_block", *[f"_local{k}" for k in range(len(values))], *[f"_off{k}" for k in range(len(values))])
 
 
 def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
