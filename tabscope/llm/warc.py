@@ -147,8 +147,7 @@ def deduplicated(spark: SparkSession, source: str, target: str, least_bytes: int
     """Read archives, resolve their revisits anew and write archives with fresh headers.  Revisit records of the
     source keep the payload's digest and length and stay revisits."""
     records = read_archives(spark, source, with_payload=True)
-    kept = records.drop("refers_to").withColumn("_was", records["refers_to"])
-    write_archives(resolved(kept, least_bytes).withColumn("refers_to", F.coalesce("refers_to", "_was")).drop("_was"), target)
+    write_archives(resolved(records.withColumnRenamed("refers_to", "_was"), least_bytes).withColumn("refers_to", F.coalesce("refers_to", "_was")).drop("_was"), target)
 
 
 def digest_rows(pages: DataFrame, least_bytes: int = 0, path: str | None = None) -> DataFrame:
