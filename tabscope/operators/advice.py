@@ -207,7 +207,7 @@ def findings(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: st
             F.lit(10.0), F.format_string("class imbalance ratio %.1f", F.col("r"))))
         hints = [c for c in df.columns if c != target and re.search(r"(future|next|after|result|outcome)", c.lower())]
         for h in hints:
-            rows.append(df.limit(1).select(F.lit("leakage"), F.lit(h), F.lit("warning"), F.lit("NAME_HINT"),
+            rows.append(df.sparkSession.range(1).select(F.lit("leakage"), F.lit(h), F.lit("warning"), F.lit("NAME_HINT"),
                                            F.lit("name"), F.lit(None).cast("double"), F.lit(None).cast("double"),
                                            F.lit(f"{h}: name suggests information from the future")))
     out = rows[0]

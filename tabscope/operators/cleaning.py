@@ -75,7 +75,7 @@ def fit_fill_values(train: DataFrame, cols: Sequence[str], strategy: str = "medi
     if strategy == "median":
         from tabscope.plans.frames import quantile_scalar
         med = quantile_scalar(train, cols, [0.5], cfg, prefix="m")
-        stats = train.limit(1).select(*[med.getField(f"m{i}")[0].alias(f"f{i}") for i in range(len(cols))])
+        stats = train.sparkSession.range(1).select(*[med.getField(f"m{i}")[0].alias(f"f{i}") for i in range(len(cols))])
     elif strategy == "mean":
         stats = train.agg(*[F.avg(col(c).cast("double")).alias(f"f{i}") for i, c in enumerate(cols)])
     elif strategy == "mode":

@@ -73,9 +73,9 @@ def dfs_transform(df: DataFrame, numerics: Sequence[str]) -> DataFrame:
                 (x == y).alias(f"{a} = {b}"), (x != y).alias(f"{a} != {b}"), (x > y).alias(f"{a} > {b}"),
                 (x < y).alias(f"{a} < {b}")]
     res = df.select(*out)
-    for a in numerics:
-        r = average_ranks(df, a, "_r").select(col(a), (F.col("_r") / F.sum("_k").over(Window.partitionBy())).alias(
-            f"PERCENTILE({a})"))
+    counts = scalar_row(df.agg(*[F.count(col(a)).alias(f"n{i}") for i, a in enumerate(numerics)]))
+    for i, a in enumerate(numerics):
+        r = average_ranks(df, a, "_r").select(col(a), (F.col("_r") / counts.getField(f"n{i}")).alias(f"PERCENTILE({a})"))
         res = res.join(r, a, "left")
     return res
 
@@ -119,12 +119,10 @@ def one_hot(df: DataFrame, column: str, levels: Sequence, drop_first: bool = Fal
 def target_encode_table(df: DataFrame, column: str, y: Column, smoothing: float = 0.1, min_samples: int = 1) -> DataFrame:
     """FE8: smoothed target mean per level: sigmoid blend of level mean and prior,
     weight = 1 / (1 + exp(-(n - min_samples) / smoothing))."""
-    prior = F.avg(y.cast("double")).over(Window.partitionBy())
-    g = df.groupBy(col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"), F.avg(y.cast("double")).alias("mean"),
-                                                  F.sum(y.cast("double")).alias("s"))
-    g = g.withColumn("prior", F.sum("s").over(Window.partitionBy()) / F.sum("n").over(Window.partitionBy()))
+    total = scalar_row(df.agg(F.sum(y.cast("double")).alias("s"), F.count(F.lit(1)).alias("n")))
+    g = df.groupBy(col(column).alias("level")).agg(F.count(F.lit(1)).alias("n"), F.avg(y.cast("double")).alias("mean"))
+    g = g.withColumn("prior", F.try_divide(total.getField("s"), total.getField("n")))
     wgt = 1.0 / (1.0 + F.exp(-(F.col("n") - min_samples) / smoothing))
-    _ = prior
     return g.select("level", "n", "mean", "prior", (wgt * F.col("mean") + (1 - wgt) * F.col("prior")).alias("encoded"))
 
 
@@ -136,13 +134,14 @@ def target_encode_oof(df: DataFrame, column: str, y: Column, fold_col: str, smoo
     lf = df.groupBy(col(column).alias("level"), col(fold_col).alias("fold")).agg(
         F.count(F.lit(1)).alias("nf"), F.sum(yy).alias("sf"))
     wl = Window.partitionBy("level")
-    wf = Window.partitionBy("fold")
+    # totals of a fold and of all rows: one row per fold
+    own = df.groupBy(col(fold_col).alias("_fold")).agg(F.count(F.lit(1)).alias("_n"), F.sum(yy).alias("_s"))
     wa = Window.partitionBy()
-    t = lf.select("level", "fold", (F.sum("nf").over(wl) - F.col("nf")).alias("n"),
-                  (F.sum("sf").over(wl) - F.col("sf")).alias("s"),
-                  ((F.sum("sf").over(wa) - F.sum("sf").over(wf)) / (F.sum("nf").over(wa) - F.sum("nf").over(wf))).alias("prior"))
+    own = own.select("_fold", F.try_divide(F.sum("_s").over(wa) - F.col("_s"), F.sum("_n").over(wa) - F.col("_n")).alias("prior"))
+    t = lf.select("level", "fold", (F.sum("nf").over(wl) - F.col("nf")).alias("n"), (F.sum("sf").over(wl) - F.col("sf")).alias("s"))
+    t = t.join(own, t["fold"].eqNullSafe(own["_fold"])).drop("_fold")
     wgt = 1.0 / (1.0 + F.exp(-(F.col("n") - min_samples) / smoothing))
-    enc = F.when(F.col("n") > 0, wgt * (F.col("s") / F.col("n")) + (1 - wgt) * F.col("prior")).otherwise(F.col("prior"))
+    enc = F.when(F.col("n") > 0, wgt * F.try_divide(F.col("s"), F.col("n")) + (1 - wgt) * F.col("prior")).otherwise(F.col("prior"))
     return t.select("level", "fold", "n", enc.alias("encoded"))
 
 

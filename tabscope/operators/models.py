@@ -107,25 +107,25 @@ def importance_prune(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
 
 
 def null_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-                    key_cols: Sequence[str], shuffles: int = 2, num_trees: int = 30, depth: int = 4,
+                    key_cols: Sequence[str], shuffles: int = 5, folds: int = 5, num_trees: int = 30, depth: int = 4,
                     seed: int = 42) -> DataFrame:
-    """M3: forest importance with the true target vs. with permuted targets (exact distributed
-    permutation); null mean / std / p95 / p99, safe_score = actual / null_p95, z score."""
+    """M3: forest importance with the true target against permuted targets (exact distributed permutation).
+
+    Importances are means over stratified folds, for the true target and for every shuffle; null mean / std / p95 / p99
+    are taken over the shuffles.  safe_score = actual / null_p95, z score."""
     import numpy as np
+
     from tabscope.plans.frames import permute_column
-    data, names = _assemble(df, numeric, categorical, target, "string")
-    actual = _forest(num_trees, depth, seed).fit(data).featureImportances.toArray().tolist()
-    nulls = []
-    for s in range(shuffles):
-        sh = permute_column(df, target, key_cols, seed + 101 * (s + 1))
-        dd, _ = _assemble(sh, numeric, categorical, target, "string")
-        nulls.append(_forest(num_trees, depth, seed + s + 1).fit(dd).featureImportances.toArray().tolist())
-    arr = np.array(nulls)
-    rows = []
-    for i, n in enumerate(names):
-        v = arr[:, i]
-        rows.append((n, float(actual[i]), float(v.mean()), float(v.std()), float(np.percentile(v, 95)),
-                     float(np.percentile(v, 99))))
+
+    def mean_importance(rows: DataFrame, run: int) -> np.ndarray:
+        data, _ = _assemble(_folded(rows, target, folds, seed), numeric, categorical, target, "string")
+        fits = [_forest(num_trees, depth, seed + run * folds + k).fit(data.where(F.col("_fold") != k)) for k in range(folds)]
+        return np.mean([m.featureImportances.toArray() for m in fits], axis=0)
+    names = [*numeric, *categorical]
+    actual = mean_importance(df, 0)
+    arr = np.array([mean_importance(permute_column(df, target, key_cols, seed + 101 * (s + 1)), s + 1) for s in range(shuffles)])
+    rows = [(n, float(actual[i]), float(arr[:, i].mean()), float(arr[:, i].std()), float(np.percentile(arr[:, i], 95)),
+             float(np.percentile(arr[:, i], 99))) for i, n in enumerate(names)]
     out = df.sparkSession.createDataFrame(rows, "feature string, actual double, null_mean double, null_std double, "
                                                 "null_p95 double, null_p99 double")
     return null_importance_score(out)

@@ -45,7 +45,7 @@ def dtype_breakdown(df: DataFrame) -> DataFrame:
     dts = [t for _, t in df.dtypes]
     rows = F.array(*[F.struct(F.lit(t).alias("dtype"), F.lit(dts.count(t)).cast("bigint").alias("n_columns"))
                      for t in sorted(set(dts))])
-    return df.limit(1).select(F.inline(rows))
+    return df.agg(F.count(F.lit(1))).select(F.inline(rows))  # one row, also for an empty table
 
 
 # ----------------------------------------------------------------- missing

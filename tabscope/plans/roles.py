@@ -41,7 +41,7 @@ def column_roles(df: DataFrame) -> DataFrame:
     roles = column_roles_schema(df)
     rows = F.array(*[F.struct(F.lit(n).alias("feature"), F.lit(i).cast("bigint").alias("ordinal"),
                               F.lit(roles[n]).alias("role")) for i, n in enumerate(df.columns)])
-    return df.limit(1).select(F.inline(rows))
+    return df.agg(F.count(F.lit(1))).select(F.inline(rows))  # one row, also for an empty table
 
 
 def column_roles_card(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:

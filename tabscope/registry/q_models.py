@@ -114,7 +114,7 @@ def importance_prune(spark, sf):
 @register("null_importance", rows_only=True)
 def null_importance(spark, sf):
     return M.null_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag",
-                             key_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], shuffles=2, num_trees=10)
+                             key_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], num_trees=10)
 
 
 @register("adversarial_auc", rows_only=True)
@@ -296,7 +296,7 @@ def variant_benchmark(spark, sf):
         "row_stats": (lambda d: FE.fe_row_stats(d, _ML_NUM), _ML_NUM + ["row_mean", "row_std", "row_min", "row_max"],
                       _ML_CAT),
     }
-    res = M.variant_benchmark(base, variants, "l_returnflag", folds=2, num_trees=10, depth=4)
+    res = M.variant_benchmark(base, variants, "l_returnflag", num_trees=10, depth=4)
     piv = res.groupBy("variant", "model").pivot("metric", ["accuracy", "f1_macro"]).agg(F.avg("score"))
     best = piv.agg(F.max_by(F.struct("variant", "model"), F.col("f1_macro")).alias("b")).scalar()
     return piv.withColumn("best", ((F.col("variant") == best.getField("variant"))
