@@ -16,6 +16,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -663,43 +665,83 @@ def linear_residuals(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.stddev_samp(res).alias("resid_std"), F.max(F.abs(res)).alias("resid_max_abs"))
 
 
-def corr_kendall(df: DataFrame, cols: Sequence[str], max_levels: int = 200, cfg: Config = DEFAULT) -> DataFrame:
-    """T4: Kendall tau-b for every pair, from (x, y) cell counts with 2-D dominance counts.
-
-    For each x-level the points at smaller x are accumulated per y-level
-    (running sum over x), then over y, giving #(x'<x, y'<y) and #(x'<x, y'>y)
-    for every cell without enumerating pairs.  The level grid is generated
-    from the distinct levels (bounded by ``max_levels``; columns with more
-    levels are first cut into ``max_levels`` quantile bins, which makes the
-    value approximate)."""
-    # level counts decide, per column, whether quantile binning is needed (one small aggregate)
-    levels = df.agg(*[F.count_distinct(col(c)).alias(f"l{i}") for i, c in enumerate(cols)]).first()
-    need_bins = [c for i, c in enumerate(cols) if levels[f"l{i}"] > max_levels]
+def _signed_pairs(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
+    """Weighted concordant minus discordant pairs of cells (x, y) with counts n, in O(m log m): y ranks are split bit by
+    bit from the top, and two cells are compared at the bit where their ranks first differ."""
+    if len(x) < 2:
+        return 0.0
+    order = np.argsort(x, kind="stable")
+    x, n = x[order], n[order].astype(float)
+    rank = np.unique(y[order], return_inverse=True)[1]
+    total, prefix = 0.0, np.zeros(len(x), np.int64)
+    for bit in range(int(rank.max()).bit_length() - 1, -1, -1):
+        one = ((rank >> bit) & 1).astype(bool)
+        new_group = np.concatenate([[True], prefix[1:] != prefix[:-1]])
+        new_x = new_group | np.concatenate([[True], x[1:] != x[:-1]])
+        at = np.arange(len(x))
+        group, tie = np.maximum.accumulate(np.where(new_group, at, 0)), np.maximum.accumulate(np.where(new_x, at, 0))
+        zeros, ones = (np.concatenate([[0.0], np.cumsum(np.where(m, n, 0.0))]) for m in (~one, one))
+        total += (n * np.where(one, zeros[tie] - zeros[group], ones[group] - ones[tie])).sum()
+        prefix = prefix * 2 + one
+        order = np.argsort(prefix, kind="stable")  # x order is kept inside a prefix
+        x, n, rank, prefix = x[order], n[order], rank[order], prefix[order]
+    return total
+
+
+def _signed_pairs_of(x: str):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"s": [_signed_pairs(pdf[x].to_numpy(), pdf["y"].to_numpy(), pdf["n"].to_numpy())]})
+    return run
+
+
+def _axis_blocks(cells: DataFrame, axis: str, blocks: int) -> tuple[Column, Column]:
+    """Block number of an axis value (approximate quantiles, inlined) and whether its block holds one value alone:
+    a value that several quantiles hit gets a block of its own."""
+    from tabscope.plans.frames import value_block
+    got = cells.agg(F.percentile_approx(axis, [i / blocks for i in range(1, blocks)], 100 * blocks)).first()[0] if blocks > 1 else []
+    hot = sorted({c for c in got or [] if got.count(c) > 1})
+    cuts = sorted({*(got or []), *(math.nextafter(c, math.inf) for c in hot)})
+    alone = F.col(axis).isin(hot) if hot else F.lit(False)
+    return value_block(F.col(axis), cuts), alone
+
+
+def corr_kendall(df: DataFrame, cols: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
+    """T4: exact Kendall tau-b for every pair of columns, whatever their numbers of levels.
+
+    Cells (x, y, count) are cut into blocks along both axes, about the cube root of the number of cells.  Pairs of
+    cells in different blocks on both axes are counted on the grid of block counts by running sums; pairs inside
+    an x block, and pairs inside a y block but in different x blocks, by sorting inside the block.  A value that holds
+    many cells has a block of its own, in which all pairs are ties."""
+    from tabscope.session import scratch_path
     base = df.select(*[col(c).cast("double").alias(c) for c in cols])
-    if need_bins:
-        base = base.withColumn("_ed", _edges(base, need_bins, max_levels, cfg))
-        base = base.select(*[qcut_bin(col(c), F.col("_ed").getField(f"e{need_bins.index(c)}"), max_levels + 1)
-                             .cast("double").alias(c) if c in need_bins else col(c) for c in cols])
     out = None
     for a, b in _pairs(list(cols)):
         t = base.select(col(a).alias("x"), col(b).alias("y")).na.drop()
-        cells = t.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n"))
-        ylev = cells.agg(F.sort_array(F.collect_set("y")).alias("ys")).scalar()  # <= max_levels entries
-        grid = cells.select("x").distinct().select("x", F.explode(ylev).alias("y"))
-        g = grid.join(cells, ["x", "y"], "left").fillna(0, ["n"])
-        wy = Window.partitionBy("y").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
-        g = g.withColumn("p", F.coalesce(F.sum("n").over(wy), F.lit(0)))  # points with x' < x at this y
-        wlo = Window.partitionBy("x").orderBy("y").rowsBetween(Window.unboundedPreceding, -1)
-        whi = Window.partitionBy("x").orderBy("y").rowsBetween(1, Window.unboundedFollowing)
-        g = g.withColumn("lo", F.coalesce(F.sum("p").over(wlo), F.lit(0))).withColumn(
-            "hi", F.coalesce(F.sum("p").over(whi), F.lit(0)))
-        s = g.agg(F.sum(F.col("n") * F.col("lo")).alias("conc"), F.sum(F.col("n") * F.col("hi")).alias("disc"),
-                  F.sum("n").alias("n"))
-        tx = cells.groupBy("x").agg(F.sum("n").alias("t")).agg(F.sum(F.col("t") * (F.col("t") - 1) / 2.0).alias("t"))
-        ty = cells.groupBy("y").agg(F.sum("n").alias("u")).agg(F.sum(F.col("u") * (F.col("u") - 1) / 2.0).alias("u"))
-        n0 = F.col("n") * (F.col("n") - 1) / 2.0
-        tau = F.try_divide((F.col("conc") - F.col("disc")).cast("double"),
-                           F.sqrt((n0 - tx.scalar()) * (n0 - ty.scalar())))
-        one = s.select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), tau.alias("kendall_tau"))
+        path = scratch_path(df.sparkSession, "kendall")
+        t.groupBy("x", "y").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+        cells = df.sparkSession.read.parquet(path)
+        blocks = max(1, math.ceil(cells.count() ** (1 / 3)))
+        (bx, one_x), (by, one_y) = _axis_blocks(cells, "x", blocks), _axis_blocks(cells, "y", blocks)
+        cells = cells.select("x", "y", "n", bx.cast("double").alias("bx"), by.cast("double").alias("by"),
+                             one_x.alias("one_x"), one_y.alias("one_y"))
+        grid = cells.groupBy("bx", "by").agg(F.sum("n").cast("double").alias("n"))
+        rows = grid.agg(F.collect_set("by")).scalar()  # block numbers of one axis
+        whole = grid.select("bx").distinct().select("bx", F.explode(rows).alias("by"))
+        whole = whole.join(grid, ["bx", "by"], "left").fillna(0.0, ["n"])
+        left = Window.partitionBy("by").orderBy("bx").rowsBetween(Window.unboundedPreceding, -1)
+        whole = whole.withColumn("p", F.coalesce(F.sum("n").over(left), F.lit(0.0)))  # counts in x blocks further left
+        under = Window.partitionBy("bx").orderBy("by").rowsBetween(Window.unboundedPreceding, -1)
+        over = Window.partitionBy("bx").orderBy("by").rowsBetween(1, Window.unboundedFollowing)
+        signed = F.col("n") * (F.coalesce(F.sum("p").over(under), F.lit(0.0)) - F.coalesce(F.sum("p").over(over), F.lit(0.0)))
+        parts = whole.select(signed.alias("s"))
+        parts = parts.union(cells.where(~F.col("one_x")).groupBy("bx").applyInPandas(_signed_pairs_of("x"), "s double"))
+        parts = parts.union(cells.where(~F.col("one_y")).groupBy("by", "bx", "y").agg(F.sum("n").alias("n")).groupBy("by")
+                            .applyInPandas(_signed_pairs_of("bx"), "s double"))
+        ties = lambda axis: scalar_row(cells.groupBy(axis).agg(F.sum("n").cast("double").alias("t")).agg(
+            F.sum(F.col("t") * (F.col("t") - 1) / 2.0).alias("t"), F.sum("t").alias("n")))
+        tx, ty = ties("x"), ties("y")
+        n0 = tx.getField("n") * (tx.getField("n") - 1) / 2.0
+        tau = F.try_divide(F.col("s"), F.sqrt((n0 - tx.getField("t")) * (n0 - ty.getField("t"))))
+        one = parts.agg(F.sum("s").alias("s")).select(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), tau.alias("kendall_tau"))
         out = one if out is None else out.unionByName(one)
     return out

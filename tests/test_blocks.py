@@ -99,3 +99,26 @@ def test_normal_cdf_array():
     want = np.array([normal_cdf(v) for v in x])
     assert np.max(np.abs(normal_cdf_array(x) / want - 1)) < 1e-9
     assert np.isnan(normal_cdf_array(np.array([np.nan]))).all()
+
+
+def test_kendall_is_exact_beyond_two_hundred_levels(spark):
+    import random
+
+    from tabscope.operators.association import corr_kendall
+    rng = random.Random(2)
+    rows = []
+    for i in range(700):
+        x = float(rng.randrange(500)) if i % 3 else 7.0  # a third of the rows share a value
+        rows.append((x, x * 0.5 + rng.randrange(300), float(rng.randrange(3)) if i % 50 else None))
+    got = {(r.feature_a, r.feature_b): r.kendall_tau for r in corr_kendall(spark.createDataFrame(rows, "a double, b double, c double"), ["a", "b", "c"]).collect()}
+    for (p, i), (q, j) in ((("a", 0), ("b", 1)), (("a", 0), ("c", 2)), (("b", 1), ("c", 2))):
+        v = [(r[i], r[j]) for r in rows if r[i] is not None and r[j] is not None]
+        s = tx = ty = 0
+        for m in range(len(v)):
+            for k in range(m):
+                dx, dy = v[m][0] - v[k][0], v[m][1] - v[k][1]
+                s += (dx * dy > 0) - (dx * dy < 0)
+                tx += dx == 0
+                ty += dy == 0
+        n0 = len(v) * (len(v) - 1) / 2
+        assert abs(got[p, q] - s / ((n0 - tx) * (n0 - ty)) ** 0.5) < 1e-9
