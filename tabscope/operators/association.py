@@ -220,6 +220,45 @@ def chi2_independence(df: DataFrame, cols: Sequence[str], target: str) -> DataFr
     return chi.select(F.col("a_name").alias("feature"), "n", "dof", "chi2")
 
 
+# ------------------------------------------------------------ p-values (one row per feature reaches the functions)
+def _verdict(p: Column, alpha: float) -> Column:
+    return F.when(p < alpha, "reject").when(p.isNotNull(), "keep")
+
+
+def chi2_pvalues(df: DataFrame, cols: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:
+    """Chi-square with its upper-tail p-value; ``reject`` independence under ``alpha``."""
+    from tabscope.functions.special import chi2_sf_udf
+    x = chi2_independence(df, cols, target)
+    x = x.withColumn("p_value", F.when((F.col("dof") > 0) & F.col("chi2").isNotNull(), chi2_sf_udf(F.col("chi2"), F.col("dof").cast("double"))))
+    return x.withColumn("independence", _verdict(F.col("p_value"), alpha))
+
+
+def anova_pvalues(df: DataFrame, features: Sequence[str], target: str, alpha: float = 0.05) -> DataFrame:
+    """One-way ANOVA F with its upper-tail p-value; ``reject`` equal means under ``alpha``."""
+    from tabscope.functions.special import f_sf_udf
+    x = anova_f(df, features, target)
+    ok = F.col("f_stat").isNotNull() & (F.col("df_between") > 0) & (F.col("df_within") > 0)
+    x = x.withColumn("p_value", F.when(ok, f_sf_udf(F.col("f_stat"), F.col("df_between").cast("double"), F.col("df_within").cast("double"))))
+    return x.withColumn("equal_means", _verdict(F.col("p_value"), alpha))
+
+
+def ks_pvalues(train: DataFrame, test: DataFrame, features: Sequence[str], alpha: float = 0.05) -> DataFrame:
+    """Two-sample KS with its asymptotic p-value; ``reject`` equal distributions under ``alpha``."""
+    from tabscope.functions.special import ks_pvalue_udf
+    x = ks_2samp(train, test, features)
+    x = x.withColumn("p_value", ks_pvalue_udf(F.col("ks_stat"), F.col("n_train").cast("double"), F.col("n_test").cast("double")))
+    return x.withColumn("same_distribution", _verdict(F.col("p_value"), alpha))
+
+
+def mcar_summary(df: DataFrame, features: Sequence[str], missing_cols: Sequence[str], alpha: float = 0.05) -> DataFrame:
+    """Missing completely at random, Little-style: the sum of squared Welch t over all pairs against chi-square with
+    as many degrees of freedom; ``reject`` under ``alpha``."""
+    from tabscope.functions.special import chi2_sf_udf
+    x = mcar_test(df, features, missing_cols).agg(F.sum(F.col("t_stat") ** 2).alias("stat"), F.count("t_stat").alias("dof"))
+    x = x.withColumn("p_value", F.when(F.col("dof") > 0, chi2_sf_udf(F.col("stat"), F.col("dof").cast("double"))))
+    return x.withColumn("mcar", _verdict(F.col("p_value"), alpha))
+
+
 # ------------------------------------------------------------ group moments
 def anova_f(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """One-way ANOVA F per numeric from per-class n / mean / variance."""
@@ -665,6 +704,13 @@ def linear_residuals(df: DataFrame, x: str, y: str) -> DataFrame:
                   F.stddev_samp(res).alias("resid_std"), F.max(F.abs(res)).alias("resid_max_abs"))
 
 
+def residual_feature(df: DataFrame, x: str, y: str, name: str | None = None) -> DataFrame:
+    """Residual of the least-squares line y = a + b x as a column (fit in one aggregate; null where x or y is)."""
+    fit = scalar_row(df.agg(F.regr_slope(col(y), col(x)).alias("b"), F.regr_intercept(col(y), col(x)).alias("a")))
+    value = col(y).cast("double") - (fit.getField("a") + fit.getField("b") * col(x).cast("double"))
+    return df.withColumn(name or f"{y}_resid_{x}", value)
+
+
 def _signed_pairs(x: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
     """Weighted concordant minus discordant pairs of cells (x, y) with counts n, in O(m log m): y ranks are split bit by
     bit from the top, and two cells are compared at the bit where their ranks first differ."""

@@ -194,11 +194,27 @@ def acf(series: DataFrame, nlags: int = 40) -> DataFrame:
     s = s.select("c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, nlags + 1)])
     agg = s.agg(F.sum(F.col("c") * F.col("c")).alias("den"), F.count(F.lit(1)).alias("n"),
                 *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, nlags + 1)])
-    rows = F.array(*[F.struct(F.lit(k).alias("lag"), (F.coalesce(F.col(f"s{k}"), F.lit(0.0)) / F.col("den")).alias("acf"))
+    rows = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.coalesce(F.col(f"s{k}"), F.lit(0.0)), F.col("den")).alias("acf"))
                      for k in range(1, nlags + 1)])
     return agg.select(F.inline(rows), "n").where(F.col("lag") < F.col("n")).drop("n")
 
 
+def pacf(series: DataFrame, nlags: int = 20) -> DataFrame:
+    """Partial autocorrelation to ``nlags`` by the Durbin-Levinson recursion over the (nlags) autocorrelations."""
+    r = {row["lag"]: row["acf"] for row in acf(series, nlags).collect() if row["acf"] is not None}
+    rows, phi = [], []
+    for k in range(1, max(r, default=0) + 1):
+        if k not in r:
+            break
+        den = 1.0 - sum(p * r[j + 1] for j, p in enumerate(phi))
+        if abs(den) < 1e-12:
+            break
+        last = (r[k] - sum(p * r[k - 1 - j] for j, p in enumerate(phi))) / den
+        phi = [p - last * q for p, q in zip(phi, phi[::-1], strict=True)] + [last]
+        rows.append((k, float(last)))
+    return series.sparkSession.createDataFrame(rows, "lag int, pacf double")
+
+
 def date_span(df: DataFrame, cols: Sequence[str], days: int = 100) -> DataFrame:
     """Min / max date and span; span > 100 days suggests checking trend / seasonality."""
     out = per_feature(df, cols, lambda i, f: {"first": F.date_format(F.min(col(f)), "yyyy-MM-dd"),

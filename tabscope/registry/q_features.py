@@ -418,6 +418,12 @@ def acf(spark, sf):
     return S.acf(S.daily_series(table(spark, sf, "events"), "ts", "value", "avg"), 40)
 
 
+@register("pacf", rows_only=True)
+def pacf(spark, sf):
+    """Partial autocorrelation of the daily means (Durbin-Levinson)."""
+    return S.pacf(S.daily_series(table(spark, sf, "events"), "ts", "value", "avg"), 20)
+
+
 @register("date_span",
           "SELECT 'ts' AS feature, strftime(min(ts), '%Y-%m-%d') AS first, strftime(max(ts), '%Y-%m-%d') AS last, "
           "datediff('day', min(ts), max(ts))::BIGINT AS span_days, CAST(datediff('day', min(ts), max(ts)) > 100 AS INTEGER) "

@@ -559,6 +559,38 @@ def linear_residuals(spark, sf):
     return A.linear_residuals(li(spark, sf), "l_quantity", "l_extendedprice")
 
 
+@register("residual_feature",
+          "SELECT l_orderkey, l_linenumber, l_extendedprice - (f.i + f.s * l_quantity) AS resid FROM lineitem, "
+          "(SELECT regr_slope(l_extendedprice, l_quantity) AS s, regr_intercept(l_extendedprice, l_quantity) AS i FROM lineitem) f",
+          dbl=["resid"], digits=6)
+def residual_feature(spark, sf):
+    """Residual of price on quantity as a column."""
+    return A.residual_feature(li(spark, sf).select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"),
+                              "l_quantity", "l_extendedprice", "resid").select("l_orderkey", "l_linenumber", "resid")
+
+
+# ------------------------------------------------------------ p-values (no SQL form; golden values in the tests)
+@register("chi2_pvalues", rows_only=True)
+def chi2_pvalues(spark, sf):
+    return A.chi2_pvalues(li_nulls(spark, sf), ["l_linestatus", "l_discount", "l_tax", "l_linenumber"], "l_returnflag")
+
+
+@register("anova_pvalues", rows_only=True)
+def anova_pvalues(spark, sf):
+    return A.anova_pvalues(li(spark, sf), LI_NUM, "l_returnflag")
+
+
+@register("ks_pvalues", rows_only=True)
+def ks_pvalues(spark, sf):
+    return A.ks_pvalues(li_train(spark, sf), li_test_drift(spark, sf), LI_NUM)
+
+
+@register("mcar_summary", rows_only=True)
+def mcar_summary(spark, sf):
+    return A.mcar_summary(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                          ["l_quantity", "l_discount", "l_tax"])
+
+
 # ------------------------------------------------------------ distribution diagnostics (rows-only)
 @register("normality_ad", rows_only=True)
 def normality_ad(spark, sf):

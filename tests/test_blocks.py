@@ -122,3 +122,55 @@ def test_kendall_is_exact_beyond_two_hundred_levels(spark):
                 ty += dy == 0
         n0 = len(v) * (len(v) - 1) / 2
         assert abs(got[p, q] - s / ((n0 - tx) * (n0 - ty)) ** 0.5) < 1e-9
+
+
+def test_p_values_against_known_ones(spark):
+    """Golden values: published chi-square and F tables, the KS limit distribution."""
+    from tabscope.functions.special import chi2_sf, f_sf, kolmogorov_sf
+    from tabscope.operators import association as a
+    assert abs(chi2_sf(3.841459, 1) - 0.05) < 1e-6 and abs(chi2_sf(18.307038, 10) - 0.05) < 1e-6
+    assert abs(f_sf(4.964603, 1, 10) - 0.05) < 1e-6 and abs(f_sf(3.098391, 3, 20) - 0.05) < 1e-6
+    assert abs(kolmogorov_sf(1.3581 / (1e8 / 2) ** 0.5, 1e8, 1e8) - 0.05) < 1e-4
+    rows = [("a" if i % 2 else "b", "x" if i % 2 or i % 6 == 0 else "y", float(i % 2) * 5 + i % 7, 1.0) for i in range(120)]
+    df = spark.createDataFrame(rows, "t string, c string, v double, k double")
+    chi = a.chi2_pvalues(df, ["c"], "t").first()
+    assert chi.p_value < 1e-6 and chi.independence == "reject" and abs(chi.p_value - chi2_sf(chi.chi2, chi.dof)) < 1e-12
+    got = {r.feature: r for r in a.anova_pvalues(df, ["v", "k"], "t").collect()}
+    assert got["v"].equal_means == "reject" and got["k"].p_value is None
+    same, other = df, df.withColumn("v", df.v + 3)
+    assert a.ks_pvalues(same, same, ["v"]).first().p_value == 1.0
+    assert a.ks_pvalues(same, other, ["v"]).first().same_distribution == "reject"
+    miss = df.selectExpr("if(t = 'a' and v > 6, null, k) as m", "v")
+    assert a.mcar_summary(miss, ["v"], ["m"]).first().mcar == "reject"
+
+
+def test_pacf_of_a_first_order_process(spark):
+    import datetime
+    import random
+
+    from tabscope.operators.series import acf, pacf
+    rng, y, rows = random.Random(1), 0.0, []
+    for i in range(900):
+        y = 0.7 * y + rng.gauss(0, 1)
+        rows.append((datetime.date(2020, 1, 1) + datetime.timedelta(days=i), y))
+    s = spark.createDataFrame(rows, "day date, y double")
+    got = {r.lag: r.pacf for r in pacf(s, 5).collect()}
+    r = {x.lag: x.acf for x in acf(s, 2).collect()}
+    assert abs(got[1] - r[1]) < 1e-12 and abs(got[1] - 0.7) < 0.1
+    assert abs(got[2] - (r[2] - r[1] ** 2) / (1 - r[1] ** 2)) < 1e-9 and all(abs(got[k]) < 0.12 for k in (2, 3, 4, 5))
+
+
+def test_rows_only_statistics_are_sound(spark):
+    """Values, not only row counts, of keys without SQL."""
+    from __spark_entry__ import queries
+    q, sf = queries(), "/root/testdata/sf0.001"
+    for k in ("chi2_pvalues", "anova_pvalues", "ks_pvalues", "mcar_summary"):
+        got = q[k](spark, sf).collect()
+        assert got and all(r.p_value is None or 0 <= r.p_value <= 1 for r in got), k
+    auc = q["adversarial_auc"](spark, sf).first().auc
+    assert 0.4 < auc <= 1.0
+    top = q["tree_importance"](spark, sf).collect()
+    assert abs(sum(r.importance for r in top) - 1) < 1e-6
+    forest = q["isolation_forest"](spark, sf).collect()
+    share = sum(r.outlier for r in forest) / len(forest)
+    assert all(0 < r.score < 1 for r in forest) and 0.04 < share < 0.07
