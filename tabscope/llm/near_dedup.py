@@ -5,14 +5,16 @@ Words are the runs of ``[^\\x20\\x09-\\x0D]`` of the text with A-Z in lower case
 
 1. One Arrow pass makes each document's set size, set key (128 bits) and bottom-k sketch.  Documents with equal
    sets form a class; everything after works on classes, so a group of copies costs one row.
-2. The retained values form inverted lists.  Two classes at Jaccard 0.75 share at least ``need`` retained values
-   (exact where the sets fit into the sketch; else six standard deviations under the mean of the shared part), so
-   it suffices to list each class under its rarest ``k - need + 1`` values: values that very many classes hold
-   drop out unless a document has little else.
+2. The retained values form inverted lists.  Two classes at Jaccard 0.75 share at least ``need`` retained values:
+   exactly so where any partner's set fits into the sketch, else with the mean of the shared part of a union
+   sketch less 5.5 standard deviations (of draws without replacement, so the bound tightens for sets not much
+   larger than the sketch).  It suffices to list each class under its rarest ``k - need + 1`` values: values that
+   very many classes hold drop out unless a document has little else.
 3. Lists generate overlaps without all pairs of a list.  In the first rounds every member meets its list's hub (a
    pseudo-random member, another one for each list); the best pair of each class is verified, then the others that
-   still lie in different components.  The last round joins, list by list, the members outside the list's
-   largest component with the other members, as pairs inside one component add nothing to the result.
+   still lie in different components.  In the last round each list that still mixes components sends its members
+   outside the largest one to that component's cluster; outsiders and cluster meet in blocks of bounded size, and
+   only links come out.
 4. The sketch of the union estimates the Jaccard similarity and filters; the exact one on whole sets decides.
 5. Components come from alternating star contractions over the verified links.
 
@@ -34,9 +36,12 @@ from pyspark.sql import functions as F
 from tabscope.llm.common import LOWER, SPACE, U64, PrefixHash, forget, mix, narrow, stored, stored_at, text_chunks, word_spans
 
 WORDS = 5
-SKETCH = 64
-#: Retained values that two sets at Jaccard 0.75 share at least, when they are larger than the sketch.
-NEED = 27
+SKETCH = 128
+#: Members and shingles of a block in the last round (about, but for a single larger set), and shingles of one slice
+#: of its matrices.
+BLOCK, BLOCK_SHINGLES, SLICE = 512, 1 << 18, 4096
+#: Standard deviations under the mean at which the bound on shared retained values lies.
+SIGMAS = 5.5
 MULTIPLIERS = [U64((2 * i + 1) * 0xC2B2AE3D27D4EB4F % (1 << 64)) for i in range(1, 12)]
 
 
@@ -60,10 +65,10 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, words: int = WORDS) -> It
         if b - a >= words:
             yield np.unique(grams[a:b - words + 1])
         elif b > a:
-            whole = U64(b - a)
+            whole = np.array([b - a], U64)
             for i in range(a, b):
-                whole = mix(np.array([whole * MULTIPLIERS[7] + h[i]], U64))[0]
-            yield np.array([whole >> U64(1)], np.int64)
+                whole = mix(whole * MULTIPLIERS[7] + h[i:i + 1])
+            yield (whole >> U64(1)).astype(np.int64)
         else:
             yield np.zeros(0, np.int64)
 
@@ -136,15 +141,23 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         edges.select("v", "v").distinct())
 
 
-def _lists(classes: DataFrame, similarity: int, need: int, k: int) -> DataFrame:
+def _need(n: str, similarity: int, k: int) -> Column:
+    """Retained values that a set of this size shares at least with any set at the similarity."""
+    p = similarity / 100
+    spread = F.sqrt(F.lit(k * p * (1 - p)) * (1 - F.lit(k * p) / F.col(n)))
+    return F.when(F.col(n) * 100 <= k * similarity, F.floor((F.col(n) * similarity + 99) / 100)).otherwise(
+        F.greatest(F.floor(F.lit(k * p) - SIGMAS * spread), F.lit(1))).cast("int")
+
+
+def _lists(classes: DataFrame, similarity: int, k: int) -> DataFrame:
     """``(v, class, n)``: each class under its rarest retained values, as many as a link can't miss."""
     posts = classes.select("class", "n", F.size("sketch").alias("held"), F.explode("sketch").alias("v"))
     common = posts.groupBy("v").agg(F.count("*").alias("c")).where("c > 1")
     live = posts.join(common, "v")
     rank = F.row_number().over(Window.partitionBy("class").orderBy("c", "v"))
     alone = F.col("held") - F.count("*").over(Window.partitionBy("class"))
-    least = F.when(F.col("n") * 100 <= k * similarity, F.floor((F.col("n") * similarity + 99) / 100)).otherwise(F.lit(need))
-    return live.withColumn("at", rank + alone).where(F.col("at") <= F.col("held") - least + 1).select("v", "class", "n")
+    return live.withColumn("at", rank + alone).where(
+        F.col("at") <= F.col("held") - _need("n", similarity, k) + 1).select("v", "class", "n")
 
 
 def _alike_in_size(n: str, m: str, similarity: int) -> Column:
@@ -158,21 +171,70 @@ def _hub_pairs(lists: DataFrame, similarity: int) -> DataFrame:
     return met.select(F.least("class", "hub").alias("a"), F.greatest("class", "hub").alias("b")).distinct()
 
 
-def _rest_pairs(lists: DataFrame, label: DataFrame, similarity: int) -> DataFrame:
-    """Pairs of a list that lie in different components: members outside its largest component with the others."""
-    part = lists.join(label.withColumnRenamed("node", "class"), "class", "left").withColumn(
+def _mixed_lists(lists: DataFrame, label: DataFrame) -> DataFrame:
+    """``(class, n, label, big)``: members of lists that hold more than one component, with the list's largest one."""
+    part = lists.select("v", "class", "n").join(label.withColumnRenamed("node", "class"), "class", "left").withColumn(
         "label", F.coalesce("label", "class"))
-    sizes = part.groupBy("v", "label").agg(F.count("*").alias("c")).groupBy("v").agg(
-        F.count("*").alias("labels"), F.max(F.struct("c", "label"))["label"].alias("big"))
-    part = stored(part.join(sizes.where("labels > 1"), "v"), "mixed")
-    few = part.where("label <> big").select("v", F.col("class").alias("x"), F.col("n").alias("nx"), F.col("label").alias("lx"))
-    met = few.join(part, "v").where(
-        ((F.col("label") == F.col("big")) | ((F.col("x") < F.col("class")) & (F.col("lx") != F.col("label"))))
-        & _alike_in_size("n", "nx", similarity))
-    return met.select(F.least("class", "x").alias("a"), F.greatest("class", "x").alias("b")).distinct()
+    size = label.groupBy("label").agg(F.count("*").alias("size"))
+    there = part.select("v", "label").distinct().join(size, "label", "left").groupBy("v").agg(
+        F.count("*").alias("labels"), F.max(F.struct(F.coalesce("size", F.lit(1)), "label"))["label"].alias("big"))
+    return part.join(there.where("labels > 1"), "v").select("class", "n", "label", "big").distinct()
+
+
+def _block_links(similarity: int):
+    """Links between the outsiders and the whole cluster of one pair of blocks, by products of their incidence
+    matrices over the shingles that both sides hold (in slices, so memory is bounded by the block size)."""
+    def run(t: pa.Table) -> pa.Table:
+        out = np.asarray(t["side"].to_numpy(zero_copy_only=False), bool)
+        name, label = t["class"].to_pylist(), t["label"].to_pylist()
+        sets = t["shingles"].combine_chunks() if isinstance(t["shingles"], pa.ChunkedArray) else t["shingles"]
+        size = sets.value_lengths().to_numpy()
+        value = sets.flatten().to_numpy()
+        row = np.repeat(np.arange(len(size)), size)
+        x, y = np.flatnonzero(out), np.flatnonzero(~out)
+        both = np.intersect1d(value[out[row]], value[~out[row]])
+        at = np.searchsorted(both, value)
+        at[at == len(both)] = 0
+        held = both[at] == value if len(both) else np.zeros(len(value), bool)
+        row, at = row[held], at[held]
+        place = np.zeros(len(size), int)
+        place[x], place[y] = np.arange(len(x)), np.arange(len(y))
+        hits = np.zeros((len(x), len(y)), np.float32)
+        for low in range(0, len(both), SLICE):
+            now = (at >= low) & (at < low + SLICE)
+            r, c = row[now], at[now] - low
+            a, b = np.zeros((len(x), SLICE), np.float32), np.zeros((len(y), SLICE), np.float32)
+            a[place[r[out[r]]], c[out[r]]] = 1
+            b[place[r[~out[r]]], c[~out[r]]] = 1
+            hits += a @ b.T
+        union = size[x][:, None] + size[y][None, :] - hits
+        i, j = np.nonzero((hits > 0) & (hits * 100 >= union * similarity))
+        found = [(name[x[p]], name[y[q]]) for p, q in zip(i.tolist(), j.tolist(), strict=True) if label[x[p]] != label[y[q]]]
+        return pa.table({"a": pa.array([f[0] for f in found], pa.binary()), "b": pa.array([f[1] for f in found], pa.binary())})
+    return run
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, similarity: int, k: int, need: int) -> DataFrame:
+def _rest_links(mixed: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
+    """Links between components.  Any pair of a list that lies in two components has a member outside the list's
+    largest component, and the other one is inside it or outside as well: so, for each such component, its
+    outsiders meet its cluster (members and outsiders), block by block."""
+    def blocks(members: str, shingles: str) -> Column:
+        return F.greatest(F.ceil(F.col(members) / BLOCK), F.ceil(F.col(shingles) / BLOCK_SHINGLES), F.lit(1)).cast("long")
+    outside = F.col("label") != F.col("big")
+    counts = mixed.groupBy("big").agg(
+        F.count("*").alias("all"), F.sum("n").alias("all_n"), F.count_if(outside).alias("outs"),
+        F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("outs_n"))
+    counts = counts.where("outs > 0").select("big", blocks("outs", "outs_n").alias("ob"), blocks("all", "all_n").alias("ab"))
+    ob, ab = F.col("ob"), F.col("ab")
+    x = mixed.join(counts, "big").join(sets, "class").withColumn("o", F.xxhash64("class", F.lit(1)))
+    outs = x.where("label <> big").select("big", F.pmod("o", ob).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), ab - 1)).alias("j"),
+                                          "class", "label", "shingles", F.lit(True).alias("side"))
+    cluster = x.select("big", F.explode(F.sequence(F.lit(0).cast("long"), ob - 1)).alias("i"), F.pmod("o", ab).alias("j"),
+                       "class", "label", "shingles", F.lit(False).alias("side"))
+    return outs.union(cluster).groupBy("big", "i", "j").applyInArrow(_block_links(similarity), "a binary, b binary")
+
+
+def _estimated(pairs: DataFrame, classes: DataFrame, similarity: int, k: int) -> DataFrame:
     """Keeps the pairs whose union sketch allows the similarity; ``exact`` where both sketches are whole sets."""
     one = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
     two = classes.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
@@ -182,6 +244,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, similarity: int, k: int, ne
     x = x.withColumn("exact", (F.col("na") <= k) & (F.col("nb") <= k)).withColumn(
         "hits", F.when(F.col("exact"), F.size(both)).otherwise(F.size(F.array_intersect(both, union))))
     whole = F.col("hits") * 100 >= (F.col("na") + F.col("nb") - F.col("hits")) * similarity
+    need = F.least(_need("na", similarity, k), _need("nb", similarity, k))
     x = x.where(F.when(F.col("exact"), whole).otherwise(F.col("hits") >= need))
     overlap = F.when(F.col("exact"), F.col("hits") / (F.col("na") + F.col("nb") - F.col("hits"))).otherwise(F.col("hits") / k)
     return x.select("a", "b", "exact", overlap.alias("overlap"))
@@ -216,18 +279,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for documents ``(doc_id, text)``; ``similarity`` in percent.
-
-    Sets that fit into the sketch take their bound from the set's own size, the others from ``k`` (see NEED)."""
+    """``(doc_id, n_shingles, component_id, kept)`` for documents ``(doc_id, text)``; ``similarity`` in percent."""
     docs = narrow(docs, "doc_id", "text")
-    need = round(NEED * k / SKETCH)
     sk = stored(docs.mapInArrow(_sketches(k, words), "doc_id long, n_shingles long, class binary, sketch array<long>"),
                 "sketches")
     classes = stored(sk.where("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
-    lists = stored(_lists(classes, similarity, need, k), "lists")
+    lists = stored(_lists(classes, similarity, k), "lists")
 
-    hub_pairs = stored(_estimated(_hub_pairs(lists, similarity), classes, similarity, k, need), "pairs")
+    hub_pairs = stored(_estimated(_hub_pairs(lists, similarity), classes, similarity, k), "pairs")
     sets = _whole_sets(_ends(hub_pairs), docs, sk, words)
     ends = hub_pairs.union(hub_pairs.select("b", "a", "exact", "overlap"))
     best = ends.groupBy("a").agg(F.max(F.struct("overlap", "b", "exact")).alias("m")).select(
@@ -238,12 +298,11 @@ def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k
     if not others.isEmpty():
         links = stored(links.union(_verified(others, sets, similarity)), "links")
         label = components(links)
-    rest = _rest_pairs(lists, label, similarity).join(hub_pairs.select("a", "b"), ["a", "b"], "left_anti")
-    rest = stored(_estimated(rest, classes, similarity, k, need), "rest")
-    if not rest.isEmpty():
-        more = _ends(rest).join(sets.select("class"), "class", "left_anti")
+    mixed = stored(_mixed_lists(lists, label), "mixed")
+    if not mixed.isEmpty():
+        more = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
         sets = sets.union(_whole_sets(more, docs, sk, words))
-        label = components(links.union(_verified(rest.select("a", "b", "exact"), sets, similarity)))
+        label = components(links.union(_rest_links(mixed, sets, similarity)))
 
     rep = sk.select("doc_id", "n_shingles", "class").join(label.withColumnRenamed("node", "class"), "class", "left").select(
         "doc_id", "n_shingles", F.coalesce("label", "class").alias("label"))
