@@ -73,9 +73,11 @@ def template_table(spark: SparkSession, phrases: dict[str, str], notices: dict[s
         .withColumn("h", F.xxhash64("gram"))
 
 
-def _grams(k: int) -> Column:
-    """Structs (pos, gram, h) of the rolling k-grams of the array ``words``."""
+def _grams(k: int, first: list[str]) -> Column:
+    """Structs (pos, gram, k) of the rolling k-grams of the array ``words``; those whose first word begins no
+    template's k-gram can't join and aren't made."""
     starts = F.when(F.size("words") >= k, F.sequence(F.lit(0), F.size("words") - k)).otherwise(F.array().cast("array<int>"))
+    starts = F.filter(starts, lambda p: F.get(F.col("words"), p).isin(first))
 
     def gram(p):
         text = F.concat_ws(" ", F.slice(F.col("words"), p + 1, k))
@@ -90,7 +92,9 @@ def hits(docs: DataFrame, phrases: dict[str, str] = PHRASES, notices: dict[str,
     words = F.filter(F.split(ascii_lower(F.coalesce("text", F.lit(""))), GAP), lambda w: w != "")
     own = F.array(F.struct(F.size("words").alias("pos"), F.lit("").alias("gram"), F.lit(0).alias("k")))
     x = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words.alias("words"))
-    x = x.select("doc_id", "text_hash", F.inline(F.concat(own, _grams(2), _grams(3)))).withColumn("h", F.xxhash64("gram"))
+    first = [sorted({w for t in texts for w in words_of(t)[:len(words_of(t)) - k + 1]}) for texts, k in ((phrases, 2), (notices, 3))]
+    grams = [_grams(k, f) for f, k in zip(first, (2, 3), strict=True) if f]
+    x = x.select("doc_id", "text_hash", F.inline(F.concat(own, *grams))).withColumn("h", F.xxhash64("gram"))
     t = F.broadcast(template_table(docs.sparkSession, phrases, notices)).withColumnsRenamed({"gram": "_gram", "h": "_h", "k": "_k"})
     same = (F.col("h") == F.col("_h")) & (F.col("gram") == F.col("_gram")) & (F.col("k") == F.col("_k"))
     return x.join(t, same, "left").where("template IS NOT NULL OR k = 0").select(
