@@ -6,9 +6,9 @@ Words are the runs of ``[^\\x20\\x09-\\x0D]`` of the text with A-Z in lower case
 1. One Arrow pass makes each document's set size, set key (128 bits) and bottom-k sketch.  Documents with equal
    sets form a class; everything after works on classes, so a group of copies costs one row.
 2. The retained values form inverted lists.  Two classes at Jaccard 0.75 share at least ``need`` retained values:
-   exactly so where any partner's set fits into the sketch, else with the mean of the shared part of a union
+   exactly so where their union fits into the sketch, else with the mean of the shared part of a union
    sketch less 5.5 standard deviations (of draws without replacement, so the bound tightens for sets not much
-   larger than the sketch).  It suffices to list each class under its rarest ``k - need + 1`` values: values that
+   larger than the sketch); the smaller of both where a set's size allows either.  It suffices to list each class under its rarest ``k - need + 1`` values: values that
    very many classes hold drop out unless a document has little else.
 3. Lists generate overlaps without all pairs of a list.  In the first rounds every member meets its list's hub (a
    pseudo-random member, another one for each list); the best pair of each class is verified, then the others that
@@ -142,11 +142,13 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
 
 def _need(n: str, similarity: int, k: int) -> Column:
-    """Retained values that a set of this size shares at least with any set at the similarity."""
+    """Retained values that a set of this size shares at least with any set at the similarity: the whole overlap if
+    the union has at most ``k`` values, else the draw bound; a set that allows both unions gets the smaller one."""
     p = similarity / 100
+    whole = F.floor((F.col(n) * similarity + 99) / 100)
     spread = F.sqrt(F.lit(k * p * (1 - p)) * (1 - F.lit(k * p) / F.col(n)))
-    return F.when(F.col(n) * 100 <= k * similarity, F.floor((F.col(n) * similarity + 99) / 100)).otherwise(
-        F.greatest(F.floor(F.lit(k * p) - SIGMAS * spread), F.lit(1))).cast("int")
+    return F.when(F.col(n) * 100 <= k * similarity, whole).otherwise(
+        F.greatest(F.least(whole, F.floor(F.lit(k * p) - SIGMAS * spread)), F.lit(1))).cast("int")
 
 
 def _lists(classes: DataFrame, similarity: int, k: int) -> DataFrame:

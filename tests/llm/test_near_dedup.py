@@ -46,3 +46,19 @@ def test_null_ids_repeats_and_empty(spark):
     df = spark.createDataFrame([(None, t), (3, t), (3, t), (1, None), (None, None)], s).selectExpr("*", "1 as class", "2 as v")
     got = sorted(map(tuple, near_duplicates(df).collect()), key=str)
     assert got == sorted([(None, 4, 3, True), (3, 4, 3, True), (3, 4, 3, True), (1, 0, 1, True), (None, 0, None, True)], key=str)
+
+
+def test_pairs_about_the_size_of_a_sketch(spark):
+    rows = []
+
+    def pair(one, two):
+        for words in (one, two):
+            rows.append((len(rows), " ".join(words)))
+    for n in range(97, 131):
+        for kind, edits in (("a", (n // 2,)), ("b", (n // 5, n // 2, 4 * n // 5))):
+            words = [f"{kind}{n}_{j}" for j in range(n + 4)]
+            pair(words, [f"x{n}_{j}" if j in edits else w for j, w in enumerate(words)])
+        for kind, held in (("c", -(-3 * n // 4)), ("d", -(-3 * n // 4) - 1)):  # a beginning at the threshold, one under it
+            words = [f"{kind}{n}_{j}" for j in range(n + 4)]
+            pair(words, words[:held + 4])
+    compare(spark, rows)
