@@ -19,7 +19,8 @@ Words are the runs of ``[^\\x20\\x09-\\x0D]`` of the text with A-Z in lower case
 5. Components come from alternating star contractions over the verified links.
 
 Defined cases: null or empty text and text without words has an empty set, is linked with nothing and is its own
-component.  A null ``doc_id`` stays (kept is true), its component is the smallest doc_id of its group, or null.
+component.  A null ``doc_id`` has kept true, its component is the smallest doc_id of its group, or null; ``keep_one``
+takes such a row only if no row of its group has a doc_id, and then one of them.
 Repeated rows are copies of each other.  Rows that repeat a doc_id with other text are judged by their own text.
 An empty table gives an empty result.  Other columns are ignored.
 """
@@ -92,9 +93,9 @@ def _sketches(k: int, words: int):
             if sizes:
                 at = np.concatenate([[0], np.cumsum([len(s) for s in sketches])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
+                    [b.column(0), b.column(2), pa.array(sizes, pa.int64()), pa.array(keys, pa.binary()),
                      pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(sketches), pa.int64()))],
-                    names=["doc_id", "n_shingles", "class", "sketch"])
+                    names=["doc_id", "text_hash", "n_shingles", "class", "sketch"])
     return run
 
 
@@ -280,11 +281,12 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return pairs.where("exact").select("a", "b").union(x.select("a", "b"))
 
 
-def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k: int = SKETCH) -> DataFrame:
-    """``(doc_id, n_shingles, component_id, kept)`` for documents ``(doc_id, text)``; ``similarity`` in percent."""
+def _groups(docs: DataFrame, similarity: int = 75, words: int = WORDS, k: int = SKETCH) -> DataFrame:
+    """``(doc_id, text_hash, n_shingles, label)`` for documents ``(doc_id, text)``: the label names the component, null
+    for the empty set."""
     docs = narrow(docs, "doc_id", "text")
-    sk = stored(docs.mapInArrow(_sketches(k, words), "doc_id long, n_shingles long, class binary, sketch array<long>"),
-                "sketches")
+    sk = stored(docs.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sketches(k, words), "doc_id long, text_hash long, n_shingles long, class binary, sketch array<long>"), "sketches")
     classes = stored(sk.where("n_shingles > 0").groupBy("class").agg(
         F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes")
     lists = stored(_lists(classes, similarity, k), "lists")
@@ -306,8 +308,14 @@ def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k
         sets = sets.union(_whole_sets(more, docs, sk, words))
         label = components(links.union(_rest_links(mixed, sets, similarity)))
 
-    rep = sk.select("doc_id", "n_shingles", "class").join(label.withColumnRenamed("node", "class"), "class", "left").select(
-        "doc_id", "n_shingles", F.coalesce("label", "class").alias("label"))
+    return sk.select("doc_id", "text_hash", "n_shingles", "class").join(
+        label.withColumnRenamed("node", "class"), "class", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.coalesce("label", "class").alias("label"))
+
+
+def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k: int = SKETCH) -> DataFrame:
+    """``(doc_id, n_shingles, component_id, kept)`` for documents ``(doc_id, text)``; ``similarity`` in percent."""
+    rep = _groups(docs, similarity, words, k).select("doc_id", "n_shingles", "label")
     first = rep.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = rep.join(first, "label", "left")
     comp = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
@@ -316,8 +324,15 @@ def near_duplicates(docs: DataFrame, similarity: int = 75, words: int = WORDS, k
 
 
 def keep_one(docs: DataFrame, **params) -> DataFrame:
-    """The documents that are the first of their group, all columns as they were; of rows that repeat doc_id and
-    text, one stays."""
-    kept = near_duplicates(docs, **params).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"])).drop("_kept_id")
-    return joined.where("doc_id is not null").dropDuplicates(["doc_id", "text"]).union(joined.where("doc_id is null"))
+    """One document of each group, all columns as they were: the first by doc_id (nulls last), then by a hash of the
+    text; of rows that repeat its doc_id and text, one stays.  Documents without words are in no group: all stay, but
+    for rows that repeat a doc_id and text (a null doc_id repeats none)."""
+    rep = _groups(docs, **params)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("first")
+    kept = rep.where("label is not null").groupBy("label").agg(first).select(
+        F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_text"), F.lit(False).alias("_bare"))
+    kept = kept.union(rep.where("label is null").select("doc_id", "text_hash", F.lit(True)).distinct())
+    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs["text"]) == kept["_kept_text"]))
+    bare = F.col("doc_id").isNull() & F.col("_bare")
+    return joined.where(~bare).dropDuplicates(["doc_id", "text"]).union(joined.where(bare)).drop(
+        "_kept_id", "_kept_text", "_bare")

@@ -2,7 +2,7 @@ import random
 
 from brute import SF, near_dup_rows
 
-from tabscope.llm.near_dedup import near_duplicates
+from tabscope.llm.near_dedup import keep_one, near_duplicates
 
 
 def compare(spark, rows, **params):
@@ -62,3 +62,20 @@ def test_pairs_about_the_size_of_a_sketch(spark):
             words = [f"{kind}{n}_{j}" for j in range(n + 4)]
             pair(words, words[:held + 4])
     compare(spark, rows)
+
+
+def test_one_of_each_group_stays_also_without_ids(spark):
+    def text(name, edits=()):
+        return " ".join(f"x{j}" if j in edits else f"{name}{j}" for j in range(60))
+    rows = [(None, text("a")), (None, text("a")), (None, text("a", (1,))), (None, text("a").upper()),  # no id in the group
+            (None, text("b")), (4, text("b", (1,))), (4, text("b", (2,))), (7, text("b")),
+            (2, text("c")), (7, text("c", (3,))), (7, text("d")), (7, text("d")),
+            (None, None), (None, None), (None, " "), (9, ""), (9, ""), (9, None)]
+    got = keep_one(spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as class", "2 as label"))
+    assert got.columns == ["doc_id", "text", "class", "label"]
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    words = sorted(d if d is not None else -1 for d, t in got if t and t.strip())
+    assert words == [-1, 2, 4, 7] and len(set(got)) == len(got) - 1  # groups a, c, b, d
+    assert (7, text("d")) in got and (2, text("c")) in got
+    bare = [(d, t) for d, t in got if not (t and t.strip())]
+    assert sorted(bare, key=str) == sorted([(None, None), (None, None), (None, " "), (9, ""), (9, None)], key=str)
