@@ -8,7 +8,8 @@ two fingerprints is the Jaccard similarity of their sets.
 
 ``near_duplicates`` compares all fingerprints: sets are partitioned by length so that only equal or neighbouring
 partitions can reach the threshold, listed under their rarest signatures, and pairs whose lengths rule out the
-threshold are pruned before the exact similarity is taken.
+threshold are pruned before the exact similarity is taken.  Members of a list meet in blocks of bounded size, out of
+which only near pairs come; no registered query calls it.
 
 Everything is DataFrame functions.  Neighbours in doc_id order are found inside blocks of ids (``BLOCK_ROWS`` rows;
 raise it for corpora of very many documents), and each block also gets the first row of the next one.
@@ -29,6 +30,8 @@ from tabscope.llm.common import narrow, stored
 CHAIN = 2
 BLOCK_ROWS = 2000
 SIMILARITY = 0.75
+#: Members and signatures of a block in which members of a list meet (about, but for a single larger set).
+LIST_BLOCK, LIST_SIGNATURES = 128, 1 << 16
 
 # Common words (antecedents) of English, German, French and Spanish.
 ANTECEDENTS = (
@@ -71,7 +74,7 @@ def name_of(set_column: str) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), s)), 16, "0") for seed in (1, 2)]))
 
 
-def likeness(a: str, b: str) -> Column:
+def likeness(a: str | Column, b: str | Column) -> Column:
     both = F.size(F.array_intersect(a, b))
     union = F.size(a) + F.size(b) - both
     return F.when(union == 0, F.lit(1.0)).otherwise(both / F.when(union > 0, union)).cast("double")
@@ -154,12 +157,41 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> tuple[Da
         F.col("at") <= F.col("n") - F.ceil(F.col("n") * similarity) + 1).where("c > 1")
     part = F.floor(F.log(F.col("n")) / F.log(F.lit(1 / similarity)) + 1e-9).cast("int")
     lists = stored(lists.select("sig", "fingerprint", "n", part.alias("part")), "lists")
-    left = lists.select("sig", F.col("fingerprint").alias("a"), F.col("n").alias("na"), F.col("part").alias("own"),
-                        F.explode(F.array("part", F.col("part") + 1)).alias("part"))
-    met = left.join(lists, ["sig", "part"]).where(
-        ((F.col("own") != F.col("part")) | (F.col("a") < F.col("fingerprint")))
-        & (F.least("na", "n") >= F.greatest("na", "n") * similarity - 1e-9))
-    pairs = met.select(F.least("a", "fingerprint").alias("a"), F.greatest("a", "fingerprint").alias("b")).distinct()
-    one, two = classes.toDF("a", "sa"), classes.toDF("b", "sb")
-    found = pairs.join(one, "a").join(two, "b").select("a", "b", likeness("sa", "sb").alias("likeness"))
-    return sets.select("doc_id", "fingerprint"), found.where(F.col("likeness") >= similarity)
+    return sets.select("doc_id", "fingerprint"), _near_pairs(lists, classes, similarity)
+
+
+def _near_pairs(lists: DataFrame, classes: DataFrame, similarity: float) -> DataFrame:
+    """Near pairs of the lists' members.  The members of a partition and of the one below meet those of the
+    partition, a block of each side at a time; a pair counts at the smallest signature that lists both."""
+    sides = lists.select("sig", "fingerprint", "n", F.col("part").alias("own"), F.explode(F.array("part", F.col("part") + 1)).alias("part"))
+    upper = F.col("own") == F.col("part")
+
+    def blocks(members: Column, signatures: Column) -> Column:
+        return F.greatest(F.ceil(members / LIST_BLOCK), F.ceil(signatures / LIST_SIGNATURES)).cast("long")
+    grid = sides.groupBy("sig", "part").agg(
+        F.count("*").alias("c"), blocks(F.count("*"), F.sum("n")).alias("rows"),
+        blocks(F.count_if(upper), F.sum(F.when(upper, F.col("n")))).alias("columns")).where("columns > 0 and c > 1").drop("c")
+    listed = lists.groupBy("fingerprint").agg(F.collect_list("sig").alias("listed"))
+    members = sides.join(grid, ["sig", "part"]).join(listed, "fingerprint").join(classes, "fingerprint")
+    members = members.withColumn("m", F.struct("fingerprint", "n", (~upper).alias("below"), "listed", "s"))
+    hashed = F.xxhash64("fingerprint")
+    one = members.select("sig", "part", F.pmod(hashed, F.col("rows")).alias("i"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.col("columns") - 1)).alias("j"), F.lit(True).alias("side"), "m")
+    two = members.where(upper).select("sig", "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)).alias("i"),
+                                      F.pmod(hashed, F.col("columns")).alias("j"), F.lit(False).alias("side"), "m")
+    met = one.union(two).groupBy("sig", "part", "i", "j").agg(
+        F.collect_list(F.when(F.col("side"), F.col("m"))).alias("x"), F.collect_list(F.when(~F.col("side"), F.col("m"))).alias("y"))
+
+    def meets(p, q):
+        return ((p["below"] | (p["fingerprint"] < q["fingerprint"]))
+                & (F.least(p["n"], q["n"]) >= F.greatest(p["n"], q["n"]) * similarity - 1e-9)
+                & (F.array_min(F.array_intersect(p["listed"], q["listed"])) == F.col("sig")))
+
+    def pair(p, q):
+        return F.struct(F.least(p["fingerprint"], q["fingerprint"]).alias("a"), F.greatest(p["fingerprint"], q["fingerprint"]).alias("b"),
+                        likeness(p["s"], q["s"]).alias("likeness"))
+
+    def near(p):
+        pairs = F.transform(F.filter("y", lambda q: meets(p, q)), lambda q: pair(p, q))
+        return F.filter(pairs, lambda r: r["likeness"] >= similarity)
+    return met.select(F.explode(F.flatten(F.transform("x", near))).alias("pair")).select("pair.a", "pair.b", "pair.likeness")

@@ -1,4 +1,6 @@
 import hashlib
+import itertools
+import random
 import re
 
 from brute import SF
@@ -69,3 +71,47 @@ def test_near_pairs_against_brute_force(spark):
     want = {(a, b): like(sets[a], sets[b]) for i, a in enumerate(names) for b in names[i + 1:]
             if sets[a] & sets[b] and like(sets[a], sets[b]) >= 0.75}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+
+
+def near_pairs(spark, rows):
+    """Near pairs as in the test above, and the most rows that a join or an aggregate of the plan made."""
+    members, pairs = fp.near_duplicates(spark.createDataFrame(rows, D))
+    got = {(r.a, r.b): r.likeness for r in pairs.collect()}
+    name = {r.doc_id: r.fingerprint for r in members.collect()}
+    sets = {name[d]: signature_set(t) for d, t in rows}
+    names = sorted(sets)
+    want = {(a, b): like(sets[a], sets[b]) for i, a in enumerate(names) for b in names[i + 1:]
+            if sets[a] & sets[b] and like(sets[a], sets[b]) >= 0.75}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
+    made, todo = [], [pairs._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        else:
+            if "Join" in kind or "Aggregate" in kind:
+                made.append(node.metrics().apply("numOutputRows").value())
+            todo.extend(node.children().apply(i) for i in range(node.children().size()))
+    return len(want), max(made)
+
+
+def test_members_of_long_lists_meet_without_all_their_pairs(spark):
+    # sets of 4 out of 12 signatures, 495 documents: long lists, no near pair
+    rows = [(i, " ".join(f"the p{j}a p{j}b" for j in c)) for i, c in enumerate(itertools.combinations(range(12), 4))]
+    found, made = near_pairs(spark, rows)
+    assert found == 0 and made < 10 * len(rows)
+
+
+def test_edited_copies_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fp, "LIST_BLOCK", 7)
+    rng = random.Random(3)
+    rows = []
+    for i in range(150):
+        chains = [f"the p{j}a p{j}b" for j in range(rng.randrange(20, 31))]
+        for _ in range(rng.randrange(4)):
+            chains[rng.randrange(len(chains))] = f"the q{rng.randrange(40)}a r"
+        rows.append((i, " ".join(chains)))
+    assert near_pairs(spark, rows)[0] > 1000
