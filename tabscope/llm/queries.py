@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators (``opN_<name>``) and their oracle SQL."""
+"""The registered queries of the operators (``opN_<name>``) and their oracle SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm import decontam, fingerprints, license_scan, mixing, near_dedup, quality, sharding, suffix_dedup, toxicity, warc
+from tabscope.llm import (decontam, fingerprints, lexical_search, license_scan, mixing, near_dedup, ngram_join, periodic_runs, quality,
+                          sharding, suffix_dedup, toxicity, warc)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -87,3 +88,28 @@ def op2_suffix_array_dedup(spark, sf):
 def op1_spotsigs_fingerprints(spark, sf):
     """SpotSigs of every text, of its edited text and of the next document."""
     return fingerprints.compared(table(spark, sf, "documents"))
+
+
+@query
+def op11_blockmax_search(spark, sf):
+    """The 50 best documents of each benchmark item by Block-Max MaxScore."""
+    return lexical_search.search(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+SQL["op11_blockmax_search"] = lexical_search.SEARCH_SQL
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    """Runs of repeated words of every text (with the planted repeats of the contract): one row per document."""
+    docs = periodic_runs.with_planted_repeats(table(spark, sf, "documents"))
+    return periodic_runs.digests(periodic_runs.runs(docs))
+
+
+@query
+def op13_parity_sketch_join(spark, sf):
+    """Documents whose 3-word shingle sets have Jaccard similarity 0.9: one row per document with its component."""
+    return ngram_join.joined(table(spark, sf, "documents"))
+
+
+SQL["op13_parity_sketch_join"] = ngram_join.components_sql(ngram_join.WORDS, ngram_join.PERCENT)

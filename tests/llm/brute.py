@@ -17,9 +17,9 @@ def shingles(text, k=5):
     return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1)))
 
 
-def near_dup_rows(rows, percent=75):
+def near_dup_rows(rows, percent=75, k=5):
     """[(doc_id, n, component)] in the order of rows [(doc_id, text)] (doc_ids distinct)."""
-    sets = [shingles(t) for _, t in rows]
+    sets = [shingles(t, k) for _, t in rows]
     parent = list(range(len(rows)))
 
     def root(i):

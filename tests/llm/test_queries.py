@@ -12,13 +12,16 @@ COLUMNS = {
     8: "doc_id held_out score predicted",
     9: "doc_id size text_crc32 law shard slot grown_shard",
     10: "doc_id n_shingles component_id kept",
+    11: "item_id rank doc_id score",
+    12: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    13: "doc_id n_shingles component_id",
 }
 
 
 def test_one_query_for_each_operator():
     from __spark_entry__ import queries
     found = sorted(int(k[2:].split("_")[0]) for k in queries() if k.startswith("op") and k[2].isdigit())
-    assert found == list(range(1, 11)) and "pipeline" in queries()
+    assert found == list(range(1, 14)) and "pipeline" in queries()
 
 
 @pytest.mark.parametrize("n", sorted(COLUMNS))
@@ -29,7 +32,7 @@ def test_query_returns_its_rows(spark, n):
     rows = df.collect()
     table, key = ("pages", "page_id") if n == 6 else ("documents", "doc_id")
     ids = sorted(r[0] for r in spark.read.parquet(f"{SF}/{table}.parquet").select(key).collect())
-    if n == 4:
+    if n in (4, 11):
         assert rows and {r.doc_id for r in rows} <= set(ids)
     else:
         assert sorted(r[key] for r in rows) == ids
