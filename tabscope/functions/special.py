@@ -132,6 +132,28 @@ def normal_cdf(x: float) -> float:
     return 0.5 * math.erfc(-x / math.sqrt(2))
 
 
+#: Fixed values (MacKinnon 1994, one series, constant): coefficients of the polynomials whose normal CDF is the p-value of
+#: a Dickey-Fuller statistic, under and above the turning point, and the range where they hold.
+ADF_SMALL = (2.1659, 1.4412, 0.038269)
+ADF_LARGE = (1.7339, 0.93202, -0.12745, -0.010368)
+ADF_TURN, ADF_LOW, ADF_HIGH = -1.61, -18.83, 2.74
+#: Fixed values (MacKinnon 2010, one series, constant): 1, 5 and 10 % critical values by powers of 1 / rows.
+ADF_CRITICAL = ((-3.43035, -6.5393, -16.786, -79.433), (-2.86154, -2.8903, -4.234, -40.040), (-2.56677, -1.5384, -2.809, 0.0))
+
+
+def adf_p_value(stat: float) -> float:
+    if stat > ADF_HIGH:
+        return 1.0
+    if stat < ADF_LOW:
+        return 0.0
+    part = ADF_SMALL if stat <= ADF_TURN else ADF_LARGE
+    return normal_cdf(sum(c * stat ** i for i, c in enumerate(part)))
+
+
+def adf_critical_values(rows: int) -> list[float]:
+    return [sum(c / rows ** i for i, c in enumerate(level)) for level in ADF_CRITICAL]
+
+
 def kolmogorov_sf(d: float, n1: float, n2: float) -> float:
     """Asymptotic two-sample KS p-value."""
     en = math.sqrt(n1 * n2 / (n1 + n2))

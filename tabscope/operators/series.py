@@ -1,20 +1,24 @@
 """Chart data, window operators (2.8) and time-series diagnostics (2.6 T44-T48).
 
-Time-series operators work on a series Spark first aggregates to one row per
-period (day), so ordered windows without a partition key see #periods rows,
-never raw events.
+Time-series operators work on a series that Spark first aggregates to one row per
+period (day).  Ordered windows run in blocks that carry the rows they need of the
+blocks next to them; no task holds a whole series.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, equal_width_bin
-from tabscope.plans.frames import per_feature, quantiles, scalar_row
+from tabscope.functions.special import adf_critical_values, adf_p_value
+from tabscope.plans.blocks import haloed, written
+from tabscope.plans.frames import bounded, per_feature, quantiles, scalar_row
 
 
 # ------------------------------------------------------------ chart data
@@ -170,30 +174,44 @@ def daily_series(df: DataFrame, ts: str, value: str | None = None, how: str = "c
     return df.groupBy(d).agg(agg.alias("y"))
 
 
+def _numbered(series: DataFrame) -> DataFrame:
+    """``day, y, t``: the place of each period from 0, by prefix sums over blocks."""
+    from tabscope.plans.frames import running_sum
+    x = series.select("day", "y", F.unix_date("day").alias("_order"), F.lit(1).alias("_one"))
+    return running_sum(x, ["_order"], "_one", out="_at").select("day", "y", (F.col("_at") - 1).alias("t"))
+
+
 def seasonal_decompose(series: DataFrame, period: int = 7) -> DataFrame:
     """Additive decomposition: centred moving average (odd period), seasonal = mean detrended
-    value per phase minus the mean over phases, residual = y - trend - seasonal."""
+    value per phase minus the mean over phases, residual = y - trend - seasonal.  The moving average runs in blocks that
+    carry half a period of their neighbours."""
     h = period // 2
-    w = Window.orderBy("day")
-    s = series.withColumn("t", F.row_number().over(w) - 1)
-    wm = Window.orderBy("t").rowsBetween(-h, h)
-    s = s.withColumn("trend", F.when(F.count("y").over(wm) == period, F.avg("y").over(wm)))
-    s = s.withColumn("phase", F.pmod(F.col("t"), F.lit(period)))
+    wm = Window.partitionBy("_block").orderBy("t").rowsBetween(-h, h)
+    s = haloed(_numbered(series), "t", h, h)
+    s = s.withColumn("trend", F.when(F.count("y").over(wm) == period, F.avg("y").over(wm))).where("not _halo")
+    s = written(s.select("day", "y", "trend", F.pmod(F.col("t"), F.lit(period)).alias("phase")), "trend")
     ph = s.groupBy("phase").agg(F.avg(F.col("y") - F.col("trend")).alias("pm"))
-    ph = ph.withColumn("seasonal", F.col("pm") - F.avg("pm").over(Window.partitionBy()))
-    out = s.join(ph.select("phase", "seasonal"), "phase")
+    ph = ph.withColumn("seasonal", F.col("pm") - scalar_row(ph.agg(F.avg("pm").alias("m")))["m"])
+    out = s.join(bounded(ph.select("phase", "seasonal")), "phase")  # a row per phase
     return out.select(F.date_format("day", "yyyy-MM-dd").alias("day"), "y", "trend", "seasonal",
                       (F.col("y") - F.col("trend") - F.col("seasonal")).alias("resid"))
 
 
+def _lagged(series: DataFrame, nlags: int, column: str = "y") -> DataFrame:
+    """``day, y, lags``: each row with its ``nlags`` earlier values, the nearest first (null before the beginning)."""
+    w = Window.partitionBy("_block").orderBy("day")
+    s = haloed(series, "day", nlags)
+    lags = F.array(*[F.lag(column, k).over(w) for k in range(1, nlags + 1)]) if nlags else F.array().cast("array<double>")
+    return s.withColumn("lags", lags).where("not _halo").drop("_block", "_halo")
+
+
 def acf(series: DataFrame, nlags: int = 40) -> DataFrame:
-    """Autocorrelation to ``nlags`` (biased estimator, as statsmodels' default)."""
-    w = Window.orderBy("day")
-    m = F.avg("y").over(Window.partitionBy())
-    s = series.withColumn("c", F.col("y") - m)
-    s = s.select("c", *[F.lag("c", k).over(w).alias(f"l{k}") for k in range(1, nlags + 1)])
-    agg = s.agg(F.sum(F.col("c") * F.col("c")).alias("den"), F.count(F.lit(1)).alias("n"),
-                *[F.sum(F.col("c") * F.col(f"l{k}")).alias(f"s{k}") for k in range(1, nlags + 1)])
+    """Autocorrelation to ``nlags`` (biased estimator, as statsmodels' default).  Blocks carry the last ``nlags``
+    values before them; the products are added up in one aggregate."""
+    mean = scalar_row(series.agg(F.avg("y").alias("m")))["m"]
+    s = _lagged(series.select("day", (F.col("y") - mean).alias("y")), nlags)
+    agg = s.agg(F.sum(F.col("y") * F.col("y")).alias("den"), F.count(F.lit(1)).alias("n"),
+                *[F.sum(F.col("y") * F.col("lags")[k - 1]).alias(f"s{k}") for k in range(1, nlags + 1)])
     rows = F.array(*[F.struct(F.lit(k).alias("lag"), F.try_divide(F.coalesce(F.col(f"s{k}"), F.lit(0.0)), F.col("den")).alias("acf"))
                      for k in range(1, nlags + 1)])
     return agg.select(F.inline(rows), "n").where(F.col("lag") < F.col("n")).drop("n")
@@ -223,18 +241,65 @@ def date_span(df: DataFrame, cols: Sequence[str], days: int = 100) -> DataFrame:
     return out.withColumn("check_trend", (F.col("span_days") > days).cast("int"))
 
 
-def dickey_fuller(series: DataFrame) -> DataFrame:
-    """Dickey-Fuller t statistic of dy_t = a + b y_{t-1} (no augmentation lags), 5 % critical value -2.86."""
-    w = Window.orderBy("day")
-    s = series.select(F.col("y"), F.lag("y").over(w).alias("y1")).where(F.col("y1").isNotNull())
-    s = s.withColumn("dy", F.col("y") - F.col("y1"))
-    fit = s.agg(F.regr_slope("dy", "y1").alias("b"), F.regr_intercept("dy", "y1").alias("a"),
-                F.regr_count("dy", "y1").alias("n"), F.regr_sxx("dy", "y1").alias("sxx"))
-    f = scalar_row(fit)
-    res = s.withColumn("_f", f).select(((F.col("dy") - F.col("_f.a") - F.col("_f.b") * F.col("y1")) ** 2).alias("r2"),
-                                       F.col("_f").alias("f"))
-    out = res.agg(F.sum("r2").alias("sse"), F.first("f").alias("f"))
-    se = F.sqrt(F.col("sse") / (F.col("f.n") - 2) / F.col("f.sxx"))
-    t = F.col("f.b") / se
-    return out.select(F.col("f.n").alias("n"), F.col("f.b").alias("gamma"), t.alias("adf_stat"),
-                      (t < -2.86).cast("int").alias("stationary_5pct"))
+def _gram(rows: DataFrame, width: int) -> np.ndarray:
+    """Sum of the outer products of array column ``z`` (``width`` numbers): tasks add up before the shuffle, a matrix of
+    parameter size reaches the driver."""
+    def run(batches):
+        g = np.zeros((width, width))
+        for b in batches:
+            z = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            g += z.T @ z
+        i, j = np.indices(g.shape)
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), pa.array(g.ravel())],
+                                         names=["i", "j", "v"])
+    out = np.zeros((width, width))
+    for r in rows.select("z").mapInArrow(run, "i int, j int, v double").groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
+        out[r.i, r.j] = r.v
+    return out
+
+
+def _ols(gram: np.ndarray, used: int) -> tuple[np.ndarray, np.ndarray, float, int]:
+    """Coefficients, inverse of the design's Gram matrix, squared errors and rows, for the last column of ``gram`` on its
+    first ``used`` ones (the first is the constant)."""
+    xx, xy = gram[:used, :used], gram[:used, -1]
+    beta = np.linalg.lstsq(xx, xy, rcond=None)[0]
+    return beta, np.linalg.pinv(xx), max(float(gram[-1, -1] - beta @ xy), 0.0), int(round(gram[0, 0]))
+
+
+def _adf_rows(series: DataFrame, lags: int, center: float) -> DataFrame:
+    """Rows ``z = [1, y[t-1], dy[t-1], ..., dy[t-lags], dy[t]]`` of all places with so many earlier differences."""
+    x = _lagged(series.select("day", (F.col("y") - center).alias("y")), lags + 1)
+    x = x.where(F.col("lags")[lags].isNotNull())
+    value = [F.col("y")] + [F.col("lags")[k] for k in range(lags + 1)]
+    diff = [value[k] - value[k + 1] for k in range(lags + 1)]
+    return x.select(F.array(F.lit(1.0), value[1], *diff[1:], diff[0]).alias("z"))
+
+
+def augmented_dickey_fuller(series: DataFrame, max_lag: int | None = None) -> DataFrame:
+    """Augmented Dickey-Fuller test with a constant: dy[t] = a + g y[t-1] + sum of b[i] dy[t-i] + e.
+
+    The number of lagged differences has the smallest AIC of all up to ``max_lag`` (12 (n / 100)^(1/4), rounded up) over
+    the rows that have ``max_lag`` of them; the test is then fitted on all rows that have as many as chosen.  Each is one
+    Gram matrix of lagged values, added up over blocks that carry the last rows of the block before.  Null values are
+    left out first.  A series too short for the test has no statistic.  Returns one row: ``n`` (rows of the last fit),
+    ``lags``, ``gamma``, ``adf_stat``, ``p_value``, critical values and ``stationary_5pct``."""
+    schema = "n long, lags int, gamma double, adf_stat double, p_value double, crit_1pct double, crit_5pct double, " \
+             "crit_10pct double, stationary_5pct int"
+    spark = series.sparkSession
+    series = written(series.where(F.col("y").isNotNull() & ~F.isnan("y")).select("day", F.col("y").cast("double").alias("y")), "adf")
+    n, center, low, high = series.agg(F.count("y"), F.avg("y"), F.min("y"), F.max("y")).first()
+    most = min(n // 2 - 2, int(np.ceil(12 * (n / 100) ** 0.25)))
+    most = most if max_lag is None else min(max_lag, n // 2 - 2)
+    if n < 6 or low == high or most < 0:
+        return spark.createDataFrame([(n, None, None, None, None, None, None, None, None)], schema)
+    gram = _gram(_adf_rows(series, most, center), most + 3)
+
+    def aic(lags):
+        _, _, sse, rows = _ols(gram, lags + 2)
+        return rows * np.log(max(sse, 1e-300) / rows) + 2 * (lags + 2)
+    lags = min(range(most + 1), key=aic)
+    beta, inverse, sse, rows = _ols(_gram(_adf_rows(series, lags, center), lags + 3), lags + 2)
+    error = np.sqrt(sse / max(rows - lags - 2, 1) * inverse[1, 1])
+    stat = float(beta[1] / error) if error > 0 else float("-inf") if beta[1] < 0 else float("inf")
+    crit = adf_critical_values(rows)
+    return spark.createDataFrame([(rows, lags, float(beta[1]), stat, adf_p_value(stat), *crit, int(stat < crit[1]))], schema)

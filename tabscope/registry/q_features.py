@@ -434,4 +434,5 @@ def date_span(spark, sf):
 
 @register("adf_stat", rows_only=True)
 def adf_stat(spark, sf):
-    return S.dickey_fuller(S.daily_series(table(spark, sf, "events"), "ts", "value", "avg"))
+    """Augmented Dickey-Fuller test of the daily means (lags by AIC, MacKinnon p-value)."""
+    return S.augmented_dickey_fuller(S.daily_series(table(spark, sf, "events"), "ts", "value", "avg"))
