@@ -140,6 +140,56 @@ def pca_variance(spark, sf):
     return M.pca_variance(li(spark, sf), _ML_NUM)
 
 
+_LOF_FEATURES = ["c_nationkey", "c_acctbal"]
+
+
+@register("lof",
+          "WITH p AS (SELECT c_custkey AS k, c_nationkey::DOUBLE AS x, c_acctbal::DOUBLE AS y FROM customer), "
+          "d AS (SELECT a.k AS a, b.k AS b, sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) AS d "
+          "FROM p a JOIN p b ON a.k <> b.k), r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY d) AS r, "
+          "count(*) OVER (PARTITION BY a) AS n FROM d), "
+          "kd AS (SELECT a, max(CASE WHEN r <= 20 THEN d END) AS kd FROM r GROUP BY a), "
+          "n AS (SELECT d.a, d.b, d.d, kd.kd FROM d JOIN kd USING (a) WHERE d.d <= kd.kd), "
+          "l AS (SELECT n.a, 1 / (avg(greatest(kd.kd, n.d)) + 1e-10) AS l FROM n JOIN kd ON kd.a = n.b GROUP BY n.a), "
+          "f AS (SELECT n.a, avg(o.l) / max(s.l) AS lof, max(n.kd) AS k_distance FROM n JOIN l o ON o.a = n.b JOIN l s ON s.a = n.a "
+          "GROUP BY n.a) SELECT a AS c_custkey, k_distance, lof, CAST(lof > (SELECT quantile_cont(lof, 0.95) FROM f) AS INTEGER) "
+          "AS outlier FROM f", dbl=["k_distance", "lof"])
+def lof(spark, sf):
+    """Local Outlier Factor of the customers by nation and balance."""
+    from tabscope.operators.neighbours import local_outlier_factor
+    return local_outlier_factor(table(spark, sf, "customer"), _LOF_FEATURES, ["c_custkey"])
+
+
+_MI_KNN = ["c_acctbal", "c_nationkey"]
+_MI_KNN_CLASS = "CASE WHEN c_acctbal > 3000 + 200 * c_nationkey THEN 'rich' ELSE c_mktsegment END"
+
+
+def _mi_knn_sql():
+    rows = " UNION ALL ".join(f"SELECT '{f}' AS feature, {_MI_KNN_CLASS} AS y, {f}::DOUBLE AS x FROM customer" for f in _MI_KNN)
+    return (f"WITH t AS (SELECT *, row_number() OVER () AS id, count(*) OVER (PARTITION BY feature, y) AS nc FROM ({rows}) q), "
+            "d AS (SELECT a.id, abs(a.x - b.x) AS d, row_number() OVER (PARTITION BY a.id ORDER BY abs(a.x - b.x)) AS r, a.nc "
+            "FROM t a JOIN t b ON a.feature = b.feature AND a.y = b.y AND a.id <> b.id), "
+            "r AS (SELECT id, max(d) AS r FROM d WHERE r <= least(3, nc - 1) GROUP BY id), "
+            "q AS (SELECT t.*, r, r <= (abs(x) + r) * pow(2.0, -50) AS tie, (abs(x) + r) * pow(2.0, -50) AS blur FROM t JOIN r USING (id)), "
+            "m AS (SELECT a.id, count(*) AS m, count(*) FILTER (b.y = a.y) AS own FROM q a JOIN q b ON a.feature = b.feature AND "
+            "(b.x = a.x OR (NOT a.tie AND b.x >= a.x - a.r + a.blur AND b.x <= a.x + a.r - a.blur)) GROUP BY a.id), "
+            "n AS (SELECT count(*) AS most FROM customer), "
+            "psi AS (SELECT 1 + i AS n, -0.57721566490153286061 + sum(CASE WHEN i > 0 THEN 1.0 / i ELSE 0 END) OVER (ORDER BY i) AS psi "
+            "FROM (SELECT unnest(range(0, (SELECT most FROM n) + 1))::DOUBLE AS i)), "
+            "v AS (SELECT feature, p1.psi - p2.psi - p3.psi AS s FROM q JOIN m USING (id) "
+            "JOIN psi p1 ON p1.n = CASE WHEN tie THEN own ELSE least(3, nc - 1) END JOIN psi p2 ON p2.n = nc JOIN psi p3 ON p3.n = m), "
+            "f AS (SELECT feature, greatest(0.0, avg(s) + (SELECT psi FROM psi WHERE psi.n = (SELECT count(*) FROM v w WHERE w.feature = "
+            "v.feature))) AS mi FROM v GROUP BY feature) "
+            "SELECT feature, mi, row_number() OVER (ORDER BY mi DESC, feature) AS rank FROM f")
+
+
+@register("mi_knn", _mi_knn_sql(), dbl=["mi"])
+def mi_knn(spark, sf):
+    """Nearest-neighbour mutual information of the customers' numbers with a class that depends on them."""
+    from tabscope.operators.neighbours import mi_knn as run
+    return run(table(spark, sf, "customer"), _MI_KNN, F.expr(_MI_KNN_CLASS))
+
+
 @register("isolation_forest", rows_only=True)
 def isolation_forest(spark, sf):
     return M.isolation_forest(li(spark, sf), _ML_NUM, ["l_orderkey", "l_linenumber"], n_trees=50)
