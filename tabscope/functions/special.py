@@ -164,6 +164,11 @@ def kolmogorov_sf(d: float, n1: float, n2: float) -> float:
     return min(max(s, 0.0), 1.0)
 
 
+def kolmogorov_sf_one(d: float, n: float) -> float:
+    """Asymptotic one-sample KS p-value."""
+    return kolmogorov_sf(d, 2 * n, 2 * n)
+
+
 def _vec(fn):
     def run(*cols: pd.Series) -> pd.Series:
         arr = [c.to_numpy(dtype=float) for c in cols]
@@ -174,6 +179,7 @@ def _vec(fn):
 chi2_sf_udf = F.pandas_udf(_vec(chi2_sf), DoubleType())
 f_sf_udf = F.pandas_udf(_vec(f_sf), DoubleType())
 t_quantile_udf = F.pandas_udf(_vec(t_quantile), DoubleType())
+ks_one_pvalue_udf = F.pandas_udf(_vec(kolmogorov_sf_one), DoubleType())
 ks_pvalue_udf = F.pandas_udf(_vec(kolmogorov_sf), DoubleType())
 _STEP, _REACH = 0.005, 37.0
 _LOG_CDF: list[np.ndarray] = []
@@ -196,6 +202,105 @@ def normal_cdf_array(x: np.ndarray) -> np.ndarray:
     return np.where(np.isnan(z), np.nan, np.minimum(out, 1.0))
 
 
+# ------------------------------------------------------------ arrays
+def digamma_array(x: np.ndarray) -> np.ndarray:
+    """Digamma of positive numbers: asymptotic series twelve places up, recurrence down."""
+    x = np.asarray(x, dtype=float)
+    y = x + 12
+    z = 1 / (y * y)
+    out = np.log(y) - 0.5 / y - z * (1 / 12 - z * (1 / 120 - z * (1 / 252 - z * (1 / 240 - z / 132))))
+    return out - sum(1 / (x + j) for j in range(12))
+
+
+def trigamma_array(x: np.ndarray) -> np.ndarray:
+    """Derivative of digamma for positive numbers."""
+    x = np.asarray(x, dtype=float)
+    y = x + 12
+    z = 1 / (y * y)
+    out = 1 / y + z / 2 + z / y * (1 / 6 - z * (1 / 30 - z * (1 / 42 - z * (1 / 30 - z * 5 / 66))))
+    return out + sum(1 / (x + j) ** 2 for j in range(12))
+
+
+def lgamma_array(x: np.ndarray) -> np.ndarray:
+    """Logarithm of gamma for positive numbers."""
+    x = np.asarray(x, dtype=float)
+    y = x + 12
+    z = 1 / (y * y)
+    out = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + (1 / 12 - z * (1 / 360 - z * (1 / 1260 - z * (1 / 1680 - z / 1188)))) / y
+    return out - np.log(np.multiply.reduce([x + j for j in range(12)]))
+
+
+def _continued(first: np.ndarray, term, most: int = 2000) -> np.ndarray:
+    """Value of a continued fraction ``first / (1 + ...)`` by Lentz's method on arrays; ``term(i)`` gives the i-th numerator
+    and denominator."""
+    tiny = 1e-300
+    h, c, d = first.copy(), first.copy(), np.zeros_like(first)
+    h[h == 0] = tiny
+    c = h.copy()
+    for i in range(1, most):
+        a, b = term(i)
+        d = b + a * d
+        d[np.abs(d) < tiny] = tiny
+        c = b + a / c
+        c[np.abs(c) < tiny] = tiny
+        d = 1 / d
+        h = h * c * d
+        if np.all(np.abs(c * d - 1) < 1e-15):
+            break
+    return h
+
+
+def gamma_cdf_array(x: np.ndarray, shape: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """CDF of the gamma distribution (regularised lower incomplete gamma): series under ``shape + 1``, continued fraction
+    above; NaN for parameters that aren't positive."""
+    x, a, s = np.broadcast_arrays(*[np.asarray(v, dtype=float) for v in (x, shape, scale)])
+    out = np.where((a > 0) & (s > 0), 0.0, np.nan)
+    todo = np.flatnonzero((a > 0) & (s > 0) & (x > 0))
+    z, a = x[todo] / s[todo], a[todo]
+    front = np.exp(a * np.log(z) - z - lgamma_array(a))
+    low = z < a + 1
+    value = np.empty(len(z))
+    t, b = z[low], a[low]
+    term = total = 1 / b if len(b) else b
+    for i in range(1, 5000):
+        term = term * t / (b + i)
+        total = total + term
+        if not len(t) or np.all(term < total * 1e-16):
+            break
+    value[low] = front[low] * total
+    t, b = z[~low], a[~low]
+    if len(t):
+        start = t + 1 - b
+        fraction = _continued(start, lambda i: (-i * (i - b), start + 2 * i))
+        value[~low] = 1 - front[~low] / fraction
+    out[todo] = np.clip(value, 0, 1)
+    return out
+
+
+def beta_cdf_array(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """CDF of the beta distribution on [0, 1]; NaN for parameters that aren't positive."""
+    x, a, b = np.broadcast_arrays(*[np.asarray(v, dtype=float) for v in (x, a, b)])
+    good = (a > 0) & (b > 0)
+    out = np.where(good, np.where(x >= 1, 1.0, 0.0), np.nan)
+    todo = np.flatnonzero(good & (x > 0) & (x < 1))
+    z, p, q = x[todo], a[todo], b[todo]
+    turn = z > (p + 1) / (p + q + 2)  # the fraction converges fast on the other side
+    z, p, q = np.where(turn, 1 - z, z), np.where(turn, q, p), np.where(turn, p, q)
+    front = np.exp(p * np.log(z) + q * np.log1p(-z) + lgamma_array(p + q) - lgamma_array(p) - lgamma_array(q)) / p
+
+    def term(i):
+        m = i // 2
+        if i % 2:
+            return -(p + m) * (p + q + m) * z / ((p + 2 * m) * (p + 2 * m + 1)), np.ones_like(z)
+        return m * (q - m) * z / ((p + 2 * m - 1) * (p + 2 * m)), np.ones_like(z)
+    value = front / _continued(np.ones_like(z), term) if len(z) else z
+    out[todo] = np.clip(np.where(turn, 1 - value, value), 0, 1)
+    return out
+
+
+gamma_cdf_udf = F.pandas_udf(lambda x, a, s: pd.Series(gamma_cdf_array(x.to_numpy(float), a.to_numpy(float), s.to_numpy(float))), DoubleType())
+beta_cdf_udf = F.pandas_udf(lambda x, a, b: pd.Series(beta_cdf_array(x.to_numpy(float), a.to_numpy(float), b.to_numpy(float))), DoubleType())
+
 normal_cdf_udf = F.pandas_udf(lambda s: pd.Series(normal_cdf_array(s.to_numpy(dtype=float))), DoubleType())
 
 
