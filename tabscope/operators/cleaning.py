@@ -5,8 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, pearson
@@ -168,6 +171,60 @@ def sample_n(df: DataFrame, n: int, key_cols: Sequence[str], seed: int = 42) ->
     return df.orderBy(F.xxhash64(F.lit(seed), *[col(c) for c in key_cols])).limit(n)
 
 
+#: Rows that one multinomial draw covers; the draws above it are binomial splits.
+BOOTSTRAP_LEAF = 4096
+
+
+def leaf_copies(rows: int, draws: int, leaf: int, seed: int) -> np.ndarray:
+    """How often each row of a leaf (rows ``leaf * BOOTSTRAP_LEAF`` and on) comes in ``draws`` draws with replacement out
+    of ``rows`` rows.
+
+    The draws split over the halves of a binary tree by conditional binomials and inside a leaf by a multinomial; every
+    node has a random stream of its own, so all tasks agree on the splits above their leaves and nothing is left over."""
+    low, high, left = 0, -(-rows // BOOTSTRAP_LEAF), draws
+    while high - low > 1:
+        mid = (low + high) // 2
+        here, part = min(high * BOOTSTRAP_LEAF, rows) - low * BOOTSTRAP_LEAF, (mid - low) * BOOTSTRAP_LEAF
+        first = int(np.random.default_rng([seed, low, high]).binomial(left, part / here))
+        low, high, left = (low, mid, first) if leaf < mid else (mid, high, left - first)
+    size = min(BOOTSTRAP_LEAF, rows - leaf * BOOTSTRAP_LEAF)
+    return np.random.default_rng([seed, leaf, leaf + 1]).multinomial(left, np.full(size, 1 / size))
+
+
+def bootstrap_counts(df: DataFrame, key_cols: Sequence[str], n: int | None = None, seed: int = 42,
+                     name: str = "copies") -> DataFrame:
+    """``df`` with the number of times that a sample of ``n`` rows (all, if not given) with replacement takes each row.
+
+    The counts are exactly multinomial and add up to ``n``; no row is copied.  Rows are numbered in the order of a seeded
+    hash of the keys (a range-partitioned sort, stored), so the same table and seed give the same sample whatever its
+    partitioning and under retries.  Rows of equal keys are exchangeable."""
+    from tabscope.plans.frames import positions
+    total = df.count()
+    draws = total if n is None else n
+    if not total:
+        return df.withColumn(name, F.lit(0).cast("long"))
+    x = positions(df, [F.xxhash64(F.lit(seed), *[col(c) for c in key_cols])], name="_position")
+
+    def run(batches):
+        for b in batches:
+            at = b.column(b.schema.get_field_index("_position")).to_numpy()
+            out = np.empty(len(at), np.int64)
+            leaf = at // BOOTSTRAP_LEAF
+            for one in np.unique(leaf).tolist():
+                here = leaf == one
+                out[here] = leaf_copies(total, draws, one, seed)[at[here] % BOOTSTRAP_LEAF]
+            keep = [i for i, f in enumerate(b.schema.names) if f != "_position"]
+            yield pa.RecordBatch.from_arrays([*[b.column(i) for i in keep], pa.array(out)], names=[*[b.schema.names[i] for i in keep], name])
+    schema = T.StructType([*[f for f in x.schema.fields if f.name != "_position"], T.StructField(name, T.LongType())])
+    return x.mapInArrow(run, schema)
+
+
+def bootstrap_rows(df: DataFrame, key_cols: Sequence[str], n: int | None = None, seed: int = 42) -> DataFrame:
+    """The sampled rows themselves, each as often as it was drawn, with ``draw`` from 1."""
+    x = bootstrap_counts(df, key_cols, n, seed, "_copies").where("_copies > 0")
+    return x.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("draw")).drop("_copies")
+
+
 def bootstrap_weights(df: DataFrame, rounds: int, seed: int = 42) -> DataFrame:
     """Poisson(1) multiplicity per row and replica, i.e. B bootstrap samples in one pass
     (``rep``, ``w`` columns; rows with w = 0 are dropped)."""

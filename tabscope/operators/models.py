@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col
+from tabscope.plans.blocks import written
 
 
 # ------------------------------------------------------------ metrics
@@ -82,14 +83,46 @@ def _forest(num_trees: int, depth: int, seed: int, max_bins: int = 64):
                                   featuresCol="features", labelCol="label")
 
 
-def tree_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
-                    num_trees: int = 50, depth: int = 6, seed: int = 42) -> DataFrame:
-    """M2: gain importance of a random forest (multiclass-capable; Spark GBT is binary only)."""
-    data, names = _assemble(df, numeric, categorical, target, "string")
-    model = _forest(num_trees, depth, seed).fit(data)
-    imp = model.featureImportances.toArray().tolist()
-    rows = [(n, float(v)) for n, v in zip(names, imp)]
-    out = df.sparkSession.createDataFrame(rows, "feature string, importance double")
+#: Folds that are fitted at the same time.
+PARALLEL = 4
+
+
+def _over_folds(data: DataFrame, folds: int, work, parallel: int = PARALLEL) -> list:
+    """``work(fold, training rows, validation rows)`` for every fold, a few at a time, over one stored table with
+    ``_fold``; the fits are Spark jobs of their own, which share the cluster as those of ``CrossValidator`` do."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    data = written(data, "folds")
+
+    @inheritable_thread_target(data.sparkSession)
+    def one(k: int):
+        return work(k, data.where(F.col("_fold") != k), data.where(F.col("_fold") == k))
+    pool = ThreadPool(max(1, min(parallel, folds)))
+    try:
+        return pool.map(one, range(folds))
+    finally:
+        pool.close()
+
+
+def tree_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, folds: int = 5,
+                    num_trees: int = 50, depth: int = 6, boosting_steps: int = 20, learning_rate: float = 0.05,
+                    seed: int = 42) -> DataFrame:
+    """M2: gain importance as mean and deviation over stratified folds.  Two classes are fitted by boosted trees
+    (``boosting_steps`` of depth 4 at most), more classes by a random forest (Spark's boosting knows two classes)."""
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+    data, names = _assemble(_folded(df, target, folds, seed), numeric, categorical, target, "string")
+    data = data.select("features", "label", "_fold")
+    two = data.agg(F.max("label")).first()[0] == 1
+
+    def fit(k, train, _):
+        est = GBTClassifier(maxIter=boosting_steps, maxDepth=min(depth, 4), stepSize=learning_rate, seed=seed + k, maxBins=64,
+                            featuresCol="features", labelCol="label") if two else _forest(num_trees, depth, seed + k)
+        return est.fit(train).featureImportances.toArray()
+    gains = np.array(_over_folds(data, folds, fit))
+    rows = [(n, float(m), float(s)) for n, m, s in zip(names, gains.mean(axis=0), gains.std(axis=0, ddof=1 if folds > 1 else 0))]
+    out = df.sparkSession.createDataFrame(rows, "feature string, importance double, importance_std double")
     w = Window.orderBy(F.col("importance").desc(), F.col("feature"))
     return out.withColumn("rank", F.row_number().over(w).cast("bigint"))
 
@@ -119,8 +152,8 @@ def null_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence
 
     def mean_importance(rows: DataFrame, run: int) -> np.ndarray:
         data, _ = _assemble(_folded(rows, target, folds, seed), numeric, categorical, target, "string")
-        fits = [_forest(num_trees, depth, seed + run * folds + k).fit(data.where(F.col("_fold") != k)) for k in range(folds)]
-        return np.mean([m.featureImportances.toArray() for m in fits], axis=0)
+        return np.mean(_over_folds(data.select("features", "label", "_fold"), folds, lambda k, train, _: _forest(
+            num_trees, depth, seed + run * folds + k).fit(train).featureImportances.toArray()), axis=0)
     names = [*numeric, *categorical]
     actual = mean_importance(df, 0)
     arr = np.array([mean_importance(permute_column(df, target, key_cols, seed + 101 * (s + 1)), s + 1) for s in range(shuffles)])
@@ -142,13 +175,12 @@ def null_importance_score(t: DataFrame) -> DataFrame:
 def adversarial_auc(train: DataFrame, test: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
                     num_trees: int = 30, depth: int = 5, seed: int = 42) -> DataFrame:
     """M4: classifier separating train from test rows; AUC near .5 means no covariate shift.
-    Scored on a hash-held-out 30 % of the union."""
+    Scored on a held-out 30 % of the union, chosen by a hash of the features: equal rows go to one side."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     feats = list(numeric) + list(categorical)
     u = train.select(*feats).withColumn("is_test", F.lit(0)).unionByName(test.select(*feats).withColumn("is_test", F.lit(1)))
     data, _ = _assemble(u, numeric, categorical, "is_test", "numeric")
-    h = F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in feats], F.monotonically_increasing_id()), F.lit(10))
-    data = data.withColumn("_fold", h)
+    data = data.withColumn("_fold", F.pmod(F.xxhash64(F.lit(seed), *[col(c) for c in feats], "is_test"), F.lit(10)))
     model = _forest(num_trees, depth, seed).fit(data.where(F.col("_fold") >= 3))
     scored = model.transform(data.where(F.col("_fold") < 3))
     auc = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction", metricName="areaUnderROC").evaluate(scored)
@@ -162,18 +194,29 @@ def _folded(df: DataFrame, target: str, folds: int, seed: int) -> DataFrame:
 
 
 def quick_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, folds: int = 5,
-                seed: int = 42) -> DataFrame:
-    """M6: accuracy of a forest baseline over the stratified folds of M1."""
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    data, _ = _assemble(_folded(df, target, folds, seed), numeric, categorical, target, "string")
-    ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
-    rows = []
-    for k in range(folds):
-        m = _forest(30, 5, seed + k).fit(data.where(F.col("_fold") != k))
-        rows.append((k, float(ev.evaluate(m.transform(data.where(F.col("_fold") == k))))))
-    out = df.sparkSession.createDataFrame(rows, "fold int, accuracy double")
-    return out.agg(F.avg("accuracy").alias("cv_accuracy"), F.stddev_samp("accuracy").alias("cv_std"),
-                   F.count(F.lit(1)).alias("folds"))
+                regression: bool = False, seed: int = 42) -> DataFrame:
+    """M6: a forest baseline over folds: accuracy of a class (stratified folds of M1), or R2 of a number
+    (``regression``; folds of rows in hash order).  Rows without a target are left out."""
+    from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
+    from pyspark.ml.regression import RandomForestRegressor
+    if regression:
+        from tabscope.plans.frames import positions
+        rows = df.where(col(target).isNotNull() & ~F.isnan(col(target).cast("double")))
+        rows = positions(rows, [F.xxhash64(F.lit(seed), *[col(c) for c in rows.columns])], name="_at")
+        rows = rows.withColumn("_fold", F.pmod("_at", F.lit(folds)).cast("int")).drop("_at")
+        data, _ = _assemble(rows, numeric, categorical, target, "number")
+        score = RegressionEvaluator(labelCol="label", predictionCol="prediction", metricName="r2")
+    else:
+        data, _ = _assemble(_folded(df, target, folds, seed), numeric, categorical, target, "string")
+        score = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+
+    def fit(k, train, valid):
+        est = RandomForestRegressor(numTrees=30, maxDepth=5, seed=seed + k, maxBins=64) if regression else _forest(30, 5, seed + k)
+        return k, float(score.evaluate(est.fit(train).transform(valid)))
+    name = "r2" if regression else "accuracy"
+    rows = _over_folds(data.select("features", "label", "_fold"), folds, fit)
+    return df.sparkSession.createDataFrame(rows, f"fold int, {name} double").agg(
+        F.avg(name).alias(f"cv_{name}"), F.stddev_samp(name).alias("cv_std"), F.count(F.lit(1)).alias("folds"))
 
 
 def permutation_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
@@ -320,9 +363,10 @@ def variant_benchmark(df: DataFrame, variants: dict, target: str, folds: int = 5
         data, _ = _assemble(_folded(fn(df), target, folds, seed), numeric, categorical, target, "string")
         models = {"random_forest": _forest(num_trees, depth, seed),
                   "logistic": LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)}
+        data = data.select("features", "label", "_fold")
         for mname, est in models.items():
-            for k in range(folds):
-                m = est.fit(data.where(F.col("_fold") != k))
-                got = classification_metrics(m.transform(data.where(F.col("_fold") == k)), "label", "prediction").first()
+            def fit(k, train, valid, est=est):
+                return k, classification_metrics(est.fit(train).transform(valid), "label", "prediction").first()
+            for k, got in _over_folds(data, folds, fit):
                 rows += [(name, mname, metric, k, float(got[metric])) for metric in ("accuracy", "f1_macro")]
     return df.sparkSession.createDataFrame(rows, "variant string, model string, metric string, fold int, score double")

@@ -103,7 +103,20 @@ _ML_CAT = ["l_linestatus"]
 
 @register("tree_importance", rows_only=True)
 def tree_importance(spark, sf):
-    return M.tree_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag", num_trees=20, depth=5)
+    """M2: three classes (forest), mean gain over five folds."""
+    return M.tree_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag")
+
+
+@register("boosted_importance", rows_only=True)
+def boosted_importance(spark, sf):
+    """M2: two classes (boosted trees), mean gain over five folds."""
+    return M.tree_importance(li(spark, sf).where("l_returnflag <> 'N'"), _ML_NUM, _ML_CAT, "l_returnflag")
+
+
+@register("quick_model_regression", rows_only=True)
+def quick_model_regression(spark, sf):
+    """M6: R2 of a numeric target over five folds."""
+    return M.quick_model(li(spark, sf), ["l_quantity", "l_discount", "l_tax"], _ML_CAT, "l_extendedprice", regression=True)
 
 
 @register("importance_prune", rows_only=True)
@@ -114,7 +127,7 @@ def importance_prune(spark, sf):
 @register("null_importance", rows_only=True)
 def null_importance(spark, sf):
     return M.null_importance(li(spark, sf), _ML_NUM, _ML_CAT, "l_returnflag",
-                             key_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], num_trees=10)
+                             key_cols=["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], num_trees=100)
 
 
 @register("adversarial_auc", rows_only=True)
@@ -192,7 +205,7 @@ def mi_knn(spark, sf):
 
 @register("isolation_forest", rows_only=True)
 def isolation_forest(spark, sf):
-    return M.isolation_forest(li(spark, sf), _ML_NUM, ["l_orderkey", "l_linenumber"], n_trees=50)
+    return M.isolation_forest(li(spark, sf), _ML_NUM, ["l_orderkey", "l_linenumber"])
 
 
 # ------------------------------------------------------------ advice
@@ -346,7 +359,7 @@ def variant_benchmark(spark, sf):
         "row_stats": (lambda d: FE.fe_row_stats(d, _ML_NUM), _ML_NUM + ["row_mean", "row_std", "row_min", "row_max"],
                       _ML_CAT),
     }
-    res = M.variant_benchmark(base, variants, "l_returnflag", num_trees=10, depth=4)
+    res = M.variant_benchmark(base, variants, "l_returnflag")
     piv = res.groupBy("variant", "model").pivot("metric", ["accuracy", "f1_macro"]).agg(F.avg("score"))
     best = piv.agg(F.max_by(F.struct("variant", "model"), F.col("f1_macro")).alias("b")).scalar()
     return piv.withColumn("best", ((F.col("variant") == best.getField("variant"))

@@ -180,6 +180,13 @@ def sample_n(spark, sf):
     return C.sample_n(li(spark, sf), 500, ["l_orderkey", "l_linenumber"], seed=42)
 
 
+@register("bootstrap_rows", rows_only=True)
+def bootstrap_rows(spark, sf):
+    """A bootstrap sample (with replacement) as large as the table."""
+    return C.bootstrap_rows(li(spark, sf).select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity"),
+                            ["l_orderkey", "l_linenumber", "l_partkey"])
+
+
 @register("source_split",
           "SELECT p_partkey, p_brand, p_retailprice FROM part WHERE p_partkey % 5 = 0", dbl=["p_retailprice"])
 def source_split(spark, sf):
