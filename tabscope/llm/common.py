@@ -34,20 +34,31 @@ def forget(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def narrow(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns (by position of the first match, so that extra columns with clashing names,
-    also names that differ in case, do no harm)."""
-    have = df.columns
-    at = []
+def places(df: DataFrame, *names: str) -> list[int]:
+    """Where the named columns are: the first exact match, else the first that differs in case only."""
+    have, at = df.columns, []
     for n in names:
         exact = [i for i, c in enumerate(have) if c == n]
         at.append((exact or [i for i, c in enumerate(have) if c.lower() == n.lower()])[0])
+    return at
+
+
+def narrow(df: DataFrame, *names: str) -> DataFrame:
+    """Only the named columns (by position of the first match, so that extra columns with clashing names,
+    also names that differ in case, do no harm)."""
+    have, at = df.columns, places(df, *names)
     if len(set(c.lower() for c in have)) == len(have):
         return df.select(*[F.col(f"`{have[i]}`").alias(n) for i, n in zip(at, names, strict=True)])
     return df.toDF(*[f"_{i}" for i in range(len(have))]).select(
         *[F.col(f"_{i}").alias(n) for i, n in zip(at, names, strict=True)])
 
 
+def shielded(df: DataFrame, *names: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns called ``c0``, ``c1``, ..., and what the named ones are called now: whatever columns an
+    operator adds, none has the name of a column that came along.  ``toDF(*df.columns)`` brings the names back."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))]), [f"c{i}" for i in places(df, *names)]
+
+
 def ascii_lower(c: Column) -> Column:
     """``lower`` with no character outside ASCII becoming an ASCII one (the Kelvin sign and the dotted I are
     the two whose lower case does): word boundaries and ASCII words come out as with A-Z lower-cased alone."""

@@ -27,7 +27,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import ascii_lower, narrow, stored
+from tabscope.llm.common import ascii_lower, narrow, shielded, stored
 
 WORDS = 5
 SIMILARITY = 0.75
@@ -142,5 +142,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **params) -> DataFrame:
     """The documents that hold no benchmark item, all columns as they were."""
-    bad = matches(docs, benchmark, **params).select(F.col("doc_id").alias("_bad"), F.col("text_hash").alias("_hash")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
+    x, (doc_id, text) = shielded(docs, "doc_id", "text")
+    bad = matches(docs, benchmark, **params).select(F.col("doc_id").alias("bad"), "text_hash").distinct()
+    same = F.col(doc_id).eqNullSafe(F.col("bad")) & (F.xxhash64(text) == F.col("text_hash"))
+    return x.join(bad, same, "left_anti").toDF(*docs.columns)

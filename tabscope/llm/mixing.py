@@ -22,7 +22,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import before, narrow, stored
+from tabscope.llm.common import before, narrow, shielded, stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 MOST = 3
@@ -111,15 +111,17 @@ def mixed(docs: DataFrame, weights: Column | None = None, most: int = MOST) -> D
     """The documents as the mix takes them: each as many times as it has copies, sorted by ranges of training
     position, with the columns that they came with.  Rows that repeat doc_id, source and text go together."""
     weights = repeating_weights() if weights is None else weights
-    key = docs.withColumn("_row", F.md5(F.to_json(F.struct("doc_id", "source", F.md5("text").alias("text")))))
-    sized = stored(key.select("_row", "source", word_count().alias("size"), _order().alias("o")).groupBy("_row").agg(
+    x, (doc_id, text, source) = shielded(docs, "doc_id", "text", "source")
+    key = x.withColumn("_row", F.md5(F.to_json(F.struct(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.md5(text).alias("text")))))
+    sized = key.select("_row", F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(source).alias("source"))
+    sized = stored(sized.select("_row", "source", word_count().alias("size"), _order().alias("o")).groupBy("_row").agg(
         F.first("source").alias("source"), F.first("o").alias("o"), F.sum("size").alias("size")), "sized")
     demand = F.col("before") + F.col("size") / 2
     turns = F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)
-    x = _placed(sized, weights, most).where("copies > 0").select("_row", F.explode(F.transform(
+    taken = _placed(sized, weights, most).where("copies > 0").select("_row", F.explode(F.transform(
         turns, lambda turn: _position(demand + turn * F.col("source_size")))).alias("_at"))
-    out = key.join(x, "_row").repartitionByRange("_at", "_row").sortWithinPartitions("_at", "_row")
-    return out.select(*docs.columns)
+    out = key.join(taken, "_row").repartitionByRange("_at", "_row").sortWithinPartitions("_at", "_row")
+    return out.select(*x.columns).toDF(*docs.columns)
 
 
 #: The same mix for DuckDB with the repeating constant weights 1, 2, 3.

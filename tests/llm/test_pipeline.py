@@ -48,3 +48,37 @@ def test_run_and_empty_documents(spark, tmp_path):
     for t in ("labels", "benchmark"):
         spark.read.parquet(f"{SF}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+RESERVED = ["TEXT", "_row", "_kept_id", "_kept_text", "_bare", "_hash", "_bad", "kept_id", "bare", "bad", "text_hash", "class", "label", "v", "u", "g", "o",
+            "size", "target", "copies", "before", "Source2", "_at", "c0", "c7", "id", "y", "slots", "score"]
+
+
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        want = sorted((r.doc_id, r.n_chars) for r in stage(spark, docs, SF).collect())
+        wide = docs
+        for i, extra in enumerate(RESERVED):  # all reserved names at once
+            wide = wide.selectExpr("*", f"concat('{i}-', cast(doc_id as string)) as e{i}")
+        wide = wide.toDF(*docs.columns, *RESERVED)
+        got = stage(spark, wide, SF)
+        assert got.columns == wide.columns, name
+        rows = got.collect()
+        assert sorted((r[0], r[docs.columns.index("n_chars")]) for r in rows) == want, name
+        for r in rows:
+            assert list(r)[len(docs.columns):] == [f"{i}-{r[0]}" for i in range(len(RESERVED))], name
+
+
+def test_stages_with_rows_that_have_no_id(spark):
+    base = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    texts = [r.text for r in base.collect()] * 2 + ["one and the same text of some ten words in all"] * 300 + [None] * 20
+    rows = [(None, t, "en", "web", len(t or "")) for t in texts] + [(i, t, "en", None, 0) for i, t in enumerate(texts[:20])]
+    docs = spark.createDataFrame(rows, base.schema)
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, SF)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    assert docs.count() > 0 and {"shard", "slot"} <= set(docs.columns)
