@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import LOWER, SPACE, U64, PrefixHash, mix, narrow, text_chunks, word_spans
+from tabscope.llm.common import LOWER, SPACE, U64, PrefixHash, mix, narrow, stored, text_chunks, word_spans
 
 #: Features are hashed to 2**BITS slots.
 BITS = 18
@@ -121,38 +121,72 @@ def held_out(doc_id: str = "doc_id", folds: int = 5) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``(doc_id, text, y)`` of the rows that labels may be learned from: labelled 0 or 1, not held out.  Labels
-    that differ for one doc_id count as their maximum."""
+def label_rows(labels: DataFrame, label: str) -> DataFrame:
+    """``(id, y)`` that may be learned from: labelled 0 or 1, not held out.  Labels that differ for one doc_id count as
+    their maximum."""
     y = narrow(labels, "doc_id", label).toDF("id", "y").where("y in (0, 1) and id is not null")
-    y = y.where(~held_out("id")).groupBy("id").agg(F.max("y").cast("int").alias("y"))
+    return y.where(~held_out("id")).groupBy("id").agg(F.max("y").cast("int").alias("y"))
+
+
+def labelled_texts(docs: DataFrame, picked: DataFrame) -> DataFrame:
+    """``(doc_id, text, y)`` of a sample ``(doc_id, y)``, which is small by its bound: it goes to the texts."""
     d = narrow(docs, "doc_id", "text")
-    return d.join(y, d["doc_id"] == y["id"]).select("doc_id", "text", "y")
+    picked = picked.select(F.col("doc_id").alias("id"), "y").distinct()
+    return d.join(F.broadcast(picked), d["doc_id"] == picked["id"]).select("doc_id", "text", "y")
+
+
+def _pack(slots: np.ndarray) -> bytes:
+    """Sorted distinct slots as gaps of two bytes, or four where one is wider."""
+    gaps = np.diff(slots, prepend=0)
+    wide = len(gaps) and gaps.max() >= 1 << 16
+    return bytes([4 if wide else 2]) + gaps.astype(np.uint32 if wide else np.uint16).tobytes()
+
 
+def unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.uint32 if data[0] == 4 else np.uint16, offset=1), dtype=np.int64)
+
+
+def labelled_slots(docs: DataFrame, labels: DataFrame, label: str, kernel: Kernel, bits: int = BITS) -> DataFrame:
+    """``(doc_id, y, slots)`` of the labelled rows, stored.  Texts become slots in the scan, so slots are what the join
+    with the labels moves, once."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            slots = pa.array([_pack(s) for s in rows_of(b.column(1), kernel, bits)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), slots], names=["doc_id", "slots"])
+    d, y = narrow(docs, "doc_id", "text").where("doc_id is not null"), label_rows(labels, label)
+    d = d.mapInArrow(run, "doc_id long, slots binary")
+    return stored(d.join(y, d["doc_id"] == y["id"]).select("doc_id", "y", "slots"), "labelled")
+
+
+def class_counts(rows: DataFrame, bits: int = BITS) -> DataFrame:
+    """``(f, n0, n1)``: how many of the rows ``(y, slots)`` of class 0 and of class 1 hold each feature, over all rows;
+    slot 2**bits counts the rows themselves.  Tasks count before the shuffle."""
+    def counted(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        f, n = np.unique(np.concatenate(parts), return_counts=True)  # slot * 2 + class
+        y = f & 1
+        yield pa.RecordBatch.from_arrays([pa.array(f >> 1), pa.array(np.where(y == 0, n, 0)), pa.array(np.where(y == 1, n, 0))],
+                                         names=["f", "n0", "n1"])
 
-def class_counts(rows: DataFrame, kernel: Kernel, bits: int = BITS) -> DataFrame:
-    """``(f, n0, n1)``: how many of the rows ``(text, y)`` of class 0 and of class 1 hold each feature, over all
-    rows; slot 2**bits counts the rows themselves.  Tasks count before the shuffle."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros((2, (1 << bits) + 1), np.int32)
+        parts, held = [], 0
         for b in batches:
-            for y, slots in zip(b.column(1).to_pylist(), rows_of(b.column(0), kernel, bits), strict=True):
-                n[y, slots] += 1
-                n[y, -1] += 1
-        f = np.flatnonzero(n.any(axis=0))
-        for i in range(0, len(f), 1 << 16):
-            g = f[i:i + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(g), pa.array(n[0, g], pa.int64()), pa.array(n[1, g], pa.int64())],
-                                             names=["f", "n0", "n1"])
-    return rows.select("text", "y").mapInArrow(run, "f long, n0 long, n1 long").groupBy("f").agg(
+            for y, slots in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                parts.append(np.append(unpack(slots), 1 << bits) * 2 + y)
+                held += len(parts[-1])
+                if held > 1 << 22:
+                    yield from counted(parts)
+                    parts, held = [], 0
+        if parts:
+            yield from counted(parts)
+    return rows.select("y", "slots").mapInArrow(run, "f long, n0 long, n1 long").groupBy("f").agg(
         F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
 
 
 def dense_counts(counts: DataFrame, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Counts of both classes as arrays (at most 2**bits + 1 rows reach the driver)."""
-    got = counts.toPandas()
+    got = counts.toArrow()
     out = np.zeros((2, (1 << bits) + 1))
-    f = got["f"].to_numpy().astype(np.int64)
+    f = got["f"].to_numpy()
     out[0, f], out[1, f] = got["n0"].to_numpy(), got["n1"].to_numpy()
     return out[0], out[1]
 

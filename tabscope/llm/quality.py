@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.llm import ngrams
+from tabscope.llm.common import shielded
 
 SAMPLE_ROWS = 8000
 
@@ -74,28 +75,22 @@ def dual_coordinate_descent(rows: list[np.ndarray], y: np.ndarray, ratio: np.nda
     return w, bias
 
 
-def sample_features(rows: DataFrame, kernel: ngrams.Kernel, bits: int = ngrams.BITS) -> tuple[list[np.ndarray], np.ndarray]:
+def sample_features(rows: DataFrame) -> tuple[list[np.ndarray], np.ndarray]:
     """Feature slots and labels of a bounded sample, on the driver, in the order of doc_id."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            slots = [s.astype(np.int32).tobytes() for s in ngrams.rows_of(b.column(1), kernel, bits)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(slots, pa.binary())],
-                                             names=["doc_id", "y", "slots"])
-    got = rows.select("doc_id", "text", "y").mapInArrow(run, "doc_id long, y int, slots binary").toArrow()
-    got = got.sort_by([("doc_id", "ascending")])
-    return [np.frombuffer(x.as_py(), np.int32) for x in got["slots"]], got["y"].to_numpy().astype(int)
+    got = rows.toArrow().sort_by([("doc_id", "ascending")])
+    return [ngrams.unpack(x.as_py()) for x in got["slots"]], got["y"].to_numpy().astype(int)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample_rows: int = SAMPLE_ROWS,
         cost: float = 1.0, seed: int = 17) -> NbSvm:
-    rows = ngrams.labelled(docs, labels, label)
-    n0, n1 = ngrams.dense_counts(ngrams.class_counts(rows, ngrams.shape_grams))
+    rows = ngrams.labelled_slots(docs, labels, label, ngrams.shape_grams)
+    n0, n1 = ngrams.dense_counts(ngrams.class_counts(rows))
     ratio = log_count_ratio(n0[:-1], n1[:-1])
     model = NbSvm(np.append(ratio, 0.0), np.zeros(len(ratio) + 1), 0.0)
     if not n0[-1] or not n1[-1]:
         model.slope, model.offset = 0.0, float(np.log((n1[-1] + 1) / (n0[-1] + 1)))
         return model
-    slots, y = sample_features(ngrams.sampled(rows, n0[-1], n1[-1], sample_rows, seed), ngrams.shape_grams)
+    slots, y = sample_features(ngrams.sampled(rows, n0[-1], n1[-1], sample_rows, seed))
     share = np.array([(y == 0).sum() / n0[-1], (y == 1).sum() / n1[-1]])
     weight = 1 / np.maximum(share, 1e-9)[y] if len(y) else np.zeros(0)
     learn = np.arange(len(y)) % 4 != 0  # the rest sets the curve
@@ -125,7 +120,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, label: str = "quality", thresh
     text, in the scan."""
     model = fit(docs, labels, label, **params)
     good = F.arrow_udf(_judge(model), "double")
-    return docs.where(good(F.col("text")) >= threshold)
+    x, (text,) = shielded(docs, "text")
+    return x.where(good(F.col(text)) >= threshold).toDF(*docs.columns)
 
 
 def _judge(model: NbSvm):
