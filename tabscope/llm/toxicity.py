@@ -6,12 +6,13 @@ and the squared change of the margin is penalised.  Terms that only go along wit
 of their own, and neutral mentions of a group aren't flagged.
 
 * Which words may carry weight is chosen by the contrast of their class counts over all labelled rows that aren't
-  held out (the ``features`` strongest; identity terms are always among them).
+  held out (the ``features`` strongest; identity terms are always among them).  Texts become words' slots in the scan;
+  the slots are joined with the labels once.
 * The fit takes at most about ``sample_rows`` labelled rows (a documented bound, half of each class where
-  possible): they reach the driver as feature numbers.
+  possible): their ids go to the texts, and they reach the driver as feature numbers.
 * Every whole text is scored.
 
-Defined cases: null and empty text, or text without words, has no features and gets the score of margin 0; without
+Defined cases: null and empty text, or text without words, has no features and gets the score of the bias alone; without
 labelled rows of both classes every row gets the smoothed share of label 1; an empty table gives an empty result;
 repeated rows score alike; a null doc_id is scored and is not held out.  Other columns are ignored."""
 
@@ -131,11 +132,11 @@ def fit_logistic(rows: list[np.ndarray], y: np.ndarray, weight: np.ndarray, twin
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: int = SAMPLE_ROWS,
         features: int = FEATURES, penalty: float = 4.0, groups: Sequence[Sequence[str]] = IDENTITY_TERMS,
         seed: int = 23) -> Toxicity:
-    rows = ngrams.labelled(docs, labels, label)
-    n1, n0 = (int(x or 0) for x in rows.agg(F.sum("y"), F.sum(1 - F.col("y"))).first())
+    slots = ngrams.labelled_slots(docs, labels, label, _kernel, BITS)
+    n1, n0 = (int(x or 0) for x in slots.agg(F.sum("y"), F.sum(1 - F.col("y"))).first())
     if not n0 or not n1:
         return Toxicity(np.zeros(0, int), np.zeros(0), slope=0.0, offset=float(np.log((n1 + 1) / (n0 + 1))))
-    counts = ngrams.class_counts(rows, _kernel, BITS).where(F.col("f") < 1 << BITS)
+    counts = ngrams.class_counts(slots, BITS).where(F.col("f") < 1 << BITS)
     p, q = F.col("n1") / n1, F.col("n0") / n0
     both = (F.col("n1") + F.col("n0") + 1) / (n1 + n0 + 2)
     z = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / n1 + 1 / n0))
@@ -150,7 +151,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample_rows: i
             other = pa.array([swapped(t or "", terms) for t in b.column(1).to_pylist()], pa.string())
             pack = [pa.array([f.astype(np.int32).tobytes() for f in model.picked(x)], pa.binary()) for x in (b.column(1), other)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *pack], names=["doc_id", "y", "own", "twin"])
-    got = ngrams.sampled(rows, n0, n1, sample_rows, seed).mapInArrow(run, "doc_id long, y int, own binary, twin binary").toArrow()
+    rows = ngrams.labelled_texts(docs, ngrams.sampled(slots.select("doc_id", "y"), n0, n1, sample_rows, seed))
+    got = rows.mapInArrow(run, "doc_id long, y int, own binary, twin binary").toArrow()
     got = got.sort_by([("doc_id", "ascending")])
     own, twin = ([np.frombuffer(x.as_py(), np.int32).astype(int) for x in got[c]] for c in ("own", "twin"))
     y = got["y"].to_numpy().astype(int)
