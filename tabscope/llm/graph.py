@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import forget, stored_at
+from tabscope.llm.common import forget, stored, stored_at
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -39,4 +39,17 @@ def star_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         new, new_path = stored_at(_small_star(_large_star(edges).distinct()).distinct(), "edges")
         forget(spark, path)
         edges, path = new, new_path
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct())
+    return stored(edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v").distinct()), "labels")
+
+
+def joined_components(label: DataFrame, links: DataFrame) -> DataFrame:
+    """``(node, label)`` after more links ``(a, b)`` between nodes, some of them in no component so far.  Links become
+    links of labels, so the work is that of the components that join, not of all links anew."""
+    x = links.join(label.toDF("a", "la"), "a", "left").join(label.toDF("b", "lb"), "b", "left")
+    x = stored(x.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).where("a <> b").distinct(), "links")
+    if x.isEmpty():
+        return label
+    above = star_components(x).toDF("below", "above")
+    moved = label.join(above, F.col("label") == F.col("below"), "left").select("node", F.coalesce("above", "label").alias("label"))
+    fresh = above.join(label, F.col("below") == F.col("node"), "left_anti").select("below", "above")
+    return stored(moved.union(fresh), "labels")

@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import LOWER, SPACE, U64, PrefixHash, forget, mix, narrow, stored, stored_at, text_chunks, word_spans
+from tabscope.llm.common import LOWER, SPACE, U64, PrefixHash, mix, narrow, shielded, stored, text_chunks, word_spans
+from tabscope.llm.graph import joined_components, star_components
 
 WORDS = 5
 SKETCH = 128
@@ -100,13 +101,16 @@ def _sketches(k: int, words: int):
 
 
 def _sets(words: int):
-    """Whole sets of the documents whose set key is the class that they were fetched for."""
+    """Whole sets of the documents whose set key is the class that they were fetched for, each once a task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
         for b in batches:
             for i, j, buf, offsets in text_chunks(b.column(1)):
-                wanted = b.column(0).slice(i, j - i).to_pylist()
-                got = [(c, s) for c, s in zip(wanted, shingle_sets(buf, offsets, words), strict=True)
-                       if len(s) and set_key(s) == c]
+                got = []
+                for c, s in zip(b.column(0).slice(i, j - i).to_pylist(), shingle_sets(buf, offsets, words), strict=True):
+                    if len(s) and c not in seen and set_key(s) == c:
+                        seen.add(c)
+                        got.append((c, s))
                 if got:
                     at = np.concatenate([[0], np.cumsum([len(s) for _, s in got])]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
@@ -116,30 +120,13 @@ def _sets(words: int):
     return run
 
 
-def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``(node, label)``: the smallest node of each node's connected component, by alternating large-star and
-    small-star steps; every step's edges are a stored table and the edges of hot nodes are pre-aggregated."""
-    spark = links.sparkSession
-    edges, path = stored_at(links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
-                            .where("u <> v").distinct(), "edges")
-    before = None
-    while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u")
-        small = small.select("u", F.col("m").alias("v")).union(small.select(F.col("v").alias("u"), F.col("m").alias("v")))
-        new, new_path = stored_at(small.where("u <> v").distinct(), "edges")
-        now = tuple(new.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-        forget(spark, path)
-        edges, path = new, new_path
-        if now == before:
-            break
-        before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
-        edges.select("v", "v").distinct())
+def whole_sets(wanted: DataFrame, docs: DataFrame, sk: DataFrame, words: int) -> DataFrame:
+    """``(class, shingles)`` of the wanted classes, made anew from the text of one document of each (the first by doc_id
+    and text hash: rows without doc_id meet their own class alone)."""
+    first = sk.join(wanted, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
+    first = first.select("class", F.col("f.doc_id").alias("id"), F.col("f.text_hash").alias("h"))
+    texts = docs.join(first, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("class", "text")
+    return stored(texts.mapInArrow(_sets(words), "class binary, shingles array<long>").dropDuplicates(["class"]), "sets")
 
 
 def _need(n: str, similarity: int, k: int) -> Column:
@@ -260,13 +247,6 @@ def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return x.where(F.coalesce("la", "a") != F.coalesce("lb", "b")).drop("la", "lb")
 
 
-def _whole_sets(wanted: DataFrame, docs: DataFrame, sk: DataFrame, words: int) -> DataFrame:
-    """``(class, shingles)`` of the wanted classes, made anew from the text of each one's first document."""
-    first = sk.join(wanted, "class").groupBy("class").agg(F.min("doc_id").alias("id"))
-    texts = docs.join(first, F.col("doc_id").eqNullSafe(F.col("id"))).select("class", "text")
-    return stored(texts.mapInArrow(_sets(words), "class binary, shingles array<long>"), "sets")
-
-
 def _ends(pairs: DataFrame) -> DataFrame:
     x = pairs.where("not exact")
     return x.select(F.col("a").alias("class")).union(x.select("b")).distinct()
@@ -292,21 +272,19 @@ def _groups(docs: DataFrame, similarity: int = 75, words: int = WORDS, k: int =
     lists = stored(_lists(classes, similarity, k), "lists")
 
     hub_pairs = stored(_estimated(_hub_pairs(lists, similarity), classes, similarity, k), "pairs")
-    sets = _whole_sets(_ends(hub_pairs), docs, sk, words)
+    sets = whole_sets(_ends(hub_pairs), docs, sk, words)
     ends = hub_pairs.union(hub_pairs.select("b", "a", "exact", "overlap"))
     best = ends.groupBy("a").agg(F.max(F.struct("overlap", "b", "exact")).alias("m")).select(
         F.least("a", "m.b").alias("a"), F.greatest("a", "m.b").alias("b"), "m.exact").distinct()
-    links = stored(_verified(best, sets, similarity), "links")
-    label = components(links)
+    label = star_components(stored(_verified(best, sets, similarity), "links"))
     others = stored(_across(hub_pairs.join(best, ["a", "b"], "left_anti").select("a", "b", "exact"), label), "others")
     if not others.isEmpty():
-        links = stored(links.union(_verified(others, sets, similarity)), "links")
-        label = components(links)
+        label = joined_components(label, _verified(others, sets, similarity))
     mixed = stored(_mixed_lists(lists, label), "mixed")
     if not mixed.isEmpty():
         more = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
-        sets = sets.union(_whole_sets(more, docs, sk, words))
-        label = components(links.union(_rest_links(mixed, sets, similarity)))
+        sets = sets.union(whole_sets(more, docs, sk, words))
+        label = joined_components(label, _rest_links(mixed, sets, similarity))
 
     return sk.select("doc_id", "text_hash", "n_shingles", "class").join(
         label.withColumnRenamed("node", "class"), "class", "left").select(
@@ -327,12 +305,13 @@ def keep_one(docs: DataFrame, **params) -> DataFrame:
     """One document of each group, all columns as they were: the first by doc_id (nulls last), then by a hash of the
     text; of rows that repeat its doc_id and text, one stays.  Documents without words are in no group: all stay, but
     for rows that repeat a doc_id and text (a null doc_id repeats none)."""
+    x, (doc_id, text) = shielded(docs, "doc_id", "text")
     rep = _groups(docs, **params)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "text_hash")).alias("first")
     kept = rep.where("label is not null").groupBy("label").agg(first).select(
-        F.col("first.doc_id").alias("_kept_id"), F.col("first.text_hash").alias("_kept_text"), F.lit(False).alias("_bare"))
+        F.col("first.doc_id").alias("kept_id"), F.col("first.text_hash").alias("kept_text"), F.lit(False).alias("bare"))
     kept = kept.union(rep.where("label is null").select("doc_id", "text_hash", F.lit(True)).distinct())
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept_id"]) & (F.xxhash64(docs["text"]) == kept["_kept_text"]))
-    bare = F.col("doc_id").isNull() & F.col("_bare")
-    return joined.where(~bare).dropDuplicates(["doc_id", "text"]).union(joined.where(bare)).drop(
-        "_kept_id", "_kept_text", "_bare")
+    joined = x.join(kept, F.col(doc_id).eqNullSafe(F.col("kept_id")) & (F.xxhash64(text) == F.col("kept_text")))
+    bare = F.col(doc_id).isNull() & F.col("bare")
+    out = joined.where(~bare).dropDuplicates([doc_id, text]).union(joined.where(bare))
+    return out.drop("kept_id", "kept_text", "bare").toDF(*docs.columns)

@@ -33,8 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.llm.common import U64, narrow, stored, text_chunks
-from tabscope.llm.graph import star_components
-from tabscope.llm.near_dedup import _mixed_lists, _rest_links, set_key, shingle_sets
+from tabscope.llm.graph import joined_components, star_components
+from tabscope.llm.near_dedup import _mixed_lists, _rest_links, set_key, shingle_sets, whole_sets
 
 WORDS = 3
 PERCENT = 90
@@ -106,34 +106,6 @@ def _sketches(percent: int, words: int):
     return run
 
 
-def _sets(words: int):
-    """Whole sets of the documents whose set key is the class that they were fetched for, each once a task."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = set()
-        for b in batches:
-            for i, j, buf, offsets in text_chunks(b.column(1)):
-                got = []
-                for c, s in zip(b.column(0).slice(i, j - i).to_pylist(), shingle_sets(buf, offsets, words), strict=True):
-                    if len(s) and c not in seen and set_key(s) == c:
-                        seen.add(c)
-                        got.append((c, s))
-                if got:
-                    at = np.concatenate([[0], np.cumsum([len(s) for _, s in got])]).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([c for c, _ in got], pa.binary()),
-                         pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([s for _, s in got]), pa.int64()))],
-                        names=["class", "shingles"])
-    return run
-
-
-def _whole_sets(wanted: DataFrame, docs: DataFrame, sk: DataFrame, words: int) -> DataFrame:
-    """``(class, shingles)`` of the wanted classes, from the text of one document of each."""
-    first = sk.join(wanted, "class", "left_semi").groupBy("class").agg(F.min(F.struct("doc_id", "text_hash")).alias("f"))
-    first = first.select("class", F.col("f.doc_id").alias("id"), F.col("f.text_hash").alias("h"))
-    texts = docs.join(first, (F.xxhash64("text") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("class", "text")
-    return stored(texts.mapInArrow(_sets(words), "class binary, shingles array<long>").dropDuplicates(["class"]), "sets")
-
-
 def _lists(sketches: DataFrame) -> DataFrame:
     """``(v, class, n, band)``: each class under its rarest words, as many as a link can't miss."""
     posts = sketches.select("class", "n", "band", "most", F.size("words").alias("blocks"), F.posexplode("words").alias("i", "w"))
@@ -189,19 +161,13 @@ def joined(docs: DataFrame, percent: int = PERCENT, words: int = WORDS) -> DataF
 
     pairs = stored(_near(_hub_pairs(lists, percent), sketches, percent), "pairs")
     ends = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    sets = _whole_sets(ends, docs, sk, words)
+    sets = whole_sets(ends, docs, sk, words)
     label = star_components(stored(_verified(pairs, sets, percent), "links"))
     mixed = stored(_mixed_lists(lists.select("v", "class", "n"), label), "mixed")
     if not mixed.isEmpty():
         more = mixed.select("class").distinct().join(sets.select("class"), "class", "left_anti")
-        sets = sets.union(_whole_sets(more, docs, sk, words))
-        named = mixed.select(F.col("class"), F.col("label")).distinct()
-        rest = _rest_links(mixed, sets, percent)
-        rest = rest.join(named.toDF("a", "la"), "a").join(named.toDF("b", "lb"), "b").select("la", "lb")
-        above = star_components(stored(rest.distinct(), "links"), "la", "lb").toDF("label", "above")
-        # classes outside all components so far can be linked now: they are their own label
-        label = label.join(above, "label", "left").select("node", F.coalesce("above", "label").alias("label")).union(
-            above.join(label, above["label"] == label["node"], "left_anti").select("label", "above"))
+        sets = sets.union(whole_sets(more, docs, sk, words))
+        label = joined_components(label, _rest_links(mixed, sets, percent))
 
     comp = classes.select("class", "doc_id").join(label.withColumnRenamed("node", "class"), "class", "left")
     comp = comp.withColumn("label", F.coalesce("label", "class"))
