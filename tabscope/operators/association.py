@@ -18,12 +18,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, equal_width_bin, pearson
-from tabscope.plans.frames import per_feature, quantiles, scalar_row
+from tabscope.plans.frames import per_feature, quantiles, scalar_row, with_totals
 
 MISSING = "_NA_"
 
@@ -37,13 +38,48 @@ def _nan_null(c: Column) -> Column:
 
 
 # ------------------------------------------------------------ correlation
+def moment_grid(df: DataFrame, left: Sequence[Column], right: Sequence[Column]) -> DataFrame:
+    """``(i, j, n, r)``: Pearson correlation of every left with every right expression over the rows where both have a
+    value (null and NaN have none); ``r`` is null where a side doesn't vary.
+
+    One pass multiplies matrices of values and of their presence, batch by batch, after a shift by the means; a task keeps
+    six numbers a pair whatever its rows, and no aggregate holds an expression for each pair, so hundreds of columns fit."""
+    x = df.select(*[F.nanvl(c.cast("double"), F.lit(None)).alias(f"v{k}") for k, c in enumerate([*left, *right])])
+    p, q = len(left), len(right)
+    shift = [float(v or 0.0) for v in x.agg(*[F.avg(f"v{k}") for k in range(p + q)]).first()]
+    rows = x.select(F.array(*[F.col(f"v{k}") - F.lit(s) for k, s in enumerate(shift)]).alias("z"))
+
+    def run(batches):
+        total = np.zeros((6, p, q))
+        for b in batches:
+            z = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, p + q)
+            have = ~np.isnan(z)
+            z, have = np.where(have, z, 0.0), have.astype(float)
+            a, c, m, w = z[:, :p], z[:, p:], have[:, :p], have[:, p:]
+            for k, (one, two) in enumerate(((m, w), (a, w), (m, c), (a * a, w), (m, c * c), (a, c))):
+                total[k] += one.T @ two
+        i, j = np.indices((p, q))
+        yield pa.RecordBatch.from_arrays([pa.array(i.ravel(), pa.int32()), pa.array(j.ravel(), pa.int32()), *[pa.array(t.ravel()) for t in total]],
+                                         names=["i", "j", "n", "a", "c", "aa", "cc", "ac"])
+    g = rows.mapInArrow(run, "i int, j int, n double, a double, c double, aa double, cc double, ac double")
+    g = g.groupBy("i", "j").agg(*[F.sum(k).alias(k) for k in ("n", "a", "c", "aa", "cc", "ac")])
+    n = F.col("n")
+
+    def spread(k: str, means: list[float], place: str) -> tuple[Column, Column]:
+        var = F.try_divide(F.col(k + k) - F.try_divide(F.col(k) * F.col(k), n), n)
+        return var, var > F.pow(F.get(F.array(*[F.lit(abs(s) * 1e-13) for s in means]), F.col(place)), F.lit(2.0))
+    (va, ga), (vc, gc) = spread("a", shift[:p], "i"), spread("c", shift[p:], "j")
+    cov = F.try_divide(F.col("ac") - F.try_divide(F.col("a") * F.col("c"), n), n)
+    r = F.when(ga & gc, F.greatest(F.least(F.try_divide(cov, F.sqrt(va) * F.sqrt(vc)), F.lit(1.0)), F.lit(-1.0)))
+    return g.select("i", "j", n.cast("bigint").alias("n"), r.alias("r"))
+
+
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for all pairs a<b in ONE aggregate."""
-    pairs = _pairs(list(cols))
-    agg = df.agg(*[pearson(col(a).cast("double"), col(b).cast("double")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
-    rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
-                              _nan_null(F.col(f"_r{k}")).alias("corr")) for k, (a, b) in enumerate(pairs)])
-    return agg.select(F.inline(rows)).withColumn("abs_corr", F.abs("corr"))
+    """Pairwise-complete Pearson r for all pairs a<b, from one grid of moments."""
+    x, names = [col(c) for c in cols], F.array(*[F.lit(c) for c in cols])
+    g = moment_grid(df, x, x).where("i < j")
+    return g.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"),
+                    F.col("r").alias("corr")).withColumn("abs_corr", F.abs("corr"))
 
 
 def high_corr_pairs(df: DataFrame, cols: Sequence[str], threshold: float = 0.7) -> DataFrame:
@@ -500,10 +536,9 @@ def woe_table(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     """WoE = ln(pct_non_event / pct_event) per bin/level (shares clipped at 1e-4)."""
     x = binned_long(df, numeric, categorical, y.cast("double"), bins, cfg)
     g = x.groupBy("feature", "bin").agg(F.sum("_y").alias("ev"), F.count(F.lit(1)).alias("tot"))
-    g = g.withColumn("nev", F.col("tot") - F.col("ev"))
-    wt = Window.partitionBy("feature")
-    pe = F.greatest(F.col("ev") / F.greatest(F.sum("ev").over(wt), F.lit(1.0)), F.lit(clip))
-    pn = F.greatest(F.col("nev") / F.greatest(F.sum("nev").over(wt), F.lit(1.0)), F.lit(clip))
+    g = with_totals(g.withColumn("nev", F.col("tot") - F.col("ev")), all_ev="ev", all_nev="nev")
+    pe = F.greatest(F.col("ev") / F.greatest(F.col("all_ev"), F.lit(1.0)), F.lit(clip))
+    pn = F.greatest(F.col("nev") / F.greatest(F.col("all_nev"), F.lit(1.0)), F.lit(clip))
     return g.select("feature", "bin", "tot", "ev", pe.alias("pct_event"), pn.alias("pct_non_event"),
                     F.log(pn / pe).alias("woe"), ((pn - pe) * F.log(pn / pe)).alias("iv_part"))
 
@@ -523,9 +558,8 @@ def mi_binned(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
     """Plug-in mutual information (nats) between binned feature and target."""
     x = binned_long(df, numeric, categorical, y.cast("string"), bins, cfg)
     cell = x.groupBy("feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n"))
-    wf, wb, wy = Window.partitionBy("feature"), Window.partitionBy("feature", "bin"), Window.partitionBy("feature", "_y")
-    c = cell.select("feature", "n", F.sum("n").over(wf).alias("n_tot"), F.sum("n").over(wb).alias("nb"),
-                    F.sum("n").over(wy).alias("ny"))
+    c = with_totals(cell, n_tot="n")
+    c = with_totals(with_totals(c, ["feature", "bin"], bound=False, nb="n"), ["feature", "_y"], bound=False, ny="n")
     mi = c.groupBy("feature").agg(F.sum(F.col("n") / F.col("n_tot") * F.log(F.col("n") * F.col("n_tot") / (F.col("nb") * F.col("ny"))))
                                   .alias("mi"))
     w = Window.orderBy(F.col("mi").desc(), F.col("feature"))
@@ -630,12 +664,10 @@ def leak_encoding(df: DataFrame, cols: Sequence[str], y: Column, tol: float = 0.
 
 def leak_distribution(df: DataFrame, cols: Sequence[str], target: str, atol: float = 0.001) -> DataFrame:
     """A feature whose sorted frequency vector equals the target's (atol) mirrors it."""
-    from tabscope.plans.frames import value_counts
-    vc = value_counts(df, [*cols, target])
-    w = Window.partitionBy("feature")
-    p = vc.select("feature", (F.col("n") / F.sum("n").over(w)).alias("p"))
-    # rank the shares within each feature, then compare position by position with the target's
-    r = p.withColumn("pos", F.row_number().over(Window.partitionBy("feature").orderBy("p")))
+    from tabscope.plans.frames import positions, value_counts
+    p = with_totals(value_counts(df, [*cols, target]), rows="n").select("feature", (F.col("n") / F.col("rows")).alias("p"))
+    # number the shares within each feature, then compare position by position with the target's
+    r = positions(p, [F.col("p")], by=["feature"], name="pos")
     t = r.where(F.col("feature") == target).select("pos", F.col("p").alias("tp"))
     f = r.where(F.col("feature") != target)
     n_t = t.agg(F.count(F.lit(1)).alias("k")).scalar()
@@ -676,21 +708,37 @@ def sentinel_dependency(df: DataFrame, children: Sequence[str], parents: Sequenc
                       F.col("b").alias("parent_value"), F.col("n").cast("bigint").alias("n"))
 
 
+#: Derived columns that one pass over the rows correlates with all targets.
+DERIVED_AT_ONCE = 240
+
+
+def _relations(a: str, b: str) -> list[tuple[str, str, str, Column]]:
+    x, z = col(a).cast("double"), col(b).cast("double")
+    return [("product", a, b, x * z), ("sum", a, b, x + z), ("difference", a, b, x - z),
+            ("ratio", a, b, F.try_divide(x, z)), ("ratio", b, a, F.try_divide(z, x))]
+
+
 def derived_features(df: DataFrame, numeric: Sequence[str], threshold: float = 0.95) -> DataFrame:
-    """a*b (a<b) strongly correlated with a third column c, plus the residual correlation."""
-    rows, exprs = [], []
-    k = 0
-    for a, b in _pairs(list(numeric)):
-        for c in numeric:
-            if c in (a, b):
-                continue
-            prod = col(a).cast("double") * col(b).cast("double")
-            exprs.append(pearson(prod, col(c).cast("double")).alias(f"_d{k}"))
-            rows.append(F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.lit(c).alias("target_col"),
-                                 _nan_null(F.col(f"_d{k}")).alias("corr")))
-            k += 1
-    out = df.agg(*exprs).select(F.inline(F.array(*rows)))
-    return out.where(F.abs("corr") > threshold)
+    """A third column that a product, a sum, a difference (a before b) or a ratio (either way) of two others
+    reproduces: ``(relation, feature_a, feature_b, target_col, corr)`` with |corr| above the threshold."""
+    made = [r for a, b in _pairs(list(numeric)) for r in _relations(a, b)]
+    out = None
+    for low in range(0, len(made), DERIVED_AT_ONCE):
+        part = made[low:low + DERIVED_AT_ONCE]
+        names = F.array(*[F.struct(F.lit(k).alias("relation"), F.lit(p).alias("feature_a"), F.lit(q).alias("feature_b")) for k, p, q, _ in part])
+        one = moment_grid(df, [v for *_, v in part], [col(c) for c in numeric]).select(
+            F.get(names, F.col("i")).alias("s"), F.get(F.array(*[F.lit(c) for c in numeric]), F.col("j")).alias("target_col"),
+            F.col("r").alias("corr")).select("s.*", "target_col", "corr")
+        out = one if out is None else out.union(one)
+    if out is None:
+        return df.sparkSession.createDataFrame([], "relation string, feature_a string, feature_b string, target_col string, corr double")
+    other = (F.col("target_col") != F.col("feature_a")) & (F.col("target_col") != F.col("feature_b"))
+    return out.where(other & (F.abs("corr") > threshold))
+
+
+def product_residual(df: DataFrame, a: str, b: str, c: str, name: str | None = None) -> DataFrame:
+    """FE20: what a product leaves of a third column, ``c - a * b``."""
+    return df.withColumn(name or f"{c}_minus_{a}_x_{b}", col(c).cast("double") - col(a).cast("double") * col(b).cast("double"))
 
 
 def linear_residuals(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -88,16 +88,15 @@ def prune_columns_regex(df: DataFrame, patterns: Sequence[str] = (r"^ABSOLUTE\("
 
 
 def label_encode(frames: Sequence[DataFrame], cols: Sequence[str]) -> DataFrame:
-    """FE6: code table (feature, value, code) with sorted codes fitted on the union of frames
-    (dense_rank over distinct levels; window input = distinct levels only)."""
-    from tabscope.plans.frames import value_counts
+    """FE6: code table (feature, value, code) with sorted codes fitted on the union of frames (places of the distinct
+    levels in a range-partitioned sort)."""
+    from tabscope.plans.frames import positions, value_counts
     levels = None
     for f in frames:
         v = value_counts(f, cols).select("feature", "value")
         levels = v if levels is None else levels.unionByName(v)
-    levels = levels.distinct()
-    w = Window.partitionBy("feature").orderBy("value")
-    return levels.withColumn("code", (F.dense_rank().over(w) - 1).cast("int"))
+    x = positions(levels.distinct(), [F.col("value")], by=["feature"], name="code")
+    return x.select("feature", "value", F.col("code").cast("int").alias("code"))
 
 
 def apply_codes(df: DataFrame, codes: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabscope.functions.exprs import col
-from tabscope.plans.frames import long_values, value_counts
+from tabscope.plans.frames import long_values, value_counts, with_totals
 
 
 def _null_safe_on(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> Column:
@@ -87,11 +87,9 @@ def category_overlap(train: DataFrame, test: DataFrame, cols: Sequence[str]) ->
 
 
 def _share_cube(train, test, cols):
-    cube = _side_cube(train, test, cols)
-    w = Window.partitionBy("feature")
-    return cube.select("feature", "value", "n_train", "n_test",
-                       (F.col("n_train") / F.sum("n_train").over(w)).alias("p_train"),
-                       (F.col("n_test") / F.sum("n_test").over(w)).alias("p_test"))
+    cube = with_totals(_side_cube(train, test, cols), all_train="n_train", all_test="n_test")
+    return cube.select("feature", "value", "n_train", "n_test", (F.col("n_train") / F.col("all_train")).alias("p_train"),
+                       (F.col("n_test") / F.col("all_test")).alias("p_test"))
 
 
 def cat_drift_max(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, pearson, kurt_corrected, safe_div, skew_corrected
-from tabscope.plans.frames import per_feature, quantiles, scalar_row, value_counts
+from tabscope.plans.frames import per_feature, quantiles, scalar_row, value_counts, with_totals
 
 PCT_NAMES = ("p01", "p05", "p10", "p25", "p50", "p75", "p90", "p95", "p99")
 
@@ -309,9 +309,7 @@ def near_zero_variance(df: DataFrame, cols: Sequence[str], cfg: Config = DEFAULT
 
 def category_entropy(df: DataFrame, cols: Sequence[str], low: float = 0.3) -> DataFrame:
     """Shannon entropy in bits, its maximum log2(k) and the normalised value."""
-    vc = value_counts(df, cols)
-    tot = Window.partitionBy("feature")
-    p = vc.withColumn("p", F.col("n") / F.sum("n").over(tot))
+    p = with_totals(value_counts(df, cols), rows="n").withColumn("p", F.col("n") / F.col("rows"))
     agg = p.groupBy("feature").agg((-F.sum(F.col("p") * F.log2("p"))).alias("entropy"),
                                    F.count(F.lit(1)).alias("n_levels"))
     mx = F.log2(F.col("n_levels").cast("double"))
@@ -365,8 +363,7 @@ def category_target_stats(df: DataFrame, cols: Sequence[str], y: Column) -> Data
     g = lv.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("_y").alias("target_mean"),
                                            F.stddev_samp("_y").alias("target_std"),
                                            F.sum("_y").alias("positives"))
-    tot = Window.partitionBy("feature")
-    return g.withColumn("pct", 100.0 * F.col("n") / F.sum("n").over(tot))
+    return with_totals(g, rows="n").withColumn("pct", 100.0 * F.col("n") / F.col("rows")).drop("rows")
 
 
 def crosstab(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
@@ -475,9 +472,19 @@ def default_rules(df: DataFrame) -> dict[str, Column]:
             rules[f"{f}: negative"] = col(f) < 0
         if "email" in low:
             rules[f"{f}: missing @"] = ~col(f).contains("@")
+    by_name = {f.lower(): f for f in df.columns}
+    for low, f in by_name.items():
+        end = by_name.get(low.replace("start", "end"))
+        if "start" in low and "date" in low and end:
+            rules[f"{f}: after {end}"] = _day(df, f) > _day(df, end)
     return rules
 
 
+def _day(df: DataFrame, f: str) -> Column:
+    """A date or timestamp as it is, text that reads as one parsed (null otherwise)."""
+    return F.try_to_timestamp(col(f)) if dict(df.dtypes)[f] == "string" else col(f)
+
+
 # Benford expected first-digit shares are log10(1 + 1/d), d = 1..9.
 def benford(df: DataFrame, features: Sequence[str], min_n: int = 100) -> DataFrame:
     """First significant digit counts vs Benford; chi-square statistic and mean absolute deviation."""
@@ -500,8 +507,7 @@ def benford(df: DataFrame, features: Sequence[str], min_n: int = 100) -> DataFra
 def category_compact(train: DataFrame, test: DataFrame, cols: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
     """Unique count, top share, rare (<1 %) level count and test levels unseen in train."""
     vc = value_counts(train, cols)
-    tot = Window.partitionBy("feature")
-    v = vc.withColumn("share", F.col("n") / F.sum("n").over(tot))
+    v = with_totals(vc, rows="n").withColumn("share", F.col("n") / F.col("rows"))
     a = v.groupBy("feature").agg(F.count(F.lit(1)).alias("n_unique"), F.max("share").alias("top_share"),
                                  F.count_if(F.col("share") < cfg.rare_share).alias("n_rare"))
     tv = value_counts(test, cols).select("feature", "value")

@@ -91,6 +91,14 @@ def bounded(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def with_totals(cells: DataFrame, by: Sequence[str] = ("feature",), bound: bool = True, **sums: str) -> DataFrame:
+    """``cells`` with the sums of columns over ``by`` groups (``name="column"``), by an aggregate and a join: no task
+    holds all cells of a group, as a window would make it.  ``bound`` broadcasts the totals: right for keys whose number
+    is bounded by features (and classes), not by rows."""
+    totals = cells.groupBy(*by).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return cells.join(bounded(totals) if bound else totals, list(by))
+
+
 def class_moments(df: DataFrame, features: Sequence[str], by: Sequence[str]) -> DataFrame:
     """``(by..., feature, n, mean, var, m2)`` per group in one grouped aggregate."""
     return per_feature(df, features, {

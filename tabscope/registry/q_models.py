@@ -262,26 +262,32 @@ def fe_advice(spark, sf):
     return D.fe_advice(_fe_src(spark, sf), _FE_NUM, ["c_mktsegment", "c_name_dt"])
 
 
+_TODO_SQL = ("(SELECT *, CASE WHEN l_linenumber >= 4 THEN NULL ELSE l_linenumber END AS line, exp(l_linenumber * 2.0) AS grown, "
+             f"CAST(l_orderkey AS VARCHAR) AS order_code FROM {LI_NULLS_SQL} y)")
+_TODO_NUM, _TODO_CAT = ["l_quantity", "l_discount", "l_tax", "l_extendedprice", "line", "grown"], ["l_returnflag", "order_code"]
+
+
 def _todo_sql():
-    src = LI_NULLS_SQL
-    nums = ["l_quantity", "l_discount", "l_tax", "l_extendedprice"]
+    src = _TODO_SQL
     parts = []
-    for c in nums + ["l_returnflag"]:
+    for c in _TODO_NUM + _TODO_CAT:
         parts.append(f"SELECT '{c}' AS feature, 'high missing share' AS item, 1 - count({c})::DOUBLE / count(*) AS value "
                      f"FROM {src} t HAVING 1 - count({c})::DOUBLE / count(*) > 0.2")
-    for c in nums:
+    for c in _TODO_NUM:
         n = f"count({c})::DOUBLE"
         g = f"({_g1(c, src)} * sqrt({n} * ({n} - 1)) / ({n} - 2))"
         parts.append(f"SELECT '{c}', 'few unique values', count(DISTINCT {c})::DOUBLE FROM {src} t HAVING count(DISTINCT {c}) < 5")
         parts.append(f"SELECT '{c}', 'high skew', {g} FROM {src} t HAVING count(DISTINCT {c}) >= 5 AND abs({g}) > 1.5")
-    parts.append(f"SELECT 'l_returnflag', 'too many categories', count(DISTINCT l_returnflag)::DOUBLE FROM {src} t "
-                 f"HAVING count(DISTINCT l_returnflag) > 200")
+    for c in _TODO_CAT:
+        parts.append(f"SELECT '{c}', 'too many categories', count(DISTINCT {c})::DOUBLE FROM {src} t HAVING count(DISTINCT {c}) > 200")
     return union_all(parts)
 
 
 @register("todo_basic", _todo_sql(), dbl=["value"])
 def todo_basic(spark, sf):
-    return D.todo_basic(li_nulls(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_extendedprice"], ["l_returnflag"])
+    t = li_nulls(spark, sf).withColumn("line", F.when(F.col("l_linenumber") < 4, F.col("l_linenumber"))).withColumn(
+        "grown", F.exp(F.col("l_linenumber") * 2.0)).withColumn("order_code", F.col("l_orderkey").cast("string"))
+    return D.todo_basic(t, _TODO_NUM, _TODO_CAT)
 
 
 def _quality_sql():

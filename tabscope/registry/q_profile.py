@@ -505,6 +505,16 @@ def business_rules(spark, sf):
     return P.business_rules(t, P.default_rules(t))
 
 
+@register("business_rules_dates",
+          "SELECT 'start_date: after end_date' AS rule, n_violations, 100.0 * n_violations::DOUBLE / n AS pct FROM ("
+          "SELECT count(*) FILTER (WHERE event_id % 7 < 3)::BIGINT AS n_violations, count(*) AS n FROM events) x", dbl=["pct"])
+def business_rules_dates(spark, sf):
+    """Start dates after their end dates (a date against text that reads as one)."""
+    t = table(spark, sf, "events").select(F.to_date("ts").alias("start_date"), F.date_add(F.to_date("ts"), F.when(
+        F.col("event_id") % 7 < 3, -1).otherwise(2)).cast("string").alias("end_date"))
+    return P.business_rules(t, P.default_rules(t))
+
+
 def _benford_sql(tbl, cols):
     import math
     parts = []

@@ -439,6 +439,22 @@ def simpson(spark, sf):
                      (F.col("o_totalprice") > 200000).cast("int"))
 
 
+_REVERSED_SQL = ("(SELECT *, CASE l_returnflag WHEN 'A' THEN 100.0 WHEN 'N' THEN 200.0 ELSE 300.0 END AS base, l_quantity::DOUBLE "
+                 "AS q FROM lineitem)")
+
+
+@register("simpson_reversed",
+          "SELECT g.*, a.r_global FROM (SELECT 'shifted' AS feature, 'l_returnflag' AS group_col, l_returnflag AS level, "
+          "count(*)::BIGINT AS n, corr(q + base, base - q) AS r_group "
+          f"FROM {_REVERSED_SQL} s GROUP BY 3) g, (SELECT corr(q + base, base - q) AS r_global FROM {_REVERSED_SQL} s) a "
+          "WHERE sign(r_group) <> sign(r_global) AND abs(r_group) > 0.1 AND n >= 30 AND abs(r_global) >= 0.05", dbl=["r_group", "r_global"])
+def simpson_reversed(spark, sf):
+    """Groups that lie apart, inside which the sign of the correlation is the other one."""
+    base = F.when(F.col("l_returnflag") == "A", 100.0).when(F.col("l_returnflag") == "N", 200.0).otherwise(300.0)
+    t = li(spark, sf).withColumn("base", base).withColumn("shifted", F.col("l_quantity").cast("double") + base)
+    return A.simpson(t, ["shifted"], ["l_returnflag"], F.col("base") - F.col("l_quantity").cast("double"))
+
+
 @register("subgroup_effects", union_all([
     f"SELECT CAST(o_orderpriority AS VARCHAR) AS level, '{c}' AS feature, count(*)::BIGINT AS n, avg(y) AS target_mean, "
     f"corr({c}::DOUBLE, y) AS corr FROM {_SIMP_SRC} s GROUP BY 1 HAVING count(*) >= 30" for c in ["o_custkey", "o_orderkey"]]),
@@ -531,21 +547,32 @@ def sentinel_dependency(spark, sf):
                                  ["o_orderstatus", "o_orderpriority", "sentinel"])
 
 
+_DERIVED = ["l_quantity", "l_extendedprice", "l_discount", "net_price", "unit_price"]
+_DERIVED_SQL = ("(SELECT *, l_extendedprice * (1 - l_discount) AS net_price, l_extendedprice / l_quantity AS unit_price FROM lineitem)")
+
+
 def _derived_sql():
     parts = []
-    for a, b in _pairs(NETC):
-        for c in NETC:
-            if c in (a, b):
-                continue
-            parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, '{c}' AS target_col, corr({a} * {b}, {c}) AS corr "
-                         f"FROM {NET_SQL} t")
+    for a, b in _pairs(_DERIVED):
+        for kind, p, q, value in (("product", a, b, f"{a} * {b}"), ("sum", a, b, f"{a} + {b}"), ("difference", a, b, f"{a} - {b}"),
+                                  ("ratio", a, b, f"{a} / nullif({b}, 0)"), ("ratio", b, a, f"{b} / nullif({a}, 0)")):
+            parts += [f"SELECT '{kind}' AS relation, '{p}' AS feature_a, '{q}' AS feature_b, '{c}' AS target_col, "
+                      f"corr({value}, {c}) AS corr FROM {_DERIVED_SQL} t" for c in _DERIVED if c not in (a, b)]
     return f"SELECT * FROM ({union_all(parts)}) z WHERE abs(corr) > 0.95"
 
 
 @register("derived_features", _derived_sql(), dbl=["corr"])
 def derived_features(spark, sf):
-    """Products of two columns that reproduce a third."""
-    return A.derived_features(li_net(spark, sf), NETC)
+    """Products, sums, differences and ratios of two columns that reproduce a third."""
+    return A.derived_features(li_net(spark, sf).withColumn("unit_price", F.col("l_extendedprice") / F.col("l_quantity")), _DERIVED)
+
+
+@register("product_residual", "SELECT l_orderkey, l_linenumber, l_extendedprice - l_quantity * l_discount AS resid FROM lineitem",
+          dbl=["resid"])
+def product_residual(spark, sf):
+    """FE20: c - a x b as a column."""
+    return A.product_residual(li(spark, sf), "l_quantity", "l_discount", "l_extendedprice", "resid").select(
+        "l_orderkey", "l_linenumber", "resid")
 
 
 @register("linear_residuals",

@@ -94,3 +94,13 @@ def test_adf_tables_and_short_series(spark):
         row = augmented_dickey_fuller(series_of(spark, values)).first()
         assert row.adf_stat is None and row.n == len([v for v in values if v is not None])
     assert augmented_dickey_fuller(series_of(spark, [None, *range(40), None, *range(30)])).first().n > 40
+
+
+def test_qq_points_are_exact_quantiles(spark):
+    from tabscope.operators.series import qq_points
+    rng = np.random.default_rng(6)
+    for x in (rng.normal(size=1000), np.round(rng.normal(size=700), 1), np.array([4.0]), np.array([1.0, 2.0]), np.zeros(50)):
+        got = sorted(tuple(r) for r in qq_points(spark.createDataFrame([(float(v),) for v in x], "v double"), "v", 60).collect())
+        pos = np.array([1 - 0.5 ** (1 / 60)] + [(i - 0.3175) / 60.365 for i in range(2, 60)] + [0.5 ** (1 / 60)])
+        assert [r[0] for r in got] == list(range(60)) and np.allclose([r[1] for r in got], np.quantile(x, pos), atol=1e-12)
+    assert qq_points(spark.createDataFrame([], "v double"), "v").collect() == []
