@@ -113,3 +113,5 @@ def op13_parity_sketch_join(spark, sf):
 
 
 SQL["op13_parity_sketch_join"] = ngram_join.components_sql(ngram_join.WORDS, ngram_join.PERCENT)
+SQL["op10_minhash_near_dedup"] = ("SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM ("
+                                  + ngram_join.components_sql(near_dedup.WORDS, 75) + ")")
