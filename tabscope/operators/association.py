@@ -74,8 +74,18 @@ def moment_grid(df: DataFrame, left: Sequence[Column], right: Sequence[Column])
     return g.select("i", "j", n.cast("bigint").alias("n"), r.alias("r"))
 
 
+#: Pairs that one JVM aggregate takes at most; more columns go through the grid.
+AGGREGATE_PAIRS = 64
+
+
 def corr_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Pearson r for all pairs a<b, from one grid of moments."""
+    """Pairwise-complete Pearson r for all pairs a<b: one aggregate for few columns, one grid of moments for many."""
+    pairs = _pairs(list(cols))
+    if 0 < len(pairs) <= AGGREGATE_PAIRS:
+        agg = df.agg(*[pearson(col(a).cast("double"), col(b).cast("double")).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
+        rows = F.array(*[F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"),
+                                  _nan_null(F.col(f"_r{k}")).alias("corr")) for k, (a, b) in enumerate(pairs)])
+        return agg.select(F.inline(rows)).withColumn("abs_corr", F.abs("corr"))
     x, names = [col(c) for c in cols], F.array(*[F.lit(c) for c in cols])
     g = moment_grid(df, x, x).where("i < j")
     return g.select(F.get(names, F.col("i")).alias("feature_a"), F.get(names, F.col("j")).alias("feature_b"),

@@ -36,6 +36,16 @@ def test_three_hundred_columns(spark):
     assert r["corr"] == pytest.approx(np.corrcoef(x[:, 17], x[:, 251])[0, 1])
 
 
+def test_both_routes_agree(spark, monkeypatch):
+    from tabscope.operators import association
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in rng.normal(size=(300, 4))], list("abcd"))
+    few = {(r.feature_a, r.feature_b): r["corr"] for r in corr_pairs(df, df.columns).collect()}
+    monkeypatch.setattr(association, "AGGREGATE_PAIRS", 0)
+    many = {(r.feature_a, r.feature_b): r["corr"] for r in corr_pairs(df, df.columns).collect()}
+    assert few.keys() == many.keys() and all(few[k] == pytest.approx(many[k], abs=1e-12) for k in few)
+
+
 def test_derived_relations(spark):
     rng = np.random.default_rng(3)
     a, b = rng.uniform(1, 2, 500), rng.uniform(1, 9, 500)
