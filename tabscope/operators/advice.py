@@ -38,26 +38,26 @@ def fe_advice(df: DataFrame, nums: Sequence[str], cats: Sequence[str], corr_hi:
         return {"nu": F.count_distinct(col(f)), "n": F.count(x), "sk": F.skewness(x), "ku": F.kurtosis(x)}
     st = per_feature(df, nums, make)
     rules = [
-        st.where(F.col("nu") < 5).select("feature", F.lit("convert to categorical").alias("suggestion"),
+        st.where(F.col("nu") < 5).select("feature", F.lit("few levels: treat as a category").alias("suggestion"),
                                          F.col("nu").cast("double").alias("value")),
-        st.where((F.col("n") > 3) & (F.abs("sk") > 2)).select("feature", F.lit("log/sqrt/Box-Cox transform"),
+        st.where((F.col("n") > 3) & (F.abs("sk") > 2)).select("feature", F.lit("skewed: take a log or a power"),
                                                               F.col("sk")),
-        st.where((F.col("n") > 3) & (F.col("ku") > 7)).select("feature", F.lit("winsorize heavy tails"), F.col("ku")),
+        st.where((F.col("n") > 3) & (F.col("ku") > 7)).select("feature", F.lit("heavy tails: clip the extremes"), F.col("ku")),
     ]
     if cats:
         cs = per_feature(df, cats, lambda i, f: {"nu": F.count_distinct(col(f))})
-        rules.append(cs.where(F.col("nu") > 100).select("feature", F.lit("group rare levels into Other"),
+        rules.append(cs.where(F.col("nu") > 100).select("feature", F.lit("many levels: merge the rare ones"),
                                                         F.col("nu").cast("double")))
         dated = [c for c in cats if any(w in c.lower() for w in ("date", "time", "dt"))]
         if dated:
-            rules.append(cs.where(F.col("feature").isin(dated)).select("feature", F.lit("extract year/month/day/hour"),
+            rules.append(cs.where(F.col("feature").isin(dated)).select("feature", F.lit("reads as a date: split into its parts"),
                                                                        F.lit(None).cast("double")))
     if pairs:
         agg = df.agg(*[pearson(col(a), col(b)).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)])
         rows = F.array(*[F.struct(F.lit(f"{a} & {b}").alias("feature"), F.col(f"_r{k}").alias("r"))
                          for k, (a, b) in enumerate(pairs)])
         cr = agg.select(F.inline(rows)).where(F.abs("r") > corr_hi)
-        rules.append(cr.select("feature", F.lit("drop one or create ratio feature"), F.col("r")))
+        rules.append(cr.select("feature", F.lit("correlated pair: keep one or use their ratio"), F.col("r")))
     out = rules[0]
     for r in rules[1:]:
         out = out.union(r)

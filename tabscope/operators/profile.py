@@ -146,8 +146,8 @@ def impute_advice(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     p = F.col("n_null") / F.col("n_rows")
     fill = (F.when(F.col("numeric") == 0, "mode")
             .when(F.abs(F.col("skew")) > 1, "median").otherwise("mean"))
-    rec = (F.when(p > 0.6, "drop column").when(p > 0.2, "median/mode + KNN/MICE")
-           .when(p > 0, "KNN/iterative imputer").otherwise("none"))
+    rec = (F.when(p > 0.6, "drop column").when(p > 0.2, "simple fill, then a model of the rest")
+           .when(p > 0, "model of the other columns").otherwise("none"))
     return prof.where(F.col("n_null") > 0).select(
         "feature", "n_null", (100.0 * p).alias("pct_null"), F.nanvl("skew", F.lit(None)).alias("skew"),
         fill.alias("simple_fill"), rec.alias("recommendation"))

@@ -239,19 +239,19 @@ def _fe_src(spark, sf):
 def _fe_advice_sql():
     parts = []
     for c in _FE_NUM:
-        parts.append(f"SELECT '{c}' AS feature, 'convert to categorical' AS suggestion, count(DISTINCT {c})::DOUBLE AS value "
+        parts.append(f"SELECT '{c}' AS feature, 'few levels: treat as a category' AS suggestion, count(DISTINCT {c})::DOUBLE AS value "
                      f"FROM {_FE_SRC} t HAVING count(DISTINCT {c}) < 5")
-        parts.append(f"SELECT '{c}', 'log/sqrt/Box-Cox transform', {_g1(c, _FE_SRC)} FROM {_FE_SRC} t HAVING count({c}) > 3 "
+        parts.append(f"SELECT '{c}', 'skewed: take a log or a power', {_g1(c, _FE_SRC)} FROM {_FE_SRC} t HAVING count({c}) > 3 "
                      f"AND abs({_g1(c, _FE_SRC)}) > 2")
-        parts.append(f"SELECT '{c}', 'winsorize heavy tails', kurtosis_pop({c}) FROM {_FE_SRC} t HAVING count({c}) > 3 AND "
+        parts.append(f"SELECT '{c}', 'heavy tails: clip the extremes', kurtosis_pop({c}) FROM {_FE_SRC} t HAVING count({c}) > 3 AND "
                      f"kurtosis_pop({c}) > 7")
     for c in ["c_mktsegment", "c_name_dt"]:
-        parts.append(f"SELECT '{c}', 'group rare levels into Other', count(DISTINCT {c})::DOUBLE FROM {_FE_SRC} t "
+        parts.append(f"SELECT '{c}', 'many levels: merge the rare ones', count(DISTINCT {c})::DOUBLE FROM {_FE_SRC} t "
                      f"HAVING count(DISTINCT {c}) > 100")
-    parts.append("SELECT 'c_name_dt', 'extract year/month/day/hour', NULL::DOUBLE")
+    parts.append("SELECT 'c_name_dt', 'reads as a date: split into its parts', NULL::DOUBLE")
     for i, a in enumerate(_FE_NUM):
         for b in _FE_NUM[i + 1:]:
-            parts.append(f"SELECT '{a} & {b}', 'drop one or create ratio feature', corr({a}, {b}) FROM {_FE_SRC} t "
+            parts.append(f"SELECT '{a} & {b}', 'correlated pair: keep one or use their ratio', corr({a}, {b}) FROM {_FE_SRC} t "
                          f"HAVING abs(corr({a}, {b})) > 0.95")
     return union_all(parts)
 

@@ -212,7 +212,7 @@ def _ia_row(c, numeric):
     fill = ("'mode'" if not numeric else f"CASE WHEN abs({sk}) > 1 THEN 'median' ELSE 'mean' END")
     return (f"SELECT '{c}' AS feature, count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS n_null, 100.0 * {p} AS pct_null, "
             f"{sk} AS skew, {fill} AS simple_fill, CASE WHEN {p} > 0.6 THEN 'drop column' WHEN {p} > 0.2 "
-            f"THEN 'median/mode + KNN/MICE' WHEN {p} > 0 THEN 'KNN/iterative imputer' ELSE 'none' END AS recommendation "
+            f"THEN 'simple fill, then a model of the rest' WHEN {p} > 0 THEN 'model of the other columns' ELSE 'none' END AS recommendation "
             f"FROM {LI_NULLS_SQL} t")
 
 
