@@ -43,9 +43,11 @@ def op8_nbsvm_quality(spark, sf):
 
 @query
 def op5_curriculum_mixing(spark, sf):
-    """Mix of all documents with the repeating weights 1, 2, 3: targets and what the mix takes of each document."""
+    """Mix of all documents by schedules with integrals 1, 2, 3, repeating: targets, what the mix takes of each document
+    and the training position of its first copy, sorted by ranges of position."""
     x = mixing.plan(table(spark, sf, "documents"))
-    return x.select("doc_id", "size", "source_size", F.round("target", 2).alias("target"), "taken")
+    return x.select("doc_id", "size", "source_size", F.round("target", 2).alias("target"), "taken", "copies",
+                    F.round("first_position", 6).alias("first_position"))
 
 
 SQL["op5_curriculum_mixing"] = mixing.PLAN_SQL

@@ -83,6 +83,39 @@ def test_curriculum_positions(spark):
     assert sum(r.taken for r in got) == 2000
 
 
+def test_default_schedule_varies_and_keeps_its_integrals(spark):
+    """Positions invert the cumulative demand: of an even, a rising and a falling source, each phase holds the part of
+    the words that the schedule gives it, and the rows come in order of position."""
+    rows = [(i, "w " * 5, "abc"[i % 3]) for i in range(3000)]
+    got = mixing.plan(docs_of(spark, rows)).collect()
+    schedule = {"a": (1, 1, 1, 1), "b": (1.25, 1.75, 2.25, 2.75), "c": (3.75, 3.25, 2.75, 2.25)}
+    words, once = {}, {}
+    for r in got:
+        assert 0 <= (r.first_position or 0) <= 1 and (r.first_position is None) == (r.copies == 0)
+        if r.copies:
+            s = "abc"[r.doc_id % 3]
+            lane = words.setdefault(s, [0] * 4)
+            lane[min(int(r.first_position * 4), 3)] += r.size
+            once[s] = max(once.get(s, 0), r.first_position)
+    # a and b are taken at most once: the words of each phase are those of their schedules
+    for s in "ab":
+        total = sum(words[s])
+        assert abs(once[s] - 1) < 0.01 or s == "b"
+        for got_words, weight in zip(words[s], schedule[s], strict=True):
+            assert abs(got_words / total - weight / sum(schedule[s])) < 0.01
+    # c is wanted 1.5 times: the first copies fill the first two thirds of its demand, 8 of 12
+    assert words["c"][3] == 0 and abs(words["c"][2] / sum(words["c"]) - 1 / 8) < 0.01
+    at = [r.first_position for r in got if r.first_position is not None]
+    assert at == sorted(at)
+
+
+def test_mixed_is_sorted_by_position(spark):
+    rows = [(i, "w " * 10, "early" if i % 2 else "late") for i in range(200)]
+    w = F.when(F.col("source") == "early", F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.0), F.lit(1.0)))
+    out = [r.source for r in mixing.mixed(docs_of(spark, rows), w).collect()]
+    assert out == ["early"] * 100 + ["late"] * 100
+
+
 def test_nulls_and_empty(spark):
     assert mixing.plan(spark.createDataFrame([], S)).collect() == []
     assert mixing.mixed(spark.createDataFrame([], S)).collect() == []
