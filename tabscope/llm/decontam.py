@@ -8,9 +8,10 @@ every document (the whole document where that is shorter).
    shingle with an item: at the offset that puts the shared shingle in its place in the item, and ``SHIFT`` words
    to either side (for inserted or dropped words).
 2. Each window gets a 64-bit SimHash of its shingles (weighted by how often they occur in it), each item too.
-3. Fingerprints within ``RADIUS`` bits of each other agree in one of 8 blocks of 8 bits up to RADIUS // 8 bits
-   (pigeonhole).  The item side lists all block values that near; windows look up their own values, so no
-   fingerprint within the radius is missed.
+3. Fingerprints within ``RADIUS`` bits of each other agree in one of 4 blocks of 16 bits up to RADIUS // 4 bits
+   (pigeonhole).  The item side lists all block values that near; fingerprints of windows look up their own values, so
+   none within the radius is missed, and about one in seven pairs of unrelated ones of a length meets at all.  Each
+   fingerprint is looked up once, however many windows have it.
 4. The exact weighted Jaccard similarity of the shingle multisets (sum of the smaller counts over the sum of the
    larger ones) decides; for each document and item the best window is returned.
 
@@ -31,8 +32,8 @@ from tabscope.llm.common import ascii_lower, narrow, shielded, stored
 
 WORDS = 5
 SIMILARITY = 0.75
-RADIUS = 23
-BLOCKS, BLOCK_BITS = 8, 8
+RADIUS = 19
+BLOCKS, BLOCK_BITS = 4, 16
 SHIFT = 1
 #: Item tables of more rows than this aren't broadcast.
 MOST_ROWS = 500_000
@@ -112,20 +113,31 @@ def windows(docs: DataFrame, items: DataFrame, shift: int = SHIFT) -> DataFrame:
     return x.select("doc_id", "text_hash", "start", "m", shingle_hashes("words").alias("window"))
 
 
+def near_codes(codes: DataFrame, items: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """``(m, code, item_code, distance)``: all pairs of ``codes (m, code)`` and items of m words whose fingerprints are
+    within the radius.  A pair that meets in several blocks is kept where its first such block is."""
+    number = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))
+    near = _near_values(radius)
+    own = items.select("m", "item_code").distinct()
+    rows = own.count() * BLOCKS * len(near)
+    listed = own.select("m", "item_code", number.alias("block")).select("*", F.explode(F.lit(near)).alias("off"))
+    listed = listed.select("m", "item_code", "block", _block("item_code", F.col("block")).bitwiseXOR(F.col("off")).alias("value"))
+    keys = codes.select("m", "code", number.alias("block")).withColumn("value", _block("code", F.col("block")))
+    pairs = keys.join(_sized(listed, rows), ["m", "block", "value"])
+    pairs = pairs.withColumn("differ", F.col("code").bitwiseXOR(F.col("item_code"))).withColumn("distance", F.bit_count("differ"))
+    met = F.array(*[F.bit_count(_block("differ", F.lit(i))) <= radius // BLOCKS for i in range(BLOCKS)])
+    first = F.array_position(met, F.lit(True)) - 1
+    return pairs.where((F.col("distance") <= radius) & (F.col("block") == first)).select("m", "code", "item_code", "distance")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """``(doc_id, text_hash, start, m, item_id, similarity, distance)``: windows that hold an item."""
     docs = narrow(docs, "doc_id", "text")
     items = _items(benchmark)
     w = stored(windows(docs, items).withColumn("code", simhash("window")).distinct(), "windows")
-    number = F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))
-    near = F.explode(F.array(*[F.lit(v) for v in _near_values(radius)]))
-    listed = items.select("item_id", "m", "item", "item_code", number.alias("block"))
-    listed = listed.select("*", near.alias("off")).withColumn("value", _block("item_code", F.col("block")).bitwiseXOR(F.col("off"))).drop("off")
-    keys = w.select("*", number.alias("block")).withColumn("value", _block("code", F.col("block")))
-    rows = items.count() * BLOCKS * len(_near_values(radius))
-    pairs = keys.join(_sized(listed, rows), ["m", "block", "value"])
-    pairs = pairs.withColumn("distance", F.bit_count(F.col("code").bitwiseXOR(F.col("item_code")))).where(F.col("distance") <= radius)
-    pairs = pairs.drop("block", "value").dropDuplicates(["doc_id", "text_hash", "start", "m", "item_id"])
+    near = stored(near_codes(w.select("m", "code").distinct(), items, radius), "near_codes")
+    near = near.join(items.select("item_id", "m", "item", "item_code"), ["m", "item_code"])
+    pairs = w.join(near, ["m", "code"])
     both = common_count("window", "item")
     return pairs.withColumn("both", both).withColumn(
         "similarity", F.col("both") / (F.size("window") + F.size("item") - F.col("both"))).where(F.col("similarity") >= similarity)

@@ -73,6 +73,61 @@ def test_planted_and_edited_passages(spark):
     assert len(check(spark, docs, items)) > 30
 
 
+def _codes(spark, pairs):
+    mask = (1 << 64) - 1
+    signed = lambda x: (x & mask) - (1 << 64) if x >> 63 & 1 else x & mask
+    return [(m, signed(x)) for m, x in pairs]
+
+
+def test_index_guarantees_the_radius_and_prunes(spark):
+    """Fingerprints at every distance up to the radius are found, once; unrelated ones hardly meet."""
+    rng = random.Random(3)
+    item = [(20, rng.getrandbits(64)) for _ in range(12)]
+    code = []
+    for m, x in item:
+        for distance in range(30):
+            y = x
+            for b in rng.sample(range(64), distance):
+                y ^= 1 << b
+            code.append((m, y))
+    want = {(c, i): (x ^ y).bit_count() for (_, y), (_, c) in zip(code, _codes(spark, code), strict=True)
+            for (_, x), (_, i) in zip(item, _codes(spark, item), strict=True) if (x ^ y).bit_count() <= decontam.RADIUS}
+    items = spark.createDataFrame(_codes(spark, item), "m int, item_code long")
+    got = decontam.near_codes(spark.createDataFrame(_codes(spark, code), "m int, code long"), items).collect()
+    assert len(got) == len(want) == len({(r.code, r.item_code) for r in got})
+    assert {(r.code, r.item_code): r.distance for r in got} == want
+    values = set(decontam._near_values(decontam.RADIUS))
+    unrelated = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(4000)]
+    met = sum(((x ^ y) >> 16 * b & 0xFFFF) in values for x, y in unrelated for b in range(4))
+    assert met < 0.18 * len(unrelated)
+
+
+def test_recall_at_the_threshold(spark):
+    """Items with words replaced up to a similarity of just 0.75 or a little more: nearly all are found."""
+    rng = random.Random(29)
+    items = [(i, " ".join(f"v{rng.randrange(10**6)}" for _ in range(30 + i % 40))) for i in range(150)]
+    docs = []
+    for i, x in items:
+        w = x.split()
+        for tries in range(2):
+            v = list(w)
+            at = rng.randrange(len(v))
+            v[at] = "changed"
+            if len(v) > 60 and tries:
+                v[-1] = "too"
+            docs.append((2 * i + tries, " ".join(["before", "it"] + v + ["after"])))
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(
+        spark.createDataFrame(docs, D), spark.createDataFrame(items, B)).collect()}
+    want = set()
+    for d, t in docs:
+        g, h = grams(items[d // 2][1].split()), grams(t.split()[2:-1])
+        both = sum((g & h).values())
+        if both / (sum(g.values()) + sum(h.values()) - both) >= 0.75:
+            want.add((d, d // 2))
+    assert got <= want and len(want) > 100
+    assert len(got) >= 0.97 * len(want)
+
+
 def test_nulls_repeats_and_empty(spark):
     e, b = spark.createDataFrame([], D), spark.createDataFrame([(1, "a b c d e f g h")], B)
     assert decontam.contaminated(e, b).collect() == []
