@@ -16,7 +16,7 @@ every document (the whole document where that is shorter).
    larger ones) decides; for each document and item the best window is returned.
 
 All of it is DataFrame functions.  The items' shingles are broadcast only if counted under ``MOST_ROWS`` rows, else they
-are joined by shuffle; the listed block values (some ten thousand rows an item) are never hinted for broadcast.
+are joined by shuffle; the listed block values (some ten thousand rows an item) are sorted and merged.
 
 Defined cases: null or empty text and items without words match nothing; repeated rows (doc_id and text) give one
 row; a null doc_id is searched like any other; empty tables give an empty result; other columns are ignored."""
@@ -122,7 +122,7 @@ def near_codes(codes: DataFrame, items: DataFrame, radius: int = RADIUS) -> Data
     listed = own.select("m", "item_code", number.alias("block")).select("*", F.explode(F.lit(near)).alias("off"))
     listed = listed.select("m", "item_code", "block", _block("item_code", F.col("block")).bitwiseXOR(F.col("off")).alias("value"))
     keys = codes.select("m", "code", number.alias("block")).withColumn("value", _block("code", F.col("block")))
-    pairs = keys.join(listed, ["m", "block", "value"])
+    pairs = keys.join(listed.hint("merge"), ["m", "block", "value"])
     pairs = pairs.withColumn("differ", F.col("code").bitwiseXOR(F.col("item_code"))).withColumn("distance", F.bit_count("differ"))
     met = F.array(*[F.bit_count(_block("differ", F.lit(i))) <= radius // BLOCKS for i in range(BLOCKS)])
     first = F.array_position(met, F.lit(True)) - 1
