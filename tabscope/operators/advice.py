@@ -84,16 +84,20 @@ def todo_basic(df: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> DataF
     return r1.union(r2).union(r3).union(r4).toDF("feature", "item", "value")
 
 
-def quality_score(df: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> DataFrame:
-    """100 - min(25, mean missing %) - min(10, duplicate %) - min(15, |z| > 3 cell %) - min(10, 5 x #id-like text columns).
+def quality_score(df: DataFrame, nums: Sequence[str], cats: Sequence[str], zero_fill: bool = False,
+                  missing_cap: float = 25.0) -> DataFrame:
+    """100 - min(missing_cap, mean missing %) - min(10, duplicate %) - min(15, |z| > 3 cell %) - min(10, 5 x #id-like
+    text columns).
 
-    z-scores use the population std over rows complete in all numerics."""
+    z-scores use the population std over rows complete in all numerics or, with ``zero_fill``, over all rows with 0 in
+    place of nulls."""
     allc = list(df.columns)
     miss = df.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(col(c).isNull()).alias(f"m{i}") for i, c in enumerate(allc)])
     miss_pct = sum((F.col(f"m{i}") for i in range(len(allc))), F.lit(0)) / (F.col("n") * len(allc)) * 100.0
     dup = df.groupBy(*[col(c) for c in allc]).agg(F.count(F.lit(1)).alias("k")).agg(
         (F.sum("k") - F.count(F.lit(1))).alias("dups"))
-    complete = df.select(*[col(c).cast("double").alias(c) for c in nums]).na.drop()
+    cells = df.select(*[col(c).cast("double").alias(c) for c in nums])
+    complete = cells.na.fill(0.0) if zero_fill else cells.na.drop()
     s = scalar_row(complete.agg(*[x for i, c in enumerate(nums) for x in (F.avg(col(c)).alias(f"a{i}"),
                                                                          F.stddev_pop(col(c)).alias(f"s{i}"))]))
     zc = complete.withColumn("_z", s).agg(
@@ -108,7 +112,7 @@ def quality_score(df: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> Da
                         zs.getField("zcells").alias("zcells"), hc.alias("n_idlike"))
     dup_pct = F.col("dups") / F.col("n") * 100.0
     z_pct = F.coalesce(F.try_divide(F.col("zcells") * 100.0, F.col("rows") * float(len(nums))), F.lit(0.0))
-    score = (100.0 - F.least(F.lit(25.0), F.col("missing_pct")) - F.least(F.lit(10.0), dup_pct)
+    score = (100.0 - F.least(F.lit(float(missing_cap)), F.col("missing_pct")) - F.least(F.lit(10.0), dup_pct)
              - F.least(F.lit(15.0), z_pct) - F.least(F.lit(10.0), F.col("n_idlike") * 5.0))
     return parts.select(F.col("missing_pct"), dup_pct.alias("duplicate_pct"), z_pct.alias("outlier_cell_pct"),
                         F.col("n_idlike").cast("bigint"), F.greatest(score, F.lit(0.0)).alias("score"))

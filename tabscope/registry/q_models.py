@@ -290,12 +290,14 @@ def todo_basic(spark, sf):
     return D.todo_basic(t, _TODO_NUM, _TODO_CAT)
 
 
-def _quality_sql():
+def _quality_sql(zero_fill=False, missing_cap=25.0):
     src = f"(SELECT * FROM {LI_NULLS_SQL} x)"
     cols = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
     nums = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
     miss = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in cols)
     comp = f"(SELECT {', '.join(nums)} FROM {src} c WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in nums) + ")"
+    if zero_fill:
+        comp = "(SELECT " + ", ".join(f"coalesce({c}, 0.0) AS {c}" for c in nums) + f" FROM {src} c)"
     st = ", ".join(f"avg({c}) AS a_{c}, stddev_pop({c}) AS s_{c}" for c in nums)
     zc = " + ".join(f"count(*) FILTER (WHERE abs(({c} - a_{c}) / nullif(s_{c}, 0)) > 3)" for c in nums)
     return (f"WITH m AS (SELECT ({miss})::DOUBLE / (count(*) * {len(cols)}) * 100.0 AS missing_pct, count(*) AS n FROM {src} s), "
@@ -304,7 +306,7 @@ def _quality_sql():
             f"h AS (SELECT ((count(DISTINCT l_returnflag) > 0.5 * count(*))::INTEGER + (count(DISTINCT l_linestatus) > 0.5 * count(*))::INTEGER) "
             f"AS n_idlike FROM {src} s) "
             f"SELECT missing_pct, dups::DOUBLE / n * 100.0 AS duplicate_pct, coalesce(zcells * 100.0 / (rows * {float(len(nums))}), 0.0) "
-            f"AS outlier_cell_pct, n_idlike::BIGINT AS n_idlike, greatest(100.0 - least(25.0, missing_pct) - least(10.0, dups::DOUBLE / n * 100.0) "
+            f"AS outlier_cell_pct, n_idlike::BIGINT AS n_idlike, greatest(100.0 - least({missing_cap}, missing_pct) - least(10.0, dups::DOUBLE / n * 100.0) "
             f"- least(15.0, coalesce(zcells * 100.0 / (rows * {float(len(nums))}), 0.0)) - least(10.0, n_idlike * 5.0), 0.0) AS score "
             f"FROM m, d, z, h")
 
@@ -315,6 +317,13 @@ def quality_score(spark, sf):
                            ["l_returnflag", "l_linestatus"])
 
 
+@register("quality_score_filled", _quality_sql(True, 20.0), dbl=["missing_pct", "duplicate_pct", "outlier_cell_pct", "score"])
+def quality_score_filled(spark, sf):
+    """A42, third formula: nulls count as 0 in the z-scores, missing cells cost 20 at most."""
+    return D.quality_score(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
+                           ["l_returnflag", "l_linestatus"], zero_fill=True, missing_cap=20.0)
+
+
 @register("feature_actions", rows_only=True)
 def feature_actions(spark, sf):
     """Per-feature action / priority table (MI from the binned estimator)."""
