@@ -366,7 +366,16 @@ def feature_rank(spark, sf):
     return S.feature_rank(A.anova_f(li(spark, sf), LI_NUM, "l_returnflag").select("feature", "f_stat"), "f_stat")
 
 
-@register("cumulative_importance", rows_only=True)
+def _cumulative_sql():
+    from tabscope.registry.q_stats import _YS_SRC, _mi_sql
+    mi = _mi_sql(_YS_SRC, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], ["l_linestatus", "l_linenumber"], "y")
+    return (f"WITH m AS (SELECT feature, mi FROM ({mi}) q), c AS (SELECT feature, mi, mi / sum(mi) OVER () AS importance_share, "
+            "sum(mi) OVER (ORDER BY mi DESC, feature ROWS UNBOUNDED PRECEDING) / sum(mi) OVER () AS cumulative, "
+            "row_number() OVER (ORDER BY mi DESC, feature)::BIGINT AS rank FROM m) "
+            "SELECT *, CASE WHEN cumulative - importance_share < 0.8 THEN 1 ELSE 0 END AS in_top FROM c")
+
+
+@register("cumulative_importance", _cumulative_sql(), dbl=["mi", "importance_share", "cumulative"])
 def cumulative_importance(spark, sf):
     """Importance share / running total / top-80 % set over the binned-MI ranking."""
     mi = A.mi_binned(li(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
