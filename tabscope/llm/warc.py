@@ -1,10 +1,12 @@
 """WARC archives with revisit resolution.
 
-``archive`` digests payloads, shuffles the headers by payload digest, joins each record with the first capture of
-its payload and writes archives in which later captures are ``revisit`` records with fresh headers and no payload.
-``deduplicated`` does the same to archives that exist, read record by record.  Archives are written by Spark's
-text writer (records end with the blank lines that WARC asks for; gzip) and read back file by file; a file
-holds at most ``RECORDS_PER_FILE`` records, so a task's memory is bounded by that.
+``archive`` digests payloads, stores the headers alone and shuffles those by payload digest: the first capture of each
+payload is its response, later ones become ``revisit`` records with fresh headers, written from headers without
+payload.  Payloads never move by digest, where a payload of a third of the pages would be one group: the responses'
+are found by page_id and digest.  ``deduplicated`` does the same to archives that exist; there only a record that has
+its payload can be an original.  Archives are written by Spark's text writer (records end with the blank lines that
+WARC asks for; gzip) and read back file by file; a file holds at most ``RECORDS_PER_FILE`` records, so a task's memory
+is bounded by that.
 
 Defined cases: a null payload is empty; a null or empty url gives no WARC-Target-URI, control characters and spaces
 in it are percent-encoded; a null page_id gives no X-Page-ID and is read back as null, never as an original while
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabscope.llm.common import narrow
+from tabscope.llm.common import narrow, stored
 from tabscope.session import scratch_path
 
 RECORDS_PER_FILE = 2000
@@ -50,14 +52,36 @@ def captures(pages: DataFrame) -> DataFrame:
                     base32_sha1("payload").alias("payload_digest"))
 
 
-def resolved(records: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Adds ``refers_to``: the page_id of the first capture of an equal payload, null for that capture itself and
-    for payloads under ``least_bytes``.  Only headers are aggregated; a hot digest is one row per task."""
-    first = records.where(F.col("payload_bytes") >= least_bytes).groupBy(
-        F.col("payload_digest").alias("_digest"), F.col("payload_bytes").alias("_bytes")).agg(F.min("page_id").alias("_first"))
-    out = records.join(first, (F.col("payload_digest") == F.col("_digest")) & (F.col("payload_bytes") == F.col("_bytes")), "left")
-    own = F.coalesce(F.col("page_id") == F.col("_first"), F.col("_first").isNull())
-    return out.withColumn("refers_to", F.when(~own, F.col("_first"))).drop("_digest", "_bytes", "_first")
+def originals(headers: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """``(digest, bytes, first)`` of each payload of at least ``least_bytes``: the smallest page_id of a record that has
+    it, null if none of these has a page_id.  A hot digest is one row per task before the shuffle."""
+    return headers.where((F.col("payload_bytes") >= least_bytes) & F.col("refers_to").isNull()).groupBy(
+        F.col("payload_digest").alias("digest"), F.col("payload_bytes").alias("bytes")).agg(F.min("page_id").alias("first"))
+
+
+def revisits(headers: DataFrame, first: DataFrame) -> DataFrame:
+    """The records that need no payload, with ``refers_to``: later captures of an original, and revisits of before."""
+    met = headers.join(first.hint("merge"), (F.col("payload_digest") == F.col("digest")) & (
+        F.col("payload_bytes") == F.col("bytes")), "left")
+    later = F.col("digest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
+    return met.where(later | F.col("refers_to").isNotNull()).withColumn("refers_to", F.coalesce("first", "refers_to")).drop(*first.columns)
+
+
+def responses(records: DataFrame, first: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """The records that keep their payload: the originals, and all payloads under ``least_bytes``."""
+    whole = records.where(F.col("refers_to").isNull())
+    kept = whole.where(F.col("payload_bytes") >= least_bytes).join(
+        first.hint("merge"), F.col("page_id").eqNullSafe(F.col("first")) & (F.col("payload_digest") == F.col("digest")) & (
+            F.col("payload_bytes") == F.col("bytes")), "left_semi")
+    return kept.unionByName(whole.where(F.col("payload_bytes") < least_bytes)) if least_bytes > 0 else kept
+
+
+def write_resolved(records: DataFrame, headers: DataFrame, path: str, least_bytes: int = 0) -> None:
+    """Archives of ``records`` with equal payloads stored once; ``headers`` are the same records without payload."""
+    headers = stored(headers, "headers")
+    first = stored(originals(headers, least_bytes), "originals")
+    bare = revisits(headers, first).withColumn("payload", F.lit(None).cast("string"))
+    write_archives(responses(records, first, least_bytes).unionByName(bare), path)
 
 
 def write_archives(records: DataFrame, path: str) -> None:
@@ -140,14 +164,15 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = False) ->
 
 def archive(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
     """Write ``pages`` as archives in which equal payloads are stored once."""
-    write_archives(resolved(captures(pages), least_bytes), path)
+    records = captures(pages).withColumn("refers_to", F.lit(None).cast("long"))
+    write_resolved(records, records.drop("payload"), path, least_bytes)
 
 
 def deduplicated(spark: SparkSession, source: str, target: str, least_bytes: int = 0) -> None:
     """Read archives, resolve their revisits anew and write archives with fresh headers.  Revisit records of the
-    source keep the payload's digest and length and stay revisits."""
+    source keep the payload's digest and length and stay revisits, of the first record that holds the payload."""
     records = read_archives(spark, source, with_payload=True)
-    write_archives(resolved(records.withColumnRenamed("refers_to", "_was"), least_bytes).withColumn("refers_to", F.coalesce("refers_to", "_was")).drop("_was"), target)
+    write_resolved(records, read_archives(spark, source).drop("payload"), target, least_bytes)
 
 
 def digest_rows(pages: DataFrame, least_bytes: int = 0, path: str | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import io
 
 from brute import SF
+from pyspark.sql import functions as F
 
 from tabscope.llm import warc
 
@@ -65,3 +66,25 @@ def test_nulls_repeats_and_empty(spark):
     got = [tuple(r)[3:] + (r.page_id,) for r in warc.digest_rows(spark.createDataFrame(
         [(None, None, "a"), (2, "u", "a"), (2, "u", "a"), (3, "u", "a"), (None, "u", "z")], P)).collect()]
     assert sorted(got, key=str) == sorted([("revisit", 2, None), ("response", None, 2), ("response", None, 2), ("revisit", 2, 3), ("response", None, None)], key=str)
+
+
+def test_a_revisit_with_a_smaller_id_is_no_original(spark, tmp_path):
+    """The record that holds the payload stays the response; a revisit without one in the archives keeps its reference."""
+    a, b = str(tmp_path / "a"), str(tmp_path / "b")
+    records = warc.captures(spark.createDataFrame(
+        [(1, "u", "held"), (5, "u", "held"), (7, "u", "held"), (8, "u", "gone"), (9, "u", "x")], P))
+    warc.write_archives(records.selectExpr("*", "case page_id when 1 then 5 when 8 then 3 end as refers_to"), a)
+    warc.deduplicated(spark, a, b)
+    got = {r.page_id: (r.refers_to, r.payload) for r in warc.read_archives(spark, b, with_payload=True).collect()}
+    assert got == {1: (5, ""), 5: (None, "held"), 7: (5, ""), 8: (3, ""), 9: (None, "x")}
+
+
+def test_no_payload_moves_by_digest(spark):
+    pages = spark.createDataFrame(ROWS, P)
+    headers = warc.captures(pages).withColumn("refers_to", F.lit(None).cast("long")).drop("payload")
+    first = warc.originals(headers, 5)
+    bare = warc.revisits(headers, first)
+    assert "payload" not in bare.columns and "payload" not in first.columns
+    assert {r.page_id: r.refers_to for r in bare.collect()} == {i: w[3] for i, w in brute(ROWS, 5).items() if w[3] is not None}
+    whole = warc.responses(warc.captures(pages).withColumn("refers_to", F.lit(None).cast("long")), first, 5)
+    assert sorted(r.page_id for r in whole.collect()) == sorted(i for i, w in brute(ROWS, 5).items() if w[3] is None)
