@@ -180,7 +180,7 @@ def pruning_advice(df: DataFrame, nums: Sequence[str], y: Column, cfg: Config =
 
 def findings(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: str | None = None,
              cfg: Config = DEFAULT) -> DataFrame:
-    """The findings table -- severity-tagged rows from missing, duplicates, skew,
+    """The findings table -- severity-tagged rows from missing, duplicates, skew,
     constant columns, imbalance and name-hint leakage rules."""
     from tabscope.operators.profile import null_profile, quasi_constant, target_distribution
     rows = []
@@ -220,10 +220,83 @@ def findings(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: st
     return out.toDF(*FINDING_COLS)
 
 
-def action_items(findings_df: DataFrame) -> DataFrame:
-    """Findings that demand an action (critical or warning), ordered by severity."""
-    rank = F.when(F.col("severity") == "critical", 0).otherwise(1)
-    return findings_df.where(F.col("severity").isin("critical", "warning")).withColumn("order", rank)
+def executive_summary(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: str | None = None,
+                      max_classes: int = 20) -> DataFrame:
+    """``(code, feature, value, level)``, one row a headline: size, roles, share of missing cells (> 20 % high, > 5 %
+    moderate), duplicate rows (> 1 % high), share of the largest class (> 90 % severe, > 70 % moderate; only text targets
+    or those of fewer than ``max_classes`` classes), and each numeric with |skew| > 2 over more than 3 values.
+
+    An empty table has shares of 0; a skew that isn't defined gives no row."""
+    allc = list(df.columns)
+    one = df.agg(F.count(F.lit(1)).alias("n"), sum((F.count_if(col(c).isNull()) for c in allc), F.lit(0)).alias("m"),
+                 *[F.struct(F.count(col(c)).alias("k"), F.skewness(col(c).cast("double")).alias("g")).alias(f"s{i}")
+                   for i, c in enumerate(nums)])
+    dups = df.groupBy(*[col(c) for c in allc]).agg(F.count(F.lit(1)).alias("k")).agg(
+        F.coalesce(F.sum("k") - F.count(F.lit(1)), F.lit(0)).alias("d")).scalar()
+
+    def row(code: str, value, level=None, feature: str | None = None) -> Column:
+        return F.struct(F.lit(code).alias("code"), F.lit(feature).cast("string").alias("feature"),
+                        value.cast("double").alias("value"), (F.lit(None) if level is None else level).cast("string").alias("level"))
+
+    def band(share: Column, *steps: tuple[float, str], low: str) -> Column:
+        out = F
+        for least, name in steps:
+            out = out.when(share > least, name)
+        return out.otherwise(low)
+
+    n = F.col("n")
+    missing = F.coalesce(F.try_divide(F.col("m").cast("double"), n * len(allc)), F.lit(0.0))
+    twice = F.coalesce(F.try_divide(dups.cast("double"), n), F.lit(0.0))
+    rows = [row("rows", n), row("columns", F.lit(len(allc))), row("numeric_features", F.lit(len(nums))),
+            row("categorical_features", F.lit(len(cats))),
+            row("missing_share", missing, band(missing, (0.2, "high"), (0.05, "moderate"), low="low")),
+            row("duplicate_share", twice, band(twice, (0.01, "high"), low="low"))]
+    if target:
+        classes = df.where(col(target).isNotNull()).groupBy(col(target)).agg(F.count(F.lit(1)).alias("k"))
+        top = scalar_row(classes.agg(F.count(F.lit(1)).alias("classes"), (F.max("k") / F.sum("k")).alias("share")))
+        few = F.lit(dict(df.dtypes)[target] == "string") | (top.getField("classes") < max_classes)
+        share = F.when(few, top.getField("share"))
+        rows.append(row("majority_share", share, band(share, (0.9, "severe"), (0.7, "moderate"), low="balanced"), target))
+    for i, c in enumerate(nums):
+        k, g = F.col(f"s{i}.k"), F.col(f"s{i}.g")
+        rows.append(row("skew", F.when((k > 3) & ~F.isnan(g) & (F.abs(g) > 2), g), F.lit("high"), c))
+    return one.select(F.inline(F.array(*rows))).where("value is not null")
+
+
+def action_items(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: str, positive: Column,
+                 cfg: Config = DEFAULT) -> DataFrame:
+    """What to do next, as ``(priority, action, subject, value)``: check features whose information value is suspicious
+    for leaks (1), weigh the classes of an imbalanced target (2), recode sentinels that follow from another feature (3; the
+    value counts the parent levels), keep one of two redundant categoricals (4), drop features of no information value (5).
+
+    ``positive`` is 1 for rows of the target's event."""
+    from tabscope.operators.association import cramers_pairs, information_value, sentinel_dependency
+    from tabscope.operators.profile import imbalance_verdict
+    iv = information_value(df, list(nums), list(cats), positive, cfg=cfg).where(F.col("strength").isin("suspicious", "useless"))
+    leak = F.col("strength") == "suspicious"
+    out = iv.select(F.when(leak, 1).otherwise(5).alias("priority"), F.when(leak, "check_leak").otherwise("drop_feature").alias("action"),
+                    F.col("feature").alias("subject"), F.col("iv").alias("value"))
+    skewed = imbalance_verdict(df, target).where(F.col("verdict").isin("severe", "moderate"))
+    out = out.union(skewed.select(F.lit(2), F.lit("weigh_classes"), F.lit(target), F.col("max_share")))
+    if len(cats) > 1:
+        tied = sentinel_dependency(df, cats, cats).groupBy("child").agg(F.count(F.lit(1)).cast("double").alias("parents"))
+        out = out.union(tied.select(F.lit(3), F.lit("recode_sentinel"), "child", "parents"))
+        same = cramers_pairs(df, cats).where(F.col("risk") == "redundant")
+        out = out.union(same.select(F.lit(4), F.lit("keep_one"), F.concat_ws(" & ", "feature_a", "feature_b"), "cramers_v"))
+    return out
+
+
+def final_summary(df: DataFrame, nums: Sequence[str], cats: Sequence[str], target: str, problem: str) -> DataFrame:
+    """Lines ``(line)`` on the problem, the features and, unless it is a regression, the rows of each class (nulls are
+    one)."""
+    heads = [f"problem: {problem}", f"features: {len(dict.fromkeys([*nums, *cats]))}",
+             f"categorical: {', '.join(cats)}", f"numeric: {', '.join(nums)}"]
+    one = df.agg(F.count(F.lit(1)).alias("n"))
+    out = one.select(F.explode(F.array(*[F.lit(h) for h in heads], F.concat(F.lit("rows: "), F.col("n").cast("string")))).alias("line"))
+    if problem == "regression":
+        return out
+    g = df.groupBy(col(target).cast("string").alias("c")).agg(F.count(F.lit(1)).cast("string").alias("k"))
+    return out.union(g.select(F.concat(F.lit("class "), F.coalesce("c", F.lit("(null)")), F.lit(": "), "k")))
 
 
 def findings_text(findings_df: DataFrame, path: str | None = None) -> DataFrame:

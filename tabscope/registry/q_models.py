@@ -10,6 +10,7 @@ from tabscope.operators import models as M
 from tabscope.operators import profile as P
 from tabscope.registry.base import (LI_NULLS_SQL, LI_NUM, Y_BIN_SQL, li, li_nulls, li_test, li_train, register,
                                     table, union_all, y_binary)
+from tabscope.registry.q_stats import CP_COLS, ORD_SENT_SQL, chi_sql, ord_sent, pairs, woe_sql
 
 # ------------------------------------------------------------ metrics
 _PRED_SQL = ("(SELECT l.l_returnflag AS y, t.top_class AS yhat FROM lineitem l JOIN (SELECT l_linestatus, "
@@ -337,23 +338,84 @@ def pruning_advice(spark, sf):
     return D.pruning_advice(t, [*LI_NUM, "net_price"], F.col("l_returnflag"))
 
 
-@register("executive_summary", rows_only=True)
+QS_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
+QS_SRC = (f"(SELECT {', '.join(QS_COLS)} FROM {LI_NULLS_SQL} a UNION ALL SELECT {', '.join(QS_COLS)} FROM {LI_NULLS_SQL} b "
+           f"WHERE l_linenumber = 1 AND l_orderkey % 100 = 0)")
+ES_NUM = [*LI_NUM, "last_line"]
+ES_SRC = f"(SELECT *, CASE WHEN l_linenumber = 7 THEN 1 ELSE 0 END AS last_line FROM {QS_SRC} q)"
+ES_COLS = [*QS_COLS, "last_line"]
+
+
+def _summary_sql():
+    miss = " + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in ES_COLS)
+    nothing = "NULL::VARCHAR"
+    parts = [f"SELECT 'rows' AS code, {nothing} AS feature, count(*)::DOUBLE AS value, {nothing} AS level FROM src",
+             *[f"SELECT '{k}', {nothing}, {n}::DOUBLE, {nothing}" for k, n in
+               (("columns", len(ES_COLS)), ("numeric_features", len(ES_NUM)), ("categorical_features", 2))],
+             f"SELECT 'missing_share', {nothing}, v, CASE WHEN v > 0.2 THEN 'high' WHEN v > 0.05 THEN 'moderate' ELSE 'low' END "
+             f"FROM (SELECT ({miss})::DOUBLE / (count(*) * {len(ES_COLS)}) AS v FROM src)",
+             f"SELECT 'duplicate_share', {nothing}, v, CASE WHEN v > 0.01 THEN 'high' ELSE 'low' END FROM (SELECT "
+             f"(sum(k) - count(*))::DOUBLE / sum(k) AS v FROM (SELECT count(*) AS k FROM src GROUP BY {', '.join(ES_COLS)}))",
+             "SELECT 'majority_share', 'l_returnflag', v, CASE WHEN v > 0.9 THEN 'severe' WHEN v > 0.7 THEN 'moderate' ELSE "
+             "'balanced' END FROM (SELECT max(k)::DOUBLE / sum(k) AS v FROM (SELECT count(*) AS k FROM src GROUP BY l_returnflag))"]
+    for c in ES_NUM:
+        parts.append(f"SELECT 'skew', '{c}', g, 'high' FROM (SELECT avg(power({c} - m, 3)) / power(avg(power({c} - m, 2)), 1.5) AS g "
+                     f"FROM (SELECT {c}::DOUBLE AS {c}, avg({c}::DOUBLE) OVER () AS m FROM src WHERE {c} IS NOT NULL) s) t WHERE abs(g) > 2")
+    return f"WITH src AS (SELECT * FROM {ES_SRC} e) " + union_all(parts)
+
+
+@register("executive_summary", _summary_sql(), dbl=["value"])
 def executive_summary(spark, sf):
-    """Findings table over lineitem with planted nulls."""
-    return D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                      ["l_returnflag", "l_linestatus"], target="l_returnflag")
+    """Headlines over lineitem with planted nulls, re-appended rows and a skewed flag."""
+    t = li_nulls(spark, sf)
+    t = t.unionByName(t.where((F.col("l_linenumber") == 1) & (F.pmod("l_orderkey", F.lit(100)) == 0)))
+    t = t.withColumn("last_line", (F.col("l_linenumber") == 7).cast("int"))
+    return D.executive_summary(t, ES_NUM, ["l_returnflag", "l_linestatus"], "l_returnflag")
+
 
+ACT_NUM = ["o_totalprice", "o_custkey"]
 
-@register("action_items", rows_only=True)
+
+def _actions_sql():
+    y = f"(SELECT *, big AS y FROM {ORD_SENT_SQL} o)"
+    iv = f"SELECT feature, sum(iv_part) AS iv FROM ({woe_sql(y, ACT_NUM, CP_COLS)}) w GROUP BY feature"
+    ties = union_all([
+        f"SELECT '{c}' AS child, p AS parent FROM (SELECT CAST({c} AS VARCHAR) AS v, min(CAST({p} AS VARCHAR)) AS p, count(DISTINCT {p}) "
+        f"AS k FROM {ORD_SENT_SQL} o GROUP BY 1) a WHERE k = 1 AND regexp_matches(v, '^No .+') AND NOT EXISTS (SELECT 1 FROM "
+        f"{ORD_SENT_SQL} b WHERE CAST(b.{p} AS VARCHAR) = a.p AND CAST(b.{c} AS VARCHAR) <> a.v)"
+        for c in CP_COLS for p in CP_COLS if c != p])
+    v = "sqrt(chi2 / (n * greatest(least(k_a, k_b) - 1, 1)))"
+    return union_all([
+        f"SELECT CASE WHEN iv < 0.02 THEN 5 ELSE 1 END AS priority, CASE WHEN iv < 0.02 THEN 'drop_feature' ELSE 'check_leak' END AS action, "
+        f"feature AS subject, iv AS value FROM ({iv}) i WHERE iv < 0.02 OR iv >= 0.5",
+        f"SELECT 2, 'weigh_classes', 'big', s FROM (SELECT max(k)::DOUBLE / sum(k) AS s FROM (SELECT count(*) AS k FROM {ORD_SENT_SQL} o "
+        f"GROUP BY big) g) h WHERE s > 0.6",
+        f"SELECT 3, 'recode_sentinel', child, count(*)::DOUBLE FROM ({ties}) t GROUP BY child",
+        f"SELECT 4, 'keep_one', a_name || ' & ' || b_name, {v} FROM ({chi_sql(ORD_SENT_SQL, pairs(CP_COLS))}) c WHERE {v} > 0.8"])
+
+
+@register("action_items", _actions_sql(), dbl=["value"])
 def action_items(spark, sf):
-    f = D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                   ["l_returnflag", "l_linestatus"], target="l_returnflag")
-    return D.action_items(f)
+    """Next steps for orders with a sentinel column and a target that follows from the price."""
+    return D.action_items(ord_sent(spark, sf), ACT_NUM, CP_COLS, "big", F.col("big"))
+
+
+@register("final_summary", union_all([
+    f"SELECT '{line}' AS line" for line in ("problem: multiclass", "features: 6", "categorical: l_returnflag, l_linestatus",
+                                            f"numeric: {', '.join(LI_NUM)}")] + [
+    "SELECT 'rows: ' || count(*) FROM lineitem",
+    "SELECT 'class ' || coalesce(CAST(l_returnflag AS VARCHAR), '(null)') || ': ' || count(*) FROM lineitem GROUP BY l_returnflag"]))
+def final_summary(spark, sf):
+    """The closing lines of the report, written to the shared scratch folder as text and read back."""
+    from tabscope.session import scratch_path
+    path = scratch_path(spark, "summary")
+    D.final_summary(li(spark, sf), LI_NUM, ["l_returnflag", "l_linestatus"], "l_returnflag", "multiclass").write.text(path)
+    return spark.read.text(path).withColumnRenamed("value", "line")
 
 
 @register("findings_text", rows_only=True)
 def findings_text(spark, sf):
-    """Findings as text lines written to the shared scratch folder and read back."""
+    """Findings as text lines written to the shared scratch folder and read back."""
     from tabscope.session import scratch_path
     f = D.findings(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
                    ["l_returnflag", "l_linestatus"], target="l_returnflag")
@@ -390,12 +452,7 @@ def _qs_simple_sql(src, cols):
             f"ELSE 0 END - CASE WHEN n < 100 THEN 20 ELSE 0 END, 100), 0) AS INTEGER) AS score FROM m, d")
 
 
-_QS_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
-_QS_SRC = (f"(SELECT {', '.join(_QS_COLS)} FROM {LI_NULLS_SQL} a UNION ALL SELECT {', '.join(_QS_COLS)} FROM {LI_NULLS_SQL} b "
-           f"WHERE l_linenumber = 1 AND l_orderkey % 100 = 0)")
-
-
-@register("quality_score_simple", _qs_simple_sql(_QS_SRC, _QS_COLS), dbl=["missing_pct", "duplicate_pct"])
+@register("quality_score_simple", _qs_simple_sql(QS_SRC, QS_COLS), dbl=["missing_pct", "duplicate_pct"])
 def quality_score_simple(spark, sf):
     """A42 band variant on lineitem with planted nulls and re-appended duplicate rows."""
     t = li_nulls(spark, sf)
@@ -406,7 +463,6 @@ def quality_score_simple(spark, sf):
 @register("findings", rows_only=True)
 def findings(spark, sf):
     """A48/D6 findings table on orders with a sentinel column, a binary target and a constant column."""
-    from tabscope.registry.q_stats import ord_sent
     t = ord_sent(spark, sf).withColumn("src", F.lit("orders")).withColumn("next_status", F.col("o_orderstatus"))
     return D.findings(t, ["o_totalprice", "o_custkey"], ["o_orderstatus", "o_orderpriority", "sentinel", "src"],
                       target="big")

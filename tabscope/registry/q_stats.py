@@ -10,7 +10,7 @@ from tabscope.registry.base import (LI_NULLS_SQL, LI_NUM, LI_TEST_DRIFT_SQL, LI_
                                     y_binary)
 
 
-def _pairs(cols):
+def pairs(cols):
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
 
 
@@ -24,7 +24,7 @@ def li_net(spark, sf):
 
 @register("corr_pearson", union_all([
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr, abs(corr({a}, {b})) AS abs_corr "
-    f"FROM {LI_NULLS_SQL} t" for a, b in _pairs(LI_NUM)]), dbl=["corr", "abs_corr"])
+    f"FROM {LI_NULLS_SQL} t" for a, b in pairs(LI_NUM)]), dbl=["corr", "abs_corr"])
 def corr_pearson(spark, sf):
     """Pairwise-complete Pearson matrix (long form) on data with planted nulls."""
     return A.corr_pairs(li_nulls(spark, sf), LI_NUM)
@@ -32,7 +32,7 @@ def corr_pearson(spark, sf):
 
 @register("high_corr_pairs", "SELECT * FROM (" + union_all([
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS corr, abs(corr({a}, {b})) AS abs_corr "
-    f"FROM {NET_SQL} t" for a, b in _pairs(NETC)]) + ") z WHERE abs_corr > 0.7", dbl=["corr", "abs_corr"])
+    f"FROM {NET_SQL} t" for a, b in pairs(NETC)]) + ") z WHERE abs_corr > 0.7", dbl=["corr", "abs_corr"])
 def high_corr_pairs(spark, sf):
     return A.high_corr_pairs(li_net(spark, sf), NETC, 0.7)
 
@@ -46,7 +46,7 @@ RANKED_SQL = ("(SELECT " + ", ".join(f"{c}, {_rank_sql(c)} AS {c}_rank" for c in
 
 @register("corr_spearman", union_all([
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}_rank, {b}_rank) AS spearman FROM {RANKED_SQL} r"
-    for a, b in _pairs(LI_NUM)]), dbl=["spearman"])
+    for a, b in pairs(LI_NUM)]), dbl=["spearman"])
 def corr_spearman(spark, sf):
     """Spearman on average ranks."""
     return A.corr_spearman(li(spark, sf), LI_NUM)
@@ -55,7 +55,7 @@ def corr_spearman(spark, sf):
 @register("corr_discrepancy", union_all([
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, corr({a}, {b}) AS pearson, corr({a}_rank, {b}_rank) AS spearman, "
     f"abs(corr({a}, {b}) - corr({a}_rank, {b}_rank)) AS gap, CAST(abs(corr({a}, {b}) - corr({a}_rank, {b}_rank)) > 0.2 "
-    f"AS INTEGER) AS flag FROM {RANKED_SQL} r" for a, b in _pairs(LI_NUM)]), dbl=["pearson", "spearman", "gap"])
+    f"AS INTEGER) AS flag FROM {RANKED_SQL} r" for a, b in pairs(LI_NUM)]), dbl=["pearson", "spearman", "gap"])
 def corr_discrepancy(spark, sf):
     return A.corr_discrepancy(li(spark, sf), LI_NUM)
 
@@ -102,7 +102,7 @@ def vif(spark, sf):
 CV_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax"]
 
 
-def _chi_sql(src, pairs, fill=True, drop=False):
+def chi_sql(src, pairs, fill=True, drop=False):
     parts = []
     for a, b in pairs:
         va = f"coalesce(CAST({a} AS VARCHAR), '_NA_')" if fill else f"CAST({a} AS VARCHAR)"
@@ -125,7 +125,7 @@ def _chi_sql(src, pairs, fill=True, drop=False):
 
 @register("cramers_v",
           "SELECT a_name AS feature_a, b_name AS feature_b, chi2, sqrt(chi2 / (n * greatest(least(k_a, k_b) - 1, 1))) "
-          f"AS cramers_v FROM ({_chi_sql(LI_NULLS_SQL, _pairs(CV_COLS))}) c",
+          f"AS cramers_v FROM ({chi_sql(LI_NULLS_SQL, pairs(CV_COLS))}) c",
           dbl=["chi2", "cramers_v"])
 def cramers_v(spark, sf):
     """Cramer's V matrix (nulls as a level; Yates on 2x2)."""
@@ -148,7 +148,7 @@ def ord_sent(spark, sf):
           "CASE WHEN sqrt(chi2 / (n * greatest(least(k_a, k_b) - 1, 1))) > 0.8 THEN 'redundant' WHEN "
           "sqrt(chi2 / (n * greatest(least(k_a, k_b) - 1, 1))) > 0.5 THEN 'high' ELSE 'low' END AS risk, "
           "CAST(b_name = 'big' AS INTEGER) AS with_target "
-          f"FROM ({_chi_sql(ORD_SENT_SQL, _pairs(CP_COLS + ['big']))}) c "
+          f"FROM ({chi_sql(ORD_SENT_SQL, pairs(CP_COLS + ['big']))}) c "
           "WHERE sqrt(chi2 / (n * greatest(least(k_a, k_b) - 1, 1))) > 0.5 OR b_name = 'big'", dbl=["cramers_v"])
 def cramers_pairs(spark, sf):
     """High-V pairs with risk labels plus every V with the target."""
@@ -156,7 +156,7 @@ def cramers_pairs(spark, sf):
 
 
 @register("chi2_independence",
-          f"SELECT a_name AS feature, n, dof, chi2 FROM ({_chi_sql(LI_NULLS_SQL, [(c, 'l_returnflag') for c in ['l_linestatus', 'l_discount', 'l_tax', 'l_linenumber']], fill=False, drop=True)}) c",
+          f"SELECT a_name AS feature, n, dof, chi2 FROM ({chi_sql(LI_NULLS_SQL, [(c, 'l_returnflag') for c in ['l_linestatus', 'l_discount', 'l_tax', 'l_linenumber']], fill=False, drop=True)}) c",
           dbl=["chi2"])
 def chi2_independence(spark, sf):
     return A.chi2_independence(li_nulls(spark, sf), ["l_linestatus", "l_discount", "l_tax", "l_linenumber"], "l_returnflag")
@@ -338,10 +338,15 @@ def _binned_sql(src, num, cat, y, n=10):
 
 
 _Y_SRC = f"(SELECT *, {Y_BIN_SQL}::DOUBLE AS y FROM lineitem)"
-WOE_SQL = (f"SELECT feature, bin, tot, ev, pe AS pct_event, pn AS pct_non_event, ln(pn / pe) AS woe, (pn - pe) * ln(pn / pe) "
-           f"AS iv_part FROM (SELECT feature, bin, tot::BIGINT AS tot, ev, greatest(ev / greatest(sum(ev) OVER (PARTITION BY feature), 1.0), 1e-4) AS pe, "
-           f"greatest((tot - ev) / greatest(sum(tot - ev) OVER (PARTITION BY feature), 1.0), 1e-4) AS pn FROM (SELECT feature, bin, "
-           f"sum(y) AS ev, count(*) AS tot FROM ({_binned_sql(_Y_SRC, BIN_NUM, BIN_CAT, 'y')}) b GROUP BY 1, 2) g) h")
+def woe_sql(src, num, cat):
+    """Levels and bins with their weight of evidence; ``src`` has the event as ``y``."""
+    return (f"SELECT feature, bin, tot, ev, pe AS pct_event, pn AS pct_non_event, ln(pn / pe) AS woe, (pn - pe) * ln(pn / pe) "
+            f"AS iv_part FROM (SELECT feature, bin, tot::BIGINT AS tot, ev, greatest(ev / greatest(sum(ev) OVER (PARTITION BY feature), 1.0), 1e-4) AS pe, "
+            f"greatest((tot - ev) / greatest(sum(tot - ev) OVER (PARTITION BY feature), 1.0), 1e-4) AS pn FROM (SELECT feature, bin, "
+            f"sum(y) AS ev, count(*) AS tot FROM ({_binned_sql(src, num, cat, 'y')}) b GROUP BY 1, 2) g) h")
+
+
+WOE_SQL = woe_sql(_Y_SRC, BIN_NUM, BIN_CAT)
 
 
 @register("woe_table", WOE_SQL, dbl=["ev", "pct_event", "pct_non_event", "woe", "iv_part"])
@@ -376,11 +381,11 @@ def mi_binned(spark, sf):
 
 _PROD = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PROD_SQL = ("(SELECT CAST(l_returnflag AS VARCHAR) AS y, " + ", ".join(
-    f"{a}::DOUBLE * {b}::DOUBLE AS \"{a}*{b}\"" for a, b in _pairs(_PROD)) + " FROM lineitem)")
+    f"{a}::DOUBLE * {b}::DOUBLE AS \"{a}*{b}\"" for a, b in pairs(_PROD)) + " FROM lineitem)")
 
 
 @register("mi_interactions",
-          "SELECT * FROM (" + _mi_sql(_PROD_SQL, [f'"{a}*{b}"' for a, b in _pairs(_PROD)], [], "y")
+          "SELECT * FROM (" + _mi_sql(_PROD_SQL, [f'"{a}*{b}"' for a, b in pairs(_PROD)], [], "y")
           .replace("SELECT '\"", "SELECT '").replace("\"' AS feature", "' AS feature") + ") z WHERE rank <= 10", dbl=["mi"])
 def mi_interactions(spark, sf):
     return A.mi_interactions(li(spark, sf), _PROD, F.col("l_returnflag"))
@@ -409,7 +414,7 @@ def monotonicity(spark, sf):
 def _ig_sql():
     parts = []
     y = f"{Y_BIN_SQL}::DOUBLE"
-    for a, b in _pairs(_PROD):
+    for a, b in pairs(_PROD):
         best = f"greatest(abs(corr({a}, {y})), abs(corr({b}, {y})))"
         for kind, e in (("product", f"{a} * {b}"), ("ratio", f"{a} / ({b} + 1e-6)")):
             parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, '{kind}' AS kind, abs(corr({e}, {y})) AS abs_corr, "
@@ -553,7 +558,7 @@ _DERIVED_SQL = ("(SELECT *, l_extendedprice * (1 - l_discount) AS net_price, l_e
 
 def _derived_sql():
     parts = []
-    for a, b in _pairs(_DERIVED):
+    for a, b in pairs(_DERIVED):
         for kind, p, q, value in (("product", a, b, f"{a} * {b}"), ("sum", a, b, f"{a} + {b}"), ("difference", a, b, f"{a} - {b}"),
                                   ("ratio", a, b, f"{a} / nullif({b}, 0)"), ("ratio", b, a, f"{b} / nullif({a}, 0)")):
             parts += [f"SELECT '{kind}' AS relation, '{p}' AS feature_a, '{q}' AS feature_b, '{c}' AS target_col, "
@@ -655,7 +660,7 @@ _KT = ["l_linenumber", "l_discount", "l_tax"]
 
 def _kendall_sql():
     parts = []
-    for a, b in _pairs(_KT):
+    for a, b in pairs(_KT):
         cells = f"SELECT {a}::DOUBLE AS x, {b}::DOUBLE AS y, count(*) AS n FROM lineitem GROUP BY 1, 2"
         parts.append(
             f"WITH c AS ({cells}), s AS (SELECT sum(CASE WHEN sign(c2.x - c1.x) * sign(c2.y - c1.y) > 0 THEN c1.n * c2.n ELSE 0 END) "

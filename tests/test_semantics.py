@@ -226,3 +226,39 @@ def test_null_importance_scoring_golden(spark):
     r = null_importance_score(t).collect()[0]
     assert r["safe_score"] == pytest.approx(5.0566, abs=1e-4)
     assert r["significant"] == 1
+
+
+def test_executive_summary_bands_and_empty_table(spark):
+    from tabscope.operators.advice import executive_summary
+    rows = [(float(i == 0) * 100, "a" if i < 19 else None, "x" if i < 18 else "y") for i in range(20)]
+    df = spark.createDataFrame(rows, "v double, c string, y string")
+    got = {(r.code, r.feature): (r.value, r.level) for r in executive_summary(df, ["v"], ["c"], "y").collect()}
+    assert got[("rows", None)] == (20.0, None) and got[("columns", None)] == (3.0, None)
+    assert got[("missing_share", None)] == (pytest.approx(1 / 60), "low")
+    assert got[("duplicate_share", None)] == (pytest.approx(16 / 20), "high")
+    assert got[("majority_share", "y")] == (0.9, "moderate")
+    assert got[("skew", "v")][0] == pytest.approx(0.9 / math.sqrt(0.05 * 0.95))
+    many = df.withColumn("id", F.monotonically_increasing_id())
+    assert not [r for r in executive_summary(many, [], [], "id").collect() if r.code == "majority_share"]
+    empty = {r.code: (r.value, r.level) for r in executive_summary(df.limit(0), ["v"], ["c"], "y").collect()}
+    assert empty == {"rows": (0.0, None), "columns": (3.0, None), "numeric_features": (1.0, None), "categorical_features": (1.0, None),
+                     "missing_share": (0.0, "low"), "duplicate_share": (0.0, "low")}
+
+
+def test_action_items_name_each_step(spark):
+    from tabscope.operators.advice import action_items
+    rows = [(i, "No line" if i % 4 == 0 else f"s{i % 3}", "off" if i % 4 == 0 else "on", "big" if i < 15 else "small",
+             "B" if i < 15 else "S", int(i < 80)) for i in range(100)]
+    df = spark.createDataFrame(rows, "n int, child string, parent string, a string, b string, y int")
+    got = {(r.action, r.subject): r.value for r in action_items(df, [], ["child", "parent", "a", "b"], "y", F.col("y")).collect()}
+    assert got[("weigh_classes", "y")] == 0.8 and got[("recode_sentinel", "child")] == 1.0
+    assert ("keep_one", "a & b") in got and ("keep_one", "parent & a") not in got
+    assert ("drop_feature", "parent") in got
+
+
+def test_final_summary_counts_null_classes(spark):
+    from tabscope.operators.advice import final_summary
+    df = spark.createDataFrame([("p",), (None,), ("p",)], "y string")
+    got = sorted(r.line for r in final_summary(df, ["n"], ["c"], "y", "binary").collect())
+    assert got == sorted(["problem: binary", "features: 2", "categorical: c", "numeric: n", "rows: 3", "class p: 2", "class (null): 1"])
+    assert len(final_summary(df, ["n"], ["c"], "y", "regression").collect()) == 5
