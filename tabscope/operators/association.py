@@ -181,22 +181,22 @@ def target_corr_gap(df: DataFrame, features: Sequence[str], target: str, gap: fl
 def vif(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """VIF = diag(inverse correlation matrix) on complete rows.
 
-    The p x p matrix comes from one Spark aggregate; only that matrix (p =
-    number of features) is inverted on the driver."""
+    The p x p matrix comes from the correlation pairs (a grid of moments for many
+    columns); only that matrix (p = number of features) is inverted on the driver.  A constant
+    column, or one that only constants stand beside, has a null VIF and risk."""
     import numpy as np
     complete = df.select(*[col(f).cast("double").alias(f) for f in features]).na.drop()
-    pairs = _pairs(list(features))
-    row = complete.agg(*[pearson(col(a), col(b)).alias(f"_r{k}") for k, (a, b) in enumerate(pairs)]).first()
-    p = len(features)
-    m = np.eye(p)
-    for k, (a, b) in enumerate(pairs):
-        i, j = features.index(a), features.index(b)
-        m[i, j] = m[j, i] = row[f"_r{k}"]
-    inv = np.linalg.pinv(m)
+    found = corr_pairs(complete, features).where("corr is not null").collect() if len(features) > 1 else []
+    held = [f for f in features if len(features) == 1 or any(f in (r["feature_a"], r["feature_b"]) for r in found)]
+    m = np.eye(len(held))
+    for r in found:
+        i, j = held.index(r["feature_a"]), held.index(r["feature_b"])
+        m[i, j] = m[j, i] = r["corr"]
+    inv = np.linalg.pinv(m) if held else m
     spark = df.sparkSession
-    vals = [(f, float(inv[i, i])) for i, f in enumerate(features)]
+    vals = [(f, float(inv[held.index(f), held.index(f)]) if f in held else None) for f in features]
     out = spark.createDataFrame(vals, "feature string, vif double")
-    return out.withColumn("risk", F.when(F.col("vif") > 10, "high").when(F.col("vif") > 5, "moderate").otherwise("low"))
+    return out.withColumn("risk", F.when(F.col("vif") > 10, "high").when(F.col("vif") > 5, "moderate").when(F.col("vif") <= 5, "low"))
 
 
 # ------------------------------------------------------------ contingency

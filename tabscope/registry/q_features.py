@@ -367,8 +367,8 @@ def feature_rank(spark, sf):
 
 
 def _cumulative_sql():
-    from tabscope.registry.q_stats import _YS_SRC, _mi_sql
-    mi = _mi_sql(_YS_SRC, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], ["l_linestatus", "l_linenumber"], "y")
+    from tabscope.registry.q_stats import _YS_SRC, mi_sql
+    mi = mi_sql(_YS_SRC, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], ["l_linestatus", "l_linenumber"], "y")
     return (f"WITH m AS (SELECT feature, mi FROM ({mi}) q), c AS (SELECT feature, mi, mi / sum(mi) OVER () AS importance_share, "
             "sum(mi) OVER (ORDER BY mi DESC, feature ROWS UNBOUNDED PRECEDING) / sum(mi) OVER () AS cumulative, "
             "row_number() OVER (ORDER BY mi DESC, feature)::BIGINT AS rank FROM m) "

@@ -10,7 +10,9 @@ from tabscope.operators import models as M
 from tabscope.operators import profile as P
 from tabscope.registry.base import (LI_NULLS_SQL, LI_NUM, Y_BIN_SQL, li, li_nulls, li_test, li_train, register,
                                     table, union_all, y_binary)
-from tabscope.registry.q_stats import CP_COLS, ORD_SENT_SQL, chi_sql, ord_sent, pairs, woe_sql
+from tabscope.registry.q_profile import top_sql, vc_sql
+from tabscope.registry.q_stats import (CP_COLS, NET_SQL, NETC, ORD_SENT_SQL, chi_sql, li_net, mi_sql, ord_sent, pairs, vif_sql,
+                                       woe_sql)
 
 # ------------------------------------------------------------ metrics
 _PRED_SQL = ("(SELECT l.l_returnflag AS y, t.top_class AS yhat FROM lineitem l JOIN (SELECT l_linestatus, "
@@ -325,17 +327,52 @@ def quality_score_filled(spark, sf):
                            ["l_returnflag", "l_linestatus"], zero_fill=True, missing_cap=20.0)
 
 
-@register("feature_actions", rows_only=True)
+FA_CAT = ["l_linestatus", "l_linenumber"]
+
+
+def _feature_actions_sql():
+    parts = []
+    for c in FA_CAT + LI_NUM:
+        num = c in LI_NUM
+        fence = (f"(SELECT quantile_cont({c}::DOUBLE, 0.25) AS q1, quantile_cont({c}::DOUBLE, 0.75) AS q3 FROM {LI_NULLS_SQL} f)"
+                 if num else "(SELECT 0 AS q1, 0 AS q3)")
+        out = f"count(*) FILTER (WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1))" if num else "0"
+        parts.append(f"SELECT '{c}' AS feature, '{'NUM' if num else 'CAT'}' AS type, count(DISTINCT {c}) + max(CAST({c} IS NULL AS INTEGER)) "
+                     f"AS nu, count(*) AS n, count({c}) AS nn, {f'skewness({c})' if num else 'NULL'} AS sk, {out} AS nout "
+                     f"FROM {LI_NULLS_SQL} s, {fence} q")
+    mi = mi_sql(f"(SELECT *, CAST(l_returnflag AS VARCHAR) AS y FROM {LI_NULLS_SQL} x)", LI_NUM, FA_CAT, "y")
+    steps = ("concat_ws(' + ', CASE WHEN abs(sk) > 2 THEN 'TRANSFORM' END, CASE WHEN nout::DOUBLE / n > 0.05 THEN 'CLIP' END, "
+             "CASE WHEN nn < n THEN 'IMPUTE' END, CASE WHEN coalesce(mi, 0) < 0.005 THEN 'TRY_DROP' END)")
+    return (f"SELECT feature, type, CASE WHEN nu <= 1 THEN 'DROP' WHEN type = 'CAT' AND nu > 100 THEN 'TARGET/FREQ ENCODE' "
+            f"WHEN type = 'CAT' AND nu <= 5 THEN 'ONEHOT' WHEN type = 'CAT' THEN 'TARGET ENCODE' WHEN {steps} = '' THEN 'KEEP' "
+            f"ELSE {steps} END AS action, CASE WHEN nu <= 1 OR (type = 'CAT' AND nu > 100) THEN 'HIGH' WHEN type = 'CAT' THEN 'MED' "
+            f"WHEN coalesce(mi, 0) > 0.1 THEN 'HIGH' WHEN coalesce(mi, 0) < 0.005 THEN 'LOW' ELSE 'MED' END AS priority, mi "
+            f"FROM ({union_all(parts)}) st LEFT JOIN (SELECT feature, mi FROM ({mi}) m) USING (feature)")
+
+
+@register("feature_actions", _feature_actions_sql(), dbl=["mi"])
 def feature_actions(spark, sf):
     """Per-feature action / priority table (MI from the binned estimator)."""
-    return D.feature_actions(li_nulls(spark, sf), ["l_quantity", "l_extendedprice", "l_discount", "l_tax"],
-                             ["l_linestatus", "l_linenumber"], F.col("l_returnflag"))
+    return D.feature_actions(li_nulls(spark, sf), LI_NUM, FA_CAT, F.col("l_returnflag"))
+
+
+def _pruning_sql():
+    mi = mi_sql(f"(SELECT *, CAST(l_returnflag AS VARCHAR) AS y FROM {NET_SQL} x)", NETC, [], "y")
+    nzv = f"SELECT feature FROM ({top_sql(vc_sql(NET_SQL, NETC))}) t WHERE top_n::DOUBLE / n > 0.95 OR n_unique::DOUBLE / n < 0.01"
+    tied = union_all([f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS r FROM {NET_SQL} c" for a, b in pairs(NETC)])
+    return (f"WITH mi AS (SELECT feature, mi FROM ({mi}) m), u AS ("
+            f"SELECT feature, 1 AS priority, 'near-zero variance' AS reason FROM ({nzv}) z "
+            f"UNION ALL SELECT feature, 2, 'VIF > 10' FROM ({vif_sql(NET_SQL, NETC)}) v WHERE vif > 10 "
+            f"UNION ALL SELECT CASE WHEN x.mi >= y.mi THEN b ELSE a END, 3, '|r| > .95, lower MI' FROM ({tied}) t "
+            f"JOIN mi x ON x.feature = a JOIN mi y ON y.feature = b WHERE abs(r) > 0.95 "
+            f"UNION ALL SELECT feature, 4, 'MI < .01' FROM mi WHERE mi < 0.01) "
+            f"SELECT feature, arg_min(reason, priority) AS reason, min(priority) AS priority FROM u GROUP BY feature")
 
 
-@register("pruning_advice", rows_only=True)
+@register("pruning_advice", _pruning_sql())
 def pruning_advice(spark, sf):
-    t = li(spark, sf).withColumn("net_price", F.col("l_extendedprice") * (1 - F.col("l_discount")))
-    return D.pruning_advice(t, [*LI_NUM, "net_price"], F.col("l_returnflag"))
+    """D3: columns to drop, with the first reason that holds."""
+    return D.pruning_advice(li_net(spark, sf), NETC, F.col("l_returnflag"))
 
 
 QS_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
@@ -460,9 +497,35 @@ def quality_score_simple(spark, sf):
     return D.quality_score_simple(t)
 
 
-@register("findings", rows_only=True)
+FIND_SRC = (f"(SELECT *, CASE WHEN o_orderpriority <> '1-URGENT' THEN o_custkey END AS gap, CAST(o_orderkey % 50 = 0 AS INTEGER) "
+            f"AS fiftieth, 'orders' AS src, o_orderstatus AS next_status FROM {ORD_SENT_SQL} o)")
+
+
+def _findings_sql():
+    def row(section, feature, severity, code, metric, value, threshold, message, rest):
+        return (f"SELECT '{section}' AS section, '{feature}' AS feature, {severity} AS severity, '{code}' AS code, '{metric}' AS metric, "
+                f"{value} AS value, {threshold} AS threshold, {message} AS message FROM {rest}")
+    parts = [row("missing", "gap", "CASE WHEN v > 30 THEN 'critical' WHEN v > 5 THEN 'warning' ELSE 'info' END", "MISSING", "pct_null", "v",
+                 "5.0", "printf('gap: %.2f%% missing', v)",
+                 "(SELECT 100.0 * count(*) FILTER (WHERE gap IS NULL)::DOUBLE / count(*) AS v FROM src) t WHERE v > 0"),
+             row("quality", "src", "'critical'", "CONSTANT", "n_unique", "1.0", "1.0", "'src: constant column, drop'",
+                 "(SELECT count(DISTINCT src) AS k FROM src) t WHERE k = 1"),
+             row("target", "fiftieth", "'critical'", "IMBALANCE", "max_min_ratio", "v", "10.0", "printf('class imbalance ratio %.1f', v)",
+                 "(SELECT max(k)::DOUBLE / min(k) AS v FROM (SELECT count(*) AS k FROM src GROUP BY fiftieth)) t WHERE v > 10"),
+             row("leakage", "next_status", "'warning'", "NAME_HINT", "name", "NULL::DOUBLE", "NULL::DOUBLE",
+                 "'next_status: name suggests information from the future'", "(SELECT 1) t")]
+    for c in ("o_totalprice", "o_custkey", "fiftieth"):
+        parts.append(row("distribution", c, "'warning'", "SKEW", "skew", "g", "1.0", f"printf('{c}: skew %.2f, consider a transform', g)",
+                         f"(SELECT avg(power({c} - m, 3)) / power(avg(power({c} - m, 2)), 1.5) AS g FROM (SELECT {c}, avg({c}) OVER () "
+                         f"AS m FROM src)) t WHERE abs(g) > 1"))
+    return f"WITH src AS (SELECT * FROM {FIND_SRC} f) " + union_all(parts)
+
+
+@register("findings", _findings_sql(), dbl=["value"])
 def findings(spark, sf):
-    """A48/D6 findings table on orders with a sentinel column, a binary target and a constant column."""
-    t = ord_sent(spark, sf).withColumn("src", F.lit("orders")).withColumn("next_status", F.col("o_orderstatus"))
-    return D.findings(t, ["o_totalprice", "o_custkey"], ["o_orderstatus", "o_orderpriority", "sentinel", "src"],
-                      target="big")
+    """A48 findings table on orders with a sentinel, a column with gaps, a constant, a rare flag as target and a telling name."""
+    t = ord_sent(spark, sf).withColumn("gap", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey"))).withColumn(
+        "fiftieth", (F.pmod("o_orderkey", F.lit(50)) == 0).cast("int")).withColumn("src", F.lit("orders")).withColumn(
+        "next_status", F.col("o_orderstatus"))
+    return D.findings(t, ["o_totalprice", "o_custkey", "fiftieth"], ["o_orderstatus", "o_orderpriority", "sentinel", "src"],
+                      target="fiftieth")

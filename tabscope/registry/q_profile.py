@@ -39,7 +39,7 @@ def describe_numeric(spark, sf):
     return P.describe_numeric(li_nulls(spark, sf), LI_NUM)
 
 
-def _vc_sql(src, cols, dropna=True, by=None):
+def vc_sql(src, cols, dropna=True, by=None):
     parts = []
     for c in cols:
         b = f", CAST({by} AS VARCHAR) AS class" if by else ""
@@ -51,7 +51,7 @@ def _vc_sql(src, cols, dropna=True, by=None):
     return union_all(parts)
 
 
-def _top_sql(vc):
+def top_sql(vc):
     return (f"SELECT feature, sum(n)::BIGINT AS n, count(*)::BIGINT AS n_unique, "
             f"arg_min(value, (-n, value)) AS top, max(n)::BIGINT AS top_n FROM ({vc}) v GROUP BY feature")
 
@@ -60,7 +60,7 @@ CAT_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount"]
 
 
 @register("describe_categorical",
-          f"SELECT feature, n, n_unique, top, top_n AS freq FROM ({_top_sql(_vc_sql('lineitem', CAT_COLS))}) x")
+          f"SELECT feature, n, n_unique, top, top_n AS freq FROM ({top_sql(vc_sql('lineitem', CAT_COLS))}) x")
 def describe_categorical(spark, sf):
     return P.describe_categorical(li(spark, sf), CAT_COLS)
 
@@ -226,7 +226,7 @@ def impute_advice(spark, sf):
 @register("category_summary",
           f"SELECT feature, n, n_unique, top, top_n, 100.0 * top_n::DOUBLE / n AS top_pct, "
           f"n_unique::DOUBLE / n AS cardinality_ratio, CAST(n_unique > 20 AS INTEGER) AS many_levels "
-          f"FROM ({_top_sql(_vc_sql('part', ['p_brand', 'p_type', 'p_size', 'p_name']))}) x",
+          f"FROM ({top_sql(vc_sql('part', ['p_brand', 'p_type', 'p_size', 'p_name']))}) x",
           dbl=["top_pct", "cardinality_ratio"])
 def category_summary(spark, sf):
     return P.category_summary(table(spark, sf, "part"), ["p_brand", "p_type", "p_size", "p_name"])
@@ -235,14 +235,14 @@ def category_summary(spark, sf):
 @register("category_top30",
           f"SELECT feature, value, n, pct, rank FROM (SELECT feature, value, n, 100.0 * n::DOUBLE / sum(n) OVER "
           f"(PARTITION BY feature) AS pct, row_number() OVER (PARTITION BY feature ORDER BY n DESC, value)::BIGINT AS rank "
-          f"FROM ({_vc_sql('part', ['p_brand', 'p_type', 'p_size'])}) v) x WHERE rank <= 30", dbl=["pct"])
+          f"FROM ({vc_sql('part', ['p_brand', 'p_type', 'p_size'])}) v) x WHERE rank <= 30", dbl=["pct"])
 def category_top30(spark, sf):
     return P.category_top(table(spark, sf, "part"), ["p_brand", "p_type", "p_size"], 30)
 
 
 @register("rare_categories",
           f"SELECT feature, value, n, CASE WHEN n < 5 THEN 'rare' ELSE 'frequent' END AS kind "
-          f"FROM ({_vc_sql('orders', ['o_custkey', 'o_orderpriority', 'o_orderstatus'])}) v WHERE n < 5 OR n > 100")
+          f"FROM ({vc_sql('orders', ['o_custkey', 'o_orderpriority', 'o_orderstatus'])}) v WHERE n < 5 OR n > 100")
 def rare_categories(spark, sf):
     return P.rare_categories(table(spark, sf, "orders"), ["o_custkey", "o_orderpriority", "o_orderstatus"])
 
@@ -262,7 +262,7 @@ QC_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_tax", "l_discount"
 @register("quasi_constant",
           f"SELECT feature, n_unique, top_n::DOUBLE / n AS top_share, CAST(n_unique <= 1 AS INTEGER) AS constant, "
           f"CAST(top_n::DOUBLE / n > 0.97 AS INTEGER) AS quasi_constant FROM "
-          f"({_top_sql(_vc_sql(LI_NULLS_SQL, QC_COLS, dropna=False))}) x", dbl=["top_share"])
+          f"({top_sql(vc_sql(LI_NULLS_SQL, QC_COLS, dropna=False))}) x", dbl=["top_share"])
 def quasi_constant(spark, sf):
     return P.quasi_constant(li_nulls(spark, sf), QC_COLS)
 
@@ -270,7 +270,7 @@ def quasi_constant(spark, sf):
 @register("near_zero_variance",
           f"SELECT feature, top_n::DOUBLE / n AS top_share, n_unique::DOUBLE / n AS unique_ratio, "
           f"CAST(top_n::DOUBLE / n > 0.95 OR n_unique::DOUBLE / n < 0.01 AS INTEGER) AS nzv FROM "
-          f"({_top_sql(_vc_sql('lineitem', ['l_returnflag', 'l_linestatus', 'l_linenumber', 'l_quantity', 'l_partkey']))}) x",
+          f"({top_sql(vc_sql('lineitem', ['l_returnflag', 'l_linestatus', 'l_linenumber', 'l_quantity', 'l_partkey']))}) x",
           dbl=["top_share", "unique_ratio"])
 def near_zero_variance(spark, sf):
     return P.near_zero_variance(li(spark, sf), ["l_returnflag", "l_linestatus", "l_linenumber", "l_quantity",
@@ -285,7 +285,7 @@ ENT_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_discount", "l_tax
           f"CASE WHEN n_levels > 1 THEN entropy / log2(n_levels::DOUBLE) ELSE 0.0 END AS normalized, "
           f"CAST(CASE WHEN n_levels > 1 THEN entropy / log2(n_levels::DOUBLE) ELSE 0.0 END < 0.3 AS INTEGER) AS low "
           f"FROM (SELECT feature, -sum(p * log2(p)) AS entropy, count(*)::BIGINT AS n_levels FROM "
-          f"(SELECT feature, n::DOUBLE / sum(n) OVER (PARTITION BY feature) AS p FROM ({_vc_sql('lineitem', ENT_COLS)}) v) y "
+          f"(SELECT feature, n::DOUBLE / sum(n) OVER (PARTITION BY feature) AS p FROM ({vc_sql('lineitem', ENT_COLS)}) v) y "
           f"GROUP BY feature) z", dbl=["entropy", "max_entropy", "normalized"])
 def category_entropy(spark, sf):
     return P.category_entropy(li(spark, sf), ENT_COLS)
@@ -352,7 +352,7 @@ def bivariate_rates(spark, sf):
 
 
 XT_SQL = (f"SELECT feature, value, class, n, n::DOUBLE / sum(n) OVER (PARTITION BY feature, value) AS row_share "
-          f"FROM ({_vc_sql('lineitem', CT_COLS, by='l_returnflag')}) v")
+          f"FROM ({vc_sql('lineitem', CT_COLS, by='l_returnflag')}) v")
 
 
 @register("crosstab", f"SELECT feature, value, class, n FROM ({XT_SQL}) x")
@@ -545,16 +545,16 @@ CC_COLS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_partkey"]
           f"SELECT a.feature, a.n_unique, 100.0 * a.top_share AS top_pct, a.n_rare, coalesce(u.n_unseen, 0)::BIGINT AS n_unseen "
           f"FROM (SELECT feature, count(*)::BIGINT AS n_unique, max(share) AS top_share, "
           f"count(*) FILTER (WHERE share < 0.01)::BIGINT AS n_rare FROM (SELECT feature, value, n::DOUBLE / sum(n) OVER "
-          f"(PARTITION BY feature) AS share FROM ({_vc_sql(LI_TRAIN_SQL, CC_COLS)}) v) w GROUP BY feature) a "
-          f"LEFT JOIN (SELECT feature, count(*) AS n_unseen FROM (SELECT feature, value FROM ({_vc_sql(LI_TEST_SQL, CC_COLS)}) t "
-          f"EXCEPT SELECT feature, value FROM ({_vc_sql(LI_TRAIN_SQL, CC_COLS)}) r) e GROUP BY feature) u "
+          f"(PARTITION BY feature) AS share FROM ({vc_sql(LI_TRAIN_SQL, CC_COLS)}) v) w GROUP BY feature) a "
+          f"LEFT JOIN (SELECT feature, count(*) AS n_unseen FROM (SELECT feature, value FROM ({vc_sql(LI_TEST_SQL, CC_COLS)}) t "
+          f"EXCEPT SELECT feature, value FROM ({vc_sql(LI_TRAIN_SQL, CC_COLS)}) r) e GROUP BY feature) u "
           f"ON a.feature = u.feature", dbl=["top_pct"])
 def category_compact(spark, sf):
     return P.category_compact(li_train(spark, sf), li_test(spark, sf), CC_COLS)
 
 
 def _audit_side(src, tag):
-    vc = _vc_sql(src, CC_COLS, dropna=False)
+    vc = vc_sql(src, CC_COLS, dropna=False)
     return (f"SELECT feature, count(*) FILTER (WHERE value IS NOT NULL)::BIGINT AS n_unique_{tag}, "
             f"100.0 * coalesce(sum(n) FILTER (WHERE value IS NULL), 0)::DOUBLE / sum(n) AS null_pct_{tag}, "
             f"100.0 * max(n) FILTER (WHERE value IS NOT NULL)::DOUBLE / sum(n) AS top_pct_{tag} FROM ({vc}) v GROUP BY feature")
@@ -586,9 +586,9 @@ def numeric_compare(spark, sf):
 @register("category_compare",
           f"SELECT coalesce(a.feature, b.feature) AS feature, a.n_unique AS n_unique_train, b.n_unique AS n_unique_test, "
           f"a.top AS top_train, b.top AS top_test, coalesce(o.k, 0)::BIGINT AS n_not_in_test FROM "
-          f"({_top_sql(_vc_sql(LI_TRAIN_SQL, CC_COLS))}) a FULL OUTER JOIN ({_top_sql(_vc_sql(LI_TEST_SQL, CC_COLS))}) b "
+          f"({top_sql(vc_sql(LI_TRAIN_SQL, CC_COLS))}) a FULL OUTER JOIN ({top_sql(vc_sql(LI_TEST_SQL, CC_COLS))}) b "
           f"ON a.feature = b.feature LEFT JOIN (SELECT feature, count(*) AS k FROM (SELECT feature, value FROM "
-          f"({_vc_sql(LI_TRAIN_SQL, CC_COLS)}) r EXCEPT SELECT feature, value FROM ({_vc_sql(LI_TEST_SQL, CC_COLS)}) t) e "
+          f"({vc_sql(LI_TRAIN_SQL, CC_COLS)}) r EXCEPT SELECT feature, value FROM ({vc_sql(LI_TEST_SQL, CC_COLS)}) t) e "
           f"GROUP BY feature) o ON coalesce(a.feature, b.feature) = o.feature")
 def category_compare(spark, sf):
     return P.category_compare(li_train(spark, sf), li_test(spark, sf), CC_COLS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import permutations
+
 from pyspark.sql import functions as F
 
 from tabscope.operators import association as A
@@ -93,7 +95,24 @@ def target_corr_gap(spark, sf):
     return A.target_corr_gap(t, ["l_quantity", "l_discount", "l_tax"], "y")
 
 
-@register("vif", rows_only=True)
+def vif_sql(src, cols):
+    """VIFs as ratios of determinants of the correlation matrix of complete rows, written out over permutations."""
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in cols)
+    r = ", ".join(f"corr({a}, {b}) AS r_{a}_{b}" for a, b in pairs(cols))
+    name = {(a, b): f"r_{a}_{b}" for a, b in pairs(cols)} | {(b, a): f"r_{a}_{b}" for a, b in pairs(cols)}
+
+    def det(of):
+        terms = []
+        for p in permutations(range(len(of))):
+            odd = sum(p[i] > p[j] for i in range(len(p)) for j in range(i + 1, len(p))) % 2
+            terms.append(" * ".join(["(-1.0)" if odd else "1.0"] + [name[of[i], of[j]] for i, j in enumerate(p) if i != j]))
+        return "(" + " + ".join(terms) + ")"
+    vifs = union_all([f"SELECT '{c}' AS feature, {det([x for x in cols if x != c])} / {det(cols)} AS vif FROM r" for c in cols])
+    return (f"WITH r AS (SELECT {r} FROM {src} s WHERE {whole}) SELECT feature, vif, CASE WHEN vif > 10 THEN 'high' WHEN vif > 5 "
+            f"THEN 'moderate' ELSE 'low' END AS risk FROM ({vifs}) v")
+
+
+@register("vif", vif_sql(NET_SQL, NETC), dbl=["vif"])
 def vif(spark, sf):
     """VIF from the inverse correlation matrix (matrix built in Spark)."""
     return A.vif(li_net(spark, sf), NETC)
@@ -362,7 +381,7 @@ def information_value(spark, sf):
     return A.information_value(li(spark, sf), BIN_NUM, BIN_CAT, y_binary())
 
 
-def _mi_sql(src, num, cat, y):
+def mi_sql(src, num, cat, y):
     cells = f"SELECT feature, bin, y, count(*) AS n FROM ({_binned_sql(src, num, cat, y)}) b GROUP BY 1, 2, 3"
     c = (f"SELECT feature, n, sum(n) OVER (PARTITION BY feature) AS nn, sum(n) OVER (PARTITION BY feature, bin) AS nb, "
          f"sum(n) OVER (PARTITION BY feature, y) AS ny FROM ({cells}) c")
@@ -373,7 +392,7 @@ def _mi_sql(src, num, cat, y):
 _YS_SRC = "(SELECT *, CAST(l_returnflag AS VARCHAR) AS y FROM lineitem)"
 
 
-@register("mi_binned", _mi_sql(_YS_SRC, BIN_NUM, BIN_CAT, "y"), dbl=["mi"])
+@register("mi_binned", mi_sql(_YS_SRC, BIN_NUM, BIN_CAT, "y"), dbl=["mi"])
 def mi_binned(spark, sf):
     """Plug-in MI of binned numerics / levels with the 3-class return flag."""
     return A.mi_binned(li(spark, sf), BIN_NUM, BIN_CAT, F.col("l_returnflag"))
@@ -385,7 +404,7 @@ _PROD_SQL = ("(SELECT CAST(l_returnflag AS VARCHAR) AS y, " + ", ".join(
 
 
 @register("mi_interactions",
-          "SELECT * FROM (" + _mi_sql(_PROD_SQL, [f'"{a}*{b}"' for a, b in pairs(_PROD)], [], "y")
+          "SELECT * FROM (" + mi_sql(_PROD_SQL, [f'"{a}*{b}"' for a, b in pairs(_PROD)], [], "y")
           .replace("SELECT '\"", "SELECT '").replace("\"' AS feature", "' AS feature") + ") z WHERE rank <= 10", dbl=["mi"])
 def mi_interactions(spark, sf):
     return A.mi_interactions(li(spark, sf), _PROD, F.col("l_returnflag"))

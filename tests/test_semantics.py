@@ -262,3 +262,12 @@ def test_final_summary_counts_null_classes(spark):
     got = sorted(r.line for r in final_summary(df, ["n"], ["c"], "y", "binary").collect())
     assert got == sorted(["problem: binary", "features: 2", "categorical: c", "numeric: n", "rows: 3", "class p: 2", "class (null): 1"])
     assert len(final_summary(df, ["n"], ["c"], "y", "regression").collect()) == 5
+
+
+def test_vif_of_constant_and_single_columns(spark):
+    df = spark.createDataFrame([(float(i), float((i * 7) % 10), 3.0) for i in range(10)] + [(None, 1.0, 3.0)], "a double, b double, k double")
+    got = {r.feature: (r.vif, r.risk) for r in A.vif(df, ["a", "b", "k"]).collect()}
+    r = A.corr_pairs(df.na.drop(), ["a", "b"]).first()["corr"]
+    assert got["k"] == (None, None)
+    assert got["a"][0] == got["b"][0] == pytest.approx(1 / (1 - r * r)) and got["a"][1] == "low"
+    assert [tuple(r) for r in A.vif(df, ["a"]).collect()] == [("a", 1.0, "low")]
