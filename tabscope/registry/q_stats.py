@@ -519,10 +519,12 @@ _ENC_SRC = ("(SELECT l_linestatus, CAST(round(avg(" + Y_BIN_SQL + ") OVER (PARTI
     f"WHERE {c} IS NOT NULL GROUP BY 1) g" for c in ["l_linestatus", "enc_status", "line_txt"]]), dbl=["match_share"])
 def leak_encoding(spark, sf):
     """A column holding the rounded per-level target mean is flagged; plain levels are not."""
-    from pyspark.sql import Window
+    from tabscope.plans.frames import bounded
     t = li(spark, sf)
-    enc = F.round(F.avg(y_binary()).over(Window.partitionBy("l_linestatus")), 4).cast("string")
-    t = t.select("l_linestatus", enc.alias("enc_status"), F.col("l_linenumber").cast("string").alias("line_txt"),
+    # one row a level, joined back: a window would bring all rows of a level into one task
+    enc = t.groupBy(F.col("l_linestatus").alias("_level")).agg(F.round(F.avg(y_binary()), 4).cast("string").alias("enc_status"))
+    t = t.join(bounded(enc), F.col("l_linestatus").eqNullSafe(F.col("_level"))).select(
+        "l_linestatus", "enc_status", F.col("l_linenumber").cast("string").alias("line_txt"),
                  y_binary().alias("y"))
     return A.leak_encoding(t, ["l_linestatus", "enc_status", "line_txt"], F.col("y"))
 
