@@ -141,12 +141,10 @@ def dup_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def dup_per_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Per column rows - (distinct non-null + has_null), one aggregate."""
-    from tabscope.plans.frames import per_feature
-    return per_feature(df, cols, lambda i, f: {
-        "n_rows": F.count(F.lit(1)),
-        "n_dup": F.count(F.lit(1)) - F.count_distinct(col(f)) - F.max(col(f).isNull().cast("int")),
-    })
+    """Per column rows - (distinct non-null + has_null)."""
+    from tabscope.plans.frames import distinct_counts
+    return distinct_counts(df, cols).select("feature", "n_rows", F.when(F.col("n_rows") > 0, F.col("n_rows") - F.col("n_unique") - (
+        F.col("n_null") > 0).cast("int")).alias("n_dup"))
 
 
 def repeated_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:

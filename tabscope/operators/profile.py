@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, pearson, kurt_corrected, safe_div, skew_corrected
-from tabscope.plans.frames import per_feature, quantiles, scalar_row, value_counts, with_totals
+from tabscope.plans.frames import distinct_counts, per_feature, quantiles, scalar_row, value_counts, with_totals
 
 PCT_NAMES = ("p01", "p05", "p10", "p25", "p50", "p75", "p90", "p95", "p99")
 
@@ -281,8 +281,7 @@ def rare_categories(df: DataFrame, cols: Sequence[str], cfg: Config = DEFAULT) -
 def cardinality(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Distinct non-null values per column and ratio to rows."""
     cols = list(cols or df.columns)
-    out = per_feature(df, cols, lambda i, f: {"n_rows": F.count(F.lit(1)),
-                                              "n_unique": F.count_distinct(col(f))})
+    out = distinct_counts(df, cols)
     return out.select("feature", "n_unique", (F.col("n_unique") / F.col("n_rows")).alias("unique_ratio"))
 
 

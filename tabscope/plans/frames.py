@@ -15,6 +15,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -86,6 +87,22 @@ def quantile(c: Column, p: float, cfg: Config = DEFAULT) -> Column:
     return F.percentile(c.cast("double"), float(p))
 
 
+def distinct_counts(df: DataFrame, features: Sequence[str], feature_col: str = "feature") -> DataFrame:
+    """``(feature, n_rows, n_null, n_unique)``: exact distinct non-null values of every column, each by a narrow group-by of its own
+    that reads this column alone.  Several ``count_distinct`` in one aggregate would expand every row once a column and
+    shuffle rows as wide as all of them."""
+    out = None
+    for f in features:
+        g = df.groupBy(col(f).alias("_v")).agg(F.count(F.lit(1)).alias("_k"))
+        one = g.agg(F.coalesce(F.sum("_k"), F.lit(0)).alias("n_rows"),
+                    F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_k"))), F.lit(0)).alias("n_null"),
+                    F.count("_v").alias("n_unique")).select(F.lit(f).alias(feature_col), "n_rows", "n_null", "n_unique")
+        out = one if out is None else out.unionByName(one)
+    if out is None:
+        raise ValueError("no features")
+    return out
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Broadcast a table whose row count is bounded by #features x #classes."""
     return F.broadcast(df)
@@ -171,12 +188,15 @@ def value_block(x: Column, cuts: Sequence[float]) -> Column:
     return F.when(x.isNull(), -1).when(top == 0, 0).otherwise((top - 1) * step + under(F.get(inner, top - 1)))
 
 
-def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: int = 42) -> DataFrame:
+def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: int = 42,
+                   keep: Sequence[str] | None = None) -> DataFrame:
     """Exact random permutation of one column: rows ordered by one seeded hash are paired,
-    position by position, with values ordered by an independent hash (one shuffle join)."""
+    position by position, with values ordered by an independent hash (one shuffle join).  ``keep`` names the other
+    columns of the result (default: all); the sorted rows carry them and the hash, not the keys."""
     keys = [col(k) for k in key_cols]
-    a = positions(df.drop(column), [F.xxhash64(F.lit(seed), *keys)], name="_p")
-    b = positions(df.select(col(column), *keys), [F.xxhash64(F.lit(seed + 7919), *keys)], name="_p") \
+    kept = [col(c) for c in (df.columns if keep is None else keep) if c != column]
+    a = positions(df.select(*kept, F.xxhash64(F.lit(seed), *keys).alias("_h")), [F.col("_h")], name="_p").drop("_h")
+    b = positions(df.select(col(column), F.xxhash64(F.lit(seed + 7919), *keys).alias("_h")), [F.col("_h")], name="_p") \
         .select("_p", col(column))
     return a.join(b, "_p").drop("_p")
 
@@ -222,18 +242,66 @@ def running_sum(df: DataFrame, order: Sequence[str], value, by: Sequence[str] =
     return j.drop("_block", *[f"_local{k}" for k in range(len(values))], *[f"_off{k}" for k in range(len(values))])
 
 
+#: Values (rows x features) from which quantiles look at the neighbourhood of each order statistic only.
+NARROW_FROM = 2_000_000
+
+
+def _narrowed_cells(vals: DataFrame, features: Sequence[str], probs: Sequence[float]) -> DataFrame | None:
+    """``(feature, x, k)`` cells with the same order statistics at ``probs`` as all values have, but few of them: values
+    near a wanted one stay as they are, those between two neighbourhoods count as one cell.  A sketch bounds the
+    neighbourhoods, exact counts of the cells prove that every wanted rank lies inside one.  None for small tables, and
+    if a rank lies outside."""
+    from tabscope.plans.blocks import written
+    accuracy, reach = 10_000, 3e-4
+    points = sorted({min(1.0, max(0.0, p + s * reach)) for p in probs for s in (-1, 1)})
+    clean = [F.when(~F.isnan(col(f)), col(f)) for f in features]
+    got = vals.agg(*[F.count(x).alias(f"n{i}") for i, x in enumerate(clean)],
+                   *[F.percentile_approx(x, points, accuracy).alias(f"q{i}") for i, x in enumerate(clean)]).first()
+    if sum(got[f"n{i}"] for i in range(len(features))) < NARROW_FROM:
+        return None
+    near, exprs = {}, []
+    for i, (f, x) in enumerate(zip(features, clean)):
+        at = dict(zip(points, got[f"q{i}"] or [0.0] * len(points)))
+        spans: list[list[float]] = []
+        for lo, hi in sorted((-math.inf if p - reach <= 0 else at[p - reach], math.inf if p + reach >= 1 else at[p + reach]) for p in probs):
+            if spans and lo <= spans[-1][1]:
+                spans[-1][1] = max(hi, spans[-1][1])
+            else:
+                spans.append([lo, hi])
+        near[f] = spans
+        at_or_under = F.size(F.filter(F.array(*[F.lit(lo) for lo, _ in spans]), lambda lo: lo <= x))
+        last = F.array(F.lit(-math.inf), *[F.lit(hi) for _, hi in spans])
+        past = F.array(F.lit(-math.inf), *[F.lit(math.nextafter(hi, math.inf)) for _, hi in spans])
+        exprs.append(F.when(x <= F.get(last, at_or_under), x).when(x.isNotNull(), F.get(past, at_or_under)).alias(f))
+    cells = vals.select(*exprs).unpivot([], [col(f) for f in features], "feature", "x").where(F.col("x").isNotNull())
+    cells = written(cells.groupBy("feature", "x").agg(F.count(F.lit(1)).alias("k")), "cells")
+    spans = vals.sparkSession.createDataFrame([(f, lo, hi) for f, s in near.items() for lo, hi in s], "feature string, lo double, hi double")
+    held = cells.join(bounded(spans), "feature").groupBy("feature", "lo", "hi").agg(
+        F.sum(F.when(F.col("x") < F.col("lo"), F.col("k")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("x") <= F.col("hi"), F.col("k")).otherwise(0)).alias("upto")).collect()
+    for i, f in enumerate(features):
+        n, own = got[f"n{i}"], [(r["below"], r["upto"]) for r in held if r["feature"] == f]
+        for p in probs if n else ():
+            h = (n - 1) * p
+            if not any(a <= math.floor(h) and math.ceil(h) < b for a, b in own):
+                return None
+    return cells
+
+
 def quantile_table(df: DataFrame, features: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
                    name: str = "q") -> DataFrame:
     """Exact linear-interpolation quantiles (numpy / pandas / Spark ``percentile`` definition),
     fully distributed: ``(by..., feature, value) -> count`` cells (map-side combined), a
     distributed running sum of counts, and a lookup of the two order statistics around
-    h = (n-1) p for every requested p.  No task ever holds all values of a column, unlike
+    h = (n-1) p for every requested p.  Without ``by``, large tables count cells near those order statistics only.  No task ever holds all values of a column, unlike
     the built-in ``percentile`` whose final merge does.  Returns ``(by..., feature, q)`` with
     ``q`` an array aligned with ``probs``."""
     probs = [float(p) for p in probs]
     vals = df.select(*[col(b) for b in by], *[col(f).cast("double").alias(f) for f in features])
-    lv = vals.unpivot(list(by), list(features), "feature", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
-    cells = lv.groupBy(*by, "feature", "x").agg(F.count(F.lit(1)).alias("k"))
+    cells = None if by else _narrowed_cells(vals, features, probs)
+    if cells is None:
+        lv = vals.unpivot(list(by), list(features), "feature", "x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+        cells = lv.groupBy(*by, "feature", "x").agg(F.count(F.lit(1)).alias("k"))
     r = running_sum(cells, ["x"], "k", by=[*by, "feature"], out="cum", total="n")
     # every cell tests the 2 x len(probs) target ranks (a fixed-size array), emits the ones it holds
     targets = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col
-from tabscope.plans.frames import per_feature
+from tabscope.plans.frames import distinct_counts
 
 NUMERIC_TYPES = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -47,7 +47,7 @@ def column_roles(df: DataFrame) -> DataFrame:
 def column_roles_card(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
     """Numeric columns with <= ``cat_threshold`` distinct values are categorical."""
     fam = column_roles_schema(df)
-    out = per_feature(df, df.columns, lambda i, f: {"n_unique": F.count_distinct(col(f))})
+    out = distinct_counts(df, df.columns)
     base = F.create_map(*[x for n in df.columns for x in (F.lit(n), F.lit(fam[n]))])[F.col("feature")]
     role = (F.when((base == "numeric") & (F.col("n_unique") <= cfg.cat_threshold), "categorical")
             .otherwise(base))
@@ -57,7 +57,7 @@ def column_roles_card(df: DataFrame, cfg: Config = DEFAULT) -> DataFrame:
 def problem_type(df: DataFrame, targets: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
     """P5: binary / multiclass / regression from distinct count (<= 20 levels) and type."""
     fam = column_roles_schema(df)
-    out = per_feature(df, targets, lambda i, f: {"n_classes": F.count_distinct(col(f))})
+    out = distinct_counts(df, targets).withColumnRenamed("n_unique", "n_classes")
     base = F.create_map(*[x for n in targets for x in (F.lit(n), F.lit(fam[n]))])[F.col("feature")]
     kind = (F.when(F.col("n_classes") == 2, "binary")
             .when((base != "numeric") | (F.col("n_classes") <= cfg.problem_type_levels), "multiclass")
