@@ -14,14 +14,14 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, pearson, skew_corrected
-from tabscope.plans.frames import per_feature, quantiles, scalar_row
+from tabscope.plans.frames import bounded, distinct_counts, per_feature, quantiles, scalar_row
 
 FINDING_COLS = ["section", "feature", "severity", "code", "metric", "value", "threshold", "message"]
 
 
 def encoding_advice(df: DataFrame, cats: Sequence[str], cfg: Config = DEFAULT) -> DataFrame:
     """Encoding by cardinality (> high_card: target/label or reduce; <= 5: one-hot; else label/target)."""
-    st = per_feature(df, cats, lambda i, f: {"n_unique": F.count_distinct(col(f))})
+    st = distinct_counts(df, cats)
     adv = (F.when(F.col("n_unique") > cfg.high_cardinality, "target/label encoding or reduce cardinality")
            .when(F.col("n_unique") <= 5, "one-hot").otherwise("label/target encoding"))
     return st.select("feature", "n_unique", adv.alias("encoding"))
@@ -45,7 +45,7 @@ def fe_advice(df: DataFrame, nums: Sequence[str], cats: Sequence[str], corr_hi:
         st.where((F.col("n") > 3) & (F.col("ku") > 7)).select("feature", F.lit("heavy tails: clip the extremes"), F.col("ku")),
     ]
     if cats:
-        cs = per_feature(df, cats, lambda i, f: {"nu": F.count_distinct(col(f))})
+        cs = distinct_counts(df, cats).select("feature", F.col("n_unique").alias("nu"))
         rules.append(cs.where(F.col("nu") > 100).select("feature", F.lit("many levels: merge the rare ones"),
                                                         F.col("nu").cast("double")))
         dated = [c for c in cats if any(w in c.lower() for w in ("date", "time", "dt"))]
@@ -70,18 +70,19 @@ def todo_basic(df: DataFrame, nums: Sequence[str], cats: Sequence[str]) -> DataF
 
     def make(i, f):
         x = col(f).cast("double") if f in nums else F.lit(None).cast("double")
-        return {"n": F.count(F.lit(1)), "nn": F.count(col(f)), "nu": F.count_distinct(col(f)),
-                "g1": F.skewness(x), "nx": F.count(x)}
-    st = per_feature(df, allc, make)
+        return {"n": F.count(F.lit(1)), "nn": F.count(col(f)), "g1": F.skewness(x), "nx": F.count(x)}
+    st = per_feature(df, allc, make).join(bounded(distinct_counts(df, allc).select("feature", F.col("n_unique").alias("nu"))), "feature")
     is_num = F.col("feature").isin(list(nums)) if nums else F.lit(False)
     is_cat = F.col("feature").isin(list(cats)) if cats else F.lit(False)
     miss = 1 - F.col("nn") / F.col("n")
     sk = skew_corrected(F.col("g1"), F.col("nx"))
-    r1 = st.where(miss > 0.2).select("feature", F.lit("high missing share").alias("item"), miss.alias("value"))
-    r2 = st.where(is_num & (F.col("nu") < 5)).select("feature", F.lit("few unique values"), F.col("nu").cast("double"))
-    r3 = st.where(is_num & (F.col("nu") >= 5) & (F.abs(sk) > 1.5)).select("feature", F.lit("high skew"), sk)
-    r4 = st.where(is_cat & (F.col("nu") > 200)).select("feature", F.lit("too many categories"), F.col("nu").cast("double"))
-    return r1.union(r2).union(r3).union(r4).toDF("feature", "item", "value")
+    nu = F.col("nu").cast("double")
+    # the rules are tested on one row a feature, so the statistics are taken once
+    rules = [("high missing share", miss > 0.2, miss), ("few unique values", is_num & (F.col("nu") < 5), nu),
+             ("high skew", is_num & (F.col("nu") >= 5) & (F.abs(sk) > 1.5), sk), ("too many categories", is_cat & (F.col("nu") > 200), nu)]
+    items = F.array(*[F.struct(F.lit(n).alias("item"), F.when(hit, F.lit(True)).alias("hit"), F.when(hit, v).alias("value"))
+                      for n, hit, v in rules])
+    return st.select("feature", F.inline(items)).where("hit").select("feature", "item", "value")
 
 
 def quality_score(df: DataFrame, nums: Sequence[str], cats: Sequence[str], zero_fill: bool = False,
@@ -104,8 +105,8 @@ def quality_score(df: DataFrame, nums: Sequence[str], cats: Sequence[str], zero_
         F.count(F.lit(1)).alias("rows"),
         sum((F.count_if(F.abs(F.try_divide(col(c) - F.col("_z").getField(f"a{i}"), F.col("_z").getField(f"s{i}"))) > 3)
              for i, c in enumerate(nums)), F.lit(0)).alias("zcells"))
-    hc = per_feature(df, cats, lambda i, f: {"nu": F.count_distinct(col(f)), "n": F.count(F.lit(1))}) \
-        .agg(F.count_if(F.col("nu") > 0.5 * F.col("n")).alias("n_idlike")).scalar() if cats else F.lit(0)
+    hc = distinct_counts(df, cats).agg(F.count_if(F.col("n_unique") > 0.5 * F.col("n_rows")).alias("n_idlike")).scalar() \
+        if cats else F.lit(0)
     zs = scalar_row(zc)
     # every part is a one-row aggregate, combined through scalar subqueries (no join)
     parts = miss.select(miss_pct.alias("missing_pct"), "n", dup.scalar().alias("dups"), zs.getField("rows").alias("rows"),
