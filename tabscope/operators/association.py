@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col, equal_width_bin, pearson
-from tabscope.plans.frames import per_feature, quantiles, scalar_row, with_totals
+from tabscope.plans.blocks import written
+from tabscope.plans.frames import distinct_counts, per_feature, quantiles, scalar_row, with_totals
 
 MISSING = "_NA_"
 
@@ -456,9 +457,9 @@ def _edges(df: DataFrame, features: Sequence[str], n_bins: int, cfg: Config) ->
 
 
 def _count_edges(edges: Column, pred, n_max: int) -> Column:
-    """Number of edges satisfying ``pred`` -- unrolled comparisons (edges are a
-    scalar subquery, which Spark does not allow inside lambda functions)."""
-    return sum((F.coalesce(pred(F.get(edges, j)).cast("int"), F.lit(0)) for j in range(n_max)), F.lit(0))
+    """Number of edges satisfying ``pred`` (``n_max`` at most), by one search over the fitted literals: unrolled comparisons
+    of several columns make methods that the JVM doesn't compile."""
+    return F.size(F.filter(F.slice(edges, 1, n_max), pred))
 
 
 def hist_bin(x: Column, edges: Column, n_max: int) -> Column:
@@ -567,7 +568,8 @@ def mi_binned(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str],
               cfg: Config = DEFAULT) -> DataFrame:
     """Plug-in mutual information (nats) between binned feature and target."""
     x = binned_long(df, numeric, categorical, y.cast("string"), bins, cfg)
-    cell = x.groupBy("feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n"))
+    # stored, as the totals read the cells three times more and would bin all rows again each time
+    cell = written(x.groupBy("feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n")), "cells")
     c = with_totals(cell, n_tot="n")
     c = with_totals(with_totals(c, ["feature", "bin"], bound=False, nb="n"), ["feature", "_y"], bound=False, ny="n")
     mi = c.groupBy("feature").agg(F.sum(F.col("n") / F.col("n_tot") * F.log(F.col("n") * F.col("n_tot") / (F.col("nb") * F.col("ny"))))
@@ -691,7 +693,7 @@ def leak_distribution(df: DataFrame, cols: Sequence[str], target: str, atol: flo
 def leak_structural(train: DataFrame, test: DataFrame, target: str, id_col: str | None = None) -> DataFrame:
     """Unique-per-row features, features absent in test, id-target correlation > .05, target in test."""
     feats = [c for c in train.columns if c != target]
-    st = per_feature(train, feats, lambda i, f: {"n_unique": F.count_distinct(col(f)), "n": F.count(F.lit(1))})
+    st = distinct_counts(train, feats).withColumnRenamed("n_rows", "n")
     test_cols = set(test.columns)
     present = F.create_map(*[x for f in feats for x in (F.lit(f), F.lit(int(f in test_cols)))])
     rows = st.select(F.col("feature"), (F.col("n_unique") == F.col("n")).cast("int").alias("unique_per_row"),
