@@ -39,3 +39,65 @@ def test_leak_encoding_has_no_window_over_levels(spark, tmp_path):
     by = {r.feature: r for r in got.collect()}
     assert (by["enc_status"].n_levels, by["enc_status"].n_match, by["enc_status"].leak) == (2, 2, 1)
     assert (by["l_linestatus"].n_levels, by["l_linestatus"].n_numeric) == (2, 0)
+
+
+def test_narrowed_quantiles_are_exact(spark, monkeypatch):
+    import numpy as np
+
+    from tabscope.plans import frames
+    monkeypatch.setattr(frames, "NARROW_FROM", 10_000)
+    rows = spark.range(40_000).select(
+        F.when(F.col("id") % 7 > 0, F.sin(F.col("id")) * 1e6).alias("a"), F.when(F.col("id") % 3 > 0, F.col("id") % 5).otherwise(2).cast("double").alias("b"),
+        F.when(F.col("id") % 11 == 0, float("nan")).otherwise(F.pow(F.lit(1.001), F.col("id") % 9000)).alias("c"),
+        F.lit(None).cast("double").alias("d"))
+    probs = [0.0, 0.01, 0.25, 0.5, 0.9, 1.0]
+    cells = frames._narrowed_cells(rows, ["a", "b", "c", "d"], probs)
+    assert cells is not None and cells.where("feature = 'a'").count() < 2_000
+    got = {r.feature: r.q for r in frames.quantile_table(rows, ["a", "b", "c", "d"], probs).collect()}
+    pdf = rows.toPandas()
+    assert "d" not in got
+    for f in "abc":
+        assert np.allclose(got[f], np.quantile(pdf[f].dropna().to_numpy(), probs), rtol=1e-12)
+
+
+def _trees_rows(spark, n=4000):
+    x, z = F.col("id") % 40, F.pmod(F.hash("id"), F.lit(1000)) / 1000.0
+    return spark.range(n).select("id", x.cast("double").alias("x"), z.alias("z"), F.when(F.col("id") % 3 > 0, "k").alias("w"),
+                                 F.when(x < 20, "a").when(x < 30, "b").otherwise("c").alias("y"), F.when(x < 20, "a").otherwise("b").alias("two"),
+                                 (x * 2 + F.when(z > 0.5, 10).otherwise(0)).alias("v"))
+
+
+def test_cells_hold_all_rows(spark, monkeypatch):
+    from tabscope.operators import models as M
+    df = _trees_rows(spark).withColumn("_fold", (F.col("id") % 3).cast("int"))
+    assert M._cells(df, ["x", "z"], ["w"], "y") is df
+    monkeypatch.setattr(M, "POINTS", 100)
+    got = M._cells(df, ["x", "z"], ["w"], "y")
+    assert got.agg(F.sum("_weight")).first()[0] == 4000 and got.count() < 4000
+    old = {tuple(r) for r in df.groupBy("_fold", "w", "y").count().collect()}
+    assert {tuple(r) for r in got.groupBy("_fold", "w", "y").agg(F.sum("_weight").cast("bigint")).collect()} == old
+    assert {r.z for r in got.select("z").distinct().collect()} <= {float(k) for k in range(64)}
+    pair = M._cells(df, ["x"], ["w"], "v", regression=True)
+    a, b = (t.agg(*[F.sum(F.pow("v", F.lit(k)) * w) for k in (0, 1, 2)]).first() for t, w in ((df, F.lit(1.0)), (pair, F.col("_weight"))))
+    assert all(abs(p - q) <= 1e-6 * abs(q) for p, q in zip(a, b))
+
+
+def test_trees_on_cells_agree_with_rows(spark, monkeypatch):
+    from tabscope.operators import models as M
+
+    def results():
+        df = _trees_rows(spark)
+        boosted = {r.feature: r.importance for r in M.tree_importance(df, ["x", "z"], ["w"], "two", folds=2, boosting_steps=2).collect()}
+        forest = {r.feature: r.importance for r in M.tree_importance(df, ["x", "z"], ["w"], "y", folds=2, num_trees=10).collect()}
+        drop = {r.feature: r.accuracy_drop for r in M.permutation_importance(df, ["x", "z"], ["w"], "y").collect()}
+        return (boosted, forest, drop, M.quick_model(df, ["x", "z"], ["w"], "y", folds=2).first().cv_accuracy,
+                M.quick_model(df, ["x", "z"], ["w"], "v", folds=2, regression=True).first().cv_r2,
+                M.variant_benchmark(df, {"raw": (lambda d: d, ["x", "z"], ["w"])}, "y", folds=2, num_trees=10).groupBy("model", "metric").agg(
+                    F.avg("score").alias("s")).collect())
+    before = results()
+    monkeypatch.setattr(M, "POINTS", 1000)
+    after = results()
+    for a, b in zip(before[:3], after[:3]):
+        assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 0.1 for k in a)
+    assert abs(before[3] - after[3]) < 0.05 and abs(before[4] - after[4]) < 0.05
+    assert all(abs(a.s - {(r.model, r.metric): r.s for r in after[5]}[a.model, a.metric]) < 0.05 for a in before[5])
