@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col
 from tabscope.plans.blocks import written
+from tabscope.plans.frames import value_block
 
 
 # ------------------------------------------------------------ metrics
@@ -107,8 +109,7 @@ def _binned(rows: DataFrame, numeric: Sequence[str], edges: Sequence[Sequence[fl
     """``rows`` with every numeric column replaced by its bin; nulls and NaN stay null, for Spark's trees to refuse."""
     def place(c, bounds):
         x = col(c).cast("double")
-        under = F.size(F.filter(F.array(*[F.lit(float(b)) for b in bounds]), lambda b: b < x)) if bounds else F.lit(0)
-        return F.when(x.isNotNull() & ~F.isnan(x), under.cast("double"))
+        return F.when(x.isNotNull() & ~F.isnan(x), value_block(x, [math.nextafter(float(b), math.inf) for b in bounds]).cast("double"))
     return rows.withColumns({c: place(c, b) for c, b in zip(numeric, edges)})
 
 
@@ -159,17 +160,18 @@ PARALLEL = 4
 def _over_folds(data: DataFrame, folds: int, work, parallel: int = PARALLEL) -> list:
     """``work(fold, training rows, validation rows)`` for every fold, a few at a time, over one stored table with
     ``_fold``; the fits are Spark jobs of their own, which share the cluster as those of ``CrossValidator`` do."""
+    data = written(data, "folds")
+    return _at_once(data.sparkSession, folds, lambda k: work(k, data.where(F.col("_fold") != k), data.where(F.col("_fold") == k)), parallel)
+
+
+def _at_once(spark, n: int, work, parallel: int) -> list:
+    """``work(0)`` to ``work(n - 1)``, ``parallel`` of them at a time."""
     from multiprocessing.pool import ThreadPool
 
     from pyspark import inheritable_thread_target
-    data = written(data, "folds")
-
-    @inheritable_thread_target(data.sparkSession)
-    def one(k: int):
-        return work(k, data.where(F.col("_fold") != k), data.where(F.col("_fold") == k))
-    pool = ThreadPool(max(1, min(parallel, folds)))
+    pool = ThreadPool(max(1, min(parallel, n)))
     try:
-        return pool.map(one, range(folds))
+        return pool.map(inheritable_thread_target(spark)(work), range(n))
     finally:
         pool.close()
 
@@ -215,19 +217,30 @@ def null_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence
     """M3: forest importance with the true target against permuted targets (exact distributed permutation).
 
     Importances are means over stratified folds, for the true target and for every shuffle; null mean / std / p95 / p99
-    are taken over the shuffles.  safe_score = actual / null_p95, z score."""
+    are taken over the shuffles.  safe_score = actual / null_p95, z score.  Above ``POINTS`` rows the forests of all runs and
+    folds grow together on shared cells (:mod:`tabscope.operators.forests`)."""
     import numpy as np
 
     from tabscope.plans.frames import permute_column
 
     def mean_importance(rows: DataFrame, run: int) -> np.ndarray:
-        rows = _cells(_folded(rows, target, folds, seed, [*numeric, *categorical]), numeric, categorical, target)
-        data, _ = _assemble(rows, numeric, categorical, target, "string")
+        data, _ = _assemble(_folded(rows, target, folds, seed, names), numeric, categorical, target, "string")
         return np.mean(_over_folds(_prepared(data, "_fold"), folds, lambda k, train, _: _fit(
             _forest(num_trees, depth, seed + run * folds + k), train).featureImportances.toArray()), axis=0)
+
+    def shared_importances() -> np.ndarray:
+        from tabscope.operators.forests import forest_importances, packed_rows, run_cells
+        rows, sizes, classes = packed_rows(df, numeric, categorical, target, key_cols, seed)
+        every = _at_once(df.sparkSession, 1 + shuffles, lambda run: run_cells(rows, run, folds, seed), parallel=2)
+        return forest_importances(reduce(DataFrame.unionAll, every), sizes, len(categorical), classes, folds, num_trees, depth,
+                                  seed).mean(axis=1)
     names = [*numeric, *categorical]
-    actual = mean_importance(df, 0)
-    arr = np.array([mean_importance(permute_column(df, target, key_cols, seed + 101 * (s + 1)), s + 1) for s in range(shuffles)])
+    if df.where(col(target).isNotNull()).count() > POINTS:
+        actual, *arr = shared_importances()
+    else:
+        actual = mean_importance(df, 0)
+        arr = [mean_importance(permute_column(df, target, key_cols, seed + 101 * (s + 1)), s + 1) for s in range(shuffles)]
+    arr = np.array(arr)
     rows = [(n, float(actual[i]), float(arr[:, i].mean()), float(arr[:, i].std()), float(np.percentile(arr[:, i], 95)),
              float(np.percentile(arr[:, i], 99))) for i, n in enumerate(names)]
     out = df.sparkSession.createDataFrame(rows, "feature string, actual double, null_mean double, null_std double, "

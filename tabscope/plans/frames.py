@@ -201,6 +201,21 @@ def permute_column(df: DataFrame, column: str, key_cols: Sequence[str], seed: in
     return a.join(b, "_p").drop("_p")
 
 
+def permute_classes(df: DataFrame, column: str, key_cols: Sequence[str], seed: int, folds: int) -> DataFrame:
+    """Exact random permutation of a column of few values, and stratified folds of it, by one sort: rows in the order of a
+    seeded hash take the values in blocks, each as long as its count (nulls too), and the place in a block mod ``folds``
+    is the ``fold``.  Rows with equal keys are told apart by a hash of their place in the input."""
+    counts = [tuple(r) for r in df.groupBy(col(column).alias("v")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    counts = sorted(((v, n) for v, n in counts if v is not None)) + [(v, n) for v, n in counts if v is None]
+    kind = df.schema[column].dataType
+    order = F.struct(F.xxhash64(F.lit(seed), *[col(k) for k in key_cols]), F.xxhash64(F.lit(seed), F.monotonically_increasing_id()))
+    p = positions(df.select(*[col(c) for c in df.columns if c not in (column, *key_cols)], order.alias("_by")), [F.col("_by")], name="_p")
+    starts = [sum(n for _, n in counts[:i]) for i in range(len(counts))]
+    return p.withColumn("_i", value_block(F.col("_p"), starts[1:])).select(
+        *[col(c) for c in p.columns if c not in ("_p", "_by")], F.get(F.array(*[F.lit(v).cast(kind) for v, _ in counts]), F.col("_i")).alias(column),
+        F.pmod(F.col("_p") - F.get(F.array(*[F.lit(n).cast("bigint") for n in starts]), F.col("_i")), F.lit(folds)).cast("int").alias("fold"))
+
+
 def running_sum(df: DataFrame, order: Sequence[str], value, by: Sequence[str] = (), out="_cum",
                 total=None) -> DataFrame:
     """Inclusive running sum(s) of ``value`` (a column name or a list) ordered by the numeric column ``order``

@@ -101,3 +101,61 @@ def test_trees_on_cells_agree_with_rows(spark, monkeypatch):
         assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 0.1 for k in a)
     assert abs(before[3] - after[3]) < 0.05 and abs(before[4] - after[4]) < 0.05
     assert all(abs(a.s - {(r.model, r.metric): r.s for r in after[5]}[a.model, a.metric]) < 0.05 for a in before[5])
+
+
+def test_forests_of_all_shuffles_grow_together(spark, monkeypatch):
+    from tabscope.operators import models as M
+    df = _trees_rows(spark).select("*", F.when(F.col("id") % 5 > 0, F.concat(F.lit("g"), F.col("id") % 8)).alias("g"))
+
+    def results(target):
+        got = M.null_importance(df, ["x", "z"], ["w", "g"], target, ["id"], shuffles=2, folds=2, num_trees=20)
+        return {r.feature: (r.actual, r.null_mean) for r in got.collect()}
+    before = {y: results(y) for y in ("y", "two")}
+    monkeypatch.setattr(M, "POINTS", 1000)
+
+    def no_fit(*_, **__):
+        raise AssertionError("a fit of its own")
+    monkeypatch.setattr(M, "_fit", no_fit)
+    for y, old in before.items():
+        new = results(y)
+        assert new.keys() == old.keys() and results(y) == new
+        for i in (0, 1):
+            assert abs(sum(v[i] for v in new.values()) - 1) < 1e-6
+            assert all(abs(new[f][i] - old[f][i]) < 0.12 for f in old)
+        assert all(abs(new[f][0] - old[f][0]) < 0.06 for f in old)
+
+
+def test_shared_forests_refuse_missing_numbers(spark, monkeypatch):
+    import pytest
+
+    from tabscope.operators import models as M
+    monkeypatch.setattr(M, "POINTS", 100)
+    df = _trees_rows(spark, 400).withColumn("x", F.when(F.col("id") != 7, F.col("x")))
+    with pytest.raises(Exception, match="x is null or NaN"):
+        M.null_importance(df, ["x", "z"], ["w"], "y", ["id"], shuffles=1, folds=2, num_trees=2).collect()
+
+
+def test_permuted_classes_keep_counts_and_folds(spark):
+    from tabscope.plans.frames import permute_classes
+    df = spark.range(3000).select("id", F.lit(None).cast("int").alias("k"), F.when(F.col("id") < 700, 0).when(F.col("id") < 2900, 1).alias("y"))
+    got = permute_classes(df, "y", ["k"], 7, 4).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.y, []).append(r)
+    assert sorted(r.id for r in got) == list(range(3000)) and {y: len(v) for y, v in by.items()} == {0: 700, 1: 2200, None: 100}
+    for v in by.values():
+        n = [sum(r.fold == k for r in v) for k in range(4)]
+        assert max(n) - min(n) <= 1
+    # keys that are all null still leave no order of the input
+    assert abs(sum(r.id < 700 for r in by[0]) - 700 * 700 / 3000) < 80
+
+
+def test_splits_without_another_prediction_are_pruned():
+    import numpy as np
+
+    from tabscope.operators.forests import importances
+    gain = np.array([[[4.0, 2.0, 1.0], [5.0, 0.0, 3.0]]])
+    feature = np.array([[[0, 1, 2], [0, 0, 1]]])
+    says = np.array([[[(0, 1), (0, 1), (1, 1)], [(0, 0), (0, 0), (0, 0)]]])
+    # the first tree loses its third split; the second one all
+    assert np.allclose(importances(feature, gain, says, 3), [[4 / 6, 2 / 6, 0]])
