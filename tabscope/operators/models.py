@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from tabscope.config import DEFAULT, Config
 from tabscope.functions.exprs import col
 from tabscope.plans.blocks import written
-from tabscope.plans.frames import value_block
 
 
 # ------------------------------------------------------------ metrics
@@ -96,21 +95,30 @@ def _edges_of(rows: DataFrame, numeric: Sequence[str]) -> list[list[float]]:
     """The bounds by which trees bin each column: one a value for up to ``MAX_BINS`` values, else quantiles of all rows."""
     clean = [F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in numeric]
     at = [i / MAX_BINS for i in range(1, MAX_BINS)]
-    got = rows.agg(F.count(F.lit(1)), *[F.approx_count_distinct(x).alias(f"d{i}") for i, x in enumerate(clean)],
-                   *[F.percentile_approx(x, at, 10_000).alias(f"q{i}") for i, x in enumerate(clean)]).first()
+    got = rows.agg(F.count(F.lit(1)), *[F.approx_count_distinct(x).alias(f"d{i}") for i, x in enumerate(clean)]).first()
     few = [i for i in range(len(numeric)) if got[f"d{i}"] <= 2 * MAX_BINS]
-    sets = rows.agg(F.count(F.lit(1)), *[F.collect_set(clean[i]).alias(f"v{i}") for i in few]).first()
+
+    def cut(some):
+        return [F.percentile_approx(clean[i], at, 10_000).alias(f"q{i}") for i in some]
+    sets = rows.agg(F.count(F.lit(1)), *[F.collect_set(clean[i]).alias(f"v{i}") for i in few],
+                    *cut([i for i in range(len(numeric)) if i not in few])).first().asDict()
     values = {i: sorted(set(sets[f"v{i}"])) for i in few}
-    return [values[i][:-1] if i in values and len(values[i]) <= MAX_BINS else sorted(set(got[f"q{i}"] or []))
-            for i in range(len(numeric))]
+    many = [i for i in few if len(values[i]) > MAX_BINS]
+    if many:
+        sets |= rows.agg(*cut(many)).first().asDict()
+    return [values[i][:-1] if i in values and i not in many else sorted(set(sets[f"q{i}"] or [])) for i in range(len(numeric))]
 
 
 def _binned(rows: DataFrame, numeric: Sequence[str], edges: Sequence[Sequence[float]]) -> DataFrame:
     """``rows`` with every numeric column replaced by its bin; nulls and NaN stay null, for Spark's trees to refuse."""
-    def place(c, bounds):
-        x = col(c).cast("double")
-        return F.when(x.isNotNull() & ~F.isnan(x), value_block(x, [math.nextafter(float(b), math.inf) for b in bounds]).cast("double"))
-    return rows.withColumns({c: place(c, b) for c, b in zip(numeric, edges)})
+    from pyspark.ml.feature import Bucketizer
+    known = {c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in numeric}
+    names = {c: f"_bin{i}" for i, (c, e) in enumerate(zip(numeric, edges)) if e}
+    x = rows.withColumns({names.get(c, c): v if c in names else F.when(v.isNotNull(), F.lit(0.0)) for c, v in known.items()})
+    if names:
+        cuts = [[-math.inf, *[math.nextafter(float(b), math.inf) for b in e], math.inf] for e in edges if e]
+        x = Bucketizer(splitsArray=cuts, inputCols=list(names.values()), outputCols=[f"{n}_" for n in names.values()], handleInvalid="keep").transform(x)
+    return x.withColumns({c: F.when(F.col(n).isNotNull(), F.col(f"{n}_")) for c, n in names.items()}).select(*[col(c) for c in rows.columns])
 
 
 def _cells(rows: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, by: Sequence[str] = ("_fold",),
@@ -177,22 +185,31 @@ def _at_once(spark, n: int, work, parallel: int) -> list:
 
 
 def tree_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, folds: int = 5,
-                    num_trees: int = 50, depth: int = 6, boosting_steps: int = 20, learning_rate: float = 0.05,
+                    num_trees: int = 50, depth: int = 6, boosting_steps: int = 150, learning_rate: float = 0.05,
                     seed: int = 42) -> DataFrame:
     """M2: gain importance as mean and deviation over stratified folds.  Two classes are fitted by boosted trees
-    (``boosting_steps`` of depth 4 at most), more classes by a random forest (Spark's boosting knows two classes)."""
+    (``boosting_steps`` of depth 4 at most), more classes by a random forest (Spark's boosting knows two classes).  Boosted trees
+    of a fold are fitted in one task on counted cells (:func:`tabscope.operators.forests.boosted_importances`); if the
+    cells are too many for that, by Spark ML."""
     import numpy as np
     from pyspark.ml.classification import GBTClassifier
-    rows = _cells(_folded(df, target, folds, seed, [*numeric, *categorical]), numeric, categorical, target)
-    data, names = _assemble(rows, numeric, categorical, target, "string")
-    data = _prepared(data, "_fold")
-    two = data.agg(F.max("label")).first()[0] == 1
-
-    def fit(k, train, _):
-        est = GBTClassifier(maxIter=boosting_steps, maxDepth=min(depth, 4), stepSize=learning_rate, seed=seed + k, maxBins=64,
-                            featuresCol="features", labelCol="label") if two else _forest(num_trees, depth, seed + k)
-        return _fit(est, train, drawn=not two).featureImportances.toArray()
-    gains = np.array(_over_folds(data, folds, fit))
+
+    from tabscope.operators.forests import _levels, boosted_importances, packed_cells
+    names, gains = [*numeric, *categorical], None
+    labelled = df.where(col(target).isNotNull())
+    two = len(_levels(labelled, target, 3)) == 2
+    if two:
+        cells, sizes, _ = packed_cells(labelled, numeric, categorical, target)
+        gains = boosted_importances(cells, sizes, len(categorical), folds, boosting_steps, min(depth, 4), learning_rate, seed)
+    if gains is None:
+        rows = _cells(_folded(df, target, folds, seed, names), numeric, categorical, target)
+        data, _ = _assemble(rows, numeric, categorical, target, "string")
+
+        def fit(k, train, _):
+            est = GBTClassifier(maxIter=boosting_steps, maxDepth=min(depth, 4), stepSize=learning_rate, seed=seed + k, maxBins=64,
+                                featuresCol="features", labelCol="label") if two else _forest(num_trees, depth, seed + k)
+            return _fit(est, train, drawn=not two).featureImportances.toArray()
+        gains = np.array(_over_folds(_prepared(data, "_fold"), folds, fit))
     rows = [(n, float(m), float(s)) for n, m, s in zip(names, gains.mean(axis=0), gains.std(axis=0, ddof=1 if folds > 1 else 0))]
     out = df.sparkSession.createDataFrame(rows, "feature string, importance double, importance_std double")
     w = Window.orderBy(F.col("importance").desc(), F.col("feature"))
@@ -218,7 +235,8 @@ def null_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence
 
     Importances are means over stratified folds, for the true target and for every shuffle; null mean / std / p95 / p99
     are taken over the shuffles.  safe_score = actual / null_p95, z score.  Above ``POINTS`` rows the forests of all runs and
-    folds grow together on shared cells (:mod:`tabscope.operators.forests`)."""
+    folds grow together on shared cells, whose rows are counted once: folds and shuffles are draws without replacement from the
+    counts, in the order of the cells instead of ``key_cols`` (:mod:`tabscope.operators.forests`)."""
     import numpy as np
 
     from tabscope.plans.frames import permute_column
@@ -229,11 +247,11 @@ def null_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence
             _forest(num_trees, depth, seed + run * folds + k), train).featureImportances.toArray()), axis=0)
 
     def shared_importances() -> np.ndarray:
-        from tabscope.operators.forests import forest_importances, packed_rows, run_cells
-        rows, sizes, classes = packed_rows(df, numeric, categorical, target, key_cols, seed)
-        every = _at_once(df.sparkSession, 1 + shuffles, lambda run: run_cells(rows, run, folds, seed), parallel=2)
-        return forest_importances(reduce(DataFrame.unionAll, every), sizes, len(categorical), classes, folds, num_trees, depth,
-                                  seed).mean(axis=1)
+        from tabscope.operators.forests import grow, importances, packed_cells, run_blobs
+        cells, sizes, classes = packed_cells(df, numeric, categorical, target)
+        blobs = run_blobs(cells, range(1 + shuffles), folds, len(classes), seed)
+        trees = grow(blobs, sizes, len(categorical), len(classes), folds, num_trees, depth, seed, 1 + shuffles)
+        return importances(trees.feature, trees.gain, trees.says, len(names)).reshape(1 + shuffles, folds, -1).mean(axis=1)
     names = [*numeric, *categorical]
     if df.where(col(target).isNotNull()).count() > POINTS:
         actual, *arr = shared_importances()

@@ -113,7 +113,7 @@ def tree_importance(spark, sf):
 @register("boosted_importance", rows_only=True)
 def boosted_importance(spark, sf):
     """M2: two classes (boosted trees), mean gain over five folds."""
-    return M.tree_importance(li(spark, sf).where("l_returnflag <> 'N'"), _ML_NUM, _ML_CAT, "l_returnflag")
+    return M.tree_importance(li(spark, sf).where("l_returnflag <> 'N'"), _ML_NUM, _ML_CAT, "l_returnflag", boosting_steps=150)
 
 
 @register("quick_model_regression", rows_only=True)

@@ -159,3 +159,72 @@ def test_splits_without_another_prediction_are_pruned():
     says = np.array([[[(0, 1), (0, 1), (1, 1)], [(0, 0), (0, 0), (0, 0)]]])
     # the first tree loses its third split; the second one all
     assert np.allclose(importances(feature, gain, says, 3), [[4 / 6, 2 / 6, 0]])
+
+
+def test_boosted_importance_takes_all_steps(spark, monkeypatch, tmp_path):
+    from __spark_entry__ import queries
+    from tabscope.operators import forests, models as M
+    seen, boost = [], forests.boosted_importances
+    monkeypatch.setattr(forests, "boosted_importances", lambda *a: seen.append(a) or boost(*a))
+    rows = spark.range(300).select(F.when(F.col("id") % 3 == 0, "R").when(F.col("id") % 3 == 1, "A").otherwise("N").alias("l_returnflag"), *[
+        F.pmod(F.hash("id", F.lit(c)), F.lit(9)).cast("double").alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")],
+        F.when(F.col("id") % 7 > 2, "O").otherwise("F").alias("l_linestatus"))
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    got = queries()["boosted_importance"](spark, str(tmp_path)).collect()
+    assert len(got) == 5 and abs(sum(r.importance for r in got) - 1) < 1e-6
+    assert [a[4] for a in seen] == [150]
+
+
+def test_boosted_trees_on_cells_are_those_of_spark(spark):
+    import numpy as np
+    from pyspark.ml.classification import GBTClassifier
+
+    from tabscope.operators import forests, models as M
+    odd = (F.col("x") < 20).cast("int") + (F.pmod(F.hash("id"), F.lit(10)) < 3).cast("int") + (F.col("z") > 30).cast("int")
+    df = spark.range(1500).select("id", (F.col("id") % 40).cast("double").alias("x"), F.pmod(F.hash("id", F.lit(2)), F.lit(50)).cast("double").alias("z"),
+                                  F.when(F.col("id") % 5 > 0, F.concat(F.lit("g"), F.pmod(F.hash("id", F.lit(3)), F.lit(8)))).alias("w"))
+    df = df.withColumn("y", F.when(odd % 2 == 1, "a").otherwise("b"))
+    data, _ = M._assemble(df, ["x", "z"], ["w"], "y", "string")
+    old = GBTClassifier(maxIter=6, maxDepth=3, stepSize=0.05, maxBins=64).fit(data).featureImportances.toArray()
+    cells, sizes, _ = forests.packed_cells(df, ["x", "z"], ["w"], "y")
+    p = cells.toPandas()
+    codes, of = np.unique(p["_x0"], return_inverse=True)
+    n0, n1 = (np.bincount(of, weights=np.where(p["_y"] == c, p["_n"], 0)) for c in (0, 1))
+    assert p["_n"].sum() == 1500
+    assert np.allclose(forests.boost(forests.unpacked(codes[:, None], 3), n0, n1, sizes, 1, 6, 3, 0.05), old, atol=1e-6)
+
+
+def test_boosting_falls_back_where_a_task_cannot_hold_the_cells(spark, monkeypatch):
+    from tabscope.operators import forests, models as M
+    df = _trees_rows(spark, 400)
+    local = {r.feature: r.importance for r in M.tree_importance(df, ["x", "z"], ["w"], "two", folds=2, boosting_steps=2).collect()}
+    monkeypatch.setattr(forests, "LOCAL", 10)
+    by_spark = {r.feature: r.importance for r in M.tree_importance(df, ["x", "z"], ["w"], "two", folds=2, boosting_steps=2).collect()}
+    assert local.keys() == by_spark.keys() and all(abs(local[f] - by_spark[f]) < 0.1 for f in local)
+
+
+def test_deal_is_a_random_permutation():
+    import numpy as np
+
+    from tabscope.operators import forests
+    for one_by_one in (1 << 22, 0):
+        old, forests.ONE_BY_ONE = forests.ONE_BY_ONE, one_by_one
+        try:
+            rng = np.random.default_rng(3)
+            sizes, pool = [5, 0, 1, 14], [8, 9, 3]
+            got = np.array([forests.deal(rng, sizes, pool) for _ in range(4000)])
+            assert (got.sum(2) == sizes).all() and (got.sum(1) == pool).all()
+            n = sum(pool)
+            want = np.outer(sizes, pool) / n
+            assert np.abs(got.mean(0) - want).max() < 0.15
+            # the spread is that of draws without replacement
+            var = want * (1 - np.array(pool) / n) * (n - np.array(sizes)[:, None]) / (n - 1)
+            assert np.abs(got.var(0) - var).max() < 0.15
+        finally:
+            forests.ONE_BY_ONE = old
+    pools = forests.part_pools([4, 0, 16], [8, 9, 3], 1)
+    assert [int(p.sum()) for p in pools] == [4, 0, 16] and (sum(pools) == [8, 9, 3]).all()
+    assert forests.fold_pool(11, 4) == [3, 3, 3, 2]
+    assert forests.deal(np.random.default_rng(1), [], [0, 0]).shape == (0, 2)
+    big = forests._spread(np.random.default_rng(1), np.array([10 ** 9, 10 ** 9, 0, 2 * 10 ** 9]), 10 ** 9)
+    assert big.sum() == 10 ** 9 and big[2] == 0 and abs(big[0] - 25e7) < 1e6
