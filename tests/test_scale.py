@@ -228,3 +228,49 @@ def test_deal_is_a_random_permutation():
     assert forests.deal(np.random.default_rng(1), [], [0, 0]).shape == (0, 2)
     big = forests._spread(np.random.default_rng(1), np.array([10 ** 9, 10 ** 9, 0, 2 * 10 ** 9]), 10 ** 9)
     assert big.sum() == 10 ** 9 and big[2] == 0 and abs(big[0] - 25e7) < 1e6
+
+
+def _no_sorted_rows(monkeypatch):
+    """Positions of rows take a sort and a stored copy of the table."""
+    from tabscope.plans import frames
+
+    def no_sort(*_, **__):
+        raise AssertionError("rows are sorted")
+    monkeypatch.setattr(frames, "positions", no_sort)
+
+
+def test_null_importance_of_large_tables_stores_no_rows(spark, monkeypatch):
+    from tabscope.operators import forests, models as M
+    monkeypatch.setattr(M, "POINTS", 1000)
+    _no_sorted_rows(monkeypatch)
+    df = _trees_rows(spark).withColumn("y", F.when(F.col("id") % 50 > 0, F.col("y")))
+    stored, written = [], forests.written
+    monkeypatch.setattr(forests, "written", lambda t, name: stored.append(written(t, name)) or stored[-1])
+    monkeypatch.setattr(forests, "_stored", lambda t, parts, keep=forests._stored: stored.append(keep(t, parts)) or stored[-1])
+    got = {r.feature: r for r in M.null_importance(df, ["x"], ["w"], "y", ["id"], shuffles=2, folds=3, num_trees=10).collect()}
+    assert got["x"].actual > got["x"].null_mean and abs(sum(r.actual for r in got.values()) - 1) < 1e-6
+    # 40 values of x, two of w, three classes and null
+    assert stored and all(t.count() <= 40 * 2 * 4 for t in stored)
+
+
+def test_runs_hold_all_rows_in_stratified_folds(spark):
+    from tabscope.operators import forests
+    df = _trees_rows(spark).withColumn("y", F.when(F.col("id") % 50 > 0, F.col("y")))
+    cells, sizes, classes = forests.packed_cells(df, ["x"], ["w"], "y")
+    assert cells.agg(F.sum("_n")).first()[0] == 4000 and classes == ["a", "b", "c"]
+    blobs = forests.run_blobs(cells, range(3), 3, 3, 1)
+    again = {(r["_run"], r["_part"]): tuple(r) for r in forests.run_blobs(cells.repartition(5), range(3), 3, 3, 1).collect()}
+    assert {(r["_run"], r["_part"]): tuple(r) for r in blobs.collect()} == again
+    own = {c: df.where(F.col("y") == c).count() for c in classes}
+    counts = {}
+    for run, _, bins, of, y, n in forests._arrays([blobs.toPandas()], 2):
+        total = counts.setdefault(run, [[0] * 3 for _ in classes])
+        for i in range(len(y)):
+            for k in range(3):
+                total[y[i]][k] += int(n[i, k])
+        if run == 0:
+            truth = {(r.x, r.w, r.y): r["count"] for r in df.where("y IS NOT NULL").groupBy("x", "w", "y").count().collect()}
+            assert truth == {(float(bins[0][of[i]]), ("k", None)[bins[1][of[i]]], classes[y[i]]): int(n[i].sum()) for i in range(len(y))}
+    for run in range(3):
+        for c, folded in zip(classes, counts[run]):
+            assert sum(folded) == own[c] and max(folded) - min(folded) <= 1
