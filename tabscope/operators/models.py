@@ -330,32 +330,39 @@ def quick_model(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str
 
 def permutation_importance(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str,
                            seed: int = 42) -> DataFrame:
-    """M7: accuracy drop when one feature is permuted (re-aim of SHAP attribution)."""
+    """M7: accuracy drop when one feature is permuted (re-aim of SHAP attribution).  Above ``POINTS`` rows a forest on all rows is
+    grown, permuted and scored on counted cells (:mod:`tabscope.operators.forests`); the permutation stays an exact one of all
+    rows, drawn without replacement from the counts of the feature's bins."""
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from tabscope.plans.frames import permute_column
     feats = [*numeric, *categorical]
-    large = df.count() > POINTS
-    edges = _edges_of(df, numeric) if large else []
-
-    def counted(rows):
-        # equal rows of bins get one prediction; the order of the permutation comes from the rows themselves
-        return rows.groupBy(*[col(c) for c in [*feats, target]]).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
-    source = written(counted(_binned(df, numeric, edges)), "cells") if large else df
-    data, _ = _assemble(source, numeric, categorical, target, "string")
-    model = _fit(_forest(30, 5, seed), _prepared(data))
-    ev = _weighted(MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy"), data)
-    base = ev.evaluate(model.transform(data))
-    keys = list(df.columns)
-    rows = []
-    for f in feats:
-        p = permute_column(df, f, [k for k in keys if k != f], seed, keep=[*feats, target])
-        if large:
-            p = written(counted(_binned(p, numeric, edges)), "cells")
-        pd_, _ = _assemble(p, numeric, categorical, target, "string")
-        rows.append((f, float(base - ev.evaluate(model.transform(pd_)))))
+    rows = _permuted_cells(df, numeric, categorical, target, seed) if df.count() > POINTS else []
+    if not rows:
+        data, _ = _assemble(df, numeric, categorical, target, "string")
+        model = _fit(_forest(30, 5, seed), _prepared(data))
+        ev = MulticlassClassificationEvaluator(labelCol="label", predictionCol="prediction", metricName="accuracy")
+        base = ev.evaluate(model.transform(data))
+        for f in feats:
+            p = permute_column(df, f, [k for k in df.columns if k != f], seed, keep=[*feats, target])
+            pd_, _ = _assemble(p, numeric, categorical, target, "string")
+            rows.append((f, float(base - ev.evaluate(model.transform(pd_)))))
     return df.sparkSession.createDataFrame(rows, "feature string, accuracy_drop double")
 
 
+def _permuted_cells(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], target: str, seed: int) -> list[tuple[str, float]]:
+    """``(feature, accuracy drop)`` from the cells of a large table."""
+    from tabscope.operators.forests import fold_blobs, fold_hits, grow, packed_cells, permuted_hits
+    feats = [*numeric, *categorical]
+    cells, sizes, classes = packed_cells(df, numeric, categorical, target)
+    if cells.where("_y IS NULL").limit(1).count():
+        raise ValueError(f"{target} is null")
+    blobs = fold_blobs(cells, 0, seed)
+    trees = grow(blobs, sizes, len(categorical), len(classes), 0, 30, 5, seed)
+    hits = fold_hits(blobs, trees, len(feats), len(classes), 0)
+    n, right = sum(h[3] for h in hits), sum(h[3] for h in hits if h[1] == h[2])
+    return list(zip(feats, _at_once(df.sparkSession, len(feats), lambda f: (right - permuted_hits(cells, f, trees, sizes, seed)) / n, PARALLEL)))
+
+
 def pca_variance(df: DataFrame, numeric: Sequence[str], threshold: float = 0.95) -> DataFrame:
     """Explained variance ratio per component on standardised complete rows; components for 95 %."""
     from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler

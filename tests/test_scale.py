@@ -274,3 +274,38 @@ def test_runs_hold_all_rows_in_stratified_folds(spark):
     for run in range(3):
         for c, folded in zip(classes, counts[run]):
             assert sum(folded) == own[c] and max(folded) - min(folded) <= 1
+
+
+def test_permutation_importance_of_large_tables_sorts_no_rows(spark, monkeypatch):
+    from tabscope.operators import models as M
+    df = _trees_rows(spark).select("*", F.when(F.col("id") % 5 > 0, F.concat(F.lit("g"), F.col("id") % 8)).alias("g"))
+
+    def results(t):
+        return {r.feature: r.accuracy_drop for r in M.permutation_importance(t, ["x", "z"], ["w", "g"], "y").collect()}
+    before = results(df)
+    monkeypatch.setattr(M, "POINTS", 1000)
+    _no_sorted_rows(monkeypatch)
+    after = results(df)
+    assert list(after) == ["x", "z", "w", "g"] and after == results(df.repartition(3))
+    assert after["x"] > 0.3 and all(abs(before[f] - after[f]) < 0.06 for f in before)
+    # every row's class is there once: a permutation keeps the values of the feature
+    import pytest
+    with pytest.raises(Exception, match="y is null"):
+        results(df.withColumn("y", F.when(F.col("id") > 0, F.col("y"))))
+
+
+def test_forest_on_cells_scores_its_rows(spark):
+    from tabscope.operators import forests
+    df = _trees_rows(spark, 2000)
+    cells, sizes, classes = forests.packed_cells(df, ["x", "z"], ["w"], "y")
+    blobs = forests.fold_blobs(cells, 0, 5)
+    trees = forests.grow(blobs, sizes, 1, 3, 0, 20, 5, 5)
+    hits = forests.fold_hits(blobs, trees, 3, 3, 0)
+    right = sum(h[3] for h in hits if h[1] == h[2])
+    assert sum(h[3] for h in hits) == 2000 and right > 1900
+    assert forests.permuted_hits(cells, 0, trees, sizes, 5) < right - 500
+    # a feature of one value keeps every prediction
+    one, sizes, _ = forests.packed_cells(df.withColumn("u", F.lit(1.0)), ["x", "u"], [], "y")
+    blobs = forests.fold_blobs(one, 0, 5)
+    trees = forests.grow(blobs, sizes, 0, 3, 0, 20, 5, 5)
+    assert forests.permuted_hits(one, 1, trees, sizes, 5) == sum(h[3] for h in forests.fold_hits(blobs, trees, 2, 3, 0) if h[1] == h[2])
