@@ -309,3 +309,64 @@ def test_forest_on_cells_scores_its_rows(spark):
     blobs = forests.fold_blobs(one, 0, 5)
     trees = forests.grow(blobs, sizes, 0, 3, 0, 20, 5, 5)
     assert forests.permuted_hits(one, 1, trees, sizes, 5) == sum(h[3] for h in forests.fold_hits(blobs, trees, 2, 3, 0) if h[1] == h[2])
+
+
+def _joint_rows(spark):
+    x, z = (F.col("id") % 40).cast("double"), F.pmod(F.hash("id"), F.lit(1000)) / 1000.0
+    y = F.when(F.pmod(F.hash("id", F.lit(5)), F.lit(10)) < 3, "c").when(x + 20 * z < 20, "a").when(x < 30, "b").otherwise("c")
+    return spark.range(2500).select("id", x.alias("x"), z.alias("z"), (x + z).alias("s"), F.lit(7.0).alias("same"), F.when(F.col("id") % 3 > 0, "k").alias("w"),
+                                    (F.col("id") % 2).cast("int").alias("_fold"), y.alias("y"), F.when(y == "a", "p").otherwise("q").alias("two"))
+
+
+def test_joint_regressions_are_those_of_spark(spark):
+    from pyspark.ml.classification import LogisticRegression
+
+    from tabscope.operators import models as M, regressions
+    for y, numeric in (("y", ["x", "z", "s", "same"]), ("two", ["x", "z"])):
+        data, _ = M._assemble(_joint_rows(spark), numeric, ["w"], y, "string")
+        columns = [*numeric, "w__idx"]
+        classes = 3 if y == "y" else 2
+        got = regressions.fold_hits(data.select(*columns, "label", "_fold"), columns, classes, 2)
+        for k in range(2):
+            model = LogisticRegression(maxIter=100, tol=1e-9).fit(data.where(F.col("_fold") != k))
+            old = {(int(r.label), int(r.prediction)): r["count"] for r in model.transform(data.where(F.col("_fold") == k)).groupBy(
+                "label", "prediction").count().collect()}
+            new = {(a, p): n for f, a, p, n in got if f == k}
+            assert sum(new.values()) == 1250 and sum(abs(new.get(c, 0) - old.get(c, 0)) for c in {*old, *new}) <= 4
+
+
+def test_separable_and_single_classes_have_a_regression(spark):
+    from tabscope.operators import regressions
+    df = spark.range(300).select((F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 > 4).cast("double").alias("label"), (F.col("id") % 3).cast("int").alias("_fold"))
+    assert sorted(regressions.fold_hits(df, ["x"], 2, 3)) == [(k, c, c, 50) for k in range(3) for c in (0, 1)]
+    assert sorted(regressions.fold_hits(df.withColumn("label", F.lit(0.0)), ["x"], 1, 3)) == [(k, 0, 0, 100) for k in range(3)]
+
+
+def test_variants_of_large_tables_share_folds_and_passes(spark, monkeypatch):
+    from tabscope.operators import models as M, series
+    df = _joint_rows(spark).drop("_fold").withColumn("y", F.when(F.col("id") % 100 > 0, F.col("y")))
+    variants = {"raw": (lambda d: d, ["x", "z"], ["w"]), "sum": (lambda d: d.withColumn("t", F.col("x") + F.col("z")), ["x", "z", "t"], []),
+                "own": (lambda d: d.select("id", "x", "w", "y"), ["x"], ["w"])}
+
+    def results():
+        return {tuple(r)[:4]: r.score for r in M.variant_benchmark(df, variants, "y", folds=2, num_trees=10).collect()}
+    before = results()
+    monkeypatch.setattr(M, "POINTS", 1000)
+    folded, calls = series.stratified_folds, []
+    monkeypatch.setattr(series, "stratified_folds", lambda *a, **k: calls.append(1) or folded(*a, **k))
+
+    def no_fit(*_, **__):
+        raise AssertionError("a fit of its own")
+    monkeypatch.setattr(M, "_fit", no_fit)
+    after = results()
+    assert len(after) == 3 * 2 * 2 * 2 and after.keys() == before.keys() and len(calls) == 2
+    for v, m, s in {k[:3] for k in before}:
+        assert abs(sum(before[v, m, s, k] - after[v, m, s, k] for k in range(2)) / 2) < 0.05
+
+
+def test_metrics_of_groups_are_those_of_each(spark):
+    from tabscope.operators import models as M
+    df = spark.createDataFrame([(0, "a", "a"), (0, "a", "b"), (0, "b", "b"), (1, "a", "c"), (1, "c", "c"), (1, "c", "c")], "k int, y string, p string")
+    got = {r.k: tuple(r)[1:] for r in M.classification_metrics(df, "y", "p", by=["k"]).collect()}
+    for k in (0, 1):
+        assert got[k] == tuple(M.classification_metrics(df.where(F.col("k") == k), "y", "p").first())
