@@ -114,6 +114,7 @@ def _binned(rows: DataFrame, numeric: Sequence[str], edges: Sequence[Sequence[fl
     """``rows`` with every numeric column replaced by its bin; nulls and NaN stay null, for Spark's trees to refuse."""
     from pyspark.ml.feature import Bucketizer
     known = {c: F.when(~F.isnan(col(c).cast("double")), col(c).cast("double")) for c in numeric}
+    edges = [[b for b in e if b < math.inf] for e in edges]
     names = {c: f"_bin{i}" for i, (c, e) in enumerate(zip(numeric, edges)) if e}
     x = rows.withColumns({names.get(c, c): v if c in names else F.when(v.isNotNull(), F.lit(0.0)) for c, v in known.items()})
     if names:

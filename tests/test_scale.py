@@ -370,3 +370,13 @@ def test_metrics_of_groups_are_those_of_each(spark):
     got = {r.k: tuple(r)[1:] for r in M.classification_metrics(df, "y", "p", by=["k"]).collect()}
     for k in (0, 1):
         assert got[k] == tuple(M.classification_metrics(df.where(F.col("k") == k), "y", "p").first())
+
+
+def test_bins_of_odd_numbers(spark):
+    from tabscope.operators import models as M
+    inf = float("inf")
+    df = spark.createDataFrame([(-inf, 1.0), (-0.0, 1.0), (0.0, None), (3.0, 1.0), (inf, 1.0), (float("nan"), float("nan")), (None, 1.0)], "x double, u double")
+    got = M._binned(df, ["x", "u"], [[0.0, 3.0, inf], []]).collect()
+    assert [r.x for r in got] == [0.0, 0.0, 0.0, 1.0, 2.0, None, None]
+    assert [r.u for r in got] == [0.0, 0.0, None, 0.0, 0.0, None, 0.0]
+    assert M._edges_of(df, ["x", "u"]) == [[-inf, 0.0, 3.0], []]
